@@ -1,0 +1,25 @@
+"""Join helpers: broadcast only behind a checked size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A side is broadcast only when it has at most this many rows (checked).
+DEFAULT_BROADCAST_ROWS = 200_000
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    Bounded cost: the scan stops after ``max_rows + 1`` rows, so checking a
+    huge input does not read it all.
+    """
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Mark ``df`` for broadcast if it is proven small; otherwise leave the
+    choice to AQE (sort-merge or shuffled hash join, re-planned at run time
+    from the real shuffle sizes)."""
+    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
