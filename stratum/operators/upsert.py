@@ -20,11 +20,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.operators.dedup import latest_per_key
+from stratum.sources.tables import path_exists
 
 BUCKET_COL = "__b"
 DEFAULT_BUCKETS = 64
@@ -46,10 +46,7 @@ def bucket_of(keys: Sequence[str], buckets: int) -> Column:
 
 
 def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    return spark.read.parquet(path) if path_exists(spark, path) else None
 
 
 def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],

@@ -16,6 +16,15 @@ from pyspark.sql import DataFrame, SparkSession
 BRONZE, SILVER, GOLD = "bronze", "silver", "gold"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists, asked of the Hadoop file system that Spark
+    itself uses for it (local, HDFS or an object store)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    return bool(hpath.getFileSystem(conf).exists(hpath))
+
+
 def read_source(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """One benchmark table, ``<sf_dir>/<table>.parquet``."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
