@@ -27,15 +27,18 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()
     keys = list(keys)
     order = [c for c in order if c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in order]
-    if not order and not rest:
-        return df.dropDuplicates(keys)
-    packed = "__latest"
-    has_key = ~any_null(keys)
-    keyed = (df.filter(has_key)
-               .groupBy(*keys)
-               .agg(F.max(F.struct(*[F.col(c) for c in order + rest])).alias(packed))
-               .select(*keys, *[F.col(f"{packed}.{c}").alias(c) for c in order + rest])
-               .select(*df.columns))
+    fields = [F.col(c) for c in order + rest] or [F.lit(True).alias("__k")]
+    packed = F.struct(*fields)
+    has_null = any_null(keys)
     if not keep_null_keys:
-        return keyed
-    return keyed.unionByName(df.filter(~has_key))
+        latest = (df.filter(~has_null).groupBy(*keys)
+                    .agg(F.max(packed).alias("__latest")))
+        return latest.select(*keys, "__latest.*").select(*df.columns)
+    # One pass: a row with a NULL key is grouped by its own value, so it
+    # never merges with a different row; identical such rows form one group
+    # and are restored by their count.  Keyed groups emit exactly one row.
+    grouped = (df.groupBy(*keys, F.when(has_null, packed).alias("__row"))
+                 .agg(F.max(packed).alias("__latest"), F.count(F.lit(1)).alias("__n")))
+    copies = F.when(F.col("__row").isNull(), F.lit(1)).otherwise(F.col("__n")).cast("int")
+    return (grouped.select(*keys, F.inline(F.array_repeat(F.col("__latest"), copies)))
+                   .select(*df.columns))

@@ -15,14 +15,16 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Settings every job of this package relies on.  AQE re-plans joins and
-# shuffle partition counts at run time and splits skewed join partitions;
-# dynamic partition overwrite is what makes bucket-level upserts possible.
+# shuffle partition counts at run time and splits skewed join partitions.
+# (Writers that need dynamic partition overwrite set it per write.)
 SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Whole-stage codegen for sort-based aggregation: latest-per-key packs a
+    # row into a struct, whose max is planned as a sort aggregate.
+    "spark.sql.codegen.aggregate.sortAggregate.enabled": "true",
 }
 
 

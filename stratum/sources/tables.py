@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 BRONZE, SILVER, GOLD = "bronze", "silver", "gold"
 
@@ -25,9 +26,26 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(hpath.getFileSystem(conf).exists(hpath))
 
 
+def spread_small_scan(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan that yields fewer partitions than the cluster has cores.
+
+    Parquet splits on row groups; a file written as one row group is read by
+    a single task, and every row-level step after it would run on one core.
+    Only then is the scan redistributed (one narrow shuffle of the pruned
+    columns).  A scan of a large table already has far more partitions than
+    cores and is returned unchanged, so this never adds a shuffle at scale.
+    """
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= n:
+        return df
+    # Hash of the whole row: deterministic on task retry and needs no sort
+    # (round-robin would sort every input partition first to be retry-safe).
+    return df.repartition(n, F.xxhash64(*df.columns))
+
+
 def read_source(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """One benchmark table, ``<sf_dir>/<table>.parquet``."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
+    return spread_small_scan(spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet"))
 
 
 @dataclass(frozen=True)
