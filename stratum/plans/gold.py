@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from stratum.functions import vocab as V
 from stratum.functions.derive import flag, flag_any, grade
-from stratum.functions.rollup import complement_pct, count_where, mean, rate_pct, rmax, rmin, rsum
+from stratum.functions.rollup import (EXACT, complement_pct, count_where, mean, rate_pct, rmax,
+                                      rmin, rsum)
 
 SUBJECT_KEYS = ["subject_id", "study_id"]
 
@@ -166,27 +167,55 @@ def lot_keys(lot: DataFrame, keys: Sequence[str] = LOT_KEY_COLUMNS) -> DataFrame
     return lot.select(*keys).distinct()
 
 
+def _weighted_count(pred: F.Column, w: F.Column) -> F.Column:
+    return F.coalesce(F.sum(F.when(pred, w)), F.lit(0).cast("bigint"))
+
+
+def _weighted_mean(c: str, w: F.Column, scale: int) -> F.Column:
+    x = F.col(c).cast(EXACT)
+    num = F.sum(x * w)
+    den = F.sum(F.when(F.col(c).isNotNull(), w))
+    return F.round(num / den, scale).cast("double")
+
+
 def gold_capa(dev: DataFrame, lot: DataFrame, keys: Sequence[str] = LOT_KEY_COLUMNS) -> DataFrame:
-    enriched = (dev.join(lot_keys(lot, keys), "batch_id", "left")
+    """CAPA mart: deviations attributed to the lots of their batch.
+
+    The attribution joins each deviation to every distinct lot-key row of its
+    batch (``keys``).  Only plant and drug are grouped on, so the lot side is
+    first reduced to one row per (batch, plant, drug) carrying the number of
+    lot-key rows it stands for, ``__w``; each deviation then counts ``__w``
+    times.  Counts and means are weighted, min / max / distinct counts are
+    unaffected, so the result equals the fanned-out join while the rows per
+    batch on the join's build side are bounded by plants x drugs instead of
+    growing with the lot table (a hot batch cannot blow up one task).
+    """
+    lot_w = (lot_keys(lot, keys).groupBy("batch_id", "plant_id", "drug_code")
+             .agg(F.count(F.lit(1)).alias("__w")))
+    enriched = (dev.join(lot_w, "batch_id", "left")
                    .withColumn("reported_month", F.date_format("reported_date", "yyyy-MM")))
+    w = F.coalesce(F.col("__w"), F.lit(1).cast("bigint"))
+
+    def n(pred):
+        return _weighted_count(pred, w)
+
     return (enriched.groupBy("plant_id", "drug_code", "reported_month")
-            .agg(F.count("deviation_id").alias("total_deviations"),
-                 count_where(_eq("status", "OPEN")).alias("open_count"),
-                 count_where(_eq("status", "CLOSED")).alias("closed_count"),
-                 count_where(_eq("status", "IN_REVIEW")).alias("in_review_count"),
-                 count_where(_eq("severity", "CRITICAL")).alias("critical_count"),
-                 count_where(_eq("severity", "MAJOR")).alias("major_count"),
-                 count_where(_eq("severity", "MINOR")).alias("minor_count"),
-                 count_where(_eq("severity", "CRITICAL") & (F.col("status") != "CLOSED")
-                             ).alias("critical_open_count"),
-                 mean("days_to_closure", 1).alias("avg_days_to_closure"),
+            .agg(n(F.col("deviation_id").isNotNull()).alias("total_deviations"),
+                 n(_eq("status", "OPEN")).alias("open_count"),
+                 n(_eq("status", "CLOSED")).alias("closed_count"),
+                 n(_eq("status", "IN_REVIEW")).alias("in_review_count"),
+                 n(_eq("severity", "CRITICAL")).alias("critical_count"),
+                 n(_eq("severity", "MAJOR")).alias("major_count"),
+                 n(_eq("severity", "MINOR")).alias("minor_count"),
+                 n(_eq("severity", "CRITICAL") & (F.col("status") != "CLOSED")).alias("critical_open_count"),
+                 _weighted_mean("days_to_closure", w, 1).alias("avg_days_to_closure"),
                  rmin("days_to_closure", 0).alias("min_days_to_closure"),
                  rmax("days_to_closure", 0).alias("max_days_to_closure"),
-                 count_where(F.col("days_to_closure").isNotNull()
-                             & (F.col("days_to_closure") > F.col("sla_days"))).alias("sla_breach_count"),
-                 count_where(_eq("deviation_type", "PROCESS")).alias("process_deviations"),
-                 count_where(_eq("deviation_type", "EQUIPMENT")).alias("equipment_deviations"),
-                 count_where(_eq("deviation_type", "MATERIAL")).alias("material_deviations"),
+                 n(F.col("days_to_closure").isNotNull()
+                   & (F.col("days_to_closure") > F.col("sla_days"))).alias("sla_breach_count"),
+                 n(_eq("deviation_type", "PROCESS")).alias("process_deviations"),
+                 n(_eq("deviation_type", "EQUIPMENT")).alias("equipment_deviations"),
+                 n(_eq("deviation_type", "MATERIAL")).alias("material_deviations"),
                  F.count_distinct("batch_id").alias("affected_batches"),
                  F.count_distinct("equipment_id").alias("affected_equipment"))
             .withColumns({"sla_breach_rate_pct": rate_pct("sla_breach_count", "total_deviations"),

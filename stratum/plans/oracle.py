@@ -503,3 +503,8 @@ SELECT * FROM events e WHERE EXISTS (SELECT 1 FROM hol h WHERE h.holiday_date =
     "rows_on_workdays": f"""WITH {HOLIDAYS}
 SELECT * FROM events e WHERE NOT EXISTS (SELECT 1 FROM hol h WHERE h.holiday_date = CAST(e.ts AS DATE))""",
 }
+
+# The layer-job queries write and read back the same marts.
+ORACLE["job_qc_summary"] = ORACLE["qc_summary"]
+ORACLE["job_gold_capa"] = ORACLE["gold_capa"]
+ORACLE["job_gold_subject"] = ORACLE["gold_subject_safety"]

@@ -20,9 +20,9 @@ from stratum.operators.upsert import change_rows, upsert
 from stratum.functions.derive import date_parts
 from stratum.plans import gold as G
 from stratum.plans import silver as S
-from stratum.session import apply_defaults
+from stratum.session import apply_defaults, scratch_dir
 from stratum.sources.adapters import bronze
-from stratum.sources.tables import read_source
+from stratum.sources.tables import read_source, write_batch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -220,6 +220,56 @@ def q_rows_on_workdays(spark, sf):
     return on_workdays(ev, holiday_calendar(spark), F.col("ts"))
 
 
+# ---- layer jobs end to end (bronze tables -> silver writes -> gold writes) ----
+
+def _job_layout(spark, name):
+    from stratum.sources.tables import Layout
+    return Layout(scratch_dir(spark, name))
+
+
+def q_job_qc_summary(spark, sf):
+    """QC feed delivered twice (a full re-delivery) -> bucketed silver upsert
+    -> gold mart written and read back."""
+    from stratum.plans import jobs as J
+    _prep(spark)
+    lay = _job_layout(spark, "job_qc")
+    b = bronze(spark, sf, "bronze_qc_lab_result")
+    write_batch(b, lay.bronze("qc_lab_result"), 0)
+    J.silver_job(spark, lay, "qc_lab_result")
+    write_batch(b, lay.bronze("qc_lab_result"), 1)
+    J.silver_job(spark, lay, "qc_lab_result")
+    J.gold_job(spark, lay, "qc_summary")
+    return spark.read.parquet(lay.gold("qc_summary"))
+
+
+def q_job_gold_capa(spark, sf):
+    """Deviation upsert + lot full refresh -> CAPA mart written and read back."""
+    from stratum.plans import jobs as J
+    _prep(spark)
+    lay = _job_layout(spark, "job_capa")
+    write_batch(bronze(spark, sf, "bronze_mfg_deviation"), lay.bronze("mfg_deviation"), 0)
+    write_batch(bronze(spark, sf, "bronze_mfg_lot"), lay.bronze("mfg_lot"), 0)
+    J.silver_job(spark, lay, "mfg_deviation")
+    J.silver_job(spark, lay, "mfg_lot")
+    J.gold_job(spark, lay, "gold_capa")
+    return spark.read.parquet(lay.gold("gold_capa")).drop("gold_processed_at")
+
+
+def q_job_gold_subject(spark, sf):
+    """DM upsert, LB full refresh, VS streamed append -> subject mart
+    (partitioned by study) written and read back."""
+    from stratum.plans import jobs as J
+    _prep(spark)
+    lay = _job_layout(spark, "job_subject")
+    write_batch(bronze(spark, sf, "bronze_clinical_dm"), lay.bronze("clinical_dm"), 0)
+    write_batch(bronze(spark, sf, "bronze_clinical_lb"), lay.bronze("clinical_lb"), 0)
+    write_batch(bronze(spark, sf, "bronze_clinical_vs"), lay.bronze("clinical_vs"), 0)
+    for t in ("clinical_dm", "clinical_lb", "clinical_vs"):
+        J.silver_job(spark, lay, t)
+    J.gold_job(spark, lay, "gold_subject", partition_by=["study_id"])
+    return spark.read.parquet(lay.gold("gold_subject")).drop("gold_processed_at")
+
+
 QUERIES: dict[str, Query] = {
     "qc_summary": q_qc_summary,
     "qc_trend": q_qc_trend,
@@ -253,4 +303,7 @@ QUERIES: dict[str, Query] = {
     "holiday_gate": q_holiday_gate,
     "rows_on_holidays": q_rows_on_holidays,
     "rows_on_workdays": q_rows_on_workdays,
+    "job_qc_summary": q_job_qc_summary,
+    "job_gold_capa": q_job_gold_capa,
+    "job_gold_subject": q_job_gold_subject,
 }

@@ -115,15 +115,18 @@ ORDER_RULES = [
 ]
 
 
-def order_split(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(accepted silver rows, rejected rows with ``reject_reason``)."""
+def order_split(bronze: DataFrame, carry: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """(accepted silver rows, rejected rows with ``reject_reason``).
+
+    ``carry`` names extra input columns kept on the accepted rows (e.g. the
+    ingest batch id used to order versions of a key)."""
     ok, bad = split_rows(order_checked(bronze), [(n, p()) for n, p in ORDER_RULES])
-    return ok.select(*ORDER_COLUMNS), bad
+    return ok.select(*ORDER_COLUMNS, *carry), bad
 
 
 def silver_order(bronze: DataFrame, order: Sequence[str] = ()) -> DataFrame:
-    ok, _ = order_split(bronze)
-    return keyed(ok, "order", order)
+    ok, _ = order_split(bronze, order)
+    return keyed(ok, "order", order).select(*ORDER_COLUMNS)
 
 
 # ---- V7 manufacturing lots ------------------------------------------------
@@ -203,7 +206,8 @@ DEVIATION_REQUIRED = ("deviation_id", "batch_id", "equipment_id", "deviation_typ
                       "reported_date", "closure_date", "status")
 
 
-def deviation_clean(bronze: DataFrame, required: Sequence[str] = DEVIATION_REQUIRED) -> DataFrame:
+def deviation_clean(bronze: DataFrame, required: Sequence[str] = DEVIATION_REQUIRED,
+                    carry: Sequence[str] = ()) -> DataFrame:
     df = require(bronze, required)
     df = df.withColumns({
         "reported_by": fill_or_trim("reported_by", "UNKNOWN"),
@@ -215,12 +219,13 @@ def deviation_clean(bronze: DataFrame, required: Sequence[str] = DEVIATION_REQUI
         "days_to_closure": F.when(F.col("closure_date").isNotNull(),
                                   days_between("reported_date", "closure_date")),
     })
-    return df.select(*DEVIATION_COLUMNS)
+    return df.select(*DEVIATION_COLUMNS, *carry)
 
 
 def silver_deviation(bronze: DataFrame, required: Sequence[str] = DEVIATION_REQUIRED,
                      order: Sequence[str] = ()) -> DataFrame:
-    return keyed(deviation_clean(bronze, required), "deviation", order)
+    return (keyed(deviation_clean(bronze, required, order), "deviation", order)
+            .select(*DEVIATION_COLUMNS))
 
 
 # ---- V1 clinical demographics --------------------------------------------
@@ -249,6 +254,11 @@ def silver_dm(bronze: DataFrame, order: Sequence[str] = ()) -> DataFrame:
     return keyed(dm_clean(bronze), "dm", order)
 
 
+def qc_rows(bronze: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """QC silver projection before deduplication."""
+    return qc_flagged(bronze).select(*QC_COLUMNS, *carry)
+
+
 # ---- V2 clinical labs -------------------------------------------------------
 
 LB_COLUMNS = ["study_id", "subject_id", "test_name", "test_value", "test_date", "unit",

@@ -101,3 +101,14 @@ def append_table(df: DataFrame, path: str, partition_by: Sequence[str] | None =
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+
+
+def write_batch(df: DataFrame, path: str, batch_id: int, batch_col: str = "__batch") -> None:
+    """Write one ingest batch as partition ``<batch_col>=<batch_id>``.
+
+    Dynamic partition overwrite replaces only that partition, so writing the
+    same batch again (a retried or replayed micro-batch) leaves no duplicate.
+    """
+    (df.withColumn(batch_col, F.lit(batch_id).cast("long"))
+       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy(batch_col).parquet(path))

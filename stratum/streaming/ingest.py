@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from stratum.sources.tables import path_exists
+from stratum.sources.tables import path_exists, write_batch
 
 FILE_COL = "__file"
 BATCH_COL = "__batch"
@@ -180,9 +180,7 @@ def ingest_batch(spark: SparkSession, batch: DataFrame, batch_id: int, table: st
     for p in parts:
         c = conform(p, schema)
         out = c if out is None else out.unionByName(c)
-    (out.withColumn(BATCH_COL, F.lit(batch_id).cast("long"))
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BATCH_COL).parquet(table))
+    write_batch(out, table, batch_id, BATCH_COL)
 
 
 def ingest_csv_stream(spark: SparkSession, src_dir: str, table: str, checkpoint: str,
