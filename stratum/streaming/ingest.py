@@ -10,9 +10,11 @@ Contract (per source folder):
   micro-batch id in ``__batch``.
 * The table schema is remembered between runs.  A file may add columns;
   they are appended to the schema as nullable and older rows read as NULL.
-  A known column keeps its type: incoming values are ``try_cast`` to it and
-  values that do not fit are kept, as text, in the ``__rescued`` JSON column
-  instead of failing the batch.
+  A known column keeps its type: values that do not fit it are kept, as
+  text, in the ``__rescued`` JSON column instead of failing the batch (the
+  offending fields when types were inferred, else the whole line).
+* Files whose columns are all known are parsed once with the remembered
+  types; only files that bring new columns pay for a type-inference pass.
 * A replayed micro-batch (after a crash between write and commit) rewrites
   its own ``__batch`` partition, so the output has no duplicates.
 
@@ -27,6 +29,7 @@ place.  Only the batch's path list reaches the driver; bound it with
 
 from __future__ import annotations
 
+import csv
 import json
 from collections.abc import Iterator
 
@@ -41,6 +44,7 @@ from stratum.sources.tables import path_exists, write_batch
 FILE_COL = "__file"
 BATCH_COL = "__batch"
 RESCUED_COL = "__rescued"
+CORRUPT_COL = "__corrupt"
 META_COLS = (FILE_COL, BATCH_COL, RESCUED_COL)
 # Fixed schema of Spark's binaryFile source (streaming sources need it given).
 BINARY_FILE_SCHEMA = T.StructType([
@@ -106,6 +110,10 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
         rescued = F.when(js != F.lit("{}"), js)
     else:
         rescued = F.lit(None).cast("string")
+    if CORRUPT_COL in df.columns:
+        line = F.when(F.col(CORRUPT_COL).isNotNull(),
+                      F.to_json(F.struct(F.col(CORRUPT_COL).alias("_line"))))
+        rescued = F.coalesce(rescued, line)
     keep = [F.col(c) for c in (FILE_COL,) if c in df.columns]
     return df.select(*cols, *keep, rescued.alias(RESCUED_COL))
 
@@ -154,13 +162,38 @@ def headers_of(paths: DataFrame) -> DataFrame:
 
 # ---- the micro-batch ----------------------------------------------------------------
 
-def read_csv_group(spark: SparkSession, paths: list[str], infer: bool = True) -> DataFrame:
-    """One CSV read for files that share a header; lineage from ``_metadata``."""
-    df = (spark.read.option("header", "true").option("inferSchema", str(infer).lower())
-          .csv(paths))
+def header_names(header: str) -> list[str]:
+    """Column names of a CSV header line (quoted names allowed)."""
+    return next(csv.reader([header])) if header else []
+
+
+def read_csv_group(spark: SparkSession, paths: list[str], infer: bool = True,
+                   known: T.StructType | None = None, names: list[str] | None = None) -> DataFrame:
+    """One CSV read for files that share a header; lineage from ``_metadata``.
+
+    When every column of the header is already in the remembered schema the
+    files are read once with that schema laid out in header order (no
+    inference pass over the data); a line whose values do not parse lands,
+    whole, in the corrupt-record column and from there in ``__rescued``.
+    Otherwise types are inferred.
+    """
+    reader = spark.read.option("header", "true")
+    if known is not None and names and _all_known(known, names):
+        by_name = {f.name.lower(): f for f in known.fields}
+        fields = [T.StructField(n, by_name[n.lower()].dataType, True) for n in names]
+        schema = T.StructType(fields + [T.StructField(CORRUPT_COL, T.StringType(), True)])
+        df = (reader.schema(schema).option("mode", "PERMISSIVE")
+              .option("columnNameOfCorruptRecord", CORRUPT_COL).csv(paths))
+    else:
+        df = reader.option("inferSchema", str(infer).lower()).csv(paths)
     return df.withColumn(FILE_COL, F.col("_metadata.file_name"))
 
 
+def _all_known(known: T.StructType, names: list[str]) -> bool:
+    have = {f.name.lower() for f in known.fields}
+    return len(set(n.lower() for n in names)) == len(names) and all(n.lower() in have for n in names)
+
+
 def ingest_batch(spark: SparkSession, batch: DataFrame, batch_id: int, table: str,
                  schema_store: str, infer: bool = True) -> None:
     """Process one micro-batch of discovered paths (``foreachBatch`` body)."""
@@ -169,11 +202,13 @@ def ingest_batch(spark: SparkSession, batch: DataFrame, batch_id: int, table: st
         groups.setdefault(r["header"], []).append(r["path"])
     if not groups:
         return
-    parts = [read_csv_group(spark, sorted(ps), infer) for _, ps in sorted(groups.items())]
     known = load_schema(spark, schema_store)
+    parts = [read_csv_group(spark, sorted(ps), infer, known, header_names(h))
+             for h, ps in sorted(groups.items())]
     schema = known
     for p in parts:
-        schema = evolve_schema(schema, T.StructType([f for f in p.schema.fields if f.name != FILE_COL]))
+        schema = evolve_schema(schema, T.StructType([f for f in p.schema.fields
+                                                     if f.name not in (FILE_COL, CORRUPT_COL)]))
     if known is None or schema != known:
         save_schema(spark, schema_store, schema, batch_id)
     out = None
