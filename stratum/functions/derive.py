@@ -125,6 +125,11 @@ def flag(pred: Column) -> Column:
     return F.when(pred, F.lit(True)).otherwise(F.lit(False))
 
 
+def invalid_flag(pred: Column) -> Column:
+    """Flag rows whose value fails a rule (``pred`` true); NULL -> false."""
+    return flag(pred)
+
+
 def mismatch_flag(a: str | Column, b: str | Column) -> Column:
     return flag(col(a) != col(b))
 

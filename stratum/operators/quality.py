@@ -25,6 +25,15 @@ def null_flag(cols: Iterable[str | Column]) -> Column:
     return flag(any_null(cols))
 
 
+def accept(df: DataFrame, flags: Sequence[str]) -> DataFrame:
+    """Rows where every flag column is false (a NULL flag is not false)."""
+    pred = None
+    for f in flags:
+        p = F.col(f) == F.lit(False)
+        pred = p if pred is None else (pred & p)
+    return df if pred is None else df.filter(pred)
+
+
 def reject_reason(rules: Sequence[tuple[str, Column]]) -> Column:
     """Name of the first rule whose predicate is true, else NULL.
 

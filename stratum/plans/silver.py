@@ -17,11 +17,12 @@ from pyspark.sql import functions as F
 from stratum.functions import vocab as V
 from stratum.functions.clean import decode, fill_label, fill_or_trim, normalize, require, whitelist
 from stratum.functions.derive import (band, bp_category, classify_range, date_parts, days_between,
-                                      flag, fulfillment, loss, minutes_between, mismatch_flag,
+                                      flag, fulfillment, invalid_flag, loss, minutes_between,
+                                      mismatch_flag,
                                       parse_range, quarter_label, shift_code, sla_days, variance,
                                       year_str)
 from stratum.operators.dedup import latest_per_key
-from stratum.operators.quality import null_flag, split_rows
+from stratum.operators.quality import accept, null_flag, split_rows
 
 # Business keys of the upserted silver tables.
 KEYS = {
@@ -245,9 +246,9 @@ def dm_clean(bronze: DataFrame) -> DataFrame:
         "age_group": band("age", V.AGE_BANDS, V.AGE_ELSE),
         "arm_group": normalize("arm_group"),
     }).drop("age")
-    df = df.withColumn("invalid_arm_flag", flag(~F.col("arm_group").isin(V.VALID_ARMS)))
-    return (df.filter(~F.col("hard_null_flag") & ~F.col("invalid_arm_flag"))
-              .drop("hard_null_flag", "invalid_arm_flag"))
+    df = df.withColumn("invalid_arm_flag", invalid_flag(~F.col("arm_group").isin(V.VALID_ARMS)))
+    flags = ["hard_null_flag", "invalid_arm_flag"]
+    return accept(df, flags).drop(*flags)
 
 
 def silver_dm(bronze: DataFrame, order: Sequence[str] = ()) -> DataFrame:
@@ -285,7 +286,7 @@ def lb_checked(bronze: DataFrame) -> DataFrame:
 def silver_lb(bronze: DataFrame) -> DataFrame:
     """Lab rows whose recorded flag agrees with the flag derived from the
     reference range."""
-    return lb_checked(bronze).filter(~F.col("abnormal_mismatch_flag")).select(*LB_COLUMNS)
+    return accept(lb_checked(bronze), ["abnormal_mismatch_flag"]).select(*LB_COLUMNS)
 
 
 def lb_mismatches(bronze: DataFrame) -> DataFrame:
