@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.operators.dedup import latest_per_key
+from stratum.session import checkpoint_root
 from stratum.sources.tables import path_exists
 
 BUCKET_COL = "__b"
@@ -53,19 +54,27 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequen
                  order: Sequence[str] = (), buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Upsert ``source`` into the bucketed Parquet table at ``path``.
 
-    Creates the table on first load (K3/K4).  Returns the table as read
-    back after the write.
+    Creates the table on first load.  Otherwise the deduplicated batch is
+    checkpointed (reliably, to the shared checkpoint folder) so it is
+    computed once; its bucket ids -- at most ``buckets`` small integers --
+    become a static partition filter, so only the touched bucket folders of
+    the target are listed, read and rewritten.  ``buckets`` is a property of
+    the table and must stay the same across upserts; size it so one bucket
+    is a few GB.  Returns the table as read back after the write.
     """
     keys = list(keys)
-    src = latest_per_key(source, keys, order).withColumn(BUCKET_COL, bucket_of(keys, buckets))
+    checkpoint_root(spark)
+    src = (latest_per_key(source, keys, order)
+           .withColumn(BUCKET_COL, bucket_of(keys, buckets))
+           .checkpoint(eager=True))
     target = _read_or_none(spark, path)
     if target is None:
         merged = src
     else:
-        # At most ``buckets`` distinct values: a proven size bound, so the
-        # bucket list is broadcast and prunes the target scan to hit buckets.
-        hit = src.select(BUCKET_COL).distinct()
-        target_hit = target.join(F.broadcast(hit), BUCKET_COL, "left_semi")
+        hit = [r[0] for r in src.select(BUCKET_COL).distinct().collect()]
+        if not hit:
+            return target
+        target_hit = target.filter(F.col(BUCKET_COL).isin(hit))
         merged = upsert(target_hit, src, keys + [BUCKET_COL], dedup=False)
     (merged.hint("rebalance", BUCKET_COL)
            .write.mode("overwrite")
