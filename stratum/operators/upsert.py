@@ -84,6 +84,26 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequen
     return spark.read.parquet(path)
 
 
+def merge_into_table(table: str, source: DataFrame, keys: Sequence[str],
+                     order: Sequence[str] = ()) -> None:
+    """Upsert into a catalog table whose format supports ``MERGE`` (e.g. a
+    Delta or Iceberg table): same semantics as ``upsert_table`` -- the batch
+    is deduplicated to its latest row per key, matched rows are replaced,
+    new keys inserted, a NULL key never matches -- executed by the format's
+    own merge (file-level rewrite, snapshot isolation).  Plain Parquet tables
+    reject ``MERGE``; use ``upsert_table`` for those."""
+    keys = list(keys)
+    src = latest_per_key(source, keys, order).alias("s")
+    cond = None
+    for k in keys:
+        p = F.col(f"t.{k}") == F.col(f"s.{k}")
+        cond = p if cond is None else (cond & p)
+    (src.mergeInto(table, cond)
+        .whenMatched().updateAll()
+        .whenNotMatched().insertAll()
+        .merge())
+
+
 def change_rows(old: DataFrame, new: DataFrame, keys: Sequence[str],
                 change_col: str = "_change_type") -> DataFrame:
     """Row-level changes from keyed snapshot ``old`` to keyed snapshot ``new``.

@@ -31,9 +31,11 @@ from __future__ import annotations
 
 import csv
 import json
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -160,6 +162,11 @@ def headers_of(paths: DataFrame) -> DataFrame:
     return paths.select("path").mapInPandas(_first_lines, "path string, header string")
 
 
+# Ship the task-side functions of this module with the task (by value), so
+# Python workers need not be able to import this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 # ---- the micro-batch ----------------------------------------------------------------
 
 def header_names(header: str) -> list[str]:

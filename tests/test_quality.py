@@ -37,3 +37,11 @@ def test_whitelist_after_null_flag(spark):
     # names that were NULL are flagged and also read UNKNOWN after the whitelist
     assert df.filter(F.col("hard_null_flag") & (F.col("test_name") != "UNKNOWN")).count() == 0
     assert df.filter(F.col("hard_null_flag")).count() > 0
+
+
+def test_qc_pass_fail_within_total(spark):
+    from stratum.plans import queries as Q
+    bad = Q.q_qc_summary(spark, SF_SMALL).filter(
+        (F.col("pass_count") + F.col("fail_count") > F.col("total_tests"))
+        | (F.col("pass_pct") + F.col("fail_pct") > 100.01))
+    assert bad.count() == 0
