@@ -50,22 +50,36 @@ def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(path) if path_exists(spark, path) else None
 
 
+def range_bucket(key: str, width: int) -> Column:
+    """Bucket of a monotonically assigned numeric key: ``floor(key / width)``.
+    New keys land in new buckets and updates to recent keys touch few, so a
+    batch rewrites about its own key range instead of the whole table."""
+    return F.floor(F.col(key) / F.lit(width)).cast("long")
+
+
 def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
-                 order: Sequence[str] = (), buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                 order: Sequence[str] = (), buckets: int = DEFAULT_BUCKETS,
+                 bucket: Column | None = None) -> DataFrame:
     """Upsert ``source`` into the bucketed Parquet table at ``path``.
 
     Creates the table on first load.  Otherwise the deduplicated batch is
     checkpointed (reliably, to the shared checkpoint folder) so it is
-    computed once; its bucket ids -- at most ``buckets`` small integers --
-    become a static partition filter, so only the touched bucket folders of
-    the target are listed, read and rewritten.  ``buckets`` is a property of
-    the table and must stay the same across upserts; size it so one bucket
-    is a few GB.  Returns the table as read back after the write.
+    computed once; its distinct bucket ids become a static partition filter,
+    so only the touched bucket folders of the target are listed, read and
+    rewritten.
+
+    Bucketing is a property of the table and must not change between
+    upserts.  The default is ``pmod(xxhash64(keys), buckets)``: even sizes,
+    but a batch with many more keys than buckets touches every bucket.  For
+    keys with locality (ids assigned in order, keys that embed a date) pass
+    ``bucket=range_bucket(...)`` or another expression of the key columns
+    only; a batch then rewrites roughly its own key range.
+    Returns the table as read back after the write.
     """
     keys = list(keys)
     checkpoint_root(spark)
     src = (latest_per_key(source, keys, order)
-           .withColumn(BUCKET_COL, bucket_of(keys, buckets))
+           .withColumn(BUCKET_COL, bucket if bucket is not None else bucket_of(keys, buckets))
            .checkpoint(eager=True))
     target = _read_or_none(spark, path)
     if target is None:
