@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratum.functions import vocab as V
+from stratum.operators.dedup import latest_per_key
 from stratum.functions.derive import flag, flag_any, grade
 from stratum.functions.rollup import (EXACT, complement_pct, count_where, mean, rate_pct, rmax,
                                       rmin, rsum)
@@ -70,10 +71,9 @@ VS_DM_COLUMNS = ["subject_id", "study_id", "arm_group", "age_group", "sex", "cou
 
 
 def _dm_side(dm: DataFrame, cols: Sequence[str]) -> DataFrame:
-    # One row per (subject, study): the join can then never fan out.  Silver
-    # DM is already keyed by subject, and dropDuplicates on a keyed input
-    # keeps its rows.
-    return dm.select(*cols).dropDuplicates(SUBJECT_KEYS)
+    # One row per (subject, study), so the join can never fan out; on a keyed
+    # silver DM this keeps every row, otherwise the pick is deterministic.
+    return latest_per_key(dm.select(*cols), SUBJECT_KEYS)
 
 
 def lb_enriched(lb: DataFrame, dm: DataFrame) -> DataFrame:
