@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,7 +48,14 @@ def bucket_of(keys: Sequence[str], buckets: int) -> Column:
 
 
 def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    return spark.read.parquet(path) if path_exists(spark, path) else None
+    """The table at ``path``, or None when there is none yet (no folder, or
+    a folder without data files, e.g. left by a first load that failed)."""
+    if not path_exists(spark, path):
+        return None
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        return None
 
 
 def range_bucket(key: str, width: int) -> Column:

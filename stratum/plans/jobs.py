@@ -124,9 +124,11 @@ def main(argv: Sequence[str] | None = None) -> None:
     p.add_argument("--table", required=True)
     p.add_argument("--src", help="CSV source folder (bronze)")
     p.add_argument("--partition-by", nargs="*")
+    p.add_argument("--conf", action="append", default=[], metavar="KEY=VALUE",
+                   help="extra Spark setting (repeatable), e.g. spark.sql.shuffle.partitions=20000")
     a = p.parse_args(argv)
     from stratum.session import get_session
-    spark = get_session()
+    spark = get_session(extra=dict(kv.split("=", 1) for kv in a.conf))
     layout = Layout(a.root)
     if a.stage == "bronze":
         bronze_job(spark, layout, a.table, a.src)
