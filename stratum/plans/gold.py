@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from stratum.functions import vocab as V
 from stratum.operators.dedup import latest_per_key
-from stratum.functions.derive import flag, flag_any, grade
+from stratum.functions.derive import flag_any, grade
 from stratum.functions.rollup import (EXACT, complement_pct, count_where, mean, rate_pct, rmax,
                                       rmin, rsum)
 
