@@ -506,5 +506,6 @@ SELECT * FROM events e WHERE NOT EXISTS (SELECT 1 FROM hol h WHERE h.holiday_dat
 
 # The layer-job queries write and read back the same marts.
 ORACLE["job_qc_summary"] = ORACLE["qc_summary"]
+ORACLE["holiday_gate_csv"] = ORACLE["holiday_gate"]
 ORACLE["job_gold_capa"] = ORACLE["gold_capa"]
 ORACLE["job_gold_subject"] = ORACLE["gold_subject_safety"]

@@ -208,6 +208,17 @@ def q_holiday_gate(spark, sf):
     return gate_dates(ev, holiday_calendar(spark), F.col("ts"))
 
 
+def q_holiday_gate_csv(spark, sf):
+    """The same gate with the calendar read from a CSV file (header, inferred
+    types), as a deployment would ship it."""
+    from stratum.operators.calendar import read_calendar
+    _prep(spark)
+    path = scratch_dir(spark, "calendar") + "/schedule_holidays"
+    holiday_calendar(spark).coalesce(1).write.option("header", "true").csv(path)
+    ev = read_source(spark, sf, "events")
+    return gate_dates(ev, read_calendar(spark, path), F.col("ts"))
+
+
 def q_rows_on_holidays(spark, sf):
     _prep(spark)
     ev = read_source(spark, sf, "events")
@@ -301,6 +312,7 @@ QUERIES: dict[str, Query] = {
     "upsert_lines": q_upsert_lines,
     "change_rows_lines": q_change_rows_lines,
     "holiday_gate": q_holiday_gate,
+    "holiday_gate_csv": q_holiday_gate_csv,
     "rows_on_holidays": q_rows_on_holidays,
     "rows_on_workdays": q_rows_on_workdays,
     "job_qc_summary": q_job_qc_summary,
