@@ -85,14 +85,14 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequen
     Returns the table as read back after the write.
     """
     keys = list(keys)
-    checkpoint_root(spark)
     src = (latest_per_key(source, keys, order)
-           .withColumn(BUCKET_COL, bucket if bucket is not None else bucket_of(keys, buckets))
-           .checkpoint(eager=True))
+           .withColumn(BUCKET_COL, bucket if bucket is not None else bucket_of(keys, buckets)))
     target = _read_or_none(spark, path)
     if target is None:
-        merged = src
+        merged = src                      # first load: nothing to merge with
     else:
+        checkpoint_root(spark)
+        src = src.checkpoint(eager=True)  # used twice below: compute it once
         hit = [r[0] for r in src.select(BUCKET_COL).distinct().collect()]
         if not hit:
             return target

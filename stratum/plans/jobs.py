@@ -1,10 +1,11 @@
 """Layer jobs: read one layer, write the next (the runnable form of the plans).
 
 ``bronze_job``  incremental CSV ingest of one feed (streaming, availableNow).
-``silver_job``  bronze -> silver with the table's write mode:
+``silver_job``  bronze -> silver with the table's write mode: incremental
                 keyed upsert into a hash-bucketed table (DM, QC, deviation,
-                order; latest ``__batch`` wins), full refresh (LB, equipment,
-                lot) or incremental streaming append (VS).
+                order; only new bronze files are read, latest ``__batch``
+                wins), full refresh (LB, equipment, lot) or incremental
+                streaming append (VS).
 ``gold_job``    silver -> gold mart, full refresh, optional partitioning.
 
 Each job is one Spark write (plus the read of its inputs); there are no
@@ -22,8 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from stratum.plans import gold as G
 from stratum.plans import silver as S
 from stratum.sources.tables import Layout, overwrite_table, read_table
-from stratum.operators.upsert import upsert_table
-from stratum.streaming.incremental import append_available
+from stratum.streaming.incremental import append_available, upsert_available
 from stratum.streaming.ingest import BATCH_COL, ingest_available
 
 # Bronze feed names (one ingest source folder each).
@@ -70,15 +70,17 @@ def silver_job(spark: SparkSession, layout: Layout, table: str, buckets: int = 6
         df = transform(b, carry)
         return S.with_audit(df) if table in STAMPED else df
 
+    ckpt = layout.checkpoint(f"silver_{table}")
     if mode == "append":
-        append_available(spark, layout.bronze(feed), dst, layout.checkpoint(f"silver_{table}"), build)
-        return
-    src = read_bronze_table(spark, layout, feed)
-    if mode == "upsert":
-        carry = [BATCH_COL] if BATCH_COL in src.columns else []
-        upsert_table(spark, dst, build(src, carry), keys, order=carry, buckets=buckets)
+        append_available(spark, layout.bronze(feed), dst, ckpt, build)
+    elif mode == "upsert":
+        # Only bronze files not merged before are read; the ingest batch id
+        # orders versions of a key (latest wins).
+        carry = [BATCH_COL] if BATCH_COL in read_bronze_table(spark, layout, feed).columns else []
+        upsert_available(spark, layout.bronze(feed), dst, ckpt, lambda b: build(b, carry), keys,
+                         order=carry, buckets=buckets)
     else:
-        overwrite_table(build(src), dst)
+        overwrite_table(build(read_bronze_table(spark, layout, feed)), dst)
 
 
 def read_silver(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
