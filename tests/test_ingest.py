@@ -81,3 +81,20 @@ def test_vs_incremental_append(spark, tmpdir_path):
     append_table(first, bronze_dir)
     append_available(spark, bronze_dir, silver_dir, ckpt, S.silver_vs)
     assert spark.read.parquet(silver_dir).count() == 2
+
+
+def test_upsert_incremental_merges_only_new_bronze(spark, tmpdir_path):
+    from stratum.sources.tables import write_batch
+    from stratum.streaming.incremental import upsert_available
+
+    bronze_dir, silver_dir, ckpt = (os.path.join(tmpdir_path, n) for n in ("b", "s", "c"))
+    schema = "k long, v string"
+    write_batch(spark.createDataFrame([(1, "a"), (2, "b"), (2, "b0")], schema), bronze_dir, 0)
+    run = lambda: upsert_available(spark, bronze_dir, silver_dir, ckpt, lambda d: d, ["k"],
+                                   order=["__batch"], buckets=4)
+    run()
+    write_batch(spark.createDataFrame([(2, "B"), (3, "c")], schema), bronze_dir, 1)
+    run()
+    run()                                                     # nothing new
+    got = {r.k: (r.v, r["__batch"]) for r in spark.read.parquet(silver_dir).collect()}
+    assert got == {1: ("a", 0), 2: ("B", 1), 3: ("c", 1)}
