@@ -76,9 +76,10 @@ def silver_job(spark: SparkSession, layout: Layout, table: str, buckets: int = 6
     elif mode == "upsert":
         # Only bronze files not merged before are read; the ingest batch id
         # orders versions of a key (latest wins).
-        carry = [BATCH_COL] if BATCH_COL in read_bronze_table(spark, layout, feed).columns else []
+        schema = read_bronze_table(spark, layout, feed).schema
+        carry = [BATCH_COL] if BATCH_COL in schema.fieldNames() else []
         upsert_available(spark, layout.bronze(feed), dst, ckpt, lambda b: build(b, carry), keys,
-                         order=carry, buckets=buckets)
+                         order=carry, buckets=buckets, schema=schema)
     else:
         overwrite_table(build(read_bronze_table(spark, layout, feed)), dst)
 

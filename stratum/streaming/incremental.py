@@ -51,7 +51,7 @@ def upsert_incremental(spark: SparkSession, src: str, dst: str, checkpoint: str,
                        transform: Callable[[DataFrame], DataFrame], keys: Sequence[str],
                        order: Sequence[str] = (), buckets: int = DEFAULT_BUCKETS,
                        bucket: Column | None = None, max_files_per_trigger: int | None = 1000,
-                       available_now: bool = True) -> StreamingQuery:
+                       available_now: bool = True, schema=None) -> StreamingQuery:
     """Upsert only the bronze files not seen before into a keyed silver table.
 
     The bronze Parquet table is a streaming file source; each micro-batch is
@@ -59,8 +59,9 @@ def upsert_incremental(spark: SparkSession, src: str, dst: str, checkpoint: str,
     per key by ``order``).  A run costs the new data plus the target buckets
     it touches, not the bronze history.  A micro-batch replayed after a
     failure merges the same rows again, which leaves the table unchanged.
+    ``schema`` (the bronze schema) is read from the table when not given.
     """
-    schema = spark.read.option("mergeSchema", "true").parquet(src).schema
+    schema = schema or spark.read.option("mergeSchema", "true").parquet(src).schema
     reader = spark.readStream.schema(schema).option("mergeSchema", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
