@@ -53,7 +53,9 @@ def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     if not path_exists(spark, path):
         return None
     try:
-        return spark.read.parquet(path)
+        # Buckets rewritten after a column was added carry it, older ones do
+        # not: merge the file schemas so no column is lost on the next rewrite.
+        return spark.read.option("mergeSchema", "true").parquet(path)
     except AnalysisException:
         return None
 
@@ -103,7 +105,7 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequen
            .option("partitionOverwriteMode", "dynamic")
            .partitionBy(BUCKET_COL)
            .parquet(path))
-    return spark.read.parquet(path)
+    return spark.read.option("mergeSchema", "true").parquet(path)
 
 
 def merge_into_table(table: str, source: DataFrame, keys: Sequence[str],

@@ -85,7 +85,7 @@ def silver_job(spark: SparkSession, layout: Layout, table: str, buckets: int = 6
 
 
 def read_silver(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
-    return read_table(spark, layout.silver(table))
+    return read_table(spark, layout.silver(table), merge_schema=True)
 
 
 # gold mart -> builder over the silver tables

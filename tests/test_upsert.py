@@ -57,3 +57,17 @@ def test_change_rows(spark):
     got = sorted((r._change_type, r.k, r.v) for r in change_rows(old, new, ["k"]).collect())
     assert got == [("delete", 3, "c"), ("insert", 4, "d"), ("update_postimage", 2, "B"),
                    ("update_preimage", 2, "b")]
+
+
+def test_upsert_table_keeps_added_column(spark, tmpdir_path):
+    path = f"{tmpdir_path}/evo"
+    upsert_table(spark, path, spark.range(50).select(F.col("id").alias("k"), F.lit("a").alias("v")),
+                 ["k"], buckets=8)
+    # a batch with a new column touches some buckets only
+    upsert_table(spark, path, spark.createDataFrame([(1, "b", 7)], "k long, v string, extra int"),
+                 ["k"], buckets=8)
+    # a later batch without the column must not drop it from the rewritten rows
+    out = upsert_table(spark, path, spark.createDataFrame([(2, "c")], "k long, v string"), ["k"], buckets=8)
+    rows = {r.k: r.asDict() for r in out.collect()}
+    assert len(rows) == 50 and "extra" in out.columns
+    assert rows[1]["extra"] == 7 and rows[1]["v"] == "b" and rows[2]["v"] == "c"
