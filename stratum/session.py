@@ -37,6 +37,9 @@ def get_session(master: str | None = None, app: str = "stratum",
         builder = builder.master(master)
     conf = dict(SESSION_DEFAULTS)
     conf["spark.ui.enabled"] = "false"
+    # Remove reliable-checkpoint files (upsert batches) once they are no
+    # longer referenced, instead of leaving them in the shared folder.
+    conf["spark.cleaner.referenceTracking.cleanCheckpoints"] = "true"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
