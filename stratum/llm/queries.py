@@ -5,7 +5,7 @@ Each applies its operator, with production parameters, to its whole table.
 
 from __future__ import annotations
 
-from stratum.llm import sentencepiece_codec, simhash_dedup
+from stratum.llm import fingerprints, sentencepiece_codec, simhash_dedup
 from stratum.llm.common import table
 from stratum.session import apply_defaults
 
@@ -24,6 +24,11 @@ def op1_sentencepiece(spark, sf_dir):
         sentencepiece_codec.encode_and_decode(docs, tokenizer_file("piece_bpe_32k.model")))
 
 
+def op2_fingerprints(spark, sf_dir):
+    apply_defaults(spark)
+    return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op3_simhash_dedup(spark, sf_dir):
     apply_defaults(spark)
     return simhash_dedup.digests(table(spark, sf_dir, "documents"))
@@ -31,6 +36,7 @@ def op3_simhash_dedup(spark, sf_dir):
 
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_fingerprints": op2_fingerprints,
     "op3_simhash_dedup": op3_simhash_dedup,
 }
 ORACLE: dict[str, str] = {}
