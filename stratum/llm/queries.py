@@ -5,7 +5,7 @@ Each applies its operator, with production parameters, to its whole table.
 
 from __future__ import annotations
 
-from stratum.llm import fingerprints, sentencepiece_codec, simhash_dedup
+from stratum.llm import fingerprints, quality, sentencepiece_codec, simhash_dedup, toxicity
 from stratum.llm.common import table
 from stratum.session import apply_defaults
 
@@ -34,9 +34,21 @@ def op3_simhash_dedup(spark, sf_dir):
     return simhash_dedup.digests(table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark, sf_dir):
+    apply_defaults(spark)
+    return toxicity.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_quality(spark, sf_dir):
+    apply_defaults(spark)
+    return quality.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_fingerprints": op2_fingerprints,
     "op3_simhash_dedup": op3_simhash_dedup,
+    "op8_toxicity": op8_toxicity,
+    "op10_quality": op10_quality,
 }
 ORACLE: dict[str, str] = {}
