@@ -5,7 +5,7 @@ Each applies its operator, with production parameters, to its whole table.
 
 from __future__ import annotations
 
-from stratum.llm import fingerprints, quality, sentencepiece_codec, simhash_dedup, toxicity
+from stratum.llm import chunk_dedup, fingerprints, mixing, quality, sentencepiece_codec, simhash_dedup, toxicity
 from stratum.llm.common import table
 from stratum.session import apply_defaults
 
@@ -34,6 +34,16 @@ def op3_simhash_dedup(spark, sf_dir):
     return simhash_dedup.digests(table(spark, sf_dir, "documents"))
 
 
+def op5_mixing(spark, sf_dir):
+    apply_defaults(spark)
+    return mixing.schedule(table(spark, sf_dir, "documents"))
+
+
+def op6_chunk_dedup(spark, sf_dir):
+    apply_defaults(spark)
+    return chunk_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark, sf_dir):
     apply_defaults(spark)
     return toxicity.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -48,6 +58,8 @@ QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_fingerprints": op2_fingerprints,
     "op3_simhash_dedup": op3_simhash_dedup,
+    "op5_mixing": op5_mixing,
+    "op6_chunk_dedup": op6_chunk_dedup,
     "op8_toxicity": op8_toxicity,
     "op10_quality": op10_quality,
 }
