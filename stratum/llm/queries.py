@@ -5,9 +5,10 @@ Each applies its operator, with production parameters, to its whole table.
 
 from __future__ import annotations
 
-from stratum.llm import chunk_dedup, fingerprints, mixing, quality, sentencepiece_codec, simhash_dedup, toxicity
+from stratum.llm import (chunk_dedup, embedding_dedup, fingerprints, mixing, quality, sentencepiece_codec, simhash_dedup,
+                         token_store, toxicity)
 from stratum.llm.common import table
-from stratum.session import apply_defaults
+from stratum.session import apply_defaults, scratch_dir
 
 
 def tokenizer_file(name: str) -> str:
@@ -34,6 +35,11 @@ def op3_simhash_dedup(spark, sf_dir):
     return simhash_dedup.digests(table(spark, sf_dir, "documents"))
 
 
+def op4_embedding_dedup(spark, sf_dir):
+    apply_defaults(spark)
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op5_mixing(spark, sf_dir):
     apply_defaults(spark)
     return mixing.schedule(table(spark, sf_dir, "documents"))
@@ -49,6 +55,13 @@ def op8_toxicity(spark, sf_dir):
     return toxicity.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_token_store(spark, sf_dir):
+    apply_defaults(spark)
+    path = scratch_dir(spark, "tokens")
+    token_store.write(table(spark, sf_dir, "documents"), path, tokenizer_file("word_bpe_49k.json"), end_id=2)
+    return token_store.read(spark, path)
+
+
 def op10_quality(spark, sf_dir):
     apply_defaults(spark)
     return quality.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -58,9 +71,11 @@ QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_fingerprints": op2_fingerprints,
     "op3_simhash_dedup": op3_simhash_dedup,
+    "op4_embedding_dedup": op4_embedding_dedup,
     "op5_mixing": op5_mixing,
     "op6_chunk_dedup": op6_chunk_dedup,
     "op8_toxicity": op8_toxicity,
+    "op9_token_store": op9_token_store,
     "op10_quality": op10_quality,
 }
 ORACLE: dict[str, str] = {}
