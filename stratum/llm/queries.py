@@ -5,8 +5,8 @@ Each applies its operator, with production parameters, to its whole table.
 
 from __future__ import annotations
 
-from stratum.llm import (chunk_dedup, embedding_dedup, fingerprints, mixing, quality, sentencepiece_codec, simhash_dedup,
-                         token_store, toxicity)
+from stratum.llm import (chunk_dedup, embedding_dedup, fingerprints, mixing, quality, repeat_dedup, sentencepiece_codec,
+                         simhash_dedup, token_store, toxicity)
 from stratum.llm.common import table
 from stratum.session import apply_defaults, scratch_dir
 
@@ -50,6 +50,11 @@ def op6_chunk_dedup(spark, sf_dir):
     return chunk_dedup.digests(table(spark, sf_dir, "documents"))
 
 
+def op7_repeat_dedup(spark, sf_dir):
+    apply_defaults(spark)
+    return repeat_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark, sf_dir):
     apply_defaults(spark)
     return toxicity.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -74,6 +79,7 @@ QUERIES = {
     "op4_embedding_dedup": op4_embedding_dedup,
     "op5_mixing": op5_mixing,
     "op6_chunk_dedup": op6_chunk_dedup,
+    "op7_repeat_dedup": op7_repeat_dedup,
     "op8_toxicity": op8_toxicity,
     "op9_token_store": op9_token_store,
     "op10_quality": op10_quality,
