@@ -112,14 +112,18 @@ def components(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shin
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of each component: that of the smallest id (of its repeats, any one).
+    """One document of each component: that of the smallest id.
 
-    Rows of a component without any id are kept.
+    Rows with one id are one document, of which one row stays; rows without an
+    id are kept.
     """
-    best = components(docs, id_col, text).filter("component is null or component = " + id_col)
-    kept = best.select(F.col(id_col).alias("__kept")).distinct()
-    keyed = docs.join(kept, docs[id_col].eqNullSafe(kept["__kept"]), "left_semi")
-    return keyed.filter(F.col(id_col).isNull()).unionByName(keyed.filter(F.col(id_col).isNotNull()).dropDuplicates([id_col]))
+    found = materialize(components(docs, id_col, text), "simhash-components").filter(F.col(id_col).isNotNull())
+    gone = found.filter(F.col("component") != F.col(id_col)).select(F.col(id_col).alias("__gone")).distinct()
+    kept = docs.join(gone, docs[id_col] == gone["__gone"], "left_anti")
+    if found.groupBy(id_col).count().filter("count > 1").limit(1).count():
+        kept = kept.filter(F.col(id_col).isNull()).unionByName(
+            kept.filter(F.col(id_col).isNotNull()).dropDuplicates([id_col]))
+    return kept
 
 
 def digests(docs: DataFrame) -> DataFrame:

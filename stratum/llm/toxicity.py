@@ -200,15 +200,15 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Mod
 _SCORED = "struct<score double, passages array<struct<start int, end int, surprise double>>>"
 
 
-def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """Add ``toxicity``: the score and the passages of every row."""
+def score(docs: DataFrame, model: Model, text: str = "text", out: str = "toxicity") -> DataFrame:
+    """Add ``out``: the score and the passages of every row."""
 
     @F.pandas_udf(_SCORED)
     def rate(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             yield pd.DataFrame([assess(t, model) for t in texts], columns=["score", "passages"])
 
-    return docs.withColumn("toxicity", rate(text_of(text)))
+    return docs.withColumn(out, rate(text_of(text)))
 
 
 def train_labels(labels: DataFrame) -> DataFrame:
@@ -228,4 +228,4 @@ def digests(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose score is below one half."""
     model = fit(docs, train_labels(labels))
-    return score(docs, model).filter("toxicity.score < 0.5").select([F.col(f"`{c}`") for c in docs.columns])
+    return score(docs, model, out="__toxicity").filter("__toxicity.score < 0.5").select([F.col(f"`{c}`") for c in docs.columns])
