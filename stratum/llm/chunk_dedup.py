@@ -120,7 +120,8 @@ def copied_chunks(docs: DataFrame) -> DataFrame:
     """``(dk, th, copied)``: starts of the chunks of each text that a smaller id holds."""
     rows = docs.select("dk", "th", "text").mapInPandas(_chunk_rows, "dk long, th long, pos long, hi long, lo long")
     shared = rows.groupBy("hi", "lo").agg(F.min("dk").alias("low"), F.max("dk").alias("high")).filter("high > low")
-    found = rows.join(shared.select("hi", "lo", "low"), ["hi", "lo"]).filter("dk > low")
+    # (estimates take a text for one row, so a broadcast is ruled out)
+    found = rows.join(shared.select("hi", "lo", "low").hint("merge"), ["hi", "lo"]).filter("dk > low")
     return found.groupBy("dk", "th").agg(F.collect_list("pos").alias("copied"))
 
 

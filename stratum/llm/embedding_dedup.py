@@ -165,7 +165,7 @@ def links(distinct: DataFrame, cosine: float = COSINE, wide: bool = False) -> Da
     # buckets of more than one block; the others are compared whole
     blocks = lambda n: F.greatest(F.lit(1), F.ceil(n / BLOCK)).cast("int")
     crowded = rows.groupBy(*key).agg(blocks(F.count("*")).alias("ls"), blocks(F.sum(F.col("stored").cast("int"))).alias("ss"))
-    rows = rows.join(crowded.filter("ls > 1"), key, "left").withColumns(
+    rows = rows.join(crowded.filter("ls > 1").hint("merge"), key, "left").withColumns(
         {"ls": F.coalesce("ls", F.lit(1)), "ss": F.coalesce("ss", F.lit(1))})
     own = lambda n: F.pmod(F.xxhash64("id", "tab"), F.col(n).cast("long")).cast("int")
     line = lambda n: F.sequence(F.lit(0), F.col(n) - 1)

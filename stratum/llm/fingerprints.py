@@ -102,7 +102,8 @@ def within(queries: DataFrame, stored: DataFrame, radius: int = RADIUS, blocks:
     split = lambda df: df.select("fp_hi", "fp_lo").distinct().select("fp_hi", "fp_lo", tables()).select(
         "fp_hi", "fp_lo", "t.n", "t.hi", "t.lo")
     probes = split(queries).withColumnsRenamed({"fp_hi": "q_hi", "fp_lo": "q_lo"})
-    found = probes.join(split(stored), ["n", "hi", "lo"])
+    # (estimates miss that the tables multiply rows, so a broadcast is ruled out)
+    found = probes.join(split(stored).hint("merge"), ["n", "hi", "lo"])
     found = found.withColumn("bits", distance(F.col("q_hi"), F.col("q_lo"), F.col("fp_hi"), F.col("fp_lo")))
     return found.filter(F.col("bits") <= radius).select("q_hi", "q_lo", "fp_hi", "fp_lo", "bits").distinct()
 

@@ -176,8 +176,8 @@ def _window_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _twice(df: DataFrame, key: list[str]) -> DataFrame:
-    """The keys that more than one row has."""
-    return df.groupBy(*key).agg(F.count("*").alias("times")).filter("times > 1")
+    """The keys that more than one row has; never broadcast, as estimates take a text for one row."""
+    return df.groupBy(*key).agg(F.count("*").alias("times")).filter("times > 1").hint("merge")
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -185,13 +185,13 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     at_doc = "dk long, th long, "
     found = docs.mapInPandas(_anchor_rows, at_doc + "gram long, at long, first long, owned long, hi long, lo long")
     # 1. anchor grams that occur twice
-    kept = materialize(found.join(_twice(found, ["gram"]).select("gram"), "gram"), "anchors")
+    kept = materialize(found.join(_twice(found, ["gram"]), "gram").drop("times"), "anchors")
     # 2. contexts: equal ones repeat whole; where a gram has several, one of each stays open
     contexts = materialize(kept.groupBy("hi", "lo", "gram").agg(
         F.count("*").alias("times"), F.min(F.struct("dk", "th", "first", "at", "owned")).alias("x")), "contexts")
     whole = kept.join(contexts.filter("times > 1").select("hi", "lo", "gram"), ["hi", "lo", "gram"]).select(
         "dk", "th", F.col("first").alias("start"), F.expr(f"first + owned + {LENGTH}").alias("end"))
-    open_ = contexts.join(_twice(contexts, ["gram"]).select("gram"), "gram").select("x.*").groupBy("dk", "th").agg(
+    open_ = contexts.drop("times").join(_twice(contexts, ["gram"]), "gram").select("x.*").groupBy("dk", "th").agg(
         F.collect_list(F.struct("first", "at", "owned")).alias("open"))
     packed = docs.mapInPandas(_packed, at_doc + "z binary")
     rows = materialize(packed.join(open_, ["dk", "th"]).mapInPandas(
@@ -199,7 +199,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     # 3. steps of windows
     steps = materialize(rows.mapInPandas(_step_rows, at_doc + "first long, j long, core long, a long, b long, hi long, lo long"),
                         "steps")
-    both = steps.join(_twice(steps, ["core"]).select("core"), "core")
+    both = steps.join(_twice(steps, ["core"]), "core").drop("times")
     wholes = _twice(steps, ["hi", "lo"])
     both = materialize(both.join(wholes, ["hi", "lo"], "left"), "shared-steps")
     stepped = both.filter("times is not null").select(
@@ -214,7 +214,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     windows = rows.select("dk", "th", "first", "context").join(spans, ["dk", "th", "first"]).mapInPandas(
         _window_rows, at_doc + "start long, hi long, lo long")
     windows = materialize(windows, "windows")
-    single = windows.join(_twice(windows, ["hi", "lo"]).select("hi", "lo"), ["hi", "lo"]).select(
+    single = windows.join(_twice(windows, ["hi", "lo"]), ["hi", "lo"]).select(
         "dk", "th", "start", F.expr(f"start + {LENGTH}").alias("end"))
     return whole.unionByName(stepped).unionByName(single).groupBy("dk", "th").agg(
         F.collect_list(F.struct("start", "end")).alias("spans"))
