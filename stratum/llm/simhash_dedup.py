@@ -90,7 +90,8 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     probes = distinct.select(F.col("fp").alias("a"), F.explode(F.array(
         *[key(k, _segment("fp", k + 1)) for k in range(SEGMENTS)])).alias("base"))
     probes = probes.withColumn("flip", F.explode(near)).select("a", F.col("base").bitwiseXOR(F.col("flip")).alias("key"))
-    pairs = probes.join(stored, "key").filter("a < b")
+    # (estimates miss that flips multiply rows, so a broadcast is ruled out)
+    pairs = probes.join(stored.hint("merge"), "key").filter("a < b")
     pairs = pairs.select("a", "b", F.shiftright("key", 2 * WIDTH).alias("k"), F.col("a").bitwiseXOR(F.col("b")).alias("x"))
     # the chain of three segments from start k may use 3 * max_bits / SEGMENTS bits
     chains = F.array(*[F.lit(_mask(k)) for k in range(SEGMENTS)])
