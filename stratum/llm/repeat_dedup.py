@@ -176,8 +176,14 @@ def _window_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _twice(df: DataFrame, key: list[str]) -> DataFrame:
-    """The keys that more than one row has; never broadcast, as estimates take a text for one row."""
-    return df.groupBy(*key).agg(F.count("*").alias("times")).filter("times > 1").hint("merge")
+    """The keys that more than one row has.
+
+    Written first, so that the join that follows shuffles both sides for itself
+    and can split the rows of a common key.  Never broadcast, as estimates take a
+    text for one row.
+    """
+    keys = df.groupBy(*key).agg(F.count("*").alias("times")).filter("times > 1")
+    return materialize(keys, "twice").hint("merge")
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
