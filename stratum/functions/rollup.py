@@ -36,9 +36,18 @@ def complement_pct(num: str | Column, den: str | Column, scale: int = 2) -> Colu
 EXACT = "decimal(38,10)"
 
 
+def _exact_or(exact, plain, c: Column, scale: int) -> Column:
+    fits = c.try_cast(EXACT)
+    return F.coalesce(F.round(F.when(F.count(fits) == F.count(c), exact(fits)), scale).cast("double"),
+                      F.round(plain(c.cast("double")), scale))
+
+
 def mean(c: str | Column, scale: int) -> Column:
-    """``round(avg(c), scale)`` computed exactly, half-up, as double."""
-    return F.round(F.avg(col(c).cast(EXACT)), scale).cast("double")
+    """``round(avg(c), scale)`` computed exactly, half-up, as double.
+
+    If a value or the total does not fit the exact type (NaN, infinity, over
+    28 digits before the point), the plain double average is used instead."""
+    return _exact_or(F.try_avg, F.avg, col(c), scale)
 
 
 def rmin(c: str | Column, scale: int) -> Column:
@@ -50,5 +59,6 @@ def rmax(c: str | Column, scale: int) -> Column:
 
 
 def rsum(c: str | Column, scale: int) -> Column:
-    """``round(sum(c), scale)`` computed exactly, half-up, as double."""
-    return F.round(F.sum(col(c).cast(EXACT)), scale).cast("double")
+    """``round(sum(c), scale)`` computed exactly, half-up, as double; with the
+    same way out as ``mean``."""
+    return _exact_or(F.try_sum, F.sum, col(c), scale)

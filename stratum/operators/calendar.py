@@ -20,7 +20,6 @@ from pyspark.sql import types as T
 
 from stratum.functions import vocab as V
 from stratum.functions.clean import col
-from stratum.operators.joins import broadcast_if_small
 
 CAL_DATE = "Date"
 CAL_NAME = "Holiday Name"
@@ -88,7 +87,8 @@ def gate_dates(dates: DataFrame, cal: DataFrame, date_expr: str | Column,
                date_col: str = CAL_DATE) -> DataFrame:
     """Gate decision for every distinct date produced by ``date_expr``."""
     runs = dates.select(col(date_expr).cast("date").alias("run_date")).distinct()
-    hol = broadcast_if_small(holiday_dates(cal, date_col))
+    # distinct dates: bounded by the date type (about 30 MB at the very most)
+    hol = F.broadcast(holiday_dates(cal, date_col))
     j = runs.join(hol, runs["run_date"] == hol[HOLIDAY_DATE], "left")
     is_hol = F.col(HOLIDAY_DATE).isNotNull()
     return j.select("run_date", is_hol.alias("is_holiday"), decision(is_hol).alias("decision"))
@@ -108,6 +108,7 @@ def on_workdays(df: DataFrame, cal: DataFrame, date_expr: str | Column,
 
 
 def _membership(df: DataFrame, cal: DataFrame, date_expr, date_col: str, how: str) -> DataFrame:
-    hol = broadcast_if_small(holiday_dates(cal, date_col))
+    # distinct dates: bounded by the date type (about 30 MB at the very most)
+    hol = F.broadcast(holiday_dates(cal, date_col))
     cond = col(date_expr).cast("date") == hol[HOLIDAY_DATE]
     return df.join(hol, cond, how)

@@ -30,15 +30,8 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()
     fields = [F.col(c) for c in order + rest] or [F.lit(True).alias("__k")]
     packed = F.struct(*fields)
     has_null = any_null(keys)
-    if not keep_null_keys:
-        latest = (df.filter(~has_null).groupBy(*keys)
-                    .agg(F.max(packed).alias("__latest")))
-        return latest.select(*keys, "__latest.*").select(*df.columns)
-    # One pass: a row with a NULL key is grouped by its own value, so it
-    # never merges with a different row; identical such rows form one group
-    # and are restored by their count.  Keyed groups emit exactly one row.
-    grouped = (df.groupBy(*keys, F.when(has_null, packed).alias("__row"))
-                 .agg(F.max(packed).alias("__latest"), F.count(F.lit(1)).alias("__n")))
-    copies = F.when(F.col("__row").isNull(), F.lit(1)).otherwise(F.col("__n")).cast("int")
-    return (grouped.select(*keys, F.inline(F.array_repeat(F.col("__latest"), copies)))
-                   .select(*df.columns))
+    # Only keyed rows are shuffled, on the keys alone; rows with a NULL key
+    # never match anything, so they skip the aggregation.
+    latest = (df.filter(~has_null).groupBy(*keys).agg(F.max(packed).alias("__latest"))
+                .select(*keys, "__latest.*").select(*df.columns))
+    return latest.unionByName(df.filter(has_null)) if keep_null_keys else latest

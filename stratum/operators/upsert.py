@@ -5,15 +5,18 @@ plain Parquet, as DataFrame recipes.
                    not carry, plus the (deduplicated) source rows.
 ``upsert_table``   the same against a Parquet table hash-bucketed by key:
                    only buckets the source touches are read and rewritten
-                   (dynamic partition overwrite), so the cost of a small
-                   batch does not grow with the table.
+                   (dynamic partition overwrite).  With hash buckets a
+                   batch of more keys than buckets touches all of them.
 ``change_rows``    insert / delete / update_preimage / update_postimage rows
                    between two keyed snapshots.
 
 Match semantics are SQL equality: a NULL key never matches, so a target row
-with a NULL key is kept and a source row with a NULL key is inserted.
+with a NULL key is kept and a source row with a NULL key is inserted; the
+same batch merged twice therefore inserts its NULL-key rows twice.
 Limits: one writer at a time; readers during a rewrite may see a mix of old
-and new buckets (no snapshot isolation on plain Parquet).
+and new buckets (no snapshot isolation on plain Parquet), and a failure
+while the rewritten buckets are put in place can lose their rows: restore
+them by a full rebuild from bronze.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.operators.dedup import latest_per_key
+from stratum.operators.quality import any_null
 from stratum.session import checkpoint_root
 from stratum.sources.tables import path_exists
 
@@ -34,7 +38,17 @@ DEFAULT_BUCKETS = 64
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
            order: Sequence[str] = (), dedup: bool = True) -> DataFrame:
+    """Rows of ``target`` with those of ``source`` merged in by key.
+
+    With ``order``, the latest version of a key wins whichever side it comes
+    from (a tie goes to the source), so a version that arrives late replaces
+    nothing newer.  Without it, the source's row replaces the target's.
+    """
     keys = list(keys)
+    if order:
+        both = target.withColumn("__new", F.lit(False)).unionByName(
+            source.withColumn("__new", F.lit(True)), allowMissingColumns=True)
+        return latest_per_key(both, keys, [*order, "__new"]).drop("__new")
     src = latest_per_key(source, keys, order) if dedup else source
     # left_anti never multiplies target rows, so the source keys need no
     # separate distinct; AQE picks broadcast vs. sort-merge from real sizes
@@ -60,6 +74,15 @@ def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def _check_bucketing(spark: SparkSession, path: str, spec: str) -> None:
+    """Store the table's bucketing on first use; refuse a different one."""
+    beside = f"{path.rstrip('/')}__buckets"
+    if not path_exists(spark, beside):
+        spark.createDataFrame([(spec,)], "spec string").coalesce(1).write.parquet(beside)
+    elif (was := spark.read.parquet(beside).first()["spec"]) != spec:
+        raise ValueError(f"the table at {path} is bucketed by {was}, not by {spec}")
+
+
 def range_bucket(key: str, width: int) -> Column:
     """Bucket of a monotonically assigned numeric key: ``floor(key / width)``.
     New keys land in new buckets and updates to recent keys touch few, so a
@@ -78,8 +101,8 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequen
     so only the touched bucket folders of the target are listed, read and
     rewritten.
 
-    Bucketing is a property of the table and must not change between
-    upserts.  The default is ``pmod(xxhash64(keys), buckets)``: even sizes,
+    Bucketing is a property of the table: it is stored beside it
+    (``<path>__buckets``) and another one is refused.  The default is ``pmod(xxhash64(keys), buckets)``: even sizes,
     but a batch with many more keys than buckets touches every bucket.  For
     keys with locality (ids assigned in order, keys that embed a date) pass
     ``bucket=range_bucket(...)`` or another expression of the key columns
@@ -87,6 +110,7 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequen
     Returns the table as read back after the write.
     """
     keys = list(keys)
+    _check_bucketing(spark, path, str(bucket) if bucket is not None else f"hash {buckets} of {', '.join(keys)}")
     src = (latest_per_key(source, keys, order)
            .withColumn(BUCKET_COL, bucket if bucket is not None else bucket_of(keys, buckets)))
     target = _read_or_none(spark, path)
@@ -99,7 +123,7 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequen
         if not hit:
             return target
         target_hit = target.filter(F.col(BUCKET_COL).isin(hit))
-        merged = upsert(target_hit, src, keys + [BUCKET_COL], dedup=False)
+        merged = upsert(target_hit, src, keys + [BUCKET_COL], order, dedup=False)
     (merged.hint("rebalance", BUCKET_COL)
            .write.mode("overwrite")
            .option("partitionOverwriteMode", "dynamic")
@@ -133,7 +157,9 @@ def change_rows(old: DataFrame, new: DataFrame, keys: Sequence[str],
     """Row-level changes from keyed snapshot ``old`` to keyed snapshot ``new``.
 
     One full outer join on the keys; unchanged rows are dropped, updates
-    produce a pre- and a post-image row.  Values compare NULL-safely.
+    produce a pre- and a post-image row.  Values compare NULL-safely.  Rows
+    with a NULL key match nothing by key; they are compared whole, as
+    multisets: what only one side has is an insert or a delete.
     """
     keys = list(keys)
     cols = list(dict.fromkeys(list(new.columns) + [c for c in old.columns if c not in new.columns]))
@@ -141,6 +167,12 @@ def change_rows(old: DataFrame, new: DataFrame, keys: Sequence[str],
                    F.lit(True).alias("__o"))
     n = new.select(*[(F.col(c) if c in new.columns else F.lit(None)).alias(f"__n_{c}") for c in cols],
                    F.lit(True).alias("__n"))
+    o, o_null = o.filter(~any_null([f"__o_{k}" for k in keys])), o.filter(any_null([f"__o_{k}" for k in keys]))
+    n, n_null = n.filter(~any_null([f"__n_{k}" for k in keys])), n.filter(any_null([f"__n_{k}" for k in keys]))
+    plain = lambda df, side: df.select(*[F.col(f"__{side}_{c}").alias(c) for c in cols])
+    o_null, n_null = plain(o_null, "o"), plain(n_null, "n")
+    unkeyed = (n_null.exceptAll(o_null).select(F.lit("insert").alias(change_col), *cols).unionByName(
+        o_null.exceptAll(n_null).select(F.lit("delete").alias(change_col), *cols)))
     cond = [o[f"__o_{k}"] == n[f"__n_{k}"] for k in keys]
     j = o.join(n, cond, "full_outer")
 
@@ -160,4 +192,4 @@ def change_rows(old: DataFrame, new: DataFrame, keys: Sequence[str],
                .when(~same, F.array(image("update_preimage", "o"), image("update_postimage", "n"))))
     return (j.select(events.alias("__ev"))
              .filter(F.col("__ev").isNotNull())
-             .select(F.inline("__ev")))
+             .select(F.inline("__ev")).unionByName(unkeyed))

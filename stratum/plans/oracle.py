@@ -325,7 +325,7 @@ LINE_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity
 LINE_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
               "l_tax", "l_returnflag", "l_linestatus"]
 LINES = f"""first_load AS (SELECT * FROM lineitem WHERE l_shipdate < TIMESTAMP '1998-07-01'),
-batch AS (SELECT * FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-07-01'),
+batch AS (SELECT * FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-07-01' OR l_shipdate IS NULL),
 tbl AS ({latest_sql('first_load', ['l_orderkey', 'l_linenumber'], LINE_ORDER)}),
 src AS ({latest_sql('batch', ['l_orderkey', 'l_linenumber'], LINE_ORDER)}),
 merged AS (SELECT * FROM tbl t WHERE NOT EXISTS (SELECT 1 FROM src s WHERE s.l_orderkey = t.l_orderkey
@@ -492,6 +492,8 @@ SELECT 'o_orderpriority' AS column_name, CAST(o_orderpriority AS VARCHAR) AS lab
        strftime(o_orderdate, '%Y-%m-%d') AS order_iso
 FROM orders""",
     "upsert_lines": f"WITH {LINES}\nSELECT * FROM merged",
+    "upsert_late_versions": latest_sql("lineitem", ["l_orderkey"], [
+        "l_shipdate", *[c for c in LINE_COLS if c not in ("l_orderkey", "l_shipdate")]]),
     "change_rows_lines": _change_rows_sql(),
     "holiday_gate": f"""WITH {HOLIDAYS},
 runs AS (SELECT DISTINCT CAST(ts AS DATE) AS run_date FROM events)

@@ -177,9 +177,8 @@ def q_date_parts_orders(spark, sf):
 
 def _lines(spark, sf):
     li = read_source(spark, sf, "lineitem")
-    first = li.filter(F.col("l_shipdate") < F.lit(UPSERT_CUTOVER).cast("timestamp_ntz"))
-    batch = li.filter(F.col("l_shipdate") >= F.lit(UPSERT_CUTOVER).cast("timestamp_ntz"))
-    return first, batch
+    early = F.col("l_shipdate") < F.lit(UPSERT_CUTOVER).cast("timestamp_ntz")
+    return li.filter(early), li.filter(~F.coalesce(early, F.lit(False)))
 
 
 def q_upsert_lines(spark, sf):
@@ -191,6 +190,14 @@ def q_upsert_lines(spark, sf):
     return upsert(table, batch, LINE_KEYS, ["l_shipdate"])
 
 
+def q_upsert_late_versions(spark, sf):
+    """The later lines of each order are the table; the earlier ones arrive
+    after them and must not replace anything newer."""
+    _prep(spark)
+    early, late = _lines(spark, sf)
+    return upsert(latest_per_key(late, ["l_orderkey"], ["l_shipdate"]), early, ["l_orderkey"], ["l_shipdate"])
+
+
 def q_change_rows_lines(spark, sf):
     """Row-level changes the second lineitem batch makes to the table."""
     _prep(spark)
@@ -310,6 +317,7 @@ QUERIES: dict[str, Query] = {
     "latest_order_per_customer": q_latest_order_per_customer,
     "date_parts_orders": q_date_parts_orders,
     "upsert_lines": q_upsert_lines,
+    "upsert_late_versions": q_upsert_late_versions,
     "change_rows_lines": q_change_rows_lines,
     "holiday_gate": q_holiday_gate,
     "holiday_gate_csv": q_holiday_gate_csv,

@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from stratum.operators.dedup import latest_per_key
-from stratum.operators.joins import broadcast_if_small
 from stratum.plans import queries as Q
 
 
@@ -32,11 +31,11 @@ def test_calendar_side_is_broadcast(spark):
     assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
 
 
-def test_broadcast_only_when_checked_small(spark):
-    small = spark.range(10)
-    big = spark.range(5000)
-    assert "broadcast" in _plan(broadcast_if_small(small, 100), "all").lower()
-    assert "broadcast" not in _plan(broadcast_if_small(big, 100), "all").lower()
+def test_filters_reach_the_scan(spark):
+    for q in (Q.q_silver_dm, Q.q_upsert_lines):
+        plan = _plan(q(spark, SF_SMALL))
+        assert "PushedFilters: [Is" in plan or "PushedFilters: [Less" in plan or "PushedFilters: [Or" in plan
+        assert "REPARTITION_BY_NUM" not in plan
 
 
 def test_upsert_prunes_untouched_buckets(spark, tmpdir_path):
