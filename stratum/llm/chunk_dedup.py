@@ -80,7 +80,7 @@ def cuts(raw: bytes) -> list[int]:
 def chunks(raw: bytes) -> tuple[list[int], list[int], list[bytes]]:
     """Starts, ends and digests of the chunks."""
     ends = cuts(raw)
-    starts = [0, *ends[:-1]]
+    starts = [0, *ends[:-1]][:len(ends)]
     digest = xxhash.xxh3_128_digest
     return starts, ends, [digest(raw[a:b]) for a, b in zip(starts, ends, strict=True)]
 
