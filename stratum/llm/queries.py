@@ -84,4 +84,15 @@ QUERIES = {
     "op9_token_store": op9_token_store,
     "op10_quality": op10_quality,
 }
-ORACLE: dict[str, str] = {}
+#: Hashes, learned scores and tokenizers have no SQL form; the tests compare those with brute force.
+ORACLE: dict[str, str] = {
+    "op4_embedding_dedup": """
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id
+      WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+reach(id, node) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.id, l.b FROM reach r JOIN l ON l.a = r.node),
+low AS (SELECT id, min(node) AS component_id FROM reach GROUP BY id),
+n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
+SELECT id AS vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, component_id = id AS kept
+FROM low LEFT JOIN n ON n.a = low.id""",
+}
