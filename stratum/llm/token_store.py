@@ -14,11 +14,12 @@ their token counts, the offset of each document in the payload, and the payload.
 A reader refuses a block whose dictionary hash is not the store's; one document
 is read by cutting its bytes out of its block's payload.
 
-Documents are range-partitioned by id after compression, so the shuffle carries
-the small form.  Only one token total per partition goes to the driver.
+Documents are range-partitioned by id before they are encoded: Spark samples the
+ids for the ranges, and would encode everything once more for that otherwise.
+Only one token total per partition goes to the driver.
 
 Encoding works word by word: white space separates words for this tokenizer, so
-each distinct word is encoded once per worker and remembered, up to
+each distinct word is encoded once per worker and remembered, up to about
 ``CACHE_WORDS``; texts with control characters are encoded whole.
 
 Results: null and empty texts have the end id alone.  Null ids come first.  Rows
@@ -49,7 +50,7 @@ SAMPLE_BYTES = 1 << 16
 BLOCK_DOCS = 1_024
 BLOCK_BYTES = 1 << 21
 LEVEL = 3
-CACHE_WORDS = 600_000
+CACHE_WORDS = 1_200_000
 _WORD_ENCODERS: dict[tuple[str, int], "WordEncoder"] = {}
 _ODD = re.compile("[\x00-\x08\x0e-\x1f]")
 
@@ -64,6 +65,24 @@ class WordEncoder:
     def _wire(self, ids: list[int]) -> bytes:
         return np.array(ids, self.width).tobytes()
 
+    def _learn(self, words: set[str]) -> None:
+        """Encode unknown words; letters and closing marks are tokens apart, so a word's core is shared."""
+        known, parts = self.known, {}
+        for w in words:
+            core = w.rstrip(",.;:!?")
+            if core.isalpha():
+                parts[w] = core.lower() if core.isascii() else core, w[len(core):]
+            else:
+                parts[w] = w, ""
+        new = [p for p in {p for pair in parts.values() for p in pair if p} if p not in known]
+        for k in range(0, len(new), 10_000):
+            part = new[k:k + 10_000]
+            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                known[w] = self._wire(e.ids)
+        for w, (core, tail) in parts.items():
+            if w not in known:
+                known[w] = known[core] + known[tail] if tail else known[core]
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Serialised ids of each text, without special tokens."""
         if len(self.known) > CACHE_WORDS:
@@ -71,11 +90,7 @@ class WordEncoder:
         whole = [bool(_ODD.search(t)) for t in texts]
         split = [[] if w else t.split() for t, w in zip(texts, whole, strict=True)]
         known = self.known
-        new = list(dict.fromkeys(w for words in split for w in words if w not in known))
-        for k in range(0, len(new), 10_000):
-            part = new[k:k + 10_000]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                known[w] = self._wire(e.ids)
+        self._learn({w for words in split for w in words if w not in known})
         out = [b"".join([known[w] for w in words]) for words in split]
         odd = [k for k, w in enumerate(whole) if w]
         for k, e in zip(odd, self.tokenizer.encode_batch_fast([texts[k] for k in odd], add_special_tokens=False), strict=True):
@@ -126,18 +141,10 @@ def write(docs: DataFrame, path: str, file: str, end_id: int, id_col: str = "doc
     spark.createDataFrame([(digest, bytearray(dictionary), width)], "hash string, bytes binary, width int").coalesce(1).write.parquet(
         f"{path}/dictionary")
 
-    def compress(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        serial = _serial(file, end_id, width)
-        press = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary))
-        for batch in batches:
-            for lo in range(0, len(batch), 512):
-                part = batch.iloc[lo:lo + 512]
-                ids = serial(list(part.text))
-                yield pd.DataFrame({"id": part.id.array, "th": part.th.array, "n": [len(x) // width for x in ids],
-                                    "frame": [press.compress(x) for x in ids]})
-
     def block(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, number, before, held, size = TaskContext.get().partitionId(), 0, 0, [], 0
+        serial = _serial(file, end_id, width)
+        press = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary))
 
         def emit():
             nonlocal number, before
@@ -149,18 +156,18 @@ def write(docs: DataFrame, path: str, file: str, end_id: int, id_col: str = "doc
             return pd.DataFrame([row], columns=[f.split()[0] for f in _BLOCK.split(", ")])
 
         for batch in batches:
-            ids = [None if i is pd.NA else int(i) for i in batch.id.astype("Int64")]
-            for row in zip(ids, batch.n, batch.frame, strict=True):
-                held.append(row)
-                size += len(row[2])
-                if len(held) >= BLOCK_DOCS or size >= BLOCK_BYTES:
-                    yield emit()
-                    held, size = [], 0
+            for lo in range(0, len(batch), 512):
+                rows = batch.iloc[lo:lo + 512]
+                for i, x in zip(rows.id.astype("Int64"), serial(list(rows.text)), strict=True):
+                    held.append((None if i is pd.NA else int(i), len(x) // width, press.compress(x)))
+                    size += len(held[-1][2])
+                    if len(held) >= BLOCK_DOCS or size >= BLOCK_BYTES:
+                        yield emit()
+                        held, size = [], 0
         if held:
             yield emit()
 
-    packed = docs.withColumn("th", F.xxhash64("text")).mapInPandas(compress, "id long, th long, n long, frame binary")
-    ordered = packed.repartitionByRange("id", "th").sortWithinPartitions("id", "th")
+    ordered = docs.withColumn("th", F.xxhash64("text")).repartitionByRange("id", "th").sortWithinPartitions("id", "th")
     ordered.mapInPandas(block, _BLOCK).write.parquet(f"{path}/blocks")
 
 
