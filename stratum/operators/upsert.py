@@ -11,8 +11,9 @@ plain Parquet, as DataFrame recipes.
                    between two keyed snapshots.
 
 Match semantics are SQL equality: a NULL key never matches, so a target row
-with a NULL key is kept and a source row with a NULL key is inserted; the
-same batch merged twice therefore inserts its NULL-key rows twice.
+with a NULL key is kept and a source row with a NULL key is inserted.  Pass
+``delivery``, a column that names the delivery a row came with, and a delivery
+merged again replaces the NULL-key rows that it inserted before.
 Limits: one writer at a time; readers during a rewrite may see a mix of old
 and new buckets (no snapshot isolation on plain Parquet), and a failure
 while the rewritten buckets are put in place can lose their rows: restore
@@ -26,11 +27,12 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stratum.operators.dedup import latest_per_key
 from stratum.operators.quality import any_null
 from stratum.session import checkpoint_root
-from stratum.sources.tables import path_exists
+from stratum.sources.tables import load_schema, path_exists, save_schema
 
 BUCKET_COL = "__b"
 DEFAULT_BUCKETS = 64
@@ -66,6 +68,8 @@ def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     a folder without data files, e.g. left by a first load that failed)."""
     if not path_exists(spark, path):
         return None
+    if (schema := load_schema(spark, _schema_store(path))) is not None:
+        return spark.read.schema(schema).parquet(path)
     try:
         # Buckets rewritten after a column was added carry it, older ones do
         # not: merge the file schemas so no column is lost on the next rewrite.
@@ -74,6 +78,19 @@ def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def _schema_store(path: str) -> str:
+    return f"{path.rstrip('/')}__schema"
+
+
+def _remember_schema(df: DataFrame, path: str) -> T.StructType:
+    """Keep the table's schema beside it (columns are only ever added), so a
+    later merge needs no pass over the file footers."""
+    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields])
+    if load_schema(df.sparkSession, _schema_store(path)) != schema:
+        save_schema(df.sparkSession, _schema_store(path), schema, len(schema))
+    return schema
+
+
 def _check_bucketing(spark: SparkSession, path: str, spec: str) -> None:
     """Store the table's bucketing on first use; refuse a different one."""
     beside = f"{path.rstrip('/')}__buckets"
@@ -92,7 +109,7 @@ def range_bucket(key: str, width: int) -> Column:
 
 def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
                  order: Sequence[str] = (), buckets: int = DEFAULT_BUCKETS,
-                 bucket: Column | None = None) -> DataFrame:
+                 bucket: Column | None = None, delivery: str | None = None) -> DataFrame:
     """Upsert ``source`` into the bucketed Parquet table at ``path``.
 
     Creates the table on first load.  Otherwise the deduplicated batch is
@@ -107,6 +124,10 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequen
     keys with locality (ids assigned in order, keys that embed a date) pass
     ``bucket=range_bucket(...)`` or another expression of the key columns
     only; a batch then rewrites roughly its own key range.
+
+    ``delivery`` is a column of ``source``; each of its values names a
+    delivery that ``source`` holds whole.  Merged again, a delivery replaces
+    the NULL-key rows it inserted before.
     Returns the table as read back after the write.
     """
     keys = list(keys)
@@ -123,13 +144,17 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequen
         if not hit:
             return target
         target_hit = target.filter(F.col(BUCKET_COL).isin(hit))
+        if delivery is not None and delivery in target.columns:
+            unkeyed = target_hit.filter(any_null(keys)).join(src.select(delivery).distinct(), delivery, "left_anti")
+            target_hit = target_hit.filter(~any_null(keys)).unionByName(unkeyed)
         merged = upsert(target_hit, src, keys + [BUCKET_COL], order, dedup=False)
+    schema = _remember_schema(merged, path)
     (merged.hint("rebalance", BUCKET_COL)
            .write.mode("overwrite")
            .option("partitionOverwriteMode", "dynamic")
            .partitionBy(BUCKET_COL)
            .parquet(path))
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def merge_into_table(table: str, source: DataFrame, keys: Sequence[str],

@@ -70,20 +70,22 @@ LB_DM_COLUMNS = ["subject_id", "study_id", "arm_group", "age_group", "sex", "cou
 VS_DM_COLUMNS = ["subject_id", "study_id", "arm_group", "age_group", "sex", "country", "site_id"]
 
 
-def _dm_side(dm: DataFrame, cols: Sequence[str]) -> DataFrame:
-    # One row per (subject, study), so the join can never fan out; on a keyed
-    # silver DM this keeps every row, otherwise the pick is deterministic.
-    return latest_per_key(dm.select(*cols), SUBJECT_KEYS)
+def _dm_side(dm: DataFrame, cols: Sequence[str], keyed: bool) -> DataFrame:
+    # One row per (subject, study), so the join can never fan out; silver DM
+    # is keyed so already, for other inputs the pick is deterministic.
+    return dm.select(*cols) if keyed else latest_per_key(dm.select(*cols), SUBJECT_KEYS)
 
 
-def lb_enriched(lb: DataFrame, dm: DataFrame) -> DataFrame:
-    """Lab rows with the subject's demographics (left join)."""
-    return lb.join(_dm_side(dm, LB_DM_COLUMNS), SUBJECT_KEYS, "left")
+def lb_enriched(lb: DataFrame, dm: DataFrame, keyed: bool = False) -> DataFrame:
+    """Lab rows with the subject's demographics (left join); ``keyed``: ``dm``
+    has one row per subject, as silver DM does."""
+    return lb.join(_dm_side(dm, LB_DM_COLUMNS, keyed), SUBJECT_KEYS, "left")
 
 
-def vs_enriched(vs: DataFrame, dm: DataFrame) -> DataFrame:
-    """Vital-sign rows with the subject's demographics (left join)."""
-    return vs.join(_dm_side(dm, VS_DM_COLUMNS), SUBJECT_KEYS, "left")
+def vs_enriched(vs: DataFrame, dm: DataFrame, keyed: bool = False) -> DataFrame:
+    """Vital-sign rows with the subject's demographics (left join); ``keyed``
+    as in ``lb_enriched``."""
+    return vs.join(_dm_side(dm, VS_DM_COLUMNS, keyed), SUBJECT_KEYS, "left")
 
 
 def lb_per_subject(lb: DataFrame, normal_labels: Sequence[str] = V.LAB_NORMAL_LABELS) -> DataFrame:

@@ -18,13 +18,14 @@ from __future__ import annotations
 import argparse
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from stratum.plans import gold as G
 from stratum.plans import silver as S
-from stratum.sources.tables import Layout, overwrite_table, read_table
+from stratum.sources.tables import Layout, load_schema, overwrite_table, read_table
 from stratum.streaming.incremental import append_available, upsert_available
-from stratum.streaming.ingest import BATCH_COL, ingest_available
+from stratum.streaming.ingest import BATCH_COL, FILE_COL, RESCUED_COL, ingest_available
 
 # Bronze feed names (one ingest source folder each).
 FEEDS = ["clinical_dm", "clinical_lb", "clinical_vs", "qc_lab_result", "mfg_order", "mfg_lot",
@@ -61,8 +62,24 @@ def read_bronze_table(spark: SparkSession, layout: Layout, feed: str) -> DataFra
     return read_table(spark, layout.bronze(feed), merge_schema=True)
 
 
-def silver_job(spark: SparkSession, layout: Layout, table: str, buckets: int = 64) -> None:
-    """Build one silver table from its bronze feed with the table's write mode."""
+def bronze_schema(spark: SparkSession, layout: Layout, feed: str) -> T.StructType:
+    """The feed's schema as ingest remembers it; for a table that ingest did
+    not write, merged from its files."""
+    known = load_schema(spark, layout.schema_store(feed))
+    if known is None:
+        return read_bronze_table(spark, layout, feed).schema
+    return T.StructType([*known.fields, T.StructField(FILE_COL, T.StringType()),
+                         T.StructField(RESCUED_COL, T.StringType()), T.StructField(BATCH_COL, T.LongType())])
+
+
+def silver_job(spark: SparkSession, layout: Layout, table: str, buckets: int = 64,
+               bucket: Column | None = None, merge_table: str | None = None) -> None:
+    """Build one silver table from its bronze feed with the table's write mode.
+
+    Of an upserted table, ``bucket`` is the bucketing (``range_bucket`` for
+    ids assigned in order; else ``buckets`` hash buckets), and ``merge_table``
+    a catalog table to merge into by its format's own ``MERGE``.
+    """
     feed, transform, mode, keys = SILVER[table]
     dst = layout.silver(table)
 
@@ -72,14 +89,14 @@ def silver_job(spark: SparkSession, layout: Layout, table: str, buckets: int = 6
 
     ckpt = layout.checkpoint(f"silver_{table}")
     if mode == "append":
-        append_available(spark, layout.bronze(feed), dst, ckpt, build)
+        append_available(spark, layout.bronze(feed), dst, ckpt, build, schema=bronze_schema(spark, layout, feed))
     elif mode == "upsert":
         # Only bronze files not merged before are read; the ingest batch id
         # orders versions of a key (latest wins).
-        schema = read_bronze_table(spark, layout, feed).schema
+        schema = bronze_schema(spark, layout, feed)
         carry = [BATCH_COL] if BATCH_COL in schema.fieldNames() else []
         upsert_available(spark, layout.bronze(feed), dst, ckpt, lambda b: build(b, carry), keys,
-                         order=carry, buckets=buckets, schema=schema)
+                         order=carry, buckets=buckets, schema=schema, bucket=bucket, merge_table=merge_table)
     else:
         overwrite_table(build(read_bronze_table(spark, layout, feed)), dst)
 

@@ -14,8 +14,13 @@ from stratum.functions import vocab as V
 from stratum.sources.adapters import adapter_sql
 
 
-def _cte(name: str) -> str:
-    return f"{name} AS (\n{adapter_sql(name)}\n)"
+def _cte(name: str, view: str | None = None) -> str:
+    """The bronze ``view`` (its own name if not given) as ``name``."""
+    return f"{name} AS (\n{adapter_sql(view or name)}\n)"
+
+
+def _required(cols: Sequence[str]) -> str:
+    return "WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in cols)
 
 
 def _quoted(values: Sequence[str]) -> str:
@@ -149,14 +154,15 @@ SELECT batch_id, lot_id, drug_code, plant_id,
 FROM bronze_mfg_lot
 WHERE batch_id IS NOT NULL AND lot_id IS NOT NULL AND drug_code IS NOT NULL AND plant_id IS NOT NULL)"""
 
-SILVER_EQUIPMENT = f"""silver_equipment AS (
+def _equipment(required: Sequence[str]) -> str:
+    return f"""silver_equipment AS (
 SELECT equipment_id, plant_id, upper(trim(event_type)) AS event_type, event_start, downtime_minutes,
        coalesce(calibration_status, 'UNKNOWN') AS calibration_status,
        coalesce(operator_id, 'SYSTEM') AS operator_id,
        coalesce(trim(remarks), 'NO_REMARKS') AS remarks,
        strftime(event_start, '%d %B') AS start_date_month,
        strftime(event_start, '%Y') AS "start_Year",
-       concat(CAST(year(event_end) AS VARCHAR), '-Q', CAST(quarter(event_end) AS VARCHAR)) AS order_quarter,
+       CAST(year(event_end) AS VARCHAR) || '-Q' || CAST(quarter(event_end) AS VARCHAR) AS order_quarter,
        strftime(event_end, '%d %B') AS end_date_month,
        strftime(event_end, '%Y') AS "end_Year",
        mins AS event_duration_minutes,
@@ -166,15 +172,19 @@ SELECT equipment_id, plant_id, upper(trim(event_type)) AS event_type, event_star
 FROM (SELECT *, CASE WHEN event_end IS NOT NULL THEN
                 (epoch(date_trunc('second', event_end)) - epoch(date_trunc('second', event_start))) / 60 END AS mins
       FROM bronze_mfg_equipment_lot
-      WHERE equipment_id IS NOT NULL AND plant_id IS NOT NULL AND event_type IS NOT NULL
-        AND event_start IS NOT NULL AND event_end IS NOT NULL AND downtime_minutes IS NOT NULL
-        AND calibration_status IS NOT NULL AND operator_id IS NOT NULL AND remarks IS NOT NULL))"""
+      {_required(required)}))"""
+
+
+SILVER_EQUIPMENT = _equipment(["equipment_id", "plant_id", "event_type", "event_start", "event_end",
+                               "downtime_minutes", "calibration_status", "operator_id", "remarks"])
+SILVER_EQUIPMENT_ONGOING = _equipment(["equipment_id", "plant_id", "event_type", "event_start"])
 
 DEV_COLS = ["deviation_id", "batch_id", "equipment_id", "deviation_type", "severity", "description",
             "root_cause", "corrective_action", "reported_by", "reported_date", "closure_date",
             "status", "sla_days", "days_to_closure"]
 
-SILVER_DEVIATION = """deviation_clean AS (
+def _deviation(required: Sequence[str]) -> str:
+    return f"""deviation_clean AS (
 SELECT deviation_id, batch_id,
        coalesce(trim(equipment_id), 'NOT_APPLICABLE') AS equipment_id,
        deviation_type, severity,
@@ -188,12 +198,16 @@ SELECT deviation_id, batch_id,
        CASE WHEN closure_date IS NOT NULL THEN CAST(date_diff('day', reported_date, closure_date) AS INTEGER) END
            AS days_to_closure
 FROM bronze_mfg_deviation
-WHERE deviation_id IS NOT NULL AND batch_id IS NOT NULL AND equipment_id IS NOT NULL AND deviation_type IS NOT NULL
-  AND severity IS NOT NULL AND description IS NOT NULL AND root_cause IS NOT NULL AND corrective_action IS NOT NULL
-  AND reported_by IS NOT NULL AND reported_date IS NOT NULL AND closure_date IS NOT NULL AND status IS NOT NULL),
+{_required(required)}),
 silver_deviation AS (
 """ + latest_sql("deviation_clean", ["deviation_id"], DEV_COLS[1:]) + "\n)"
 
+
+SILVER_DEVIATION = _deviation(["deviation_id", "batch_id", "equipment_id", "deviation_type", "severity", "description",
+                               "root_cause", "corrective_action", "reported_by", "reported_date", "closure_date",
+                               "status"])
+SILVER_DEVIATION_OPEN = _deviation(["deviation_id", "batch_id", "deviation_type", "severity", "reported_date", "status"])
+
 DM_COLS = ["study_id", "subject_id", "site_id", "arm_group", "sex", "Origin", "country",
            "enrollment_date", "enrollment_date_month", "enrollment_Year", "enrollment_quarter",
            "age_group"]
@@ -270,6 +284,8 @@ QC = _with(_cte("bronze_qc_lab_result"), SILVER_QC)
 ORDER = _with(_cte("bronze_mfg_order"), SILVER_ORDER)
 LOT = _with(_cte("bronze_mfg_lot"), SILVER_LOT)
 EQUIP = _with(_cte("bronze_mfg_equipment_lot"), SILVER_EQUIPMENT)
+EQUIP_ONGOING = _with(_cte("bronze_mfg_equipment_lot", "bronze_mfg_equipment_ongoing"), SILVER_EQUIPMENT_ONGOING)
+DEV_OPEN = _with(_cte("bronze_mfg_deviation", "bronze_mfg_deviation_open"), SILVER_DEVIATION_OPEN)
 DEV = _with(_cte("bronze_mfg_deviation"), SILVER_DEVIATION)
 DM = _with(_cte("bronze_clinical_dm"), SILVER_DM)
 LB = _with(_cte("bronze_clinical_lb"), SILVER_LB)
@@ -358,6 +374,8 @@ ORACLE: dict[str, str] = {
     "silver_lot": LOT + "SELECT * FROM silver_lot",
     "silver_equipment": EQUIP + "SELECT * FROM silver_equipment",
     "silver_deviation": DEV + "SELECT * FROM silver_deviation",
+    "silver_deviation_open": DEV_OPEN + "SELECT * FROM silver_deviation",
+    "silver_equipment_ongoing": EQUIP_ONGOING + "SELECT * FROM silver_equipment",
     "silver_dm": DM + "SELECT * FROM silver_dm",
     "silver_lb": LB + "SELECT * FROM silver_lb",
     "silver_vs": VS + "SELECT * FROM silver_vs",
@@ -494,12 +512,19 @@ FROM orders""",
     "upsert_lines": f"WITH {LINES}\nSELECT * FROM merged",
     "upsert_late_versions": latest_sql("lineitem", ["l_orderkey"], [
         "l_shipdate", *[c for c in LINE_COLS if c not in ("l_orderkey", "l_shipdate")]]),
+    "upsert_null_keys": """WITH src AS (SELECT o_orderkey, CASE WHEN o_orderkey % 10 <> 0 THEN o_custkey END AS o_custkey,
+       o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, CAST(o_orderkey % 2 AS INTEGER) AS delivery FROM orders)
+""" + latest_sql("src", ["o_custkey"], ["o_orderdate", "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]),
     "change_rows_lines": _change_rows_sql(),
     "holiday_gate": f"""WITH {HOLIDAYS},
 runs AS (SELECT DISTINCT CAST(ts AS DATE) AS run_date FROM events)
 SELECT r.run_date, h.holiday_date IS NOT NULL AS is_holiday,
        CASE WHEN h.holiday_date IS NOT NULL THEN 'SKIP' ELSE 'RUN_MAIN' END AS decision
 FROM runs r LEFT JOIN hol h ON r.run_date = h.holiday_date""",
+    "holiday_gate_single": f"""WITH {HOLIDAYS},
+run AS (SELECT max(CAST(ts AS DATE)) AS run_date FROM events)
+SELECT run_date, run_date IN (SELECT holiday_date FROM hol) AS is_holiday,
+       CASE WHEN run_date IN (SELECT holiday_date FROM hol) THEN 'SKIP' ELSE 'RUN_MAIN' END AS decision FROM run""",
     "rows_on_holidays": f"""WITH {HOLIDAYS}
 SELECT * FROM events e WHERE EXISTS (SELECT 1 FROM hol h WHERE h.holiday_date = CAST(e.ts AS DATE))""",
     "rows_on_workdays": f"""WITH {HOLIDAYS}
@@ -510,4 +535,9 @@ SELECT * FROM events e WHERE NOT EXISTS (SELECT 1 FROM hol h WHERE h.holiday_dat
 ORACLE["job_qc_summary"] = ORACLE["qc_summary"]
 ORACLE["holiday_gate_csv"] = ORACLE["holiday_gate"]
 ORACLE["job_gold_capa"] = ORACLE["gold_capa"]
+ORACLE["gold_capa_open"] = (ORACLE["gold_capa"].replace(SILVER_DEVIATION, SILVER_DEVIATION_OPEN)
+                            .replace(_cte("bronze_mfg_deviation"), _cte("bronze_mfg_deviation", "bronze_mfg_deviation_open")))
+ORACLE["job_qc_replay"] = ORACLE["silver_qc"].replace(
+    "SELECT batch_id, lot_id, test_id,", "SELECT batch_id, CASE WHEN lot_id % 10 <> 0 THEN lot_id END AS lot_id, test_id,").replace(
+    "(batch_id IS NULL OR lot_id IS NULL", "(batch_id IS NULL OR lot_id % 10 = 0 OR lot_id IS NULL")
 ORACLE["job_gold_subject"] = ORACLE["gold_subject_safety"]

@@ -13,10 +13,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.operators.calendar import gate_dates, holiday_calendar, on_holidays, on_workdays
+from stratum.operators.calendar import gate, gate_dates, holiday_calendar, on_holidays, on_workdays
 from stratum.operators.dedup import latest_per_key
 from stratum.operators.quality import dq_metrics, label_census
-from stratum.operators.upsert import change_rows, upsert
+from stratum.operators.upsert import BUCKET_COL, change_rows, upsert, upsert_table
 from stratum.functions.derive import date_parts
 from stratum.plans import gold as G
 from stratum.plans import silver as S
@@ -63,6 +63,18 @@ def q_silver_deviation(spark, sf):
     return S.silver_deviation(bronze(spark, sf, "bronze_mfg_deviation"))
 
 
+def q_silver_equipment_ongoing(spark, sf):
+    """Equipment events with those that have not ended."""
+    _prep(spark)
+    return S.silver_equipment(bronze(spark, sf, "bronze_mfg_equipment_ongoing"), S.EQUIPMENT_REQUIRED_OPEN)
+
+
+def q_silver_deviation_open(spark, sf):
+    """Deviations with those that are still open or under investigation."""
+    _prep(spark)
+    return S.silver_deviation(bronze(spark, sf, "bronze_mfg_deviation_open"), S.DEVIATION_REQUIRED_OPEN)
+
+
 def q_silver_dm(spark, sf):
     _prep(spark)
     return S.silver_dm(bronze(spark, sf, "bronze_clinical_dm"))
@@ -114,11 +126,11 @@ def q_qc_analyst(spark, sf):
 
 
 def q_lb_enriched(spark, sf):
-    return G.lb_enriched(q_silver_lb(spark, sf), q_silver_dm(spark, sf))
+    return G.lb_enriched(q_silver_lb(spark, sf), q_silver_dm(spark, sf), keyed=True)
 
 
 def q_vs_enriched(spark, sf):
-    return G.vs_enriched(q_silver_vs(spark, sf), q_silver_dm(spark, sf))
+    return G.vs_enriched(q_silver_vs(spark, sf), q_silver_dm(spark, sf), keyed=True)
 
 
 def q_lb_per_subject(spark, sf):
@@ -146,6 +158,10 @@ def q_gold_capa(spark, sf):
     return G.gold_capa(q_silver_deviation(spark, sf), q_silver_lot(spark, sf))
 
 
+def q_gold_capa_open(spark, sf):
+    return G.gold_capa(q_silver_deviation_open(spark, sf), q_silver_lot(spark, sf))
+
+
 def q_lot_summary(spark, sf):
     return G.lot_summary(q_silver_lot(spark, sf))
 
@@ -198,6 +214,20 @@ def q_upsert_late_versions(spark, sf):
     return upsert(latest_per_key(late, ["l_orderkey"], ["l_shipdate"]), early, ["l_orderkey"], ["l_shipdate"])
 
 
+def q_upsert_null_keys(spark, sf):
+    """Orders, some without a customer, delivered in two batches, of which the
+    second comes twice: rows without a key stay, each once."""
+    _prep(spark)
+    o = read_source(spark, sf, "orders").withColumns({
+        "o_custkey": F.when(F.col("o_orderkey") % 10 != 0, F.col("o_custkey")),
+        "delivery": (F.col("o_orderkey") % 2).cast("int")})
+    path = scratch_dir(spark, "upsert_null_keys") + "/orders"
+    for n in (0, 1, 1):
+        upsert_table(spark, path, o.filter(F.col("delivery") == n), ["o_custkey"], ["o_orderdate", "o_orderkey"],
+                     delivery="delivery")
+    return spark.read.parquet(path).drop(BUCKET_COL)
+
+
 def q_change_rows_lines(spark, sf):
     """Row-level changes the second lineitem batch makes to the table."""
     _prep(spark)
@@ -215,6 +245,13 @@ def q_holiday_gate(spark, sf):
     return gate_dates(ev, holiday_calendar(spark), F.col("ts"))
 
 
+def q_holiday_gate_single(spark, sf):
+    """The gate's decision for one run date: the last day with events."""
+    _prep(spark)
+    last = read_source(spark, sf, "events").agg(F.max(F.col("ts").cast("date")).alias("d")).first()["d"]
+    return gate(holiday_calendar(spark), last)
+
+
 def q_holiday_gate_csv(spark, sf):
     """The same gate with the calendar read from a CSV file (header, inferred
     types), as a deployment would ship it."""
@@ -260,6 +297,22 @@ def q_job_qc_summary(spark, sf):
     return spark.read.parquet(lay.gold("qc_summary"))
 
 
+def q_job_qc_replay(spark, sf):
+    """A QC ingest batch is rewritten under new file names after silver has
+    read it; some rows have no lot.  Silver stays as it was."""
+    from stratum.plans import jobs as J
+    _prep(spark)
+    lay = _job_layout(spark, "job_qc_replay")
+    b = bronze(spark, sf, "bronze_qc_lab_result").withColumn(
+        "lot_id", F.when(F.col("lot_id") % 10 != 0, F.col("lot_id")))
+    for batch in (0, 1):
+        write_batch(b.filter(F.col("batch_id") % 2 == batch), lay.bronze("qc_lab_result"), batch)
+        J.silver_job(spark, lay, "qc_lab_result")
+    write_batch(b.filter(F.col("batch_id") % 2 == 0), lay.bronze("qc_lab_result"), 0)
+    J.silver_job(spark, lay, "qc_lab_result")
+    return spark.read.parquet(lay.silver("qc_lab_result")).select(*S.QC_COLUMNS)
+
+
 def q_job_gold_capa(spark, sf):
     """Deviation upsert + lot full refresh -> CAPA mart written and read back."""
     from stratum.plans import jobs as J
@@ -298,6 +351,8 @@ QUERIES: dict[str, Query] = {
     "silver_lot": q_silver_lot,
     "silver_equipment": q_silver_equipment,
     "silver_deviation": q_silver_deviation,
+    "silver_deviation_open": q_silver_deviation_open,
+    "silver_equipment_ongoing": q_silver_equipment_ongoing,
     "silver_dm": q_silver_dm,
     "silver_lb": q_silver_lb,
     "silver_vs": q_silver_vs,
@@ -311,6 +366,7 @@ QUERIES: dict[str, Query] = {
     "gold_subject_safety": q_gold_subject_safety,
     "gold_demo_safety": q_gold_demo_safety,
     "gold_capa": q_gold_capa,
+    "gold_capa_open": q_gold_capa_open,
     "lot_summary": q_lot_summary,
     "order_summary": q_order_summary,
     "label_census_orders": q_label_census_orders,
@@ -318,12 +374,15 @@ QUERIES: dict[str, Query] = {
     "date_parts_orders": q_date_parts_orders,
     "upsert_lines": q_upsert_lines,
     "upsert_late_versions": q_upsert_late_versions,
+    "upsert_null_keys": q_upsert_null_keys,
     "change_rows_lines": q_change_rows_lines,
     "holiday_gate": q_holiday_gate,
+    "holiday_gate_single": q_holiday_gate_single,
     "holiday_gate_csv": q_holiday_gate_csv,
     "rows_on_holidays": q_rows_on_holidays,
     "rows_on_workdays": q_rows_on_workdays,
     "job_qc_summary": q_job_qc_summary,
+    "job_qc_replay": q_job_qc_replay,
     "job_gold_capa": q_job_gold_capa,
     "job_gold_subject": q_job_gold_subject,
 }

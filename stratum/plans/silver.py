@@ -172,6 +172,10 @@ EQUIPMENT_REQUIRED = ("equipment_id", "plant_id", "event_type", "event_start", "
                       "downtime_minutes", "calibration_status", "operator_id", "remarks")
 
 
+#: The required columns when ongoing events, and unfilled labels, are kept.
+EQUIPMENT_REQUIRED_OPEN = ("equipment_id", "plant_id", "event_type", "event_start")
+
+
 def silver_equipment(bronze: DataFrame, required: Sequence[str] = EQUIPMENT_REQUIRED) -> DataFrame:
     """Equipment events.  ``order_quarter`` is the quarter of the event end
     (the end-date parts overwrite the start-date one)."""
@@ -207,6 +211,10 @@ DEVIATION_REQUIRED = ("deviation_id", "batch_id", "equipment_id", "deviation_typ
                       "reported_date", "closure_date", "status")
 
 
+#: The required columns when open deviations, and unfilled labels, are kept.
+DEVIATION_REQUIRED_OPEN = ("deviation_id", "batch_id", "deviation_type", "severity", "reported_date", "status")
+
+
 def deviation_clean(bronze: DataFrame, required: Sequence[str] = DEVIATION_REQUIRED,
                     carry: Sequence[str] = ()) -> DataFrame:
     df = require(bronze, required)

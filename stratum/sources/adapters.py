@@ -126,6 +126,25 @@ ADAPTERS: dict[str, tuple[str, list[str]]] = {
 }
 
 
+def _variant(name: str, exprs: dict[str, str]) -> tuple[str, list[str]]:
+    """The view ``name`` with other expressions for some of its columns."""
+    table, base = ADAPTERS[name]
+    return table, [f"{exprs[c]} AS {c}" if (c := e.rsplit(" AS ", 1)[1]) in exprs else e for e in base]
+
+
+def _gaps(value: str, every: int) -> str:
+    return f"CASE WHEN event_id % {every} = 0 THEN NULL ELSE {value} END"
+
+
+# Feeds in which records still run: no closure or end, labels not filled in.
+ADAPTERS["bronze_mfg_deviation_open"] = _variant("bronze_mfg_deviation", {
+    "equipment_id": _gaps("concat(' EQ_', CAST(user_id % 40 AS STRING))", 19), "description": _gaps("' dev '", 17),
+    "root_cause": _gaps("' cause '", 11), "corrective_action": _gaps("' action'", 7), "reported_by": _gaps("'REP '", 13)})
+ADAPTERS["bronze_mfg_equipment_ongoing"] = _variant("bronze_mfg_equipment_lot", {
+    "remarks": _gaps("concat('  note ', CAST(event_id % 5 AS STRING))", 7),
+    "calibration_status": _gaps("'VALID'", 5)})
+
+
 def adapter_sql(name: str) -> str:
     table, exprs = ADAPTERS[name]
     return "SELECT " + ",\n       ".join(exprs) + f"\nFROM {table}"

@@ -8,11 +8,13 @@ or append.  Keyed upsert lives in ``stratum.operators.upsert``.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BRONZE, SILVER, GOLD = "bronze", "silver", "gold"
 
@@ -26,6 +28,22 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(hpath.getFileSystem(conf).exists(hpath))
 
 
+def load_schema(spark: SparkSession, store: str) -> T.StructType | None:
+    """Latest remembered schema in ``store`` (None before the first batch)."""
+    if not path_exists(spark, store):
+        return None
+    rows = (spark.read.text(store)
+            .select(F.col("v").cast("long").alias("v"), "value")
+            .orderBy(F.col("v").desc()).limit(1).collect())
+    return T.StructType.fromJson(json.loads(rows[0]["value"])) if rows else None
+
+
+def save_schema(spark: SparkSession, store: str, schema: T.StructType, version: int) -> None:
+    """Write a new schema version (``store/v=<version>``); older versions stay."""
+    (spark.createDataFrame([(schema.json(),)], "value string")
+          .coalesce(1).write.mode("overwrite").text(f"{store.rstrip('/')}/v={version}"))
+
+
 def read_source(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """One benchmark table, ``<sf_dir>/<table>.parquet``."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
@@ -56,16 +74,17 @@ class Layout:
         return f"{self.root.rstrip('/')}/_schemas/{name}"
 
 
-def read_table(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
-    """Read a Parquet table; ``merge_schema`` unions file schemas written
-    before and after a column was added."""
-    reader = spark.read
+def read_table(spark: SparkSession, path: str, merge_schema: bool = False, fmt: str = "parquet") -> DataFrame:
+    """Read the table at ``path``; ``merge_schema`` unions file schemas
+    written before and after a column was added (Parquet)."""
+    reader = spark.read.format(fmt)
     if merge_schema:
         reader = reader.option("mergeSchema", "true")
-    return reader.parquet(path)
+    return reader.load(path)
 
 
-def overwrite_table(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> None:
+def overwrite_table(df: DataFrame, path: str, partition_by: Sequence[str] | None = None,
+                    fmt: str = "parquet") -> None:
     """Full-refresh write.  With ``partition_by`` the output is rebalanced
     on those columns first (AQE splits a skewed partition value across
     several writers and merges tiny ones), so each value is written by
@@ -76,14 +95,15 @@ def overwrite_table(df: DataFrame, path: str, partition_by: Sequence[str] | None
     writer = w.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    writer.format(fmt).save(path)
 
 
-def append_table(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> None:
+def append_table(df: DataFrame, path: str, partition_by: Sequence[str] | None = None,
+                 fmt: str = "parquet") -> None:
     writer = df.write.mode("append")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    writer.format(fmt).save(path)
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, batch_col: str = "__batch") -> None:

@@ -6,6 +6,11 @@ run.  Here the bronze Parquet table is a streaming file source, the silver
 transformation is applied per micro-batch, and the Parquet file sink commits
 each batch exactly once through its own log (``_spark_metadata``), so a
 re-run with no new bronze files appends nothing.
+
+A bronze table partitioned by ingest batch may see a batch rewritten under new
+file names.  Its silver table is therefore partitioned alike, and a batch whose
+files are new is built anew from the whole bronze partition and replaces the
+silver one: a rewritten batch leaves no duplicate.
 """
 
 from __future__ import annotations
@@ -13,29 +18,47 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from stratum.operators.upsert import DEFAULT_BUCKETS, upsert_table
+from stratum.operators.upsert import DEFAULT_BUCKETS, merge_into_table, upsert_table
+from stratum.streaming.ingest import BATCH_COL
+
+MERGE_COL = "__merge"
 
 
 def append_incremental(spark: SparkSession, src: str, dst: str, checkpoint: str,
                        transform: Callable[[DataFrame], DataFrame],
                        max_files_per_trigger: int | None = 1000,
-                       available_now: bool = True) -> StreamingQuery:
+                       available_now: bool = True, schema=None) -> StreamingQuery:
     """Stream new Parquet files of ``src`` through ``transform`` into ``dst``.
 
-    The source schema is taken from the table as it is now (``mergeSchema``),
-    so columns added by ingest evolution are picked up on the next start.
+    ``schema`` (the bronze schema) is read from the table as it is now when
+    not given (``mergeSchema``), so columns added by ingest evolution are
+    picked up on the next start.  With a ``__batch`` column the silver table
+    has it too, as its partition.
     """
-    schema = spark.read.option("mergeSchema", "true").parquet(src).schema
-    reader = spark.readStream.schema(schema).option("mergeSchema", "true")
+    schema = schema or spark.read.option("mergeSchema", "true").parquet(src).schema
+    reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    out = transform(reader.parquet(src))
-    writer = (out.writeStream.format("parquet").outputMode("append")
-              .option("checkpointLocation", checkpoint))
+
+    def replace(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        # at most as many ids as the trigger has files
+        ids = [r[0] for r in batch.select(BATCH_COL).distinct().collect()]
+        for i in ids:
+            whole = session.read.schema(schema).parquet(src).filter(F.col(BATCH_COL) == i)
+            (transform(whole).withColumn(BATCH_COL, F.lit(i).cast("long"))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BATCH_COL).parquet(dst))
+
+    if BATCH_COL in schema.fieldNames():
+        writer = reader.parquet(src).select(BATCH_COL).writeStream.foreachBatch(replace)
+    else:
+        writer = transform(reader.parquet(src)).writeStream.format("parquet").outputMode("append").option("path", dst)
+    writer = writer.option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    return writer.start(dst)
+    return writer.start()
 
 
 def append_available(spark: SparkSession, src: str, dst: str, checkpoint: str,
@@ -51,23 +74,40 @@ def upsert_incremental(spark: SparkSession, src: str, dst: str, checkpoint: str,
                        transform: Callable[[DataFrame], DataFrame], keys: Sequence[str],
                        order: Sequence[str] = (), buckets: int = DEFAULT_BUCKETS,
                        bucket: Column | None = None, max_files_per_trigger: int | None = 1000,
-                       available_now: bool = True, schema=None) -> StreamingQuery:
+                       available_now: bool = True, schema=None,
+                       merge_table: str | None = None) -> StreamingQuery:
     """Upsert only the bronze files not seen before into a keyed silver table.
 
     The bronze Parquet table is a streaming file source; each micro-batch is
     cleaned by ``transform`` and merged with ``upsert_table`` (latest version
     per key by ``order``).  A run costs the new data plus the target buckets
     it touches, not the bronze history.  A micro-batch replayed after a
-    failure merges the same rows again, which leaves the table unchanged.
+    failure, or an ingest batch rewritten under new file names, merges the same
+    rows again, which leaves the table unchanged: rows with a NULL key carry
+    their ingest batch (else the ids of stream and micro-batch) and are replaced.
     ``schema`` (the bronze schema) is read from the table when not given.
+    With ``merge_table``, a catalog table whose format supports ``MERGE``, the
+    batches go there by the format's own merge instead of to ``dst``.
     """
     schema = schema or spark.read.option("mergeSchema", "true").parquet(src).schema
-    reader = spark.readStream.schema(schema).option("mergeSchema", "true")
+    reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        upsert_table(batch.sparkSession, dst, transform(batch), keys, order, buckets, bucket)
+        if merge_table is not None:
+            merge_into_table(merge_table, transform(batch), keys, order)
+            return
+        session, delivery = batch.sparkSession, BATCH_COL
+        rows = transform(batch)
+        if BATCH_COL in rows.columns:
+            # whole ingest batches (at most as many as the trigger has files)
+            ids = [r[0] for r in batch.select(BATCH_COL).distinct().collect()]
+            rows = transform(session.read.schema(schema).parquet(src).filter(F.col(BATCH_COL).isin(ids)))
+        else:
+            stream = session.read.json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
+            rows, delivery = rows.withColumn(MERGE_COL, F.lit(f"{stream}/{batch_id}")), MERGE_COL
+        upsert_table(session, dst, rows, keys, order, buckets, bucket, delivery)
 
     writer = (reader.parquet(src).writeStream
               .option("checkpointLocation", checkpoint)

@@ -10,11 +10,14 @@ Contract (per source folder):
   micro-batch id in ``__batch``.
 * The table schema is remembered between runs.  A file may add columns;
   they are appended to the schema as nullable and older rows read as NULL.
-  A known column keeps its type: values that do not fit it are kept, as
-  text, in the ``__rescued`` JSON column instead of failing the batch (the
-  offending fields when types were inferred, else the whole line).
-* Files whose columns are all known are parsed once with the remembered
-  types; only files that bring new columns pay for a type-inference pass.
+  A known column keeps its type: a value that does not fit it exactly reads
+  as NULL and is kept, as text, under its column's name in the ``__rescued``
+  JSON column instead of failing the batch (a line with too few or too many
+  fields is kept whole, as ``_line``).
+* Files whose columns are all known are read once, as text, and cast to the
+  remembered types; only files with new columns pay for a type-inference pass.
+* A checkpoint numbers its batches from 0, so a new one on a table that has
+  batches already is refused: it would overwrite them.
 * A replayed micro-batch (after a crash between write and commit) rewrites
   its own ``__batch`` partition, so the output has no duplicates.
 
@@ -30,18 +33,17 @@ place.  Only the batch's path list reaches the driver; bound it with
 from __future__ import annotations
 
 import csv
-import json
 import sys
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from stratum.sources.tables import path_exists, write_batch
+from stratum.sources.tables import load_schema, path_exists, save_schema, write_batch
 
 FILE_COL = "__file"
 BATCH_COL = "__batch"
@@ -59,22 +61,6 @@ BINARY_FILE_SCHEMA = T.StructType([
 
 # ---- schema memory ------------------------------------------------------------
 
-def load_schema(spark: SparkSession, store: str) -> T.StructType | None:
-    """Latest remembered schema in ``store`` (None before the first batch)."""
-    if not path_exists(spark, store):
-        return None
-    rows = (spark.read.text(store)
-            .select(F.col("v").cast("long").alias("v"), "value")
-            .orderBy(F.col("v").desc()).limit(1).collect())
-    return T.StructType.fromJson(json.loads(rows[0]["value"])) if rows else None
-
-
-def save_schema(spark: SparkSession, store: str, schema: T.StructType, version: int) -> None:
-    """Write a new schema version (``store/v=<version>``); older versions stay."""
-    (spark.createDataFrame([(schema.json(),)], "value string")
-          .coalesce(1).write.mode("overwrite").text(f"{store.rstrip('/')}/v={version}"))
-
-
 def evolve_schema(known: T.StructType | None, incoming: T.StructType) -> T.StructType:
     """Known columns keep their position and type; new columns are appended
     (nullable) in the order they first appear."""
@@ -86,10 +72,24 @@ def evolve_schema(known: T.StructType | None, incoming: T.StructType) -> T.Struc
     return T.StructType(list(known.fields) + added)
 
 
+def _changed(src: Column, cast: Column, incoming: T.DataType, known: T.DataType) -> Column:
+    """Whether ``cast`` to the known type alters ``src`` (1.5 into an int)."""
+    if not isinstance(incoming, T.StringType):
+        return cast.try_cast(incoming) != src
+    # from text a cast fails rather than alters, but for a date's time of day
+    # and a decimal's further digits
+    if isinstance(known, T.DateType):
+        return src.try_cast("timestamp") != cast.cast("timestamp")
+    if isinstance(known, T.DecimalType):
+        return src.try_cast("double") != cast.cast("double")
+    return F.lit(False)
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Project ``df`` onto ``schema``: missing columns become NULL, values of
-    a known column are ``try_cast`` to its type, and values that fail the
-    cast are kept as text in ``__rescued`` (JSON object, NULL when none)."""
+    a known column are ``try_cast`` to its type, and values that the cast
+    would drop or change become NULL and are kept as text in ``__rescued``
+    (JSON object, NULL when none)."""
     present = {c.lower(): c for c in df.columns}
     cols, bad = [], []
     for f in schema.fields:
@@ -102,11 +102,10 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
             cols.append(F.col(src).alias(f.name))
             continue
         cast = F.col(src).try_cast(f.dataType)
-        cols.append(cast.alias(f.name))
-        # Rescue values the cast drops or changes (e.g. 1.5 into an int).
-        lossy = cast.isNull() | (cast.try_cast(incoming) != F.col(src))
-        bad.append(F.when(F.col(src).isNotNull() & lossy,
-                          F.col(src).cast("string")).alias(f.name))
+        lossy = F.col(src).isNotNull() & F.coalesce(cast.isNull() | _changed(F.col(src), cast, incoming, f.dataType),
+                                                    F.lit(True))
+        cols.append(F.when(~lossy, cast).alias(f.name))
+        bad.append(F.when(lossy, F.col(src).cast("string")).alias(f.name))
     if bad:
         js = F.to_json(F.struct(*bad))
         rescued = F.when(js != F.lit("{}"), js)
@@ -122,6 +121,11 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 # ---- header discovery (inside tasks) ----------------------------------------------
 
+# Hadoop scheme -> (Arrow's scheme, whether the path inside starts with the bucket or container).
+ARROW_SCHEMES = {"s3": ("s3", True), "s3a": ("s3", True), "s3n": ("s3", True), "gs": ("gs", True), "gcs": ("gcs", True),
+                 "abfs": ("abfs", True), "abfss": ("abfss", True), "hdfs": ("hdfs", False), "viewfs": ("viewfs", False)}
+
+
 def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     from pyarrow import fs as pafs
 
@@ -142,7 +146,12 @@ def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _resolve(pafs, path: str, cache: dict):
-    """(filesystem, path inside it) for a Hadoop-style path."""
+    """(filesystem, path inside it) for a Hadoop-style path.
+
+    Hadoop's ``s3a`` / ``s3n`` are the store that Arrow calls ``s3``.  The
+    file system of a store is opened once; the path inside it follows the
+    store: with its bucket or container, without a host.
+    """
     if path.startswith("file:"):
         local = path[len("file:"):]
         while local.startswith("//"):
@@ -150,11 +159,14 @@ def _resolve(pafs, path: str, cache: dict):
         return pafs.LocalFileSystem(), local
     scheme, rest = path.split("://", 1)
     netloc = rest.split("/", 1)[0]
+    if scheme == "dbfs" or (scheme not in ARROW_SCHEMES):
+        raise ValueError(f"file headers can't be read from {scheme}: use one of {sorted(ARROW_SCHEMES)}")
+    scheme, with_bucket = ARROW_SCHEMES[scheme]
     key = f"{scheme}://{netloc}"
     if key not in cache:
-        cache[key] = pafs.FileSystem.from_uri(path)[0]
-    inner = rest if scheme in ("s3", "s3a", "gs", "gcs") else "/" + rest.split("/", 1)[1]
-    return cache[key], inner
+        cache[key] = pafs.FileSystem.from_uri(f"{scheme}://{rest}")[0]
+    inside = rest.split("/", 1)[1]
+    return cache[key], f"{netloc.split('@')[0]}/{inside}" if with_bucket else f"/{inside}"
 
 
 def headers_of(paths: DataFrame) -> DataFrame:
@@ -179,15 +191,14 @@ def read_csv_group(spark: SparkSession, paths: list[str], infer: bool = True,
     """One CSV read for files that share a header; lineage from ``_metadata``.
 
     When every column of the header is already in the remembered schema the
-    files are read once with that schema laid out in header order (no
-    inference pass over the data); a line whose values do not parse lands,
-    whole, in the corrupt-record column and from there in ``__rescued``.
-    Otherwise types are inferred.
+    files are read once, as text in header order (no inference pass over the
+    data; ``conform`` casts the values); a line with too few or too many
+    fields lands, whole, in the corrupt-record column and from there in
+    ``__rescued``.  Otherwise types are inferred.
     """
     reader = spark.read.option("header", "true")
     if known is not None and names and _all_known(known, names):
-        by_name = {f.name.lower(): f for f in known.fields}
-        fields = [T.StructField(n, by_name[n.lower()].dataType, True) for n in names]
+        fields = [T.StructField(n, T.StringType(), True) for n in names]
         schema = T.StructType(fields + [T.StructField(CORRUPT_COL, T.StringType(), True)])
         df = (reader.schema(schema).option("mode", "PERMISSIVE")
               .option("columnNameOfCorruptRecord", CORRUPT_COL).csv(paths))
@@ -236,6 +247,9 @@ def ingest_csv_stream(spark: SparkSession, src_dir: str, table: str, checkpoint:
     files present and stops; call ``awaitTermination()``.
     """
     store = schema_store or checkpoint.rstrip("/") + "_schema"
+    if path_exists(spark, table) and not path_exists(spark, checkpoint):
+        raise ValueError(f"{table} holds batches that the new checkpoint {checkpoint} did not write and would "
+                         "overwrite; go on with the table's own checkpoint, or ingest into another table")
     reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
               .option("pathGlobFilter", glob))
     if max_files_per_trigger:
@@ -260,3 +274,9 @@ def ingest_available(spark: SparkSession, src_dir: str, table: str, checkpoint:
 def read_bronze(spark: SparkSession, table: str) -> DataFrame:
     """Read the bronze table across schema versions (``mergeSchema``)."""
     return spark.read.option("mergeSchema", "true").parquet(table)
+
+
+def rescued_rows(bronze: DataFrame) -> DataFrame:
+    """One row: ``total_rows`` and ``rescued_rows``, those with a rescued value."""
+    return bronze.agg(F.count("*").alias("total_rows"),
+                      F.count_if(F.col(RESCUED_COL).isNotNull()).alias("rescued_rows"))

@@ -15,9 +15,9 @@ from stratum.plans import silver as S
 from stratum.plans.oracle import VS, _cte, _with
 from stratum.session import apply_defaults, scratch_dir
 from stratum.sources.adapters import bronze
-from stratum.sources.tables import append_table
+from stratum.sources.tables import append_table, read_source, write_batch
 from stratum.streaming.incremental import append_available
-from stratum.streaming.ingest import FILE_COL, ingest_available, read_bronze
+from stratum.streaming.ingest import FILE_COL, RESCUED_COL, ingest_available, read_bronze
 
 # Declared bronze contract of the order feed (types after ingest).
 ORDER_CONTRACT = [("order_id", "bigint"), ("batch_id", "bigint"), ("drug_code", "string"),
@@ -82,13 +82,48 @@ def q_vs_incremental(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(dst)
 
 
+def q_ingest_type_change(spark: SparkSession, sf: str) -> DataFrame:
+    """Order amounts come as whole numbers first, later partly with cents, and
+    in the last drop beside a new column: what does not fit is rescued."""
+    apply_defaults(spark)
+    base = scratch_dir(spark, "ingest_type_change")
+    src, table, ckpt = f"{base}/src", f"{base}/bronze", f"{base}/_checkpoint"
+    orders = read_source(spark, sf, "orders")
+    amount = F.when(F.col("o_orderkey") % 3 == 0, F.floor("o_totalprice").cast("string")).otherwise(
+        F.col("o_totalprice").cast("decimal(15,2)").cast("string"))
+    for part in (0, 1, 2):
+        rows = orders.filter(F.col("o_orderkey") % 3 == part).select("o_orderkey", amount.alias("amount"), *([F.lit("late").alias("note")] if part == 2 else []))
+        _write_csv(rows, src)
+        ingest_available(spark, src, table, ckpt)
+    rescued = F.get_json_object(RESCUED_COL, "$.amount").cast("double")
+    return read_bronze(spark, table).select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"),
+                                            F.col("amount").cast("bigint").alias("amount"),
+                                            rescued.alias("rescued_amount"), "note")
+
+
+def q_vs_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """A bronze batch is written again under new file names after silver has
+    read it: silver has each row once."""
+    apply_defaults(spark)
+    base = scratch_dir(spark, "vs_replay")
+    src, dst, ckpt = f"{base}/bronze_vs", f"{base}/silver_vs", f"{base}/_checkpoint"
+    vs = bronze(spark, sf, "bronze_clinical_vs")
+    early = F.coalesce(F.col("visit_date") < F.lit("2024-01-16").cast("date"), F.lit(False))
+    for rows, batch in ((vs.filter(early), 0), (vs.filter(~early), 1), (vs.filter(early), 0)):
+        write_batch(rows, src, batch)
+        append_available(spark, src, dst, ckpt, S.silver_vs)
+    return spark.read.parquet(dst).drop("__batch")
+
+
 _ORDER_SQL = ("SELECT order_id, batch_id, drug_code, planned_qty, actual_qty, start_date, end_date, status, "
               "{late}priority, {late}created_by, {late}created_at, true AS has_lineage FROM bronze_mfg_order")
 
 STREAM_QUERIES = {
     "ingest_roundtrip": q_ingest_roundtrip,
     "ingest_evolution": q_ingest_evolution,
+    "ingest_type_change": q_ingest_type_change,
     "vs_incremental": q_vs_incremental,
+    "vs_replay": q_vs_replay,
 }
 
 _LATE = f"CASE WHEN start_date < DATE '{SPLIT_DATE}' THEN NULL ELSE {{c}} END AS {{c}}"
@@ -99,5 +134,11 @@ STREAM_ORACLE = {
     + ("SELECT order_id, batch_id, drug_code, planned_qty, actual_qty, start_date, end_date, status, "
        + ", ".join(_LATE.format(c=c) for c in ("priority", "created_by", "created_at"))
        + ", true AS has_lineage FROM bronze_mfg_order"),
+    "ingest_type_change": """SELECT o_orderkey,
+       CASE WHEN o_orderkey % 3 = 0 OR p = floor(p) AND o_orderkey % 3 = 2 THEN CAST(floor(p) AS BIGINT) END AS amount,
+       CASE WHEN o_orderkey % 3 = 0 OR p = floor(p) AND o_orderkey % 3 = 2 THEN NULL ELSE p END AS rescued_amount,
+       CASE WHEN o_orderkey % 3 = 2 THEN 'late' END AS note
+FROM (SELECT o_orderkey, o_totalprice AS p FROM orders)""",
     "vs_incremental": VS + "SELECT * FROM silver_vs",
+    "vs_replay": VS + "SELECT * FROM silver_vs",
 }

@@ -2,12 +2,13 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from stratum.plans import silver as S
 from stratum.sources.tables import append_table
 from stratum.streaming.incremental import append_available
-from stratum.streaming.ingest import ingest_available, load_schema, read_bronze
+from stratum.streaming.ingest import _resolve, ingest_available, load_schema, read_bronze, rescued_rows
 
 
 def _write(path, text):
@@ -46,7 +47,7 @@ def test_type_conflict_is_rescued(spark, tmpdir_path):
     rows = {r.id: r for r in read_bronze(spark, table).collect()}
     assert rows[1].n == 10 and rows[1]["__rescued"] is None
     assert rows[2].n is None and "abc" in rows[2]["__rescued"]
-    assert "1.5" in rows[3]["__rescued"]
+    assert rows[3].n is None and rows[3]["__rescued"] == '{"n":"1.5"}'
     # a file that also brings a new column is type-inferred; its values of
     # known columns are cast, and what does not fit is rescued per field
     _write(f"{src}/c.csv", "id,n,extra\n4,x,1\n5,7,2\n")
@@ -56,6 +57,53 @@ def test_type_conflict_is_rescued(spark, tmpdir_path):
     assert rows[5].n == 7 and rows[5].extra == 2 and rows[5]["__rescued"] is None
 
 
+def test_lossy_values_are_rescued_beside_a_new_column(spark, tmpdir_path):
+    src, table, ckpt = (os.path.join(tmpdir_path, n) for n in ("src", "bronze", "ckpt"))
+    os.makedirs(src)
+    _write(f"{src}/a.csv", "id,n,d\n1,10,2024-01-01\n")
+    ingest_available(spark, src, table, ckpt)
+    _write(f"{src}/b.csv", "id,n,d,extra\n2,7.5,2024-01-02,1\n3,8,2024-01-03,2\n")
+    _write(f"{src}/c.csv", "id,n,d\n4,9,2024-01-04 10:30:00\n")
+    ingest_available(spark, src, table, ckpt)
+    rows = {r.id: r for r in read_bronze(spark, table).collect()}
+    assert rows[2].n is None and rows[2]["__rescued"] == '{"n":"7.5"}'
+    assert rows[3].n == 8 and rows[3]["__rescued"] is None
+    assert rows[4].d is None and "10:30" in rows[4]["__rescued"]
+    assert rescued_rows(read_bronze(spark, table)).first() == (4, 2)
+
+
+def test_new_checkpoint_on_a_filled_table_is_refused(spark, tmpdir_path):
+    src, table, ckpt = (os.path.join(tmpdir_path, n) for n in ("src", "bronze", "ckpt"))
+    os.makedirs(src)
+    _write(f"{src}/a.csv", "id\n1\n")
+    ingest_available(spark, src, table, ckpt)
+    with pytest.raises(ValueError, match="checkpoint"):
+        ingest_available(spark, src, table, ckpt + "2")
+    assert read_bronze(spark, table).count() == 1
+
+
+@pytest.mark.parametrize("path, uri, inner", [
+    ("s3a://bucket/a/b.csv", "s3://bucket/a/b.csv", "bucket/a/b.csv"),
+    ("gs://bucket/a/b.csv", "gs://bucket/a/b.csv", "bucket/a/b.csv"),
+    ("abfss://box@acct.dfs.core.windows.net/a/b.csv", "abfss://box@acct.dfs.core.windows.net/a/b.csv", "box/a/b.csv"),
+    ("hdfs://host:8020/a/b.csv", "hdfs://host:8020/a/b.csv", "/a/b.csv")])
+def test_paths_of_stores(path, uri, inner):
+    opened = []
+
+    class Arrow:
+        class FileSystem:
+            @staticmethod
+            def from_uri(u):
+                opened.append(u)
+                return "fs", None
+
+    cache = {}
+    assert _resolve(Arrow, path, cache) == _resolve(Arrow, path, cache) == ("fs", inner)
+    assert opened == [uri]
+    with pytest.raises(ValueError, match="dbfs"):
+        _resolve(Arrow, "dbfs://x/y.csv", cache)
+
+
 def test_replayed_batch_is_idempotent(spark, tmpdir_path):
     from stratum.streaming.ingest import ingest_batch
 
@@ -83,6 +131,21 @@ def test_vs_incremental_append(spark, tmpdir_path):
     assert spark.read.parquet(silver_dir).count() == 2
 
 
+def test_rewritten_bronze_batch_leaves_no_duplicate(spark, tmpdir_path):
+    from stratum.sources.tables import write_batch
+    from stratum.streaming.incremental import upsert_available
+
+    src, added, merged = (os.path.join(tmpdir_path, n) for n in ("b", "s", "m"))
+    rows = spark.createDataFrame([(1, "a"), (None, "n"), (None, "n")], "k long, v string")
+    for batch in (0, 1, 0):
+        write_batch(rows, src, batch)
+        append_available(spark, src, added, added + "_c", lambda d: d.select("k", "v"))
+        upsert_available(spark, src, merged, merged + "_c", lambda d: d, ["k"], order=["__batch"], buckets=4)
+    assert spark.read.parquet(added).count() == 6
+    got = sorted((r.k or 0, r["__batch"]) for r in spark.read.parquet(merged).collect())
+    assert got == [(0, 0), (0, 0), (0, 1), (0, 1), (1, 1)]
+
+
 def test_upsert_incremental_merges_only_new_bronze(spark, tmpdir_path):
     from stratum.sources.tables import write_batch
     from stratum.streaming.incremental import upsert_available
