@@ -5,15 +5,18 @@ Texts are cut, as UTF-8 bytes, at word starts where a gear rolling hash of the
 after the last cut and at most ``MAX_CHUNK`` (then at the next character).  Cuts
 depend on nearby bytes only, so an insertion shifts no later chunk for long.  A
 chunk is identified by its 128-bit digest.  The occurrence in the smallest
-document id, and there the first, is the original; others are copies.  Runs of
-adjacent copies of at least ``MIN_RUN`` bytes are removed, so that a short phrase
-that recurs by chance stays.
+document id, and there the first, is the original; others are copies.  A run of
+adjacent copies is extended byte by byte in both directions as far as the text
+equals the original's, up to ``CONTEXT`` bytes, and removed if it then has at least
+``MIN_RUN`` bytes or ``MIN_WORDS`` words, so that a short phrase that recurs by
+chance stays.  A passage within which no whole chunk falls is not found.
 
 One aggregation finds, for each digest, the smallest and largest id (two longs,
 combined before the shuffle); one equi-join brings shared digests back to their
 chunks, in which a common chunk's rows can be split freely; a document's copies
-are gathered per document.  Chunks are computed anew where they are needed
-instead of being stored.
+are gathered per document.  For the chunks at which a run begins or ends, the bytes
+around the original chunk are read once per digest and joined to the copies by
+digest.  Only the rows of shared chunks are stored; others are computed anew.
 
 Results: null and empty texts have no chunks and stay (null becomes empty).  A
 repeated row (same id and text) gets the same result as its twin.  Different texts
@@ -32,13 +35,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratum.llm.common import text_of
+from stratum.llm.common import materialize, text_of
 
 WINDOW = 16
 MASK_BITS = 3
 MIN_CHUNK = 24
 MAX_CHUNK = 512
 MIN_RUN = 160
+MIN_WORDS = 50
+#: Bytes of the original that are compared before and after a run of copied chunks: those of the longest chunk and more.
+CONTEXT = MAX_CHUNK + 4 * MIN_CHUNK
+#: A chunk's place is one number: its start times this, plus its length.
+PLACE = 1 << 10
 LEAST = -(1 << 63)
 #: One pseudo-random 16-bit number per byte value; the hash keeps 16 bits, so 16 bytes count.
 GEAR = np.array([xxhash.xxh64_intdigest(bytes([b]), 1) & 0xFFFF for b in range(256)], np.uint16)
@@ -89,61 +97,126 @@ def _chunk_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The first occurrence of each chunk of a text; tails under MIN_CHUNK are no copies."""
     for batch in batches:
         for lo in range(0, len(batch), 256):
-            part, ids, ths, pos, seen = batch.iloc[lo:lo + 256], [], [], [], []
+            part, ids, ths, at, seen = batch.iloc[lo:lo + 256], [], [], [], []
             for dk, th, text in zip(part.dk, part.th, part.text, strict=True):
                 starts, ends, digests = chunks(text.encode("utf-8"))
                 if ends and ends[-1] - starts[-1] < MIN_CHUNK:
                     starts, digests = starts[:-1], digests[:-1]
-                first = dict(zip(reversed(digests), reversed(starts), strict=True))
+                places = [a * PLACE + b - a for a, b in zip(starts, ends, strict=False)]
+                first = dict(zip(reversed(digests), reversed(places), strict=True))
                 ids += [dk] * len(first)
                 ths += [th] * len(first)
-                pos += first.values()
+                at += first.values()
                 seen += first.keys()
             both = np.frombuffer(b"".join(seen), "<i8").reshape(-1, 2)
             yield pd.DataFrame({"dk": np.array(ids, np.int64), "th": np.array(ths, np.int64),
-                                "pos": np.array(pos, np.int64), "hi": both[:, 0], "lo": both[:, 1]})
+                                "at": np.array(at, np.int64), "hi": both[:, 0], "lo": both[:, 1]})
 
 
-def _ranges(raw: bytes, copied: set[int]) -> list[tuple[int, int]]:
-    """The byte ranges to remove, given the starts of the chunks that other texts hold first."""
+def _context_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The bytes before and after the wanted chunks of the originals."""
+    for batch in batches:
+        for text, wanted in zip(batch.text, batch.wanted, strict=True):
+            raw = text.encode("utf-8")
+            for k in range(0, len(wanted), 4096):
+                rows = []
+                for x in wanted[k:k + 4096]:
+                    a, n = divmod(int(x["at"]), PLACE)
+                    rows.append((x["hi"], x["lo"], raw[max(0, a - CONTEXT):a] if x["left"] else b"",
+                                 raw[a + n:a + n + CONTEXT] if x["right"] else b""))
+                yield pd.DataFrame(rows, columns=["hi", "lo", "before", "after"])
+
+
+def _alike(x: bytes, y: bytes) -> int:
+    """How many bytes two strings share at their starts."""
+    n = min(len(x), len(y))
+    if x[:n] == y[:n]:
+        return n
+    return int(np.argmax(np.frombuffer(x, np.uint8, n) != np.frombuffer(y, np.uint8, n)))
+
+
+def _ranges(raw: bytes, copied: set[int], contexts: dict[int, tuple[bytes, bytes]]) -> list[tuple[int, int]]:
+    """The byte ranges to remove, given the starts of the chunks that other texts hold first.
+
+    Each run of copied chunks is extended as far as the text equals the original's,
+    whose bytes around the run's first and last chunk are in ``contexts``; for a
+    repeat in the text itself the bytes around the first occurrence count.
+    """
     out: list[tuple[int, int]] = []
-    seen: set[bytes] = set()
+    first: dict[bytes, tuple[int, int]] = {}
     for a, b, digest in zip(*chunks(raw), strict=True):
-        again = b - a >= MIN_CHUNK and digest in seen
-        seen.add(digest)
-        if again or a in copied:
-            out[-1:] = [(out[-1][0], b)] if out and out[-1][1] == a else [*out[-1:], (a, b)]
-    return [(a, b) for a, b in out if b - a >= MIN_RUN]
+        q, end = first.setdefault(digest, (a, b))
+        again = b - a >= MIN_CHUNK and q < a
+        if not (again or a in copied):
+            continue
+        before, after = contexts.get(q, (b"", b""))
+        back = _alike(raw[max(0, a - CONTEXT):a][::-1], before[::-1])
+        ahead = _alike(raw[b:b + CONTEXT], after)
+        if again:
+            back = max(back, _alike(raw[max(end, a - CONTEXT):a][::-1], raw[max(0, q - CONTEXT):q][::-1]))
+            ahead = max(ahead, _alike(raw[b:b + CONTEXT], raw[end:end + CONTEXT]))
+        a, b = a - back, b + ahead
+        while raw[a] & 0xC0 == 0x80:
+            a += 1
+        while b < len(raw) and raw[b] & 0xC0 == 0x80:
+            b -= 1
+        while out and out[-1][1] >= a:
+            a, b = min(a, out[-1][0]), max(b, out.pop()[1])
+        out.append((a, b))
+    return [(a, b) for a, b in out if b - a >= MIN_RUN or len(raw[a:b].split()) >= MIN_WORDS]
 
 
 def copied_chunks(docs: DataFrame) -> DataFrame:
-    """``(dk, th, copied)``: starts of the chunks of each text that a smaller id holds."""
-    rows = docs.select("dk", "th", "text").mapInPandas(_chunk_rows, "dk long, th long, pos long, hi long, lo long")
+    """``(dk, th, copied, contexts)``: starts of the chunks of each text that a smaller id holds.
+
+    ``contexts`` are the original's bytes around the chunks at which a run of copies begins or ends.
+    """
+    rows = docs.select("dk", "th", "text").mapInPandas(_chunk_rows, "dk long, th long, at long, hi long, lo long")
     shared = rows.groupBy("hi", "lo").agg(F.min("dk").alias("low"), F.max("dk").alias("high")).filter("high > low")
     # (estimates take a text for one row, so a broadcast is ruled out)
-    found = rows.join(shared.select("hi", "lo", "low").hint("merge"), ["hi", "lo"]).filter("dk > low")
-    return found.groupBy("dk", "th").agg(F.collect_list("pos").alias("copied"))
+    held = materialize(rows.join(shared.select("hi", "lo", "low").hint("merge"), ["hi", "lo"]), "shared-chunks")
+    runs = held.filter("dk > low").groupBy("dk", "th").agg(
+        F.array_sort(F.collect_set(F.struct("at", "hi", "lo"))).alias("x"))
+    runs = materialize(runs, "copied-chunks")
+    edges = runs.selectExpr("dk", "th", f"""explode(filter(transform(x, (c, i) -> struct(c.at, c.hi, c.lo,
+        i = 0 or x[greatest(i - 1, 0)].at div {PLACE} + x[greatest(i - 1, 0)].at % {PLACE} <> c.at div {PLACE} as left,
+        i = size(x) - 1 or x[least(i + 1, size(x) - 1)].at div {PLACE} <> c.at div {PLACE} + c.at % {PLACE} as right)),
+        c -> c.left or c.right)) as c""").select("dk", "th", "c.*")
+    wanted = edges.groupBy("hi", "lo").agg(F.max("left").alias("left"), F.max("right").alias("right"))
+    first = held.filter("dk = low").groupBy("hi", "lo").agg(F.min(F.struct("dk", "th", "at")).alias("o"))
+    wanted = first.join(wanted.hint("merge"), ["hi", "lo"]).select("o.*", "hi", "lo", "left", "right").groupBy("dk", "th").agg(
+        F.collect_list(F.struct("at", "hi", "lo", "left", "right")).alias("wanted"))
+    around = docs.join(wanted.hint("merge"), ["dk", "th"]).select("text", "wanted").mapInPandas(
+        _context_rows, "hi long, lo long, before binary, after binary")
+    # written, so that the join that follows shuffles both sides for itself and can split a common chunk's rows
+    around = materialize(around.dropDuplicates(["hi", "lo"]), "contexts")
+    found = edges.join(around.hint("merge"), ["hi", "lo"]).groupBy("dk", "th").agg(F.collect_list(F.struct(
+        F.expr(f"at div {PLACE}").alias("at"), F.when(F.col("left"), F.col("before")).alias("before"),
+        F.when(F.col("right"), F.col("after")).alias("after"))).alias("contexts"))
+    return runs.selectExpr("dk", "th", f"transform(x, c -> c.at div {PLACE}) as copied").join(
+        found.hint("merge"), ["dk", "th"], "left")
 
 
 def remove_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """Add ``removed`` (array of byte ranges) and put the kept text into ``text``."""
     held = docs.withColumns({"dk": F.coalesce(F.col(id_col).cast("long"), F.lit(LEAST)), "th": F.xxhash64(text_of(text))})
-    if clash := {"dk", "th", "removed", "copied", "__cut"} & set(docs.columns):
+    if clash := {"dk", "th", "removed", "copied", "contexts", "__cut"} & set(docs.columns):
         raise ValueError(f"rename the columns {sorted(clash)} first")
     found = copied_chunks(held.select("dk", "th", text_of(text).alias("text")))
 
     @F.pandas_udf("struct<text string, removed array<struct<start long, end long>>>")
-    def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for texts, starts in batches:
+    def cut(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for texts, starts, around in batches:
             rows = []
-            for t, copied in zip(texts, starts, strict=True):
+            for t, copied, contexts in zip(texts, starts, around, strict=True):
                 raw = t.encode("utf-8")
-                gone = _ranges(raw, set() if copied is None else set(copied.tolist()))
+                near = {} if contexts is None else {int(x["at"]): (x["before"] or b"", x["after"] or b"") for x in contexts}
+                gone = _ranges(raw, set() if copied is None else set(copied.tolist()), near)
                 keep = zip([0, *[b for _, b in gone]], [*[a for a, _ in gone], len(raw)], strict=True)
                 rows.append((b"".join(raw[a:b] for a, b in keep).decode("utf-8") if gone else t, gone))
             yield pd.DataFrame(rows, columns=["text", "removed"])
 
-    out = held.join(found, ["dk", "th"], "left").withColumn("__cut", cut(text_of(text), F.col("copied")))
+    out = held.join(found, ["dk", "th"], "left").withColumn("__cut", cut(text_of(text), F.col("copied"), F.col("contexts")))
     return out.select(*[F.col("__cut.text").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns], "__cut.removed")
 
 

@@ -123,6 +123,30 @@ def test_chunk_dedup(spark, odd_docs):
     assert chunk_dedup.digests(odd_docs.limit(0)).count() == 0
 
 
+def test_chunk_dedup_takes_whole_passages(spark):
+    rng = random.Random(8)
+    vocab = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 8))) for _ in range(4000)]
+    rows, passages = [], {}
+    for k in range(150):
+        passages[k] = " ".join(rng.choices(vocab, k=55))
+        for i in (2 * k, 2 * k + 1):
+            rows.append((i, " ".join(rng.choices(vocab, k=rng.randint(30, 60))) + f" <{i}> " + passages[k] + f" [{i}] " +
+                         " ".join(rng.choices(vocab, k=30))))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in chunk_dedup.remove_copies(df).collect()}
+    assert all(got[i]["removed"] == [] for i in range(0, 300, 2))
+    whole, untouched = 0, 0
+    for k, p in passages.items():
+        text, r = rows[2 * k + 1][1], got[2 * k + 1]
+        at = text.index(p)
+        whole += any(x["start"] <= at and x["end"] >= at + len(p) for x in r["removed"])
+        untouched += r["removed"] == []
+        gone = sum(x["end"] - x["start"] for x in r["removed"])
+        assert gone <= len(p) + 12 and len(r["text"]) == len(text) - gone
+    assert whole + untouched == 150  # a passage that is found goes whole
+    assert untouched <= 7
+
+
 def test_repeat_dedup(spark, odd_docs):
     docs = rows_of(odd_docs)
     raws = [t.encode() for _, t in docs]
