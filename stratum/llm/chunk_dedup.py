@@ -1,11 +1,14 @@
 """Substring deduplication by content-defined chunks.
 
-Texts are cut, as UTF-8 bytes, at word starts where a gear rolling hash of the
-``WINDOW`` bytes before has ``MASK_BITS`` zero bits, at least ``MIN_CHUNK`` bytes
-after the last cut and at most ``MAX_CHUNK`` (then at the next character).  Cuts
-depend on nearby bytes only, so an insertion shifts no later chunk for long.  A
+Texts are cut, as UTF-8 bytes, at those character starts where a gear rolling hash of
+the ``WINDOW`` bytes before is the least within ``REACH`` bytes on both sides, at least
+``MIN_CHUNK`` bytes after the last cut.  Equal hashes all count, so text with a short
+period is cut at one phase wherever it begins.  Where no cut falls within
+``MAX_CHUNK`` bytes, it is at the last least hash in them.  Cuts depend on nearby bytes
+only, in texts without spaces too, so an insertion shifts no later chunk for long.  A
 chunk is identified by its 128-bit digest.  The occurrence in the smallest
-document id, and there the first, is the original; others are copies.  A run of
+document id, and there the first, is the original; others are copies, in one text
+those that begin ``MIN_RUN`` bytes or more after the first.  A run of
 adjacent copies is extended byte by byte in both directions as far as the text
 equals the original's, up to ``CONTEXT`` bytes, and removed if it then has at least
 ``MIN_RUN`` bytes or ``MIN_WORDS`` words, so that a short phrase that recurs by
@@ -38,7 +41,7 @@ from pyspark.sql import functions as F
 from stratum.llm.common import materialize, text_of
 
 WINDOW = 16
-MASK_BITS = 3
+REACH = 32
 MIN_CHUNK = 24
 MAX_CHUNK = 512
 MIN_RUN = 160
@@ -50,8 +53,6 @@ PLACE = 1 << 10
 LEAST = -(1 << 63)
 #: One pseudo-random 16-bit number per byte value; the hash keeps 16 bits, so 16 bytes count.
 GEAR = np.array([xxhash.xxh64_intdigest(bytes([b]), 1) & 0xFFFF for b in range(256)], np.uint16)
-SPACE = np.zeros(256, bool)
-SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
 def gear(data: np.ndarray) -> np.ndarray:
@@ -63,22 +64,34 @@ def gear(data: np.ndarray) -> np.ndarray:
     return h
 
 
+def _least_near(h: np.ndarray) -> np.ndarray:
+    """The least of each value and the ``REACH`` before it, by doubling."""
+    m, span = h.copy(), 1
+    while span <= REACH:
+        step = min(span, REACH + 1 - span)
+        m[step:] = np.minimum(m[step:], m[:-step])
+        span += step
+    return m
+
+
 def cuts(raw: bytes) -> list[int]:
     """Ends of the chunks of a text; the last is its length."""
     n = len(raw)
     if n <= MIN_CHUNK:
         return [n] if n else []
     data = np.frombuffer(raw, np.uint8)
-    at = np.flatnonzero(SPACE[data[:-1]] & ~SPACE[data[1:]]) + 1
-    marked = at[gear(data)[at - 1] >> np.uint16(16 - MASK_BITS) == 0].tolist()
+    # h[k] belongs to a cut before byte k + 1; characters are not cut
+    h = gear(data)[:-1] * np.uint16(40503)
+    starts = (data[1:] & 0xC0) != 0x80
+    h[~starts] = 0xFFFF
+    least = np.minimum(_least_near(h), _least_near(h[::-1])[::-1])
     out, last = [], 0
-    for c in [*marked, n]:
+    for c in [*(np.flatnonzero((h == least) & starts) + 1).tolist(), n]:
         while c - last > MAX_CHUNK:
-            last += MAX_CHUNK
-            while last < n and raw[last] & 0xC0 == 0x80:
-                last += 1
-            if last < n:
-                out.append(last)
+            # (the last of the least, so that periodic text is cut at one phase)
+            part = h[last + MIN_CHUNK - 1:last + MAX_CHUNK][::-1]
+            last += MAX_CHUNK - int(np.argmin(part))
+            out.append(last)
         if c - last >= MIN_CHUNK and c < n:
             out.append(c)
             last = c
@@ -144,16 +157,19 @@ def _ranges(raw: bytes, copied: set[int], contexts: dict[int, tuple[bytes, bytes
     """
     out: list[tuple[int, int]] = []
     first: dict[bytes, tuple[int, int]] = {}
-    for a, b, digest in zip(*chunks(raw), strict=True):
+    starts, ends, digests = chunks(raw)
+    for a, b, digest, following in zip(starts, ends, digests, [*digests[1:], b""], strict=False):
         q, end = first.setdefault(digest, (a, b))
-        again = b - a >= MIN_CHUNK and q < a
-        if not (again or a in copied):
+        again = b - a >= MIN_CHUNK and a - q >= MIN_RUN
+        if not (again or (q in copied and b - a == end - q)):
             continue
         before, after = contexts.get(q, (b"", b""))
         back = _alike(raw[max(0, a - CONTEXT):a][::-1], before[::-1])
         ahead = _alike(raw[b:b + CONTEXT], after)
+        if q in copied and following == digest:  # a period: the original's may begin earlier or later
+            back = max(back, _alike(raw[max(0, a - CONTEXT):a][::-1], raw[max(0, b - CONTEXT):b][::-1]))
         if again:
-            back = max(back, _alike(raw[max(end, a - CONTEXT):a][::-1], raw[max(0, q - CONTEXT):q][::-1]))
+            back = max(back, _alike(raw[max(end, q + MIN_RUN, a - CONTEXT):a][::-1], raw[max(0, q - CONTEXT):q][::-1]))
             ahead = max(ahead, _alike(raw[b:b + CONTEXT], raw[end:end + CONTEXT]))
         a, b = a - back, b + ahead
         while raw[a] & 0xC0 == 0x80:

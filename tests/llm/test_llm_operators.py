@@ -147,6 +147,26 @@ def test_chunk_dedup_takes_whole_passages(spark):
     assert untouched <= 7
 
 
+def test_chunk_dedup_without_spaces_and_with_periods(spark):
+    rng = random.Random(9)
+    han = lambda k: "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(k))
+    code = lambda k: "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdef0123456789+/", k=k))
+    said = lambda k: " ".join(code(rng.randint(2, 7)) for _ in range(k)) + " "
+    rows, passages = [], {}
+    for k in range(60):
+        make = (han, code, said)[k % 3]
+        passages[k] = said(rng.choice([1, 2, 3, 8])) * 60 if make is said else make(400)
+        rows += [(i, make(rng.randint(40, 160)) + passages[k] + make(60)) for i in (2 * k, 2 * k + 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in chunk_dedup.remove_copies(df).collect()}
+    for k, p in passages.items():
+        raw, part = rows[2 * k + 1][1].encode(), p.encode()
+        at = raw.index(part)
+        assert any(x["start"] <= at and x["end"] >= at + len(part) for x in got[2 * k + 1]["removed"]), (k, p[:40])
+        if k % 3 < 2:
+            assert got[2 * k]["removed"] == []
+
+
 def test_repeat_dedup(spark, odd_docs):
     docs = rows_of(odd_docs)
     raws = [t.encode() for _, t in docs]
