@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -66,11 +67,14 @@ class WordEncoder:
         return np.array(ids, self.width).tobytes()
 
     def _learn(self, words: set[str]) -> None:
-        """Encode unknown words; letters and closing marks are tokens apart, so a word's core is shared."""
+        """Encode unknown words; letters and closing marks are tokens apart, so a word's core is shared.
+
+        Not where normalising makes a combining mark of a letter, as the marks after it join that.
+        """
         known, parts = self.known, {}
         for w in words:
             core = w.rstrip(",.;:!?")
-            if core.isalpha():
+            if core.isascii() and core.isalpha() or unicodedata.normalize("NFC", core).lower().isalpha():
                 parts[w] = core.lower() if core.isascii() else core, w[len(core):]
             else:
                 parts[w] = w, ""

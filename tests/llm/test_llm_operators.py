@@ -278,6 +278,23 @@ def test_token_store(spark, odd_docs, tmpdir_path):
     assert token_store.read(spark, f"{tmpdir_path}/empty").count() == 0
 
 
+def test_words_that_normalising_changes():
+    file = tokenizer_file("word_bpe_49k.json")
+    t, own = Tokenizer.from_file(file), token_store.WordEncoder(file, 2)
+    cores = ["İ", "EĞİTİMİ", "İstanbul", "\u0915\u0958", "\u095f", "पढ\u093c", "\u05d0\ufb2a", "\ufb4b", "ﬁ", "ǅ", "é", "e\u0301", "ẞ", "中文", "İ1"]
+    texts = [c + m for c in cores for m in ("", ".", ",", "!?", ";:")]
+    texts.append(" ".join(texts))
+    for text, ids in zip(texts, own(texts), strict=True):
+        assert np.frombuffer(ids, "<u2").tolist() == t.encode(text, add_special_tokens=False).ids, text
+    # every letter, before a closing mark
+    letters = [chr(c) + "." for c in range(0x110000) if chr(c).isalpha()]
+    for k in range(0, len(letters), 20_000):
+        part = letters[k:k + 20_000]
+        wrong = [w for w, ids, e in zip(part, own(part), t.encode_batch_fast(part, add_special_tokens=False), strict=True)
+                 if np.frombuffer(ids, "<u2").tolist() != e.ids]
+        assert wrong == []
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
