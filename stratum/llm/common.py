@@ -29,6 +29,11 @@ def text_of(col: str = "text"):
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
+def within_share(hashed, share: float):
+    """Whether a 64-bit hash falls into a share from 0 to 1, which may be as small as one row of very many."""
+    return F.shiftrightunsigned(hashed, 1) <= F.lit(min(int(share * 2.0 ** 63), (1 << 63) - 1))
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """Components of the undirected graph ``edges (a, b)``, as ``(node, component)``.
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratum.llm.common import within_share
+
 
 def held_out(id_col, folds: int, fold: int):
     """Whether the CRC-32 of the id as text falls into ``fold``; null ids don't."""
@@ -16,4 +18,4 @@ def bounded(ids: DataFrame, rows: int, id_col: str = "doc_id") -> DataFrame:
     n = ids.count()
     if n <= rows:
         return ids
-    return ids.filter(F.pmod(F.xxhash64(id_col, F.lit(17)), F.lit(1_000_000)) < int(1_000_000 * rows / n))
+    return ids.filter(within_share(F.xxhash64(id_col, F.lit(17)), rows / n))

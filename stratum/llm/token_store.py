@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from stratum.llm.common import text_of
+from stratum.llm.common import text_of, within_share
 
 DICTIONARY_BYTES = 112_640
 SAMPLE_DOCS = 2_000
@@ -138,7 +138,7 @@ def write(docs: DataFrame, path: str, file: str, end_id: int, id_col: str = "doc
     width = 2 if max(Tokenizer.from_file(file).get_vocab_size(), end_id + 1) <= 1 << 16 else 4
     docs = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text).alias("text"))
     rows = docs.count()
-    share = F.pmod(F.xxhash64("id", F.lit(9)), F.lit(1_000_000)) < int(1_000_000 * min(1.0, SAMPLE_DOCS / max(rows, 1)))
+    share = within_share(F.xxhash64("id", F.lit(9)), min(1.0, SAMPLE_DOCS / max(rows, 1)))
     samples = [bytes(r["x"]) for r in docs.filter(share).select(_slices(file, end_id, width)("text").alias("x")).collect()]
     dictionary = train_dictionary(samples)
     digest = hashlib.sha256(dictionary).hexdigest()

@@ -11,9 +11,9 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from stratum.llm import (chunk_dedup, embedding_dedup, fingerprints, mixing, quality, repeat_dedup, sentencepiece_codec,
+from stratum.llm import (chunk_dedup, embedding_dedup, fingerprints, labelled, mixing, quality, repeat_dedup, sentencepiece_codec,
                          simhash_dedup, token_store, toxicity)
-from stratum.llm.common import connected_components
+from stratum.llm.common import connected_components, within_share
 from stratum.llm.queries import tokenizer_file
 
 
@@ -278,6 +278,12 @@ def test_token_store(spark, odd_docs, tmpdir_path):
     assert token_store.read(spark, f"{tmpdir_path}/empty").count() == 0
 
 
+def test_samples_of_very_many_rows(spark):
+    ids = spark.range(20_000_000).withColumnRenamed("id", "doc_id")
+    assert 2 <= labelled.bounded(ids, 10).count() <= 30
+    assert ids.limit(1000).filter(within_share(F.xxhash64("doc_id"), 1.0)).count() == 1000
+
+
 def test_words_that_normalising_changes():
     file = tokenizer_file("word_bpe_49k.json")
     t, own = Tokenizer.from_file(file), token_store.WordEncoder(file, 2)
