@@ -17,7 +17,7 @@ the ``BLOCKS`` sums of each source, one more the documents of its last block.
 The number of sources is taken to be moderate: a row per source goes to the driver.
 
 Results: a null source is a source of its own.  Null and empty texts have no
-tokens and follow their block.  Repeated rows are taken together.  Null ids are
+tokens and follow their block; if no row has a token, each is read once.  Repeated rows are taken together.  Null ids are
 hashed like others.  An empty table gives an empty table; extra columns pass through.
 """
 
@@ -97,9 +97,10 @@ def mix(docs: DataFrame, max_repeats: float | None = MAX_REPEATS, entropy: float
     sums = materialize(held.groupBy(F.col(source).alias("s"), "mix_block").agg(F.sum("mix_tokens").alias("t")), "blocks")
     totals = {r["s"]: r["t"] for r in sums.groupBy("s").agg(F.sum("t").alias("t")).collect()}
     whole = sum(totals.values())
-    if not whole:
-        return held.limit(0).select(*docs.columns, "mix_tokens", F.lit(0).alias("mix_epoch"), "mix_block",
-                                    F.lit(0.0).alias("mix_at"))
+    if not whole:  # no row has a token: each is read once
+        at = F.xxhash64("mix_block", F.lit(seed), F.lit(0)) / F.lit(2.0 ** 64) + F.lit(0.5)
+        return held.select(*[F.col(f"`{c}`") for c in docs.columns], "mix_tokens", F.lit(0).alias("mix_epoch"), "mix_block",
+                           at.alias("mix_at"))
     shares = {s: t / whole for s, t in totals.items() if t}
     _, _, times = solve(shares, max_repeats, entropy, budget)
     times = {s: times.get(s, 1.0) for s in totals}  # sources without a token are read once

@@ -230,6 +230,14 @@ def test_mixing(spark, odd_docs):
     assert mixing.mix(odd_docs.limit(0)).count() == 0
 
 
+def test_mixing_without_a_token(spark):
+    docs = spark.createDataFrame([(1, None, "a"), (2, "", "a"), (3, "  ", None)], "doc_id long, text string, source string")
+    for budget in (None, 1.0):
+        got = mixing.mix(docs, max_repeats=1.25, budget=budget).collect()
+        assert sorted((r["doc_id"], r["mix_epoch"], r["mix_tokens"]) for r in got) == [(1, 0, 0), (2, 0, 0), (3, 0, 0)]
+        assert all(0 <= r["mix_at"] <= 1 for r in got)
+
+
 def test_segments_are_the_maximal_ones():
     hits = [(0, 4.0), (8, 3.0), (60, 2.0), (61, 2.0)]
     assert [(a, b, round(s, 6)) for a, b, s in toxicity.segments(hits, 0.1)] == [(0, 8, 6.3), (60, 61, 4.0)]
