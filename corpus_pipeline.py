@@ -32,7 +32,7 @@ def near_dedup(spark, docs, sf_dir):
 def substring_dedup(spark, docs, sf_dir):
     """Cut passages out of every document but the first that has them."""
     apply_defaults(spark)
-    cut = chunk_dedup.remove_copies(docs)
+    cut = chunk_dedup.remove_copies(docs, removed=None)
     return cut.withColumn("n_chars", F.char_length("text").cast("long")).select(docs.columns)
 
 

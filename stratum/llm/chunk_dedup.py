@@ -213,12 +213,19 @@ def copied_chunks(docs: DataFrame) -> DataFrame:
         found.hint("merge"), ["dk", "th"], "left")
 
 
-def remove_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Add ``removed`` (array of byte ranges) and put the kept text into ``text``."""
-    held = docs.withColumns({"dk": F.coalesce(F.col(id_col).cast("long"), F.lit(LEAST)), "th": F.xxhash64(text_of(text))})
-    if clash := {"dk", "th", "removed", "copied", "contexts", "__cut"} & set(docs.columns):
-        raise ValueError(f"rename the columns {sorted(clash)} first")
-    found = copied_chunks(held.select("dk", "th", text_of(text).alias("text")))
+def remove_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", removed: str | None = "removed") -> DataFrame:
+    """Put the kept text into ``text`` and add the removed byte ranges as the column ``removed``, if named.
+
+    The caller's columns have names of their own meanwhile, so any others are allowed.
+    """
+    names = docs.columns
+    if removed in names:
+        raise ValueError(f"rename the column {removed} first, or give another name or None")
+    own = [f"c{k}" for k in range(len(names))]
+    id_own, text_own = own[names.index(id_col)], own[names.index(text)]
+    held = docs.toDF(*own).withColumns({"dk": F.coalesce(F.col(id_own).cast("long"), F.lit(LEAST)),
+                                        "th": F.xxhash64(text_of(text_own))})
+    found = copied_chunks(held.select("dk", "th", text_of(text_own).alias("text")))
 
     @F.pandas_udf("struct<text string, removed array<struct<start long, end long>>>")
     def cut(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
@@ -232,8 +239,9 @@ def remove_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -
                 rows.append((b"".join(raw[a:b] for a, b in keep).decode("utf-8") if gone else t, gone))
             yield pd.DataFrame(rows, columns=["text", "removed"])
 
-    out = held.join(found, ["dk", "th"], "left").withColumn("__cut", cut(text_of(text), F.col("copied"), F.col("contexts")))
-    return out.select(*[F.col("__cut.text").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns], "__cut.removed")
+    out = held.join(found, ["dk", "th"], "left").withColumn("__cut", cut(text_of(text_own), F.col("copied"), F.col("contexts")))
+    kept = [F.col("__cut.text" if c == text_own else c).alias(name) for c, name in zip(own, names, strict=True)]
+    return out.select(*kept, *([F.col("__cut.removed").alias(removed)] if removed else []))
 
 
 def digests(docs: DataFrame) -> DataFrame:

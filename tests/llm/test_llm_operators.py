@@ -147,6 +147,16 @@ def test_chunk_dedup_takes_whole_passages(spark):
     assert untouched <= 7
 
 
+def test_chunk_dedup_keeps_clashing_names(spark, odd_docs):
+    import corpus_pipeline
+
+    names = ["dk", "th", "removed", "copied", "contexts", "__cut", "c0"]
+    docs = odd_docs.withColumn("n_chars", F.lit(0).cast("long")).withColumns({c: F.lit(c) for c in names})
+    out = corpus_pipeline.substring_dedup(spark, docs, None)
+    assert out.columns == docs.columns and out.count() == docs.count()
+    assert all(r[c] == c for r in out.collect() for c in names)
+
+
 def test_chunk_dedup_without_spaces_and_with_periods(spark):
     rng = random.Random(9)
     han = lambda k: "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(k))
