@@ -39,7 +39,7 @@ def substring_dedup(spark, docs, sf_dir):
 def mix_sources(spark, docs, sf_dir):
     """Repeat documents of rarer sources; each document is read at least once."""
     apply_defaults(spark)
-    return mixing.mix(docs, max_repeats=MAX_REPEATS, budget=None).select(docs.columns)
+    return mixing.mix(docs, max_repeats=MAX_REPEATS, budget=None, added=False)
 
 
 def encode(spark, docs, sf_dir):

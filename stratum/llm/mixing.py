@@ -78,19 +78,25 @@ def solve(shares: dict, max_repeats: float | None = None, entropy: float | None
 
 def mix(docs: DataFrame, max_repeats: float | None = MAX_REPEATS, entropy: float | None = None,
         budget: float | None = 1.0, source: str = "source", id_col: str = "doc_id", text: str = "text",
-        seed: int = SEED) -> DataFrame:
+        seed: int = SEED, added: bool = True) -> DataFrame:
     """The mixed rows: those of ``docs`` once per epoch in which they are taken.
 
-    Adds ``mix_tokens, mix_epoch, mix_block, mix_at``; sorted by ``mix_at`` (0 to 1),
+    Adds ``mix_tokens, mix_epoch, mix_block, mix_at`` unless ``added`` is false, when any column names are allowed; sorted by ``mix_at`` (0 to 1),
     the sources alternate in proportion to their weights.
     """
     if (max_repeats is None) == (entropy is None):
         raise ValueError("give max_repeats or entropy")
     spark = docs.sparkSession
+    names, new = docs.columns, ["mix_tokens", "mix_epoch", "mix_block", "mix_at"]
+    if clash := [c for c in names if added and c in new]:
+        raise ValueError(f"rename the columns {clash} first")
+    # the caller's columns have names of their own meanwhile
+    own = [f"c{k}" for k in range(len(names))]
+    source, id_col, text = (own[names.index(c)] for c in (source, id_col, text))
+    docs = docs.toDF(*own)
+    result = [F.col(c).alias(name) for c, name in zip(own, names, strict=True)]
     word = F.size(F.split(F.trim(text_of(text)), r"\s+"))
     tokens = F.when(F.length(F.trim(text_of(text))) > 0, word).otherwise(0).cast("long")
-    if clash := [c for c in docs.columns if c.startswith("mix_")]:
-        raise ValueError(f"rename the columns {clash} first")
     key = F.xxhash64(F.col(id_col), F.xxhash64(text_of(text)), F.lit(seed))
     held = docs.withColumns({"mix_tokens": tokens, "mix_key": key}).withColumn(
         "mix_block", F.pmod("mix_key", F.lit(BLOCKS)).cast("int"))
@@ -99,8 +105,7 @@ def mix(docs: DataFrame, max_repeats: float | None = MAX_REPEATS, entropy: float
     whole = sum(totals.values())
     if not whole:  # no row has a token: each is read once
         at = F.xxhash64("mix_block", F.lit(seed), F.lit(0)) / F.lit(2.0 ** 64) + F.lit(0.5)
-        return held.select(*[F.col(f"`{c}`") for c in docs.columns], "mix_tokens", F.lit(0).alias("mix_epoch"), "mix_block",
-                           at.alias("mix_at"))
+        return held.select(*result, *(["mix_tokens", F.lit(0).alias("mix_epoch"), "mix_block", at.alias("mix_at")] if added else []))
     shares = {s: t / whole for s, t in totals.items() if t}
     _, _, times = solve(shares, max_repeats, entropy, budget)
     times = {s: times.get(s, 1.0) for s in totals}  # sources without a token are read once
@@ -139,8 +144,8 @@ def mix(docs: DataFrame, max_repeats: float | None = MAX_REPEATS, entropy: float
     taken = there.withColumn("mix_epoch", F.explode(F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(
         F.array().cast("array<int>"))))
     unit = (place(F.col("mix_epoch")) / F.lit(2.0 ** 64)) + F.lit(0.5)
-    return taken.select(*[F.col(f"`{c}`") for c in docs.columns], "mix_tokens", "mix_epoch", "mix_block",
-                        ((F.col("mix_epoch") + unit) / F.greatest(F.col("times"), F.col("mix_epoch") + 1.0)).alias("mix_at"))
+    at = (F.col("mix_epoch") + unit) / F.greatest(F.col("times"), F.col("mix_epoch") + 1.0)
+    return taken.select(*result, *(["mix_tokens", "mix_epoch", "mix_block", at.alias("mix_at")] if added else []))
 
 
 def schedule(docs: DataFrame) -> DataFrame:

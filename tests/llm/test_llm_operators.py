@@ -248,6 +248,17 @@ def test_mixing_without_a_token(spark):
         assert all(0 <= r["mix_at"] <= 1 for r in got)
 
 
+def test_mixing_keeps_clashing_names(spark, odd_docs):
+    import corpus_pipeline
+
+    names = ["mix_x", "mix_tokens", "mix_key", "mix_at", "epochs", "times", "c_rest", "d_stop", "c0"]
+    docs = odd_docs.withColumns({c: F.lit(c) for c in names})
+    out = corpus_pipeline.mix_sources(spark, docs, None)
+    assert out.columns == docs.columns
+    rows = out.collect()
+    assert len(rows) >= docs.count() and all(r[c] == c for r in rows for c in names)
+
+
 def test_segments_are_the_maximal_ones():
     hits = [(0, 4.0), (8, 3.0), (60, 2.0), (61, 2.0)]
     assert [(a, b, round(s, 6)) for a, b, s in toxicity.segments(hits, 0.1)] == [(0, 8, 6.3), (60, 61, 4.0)]
