@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from small_tables import SF_SMALL
 from stratum.operators.dedup import latest_per_key
 from stratum.plans import queries as Q
 

@@ -6,7 +6,7 @@ from stratum.operators.quality import dq_metrics, label_census
 from stratum.plans import silver as S
 from stratum.sources.adapters import bronze
 
-from conftest import SF_SMALL
+from small_tables import SF_SMALL
 
 
 def test_order_split_partitions_input(spark):

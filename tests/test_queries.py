@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
-from conftest import SF_SMALL
+from small_tables import SF_SMALL
 from stratum.plans.queries import QUERIES
 from stratum.streaming.queries import STREAM_QUERIES
 
