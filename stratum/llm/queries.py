@@ -5,7 +5,7 @@ Each applies its operator, with production parameters, to its whole table.
 
 from __future__ import annotations
 
-from stratum.llm import (chunk_dedup, embedding_dedup, fingerprints, mixing, quality, repeat_dedup, sentencepiece_codec,
+from stratum.llm import (centroids, chunk_dedup, embedding_dedup, fingerprints, mixing, quality, repeat_dedup, sentencepiece_codec,
                          simhash_dedup, token_store, toxicity)
 from stratum.llm.common import table
 from stratum.session import apply_defaults, scratch_dir
@@ -72,6 +72,11 @@ def op10_quality(spark, sf_dir):
     return quality.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_centroids(spark, sf_dir):
+    apply_defaults(spark)
+    return centroids.digests(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_fingerprints": op2_fingerprints,
@@ -83,6 +88,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_token_store": op9_token_store,
     "op10_quality": op10_quality,
+    "op11_centroids": op11_centroids,
 }
 #: Hashes, learned scores and tokenizers have no SQL form; the tests compare those with brute force.
 ORACLE: dict[str, str] = {
@@ -95,4 +101,5 @@ low AS (SELECT id, min(node) AS component_id FROM reach GROUP BY id),
 n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
 SELECT id AS vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, component_id = id AS kept
 FROM low LEFT JOIN n ON n.a = low.id""",
+    "op11_centroids": centroids.SQL,
 }
