@@ -5,7 +5,7 @@ Each applies its operator, with production parameters, to its whole table.
 
 from __future__ import annotations
 
-from stratum.llm import (centroids, chunk_dedup, embedding_dedup, fingerprints, mixing, quality, repeat_dedup, sentencepiece_codec,
+from stratum.llm import (centroids, chunk_dedup, embedding_dedup, fingerprints, manifest, mixing, quality, repeat_dedup, sentencepiece_codec,
                          simhash_dedup, token_store, toxicity)
 from stratum.llm.common import table
 from stratum.session import apply_defaults, scratch_dir
@@ -77,6 +77,11 @@ def op11_centroids(spark, sf_dir):
     return centroids.digests(table(spark, sf_dir, "embeddings"))
 
 
+def op13_manifest(spark, sf_dir):
+    apply_defaults(spark)
+    return manifest.digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_fingerprints": op2_fingerprints,
@@ -89,6 +94,7 @@ QUERIES = {
     "op9_token_store": op9_token_store,
     "op10_quality": op10_quality,
     "op11_centroids": op11_centroids,
+    "op13_manifest": op13_manifest,
 }
 #: Hashes, learned scores and tokenizers have no SQL form; the tests compare those with brute force.
 ORACLE: dict[str, str] = {
