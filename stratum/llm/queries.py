@@ -5,7 +5,7 @@ Each applies its operator, with production parameters, to its whole table.
 
 from __future__ import annotations
 
-from stratum.llm import (centroids, chunk_dedup, embedding_dedup, fingerprints, manifest, mixing, quality, repeat_dedup, sentencepiece_codec,
+from stratum.llm import (centroids, chunk_dedup, embedding_dedup, fingerprints, line_dedup, manifest, mixing, quality, repeat_dedup, sentencepiece_codec,
                          simhash_dedup, token_store, toxicity)
 from stratum.llm.common import table
 from stratum.session import apply_defaults, scratch_dir
@@ -77,6 +77,11 @@ def op11_centroids(spark, sf_dir):
     return centroids.digests(table(spark, sf_dir, "embeddings"))
 
 
+def op12_line_dedup(spark, sf_dir):
+    apply_defaults(spark)
+    return line_dedup.digests(table(spark, sf_dir, "documents"), scratch_dir(spark, "lines"))
+
+
 def op13_manifest(spark, sf_dir):
     apply_defaults(spark)
     return manifest.digests(table(spark, sf_dir, "documents"))
@@ -94,6 +99,7 @@ QUERIES = {
     "op9_token_store": op9_token_store,
     "op10_quality": op10_quality,
     "op11_centroids": op11_centroids,
+    "op12_line_dedup": op12_line_dedup,
     "op13_manifest": op13_manifest,
 }
 #: Hashes, learned scores and tokenizers have no SQL form; the tests compare those with brute force.
@@ -108,4 +114,5 @@ n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
 SELECT id AS vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, component_id = id AS kept
 FROM low LEFT JOIN n ON n.a = low.id""",
     "op11_centroids": centroids.SQL,
+    "op12_line_dedup": line_dedup.SQL,
 }
