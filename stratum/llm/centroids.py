@@ -1,9 +1,10 @@
 """Lloyd's centroid clustering of integer vectors, in JVM expressions alone.
 
-A vector's components become integers ``floor(scale * x)``.  A distance is
-``aggregate(zip_with(vector, centroid, squared difference), sum)`` to a literal
-centroid array, and ``array_min`` over the structs (distance, number) chooses the
-nearest centroid, the smaller number on ties.  A round is one pass over the table:
+A vector's components become integers ``floor(scale * x)``.  A squared distance to a
+literal centroid array is the sum of both squares less twice their product, which is
+``aggregate(zip_with(vector, centroid, product), sum)``: one product a component.
+``array_min`` over the structs (distance, number) chooses the nearest centroid, the
+smaller number on ties; the vector's own square is the same for all and added last.  A round is one pass over the table:
 the assignment and one sum per component run in the same stage, so that a task
 sends one row of sums per centroid, whatever a cluster's size.  What reaches the
 driver are these ``k`` rows of sums and the first centroids, k times the dimension
@@ -57,10 +58,11 @@ def first_centroids(vectors: DataFrame, k: int = K, seed: int = 1) -> list[list[
 
 
 def nearest(v: Column, centroids: list[list[int]]) -> Column:
-    """Struct ``(d, c)``: the least squared distance and the number of its centroid."""
+    """Struct ``(d, c)``: the least squared distance, less the vector's own square, and the number of its centroid."""
     def to(c: list[int]) -> Column:
         literal = F.expr(f"array({', '.join(f'{x}L' for x in c)})")
-        return F.aggregate(F.zip_with(v, literal, lambda a, b: (a - b) * (a - b)), F.lit(0).cast("long"), lambda s, x: s + x)
+        product = F.aggregate(F.zip_with(v, literal, lambda a, b: a * b), F.lit(0).cast("long"), lambda s, x: s + x)
+        return F.lit(sum(x * x for x in c)).cast("long") - 2 * product
 
     return F.array_min(F.array([F.struct(to(c).alias("d"), F.lit(i).alias("c")) for i, c in enumerate(centroids)]))
 
@@ -86,8 +88,9 @@ def cluster(vectors: DataFrame, id_col: str = "vec_id", vector: str = "embedding
         centroids = [[0] * dimension]
     for _ in range(rounds):
         centroids = updated(whole, centroids)
-    last = whole.select(F.col("id").alias(id_col), nearest(F.col("v"), centroids).alias("near"))
-    return last.select(id_col, F.col("near.c").alias("cluster"), F.col("near.d").alias("distance")), centroids
+    own = F.aggregate("v", F.lit(0).cast("long"), lambda s, x: s + x * x)
+    last = whole.select(F.col("id").alias(id_col), nearest(F.col("v"), centroids).alias("near"), own.alias("own"))
+    return last.select(id_col, F.col("near.c").alias("cluster"), (F.col("near.d") + F.col("own")).alias("distance")), centroids
 
 
 def digests(vectors: DataFrame) -> DataFrame:

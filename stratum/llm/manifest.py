@@ -165,12 +165,13 @@ _PATH = f"""slice(array(
   1, CASE WHEN total = 1 THEN 0 WHEN total <= {FAN} THEN 1 ELSE 2 END)"""
 
 
-def unfold(passes: list[DataFrame], above: DataFrame) -> DataFrame:
+def unfold(passes: list[DataFrame], above: DataFrame | None = None) -> DataFrame:
     """``(key, pos, digest, row, path, ...)`` of every leaf: its siblings by level, up through ``above (key, path, ...)``."""
-    more = [c for c in above.columns if c not in ("key", "path")]
+    more = [c for c in above.columns if c not in ("key", "path")] if above is not None else []
     down = None
     for arrays in reversed(passes):
-        met = arrays.filter(f"total <= {SLOTS}").join(above, "key")
+        met = arrays.filter(f"total <= {SLOTS}")
+        met = met.withColumn("path", F.expr("cast(array() AS array<struct<l: string, r: string>>)")) if above is None else met.join(above, "key")
         if down is not None:
             met = met.unionByName(arrays.filter(f"total > {SLOTS}").join(down.select("key", F.col("pos").alias("place"), "path", *more), ["key", "place"]))
         each = met.select("*", F.explode("slots").alias("s")).selectExpr(
@@ -203,9 +204,7 @@ def build(rows: DataFrame, id_col: str, group: str, leaf: str, claim: str) -> Ma
 
 def proofs(manifest: Manifest) -> DataFrame:
     """``(id, leaf, claim, subroot, path)`` of every row; ``path`` holds the siblings' digests, left and right, by level."""
-    spark = manifest.subroots.sparkSession
-    nothing = spark.range(1).select(F.lit("").alias("key"), F.expr("cast(array() AS array<struct<l: string, r: string>>)").alias("path"))
-    above = unfold(manifest.top, nothing).select(F.col("row.key").alias("key"), F.col("digest").alias("subroot"), "path")
+    above = unfold(manifest.top).select(F.col("row.key").alias("key"), F.col("digest").alias("subroot"), "path")
     above = materialize(above, "above")
     return unfold(manifest.passes, above).select("row.id", F.col("digest").alias("leaf"), "row.claim", "subroot", "path")
 
