@@ -9,7 +9,9 @@ every row of that key to a single task and sort it there.
 Ties on the order columns are broken by the remaining columns (greatest
 value wins, NULL lowest), which makes the result deterministic.  Rows with
 a NULL in any key column never match each other (equality semantics) and
-are passed through unchanged.
+are passed through unchanged: they go through the same pass under a number
+of their own.  Without them (``keep_null_keys=False``: none can come, or none
+is wanted) the exchange is on the keys alone, and a join on them needs no other.
 """
 
 from __future__ import annotations
@@ -28,10 +30,10 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()
     order = [c for c in order if c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in order]
     fields = [F.col(c) for c in order + rest] or [F.lit(True).alias("__k")]
-    packed = F.struct(*fields)
-    has_null = any_null(keys)
-    # Only keyed rows are shuffled, on the keys alone; rows with a NULL key
-    # never match anything, so they skip the aggregation.
-    latest = (df.filter(~has_null).groupBy(*keys).agg(F.max(packed).alias("__latest"))
-                .select(*keys, "__latest.*").select(*df.columns))
-    return latest.unionByName(df.filter(has_null)) if keep_null_keys else latest
+    packed = F.max(F.struct(*fields)).alias("__latest")
+    if keep_null_keys:
+        own = F.when(any_null(keys), F.monotonically_increasing_id())
+        latest = df.groupBy(*keys, own.alias("__own")).agg(packed)
+    else:
+        latest = df.filter(~any_null(keys)).groupBy(*keys).agg(packed)
+    return latest.select(*keys, "__latest.*").select(*df.columns)

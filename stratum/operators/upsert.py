@@ -7,8 +7,8 @@ plain Parquet, as DataFrame recipes.
                    only buckets the source touches are read and rewritten
                    (dynamic partition overwrite).  With hash buckets a
                    batch of more keys than buckets touches all of them.
-``change_rows``    insert / delete / update_preimage / update_postimage rows
-                   between two keyed snapshots.
+``upsert_table`` can also keep the change rows of every delivery
+(``stratum.operators.changes``).
 
 Match semantics are SQL equality: a NULL key never matches, so a target row
 with a NULL key is kept and a source row with a NULL key is inserted.  Pass
@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratum.operators.changes import CHANGE_COL, DELIVERY_COL, INSERT, ChangeLog, merge_changes
 from stratum.operators.dedup import latest_per_key
 from stratum.operators.quality import any_null
 from stratum.session import checkpoint_root
@@ -36,6 +37,8 @@ from stratum.sources.tables import load_schema, path_exists, save_schema
 
 BUCKET_COL = "__b"
 DEFAULT_BUCKETS = 64
+#: Bucket ids of a batch come to the driver as a partition filter; a batch that touches more is refused.
+MAX_TOUCHED = 100_000
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
@@ -109,7 +112,8 @@ def range_bucket(key: str, width: int) -> Column:
 
 def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
                  order: Sequence[str] = (), buckets: int = DEFAULT_BUCKETS,
-                 bucket: Column | None = None, delivery: str | None = None) -> DataFrame:
+                 bucket: Column | None = None, delivery: str | None = None, changes: str | None = None,
+                 version: int | None = None, ignore: Sequence[str] = ()) -> DataFrame:
     """Upsert ``source`` into the bucketed Parquet table at ``path``.
 
     Creates the table on first load.  Otherwise the deduplicated batch is
@@ -128,25 +132,53 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequen
     ``delivery`` is a column of ``source``; each of its values names a
     delivery that ``source`` holds whole.  Merged again, a delivery replaces
     the NULL-key rows it inserted before.
+
+    ``changes`` is where to keep the change rows (``ChangeLog``) that this
+    delivery, numbered ``version``, makes: inserts, pre- and post-images, and
+    deletes of replaced NULL-key rows, found in the touched buckets alone.
+    They are written before the table.  A version merged before is a replay
+    and changes neither the table nor its change rows.  Columns in ``ignore``
+    (stamps) don't make a change.
     Returns the table as read back after the write.
     """
     keys = list(keys)
+    log = ChangeLog(spark, changes) if changes is not None else None
+    if log is not None:
+        if version is None:
+            raise ValueError("change rows are kept by delivery: give its version")
+        if log.merged(version):
+            return _read_or_none(spark, path)
     _check_bucketing(spark, path, str(bucket) if bucket is not None else f"hash {buckets} of {', '.join(keys)}")
     src = (latest_per_key(source, keys, order)
            .withColumn(BUCKET_COL, bucket if bucket is not None else bucket_of(keys, buckets)))
     target = _read_or_none(spark, path)
     if target is None:
         merged = src                      # first load: nothing to merge with
+        if log is not None:               # every row is an insert; the table is written from them
+            if not log.written(version):
+                log.write(src.drop(BUCKET_COL).withColumn(CHANGE_COL, F.lit(INSERT)), version)
+            merged = log.read(version, version).drop(CHANGE_COL, DELIVERY_COL).select(*src.drop(BUCKET_COL).columns).withColumn(
+                BUCKET_COL, bucket if bucket is not None else bucket_of(keys, buckets))
     else:
         checkpoint_root(spark)
         src = src.checkpoint(eager=True)  # used twice below: compute it once
         hit = [r[0] for r in src.select(BUCKET_COL).distinct().collect()]
         if not hit:
+            if log is not None:
+                log.write(src.drop(BUCKET_COL).withColumn(CHANGE_COL, F.lit(INSERT)), version)
+                log.finish(version)
             return target
-        target_hit = target.filter(F.col(BUCKET_COL).isin(hit))
+        if len(hit) > MAX_TOUCHED:
+            raise ValueError(f"the batch touches {len(hit)} buckets of {path}, more than {MAX_TOUCHED}: use wider buckets")
+        target_hit, replaced = target.filter(F.col(BUCKET_COL).isin(hit)), None
         if delivery is not None and delivery in target.columns:
-            unkeyed = target_hit.filter(any_null(keys)).join(src.select(delivery).distinct(), delivery, "left_anti")
+            come = src.select(delivery).distinct()
+            replaced = target_hit.filter(any_null(keys)).join(come, delivery, "left_semi").select(*target_hit.columns)
+            unkeyed = target_hit.filter(any_null(keys)).join(come, delivery, "left_anti")
             target_hit = target_hit.filter(~any_null(keys)).unionByName(unkeyed)
+        if log is not None and not log.written(version):
+            plain = [df if df is None else df.drop(BUCKET_COL) for df in (target_hit, src, replaced)]
+            log.write(merge_changes(plain[0], plain[1], keys, order, plain[2], ignore=ignore), version)
         merged = upsert(target_hit, src, keys + [BUCKET_COL], order, dedup=False)
     schema = _remember_schema(merged, path)
     (merged.hint("rebalance", BUCKET_COL)
@@ -154,6 +186,8 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequen
            .option("partitionOverwriteMode", "dynamic")
            .partitionBy(BUCKET_COL)
            .parquet(path))
+    if log is not None:
+        log.finish(version)
     return spark.read.schema(schema).parquet(path)
 
 
@@ -175,46 +209,3 @@ def merge_into_table(table: str, source: DataFrame, keys: Sequence[str],
         .whenMatched().updateAll()
         .whenNotMatched().insertAll()
         .merge())
-
-
-def change_rows(old: DataFrame, new: DataFrame, keys: Sequence[str],
-                change_col: str = "_change_type") -> DataFrame:
-    """Row-level changes from keyed snapshot ``old`` to keyed snapshot ``new``.
-
-    One full outer join on the keys; unchanged rows are dropped, updates
-    produce a pre- and a post-image row.  Values compare NULL-safely.  Rows
-    with a NULL key match nothing by key; they are compared whole, as
-    multisets: what only one side has is an insert or a delete.
-    """
-    keys = list(keys)
-    cols = list(dict.fromkeys(list(new.columns) + [c for c in old.columns if c not in new.columns]))
-    o = old.select(*[(F.col(c) if c in old.columns else F.lit(None)).alias(f"__o_{c}") for c in cols],
-                   F.lit(True).alias("__o"))
-    n = new.select(*[(F.col(c) if c in new.columns else F.lit(None)).alias(f"__n_{c}") for c in cols],
-                   F.lit(True).alias("__n"))
-    o, o_null = o.filter(~any_null([f"__o_{k}" for k in keys])), o.filter(any_null([f"__o_{k}" for k in keys]))
-    n, n_null = n.filter(~any_null([f"__n_{k}" for k in keys])), n.filter(any_null([f"__n_{k}" for k in keys]))
-    plain = lambda df, side: df.select(*[F.col(f"__{side}_{c}").alias(c) for c in cols])
-    o_null, n_null = plain(o_null, "o"), plain(n_null, "n")
-    unkeyed = (n_null.exceptAll(o_null).select(F.lit("insert").alias(change_col), *cols).unionByName(
-        o_null.exceptAll(n_null).select(F.lit("delete").alias(change_col), *cols)))
-    cond = [o[f"__o_{k}"] == n[f"__n_{k}"] for k in keys]
-    j = o.join(n, cond, "full_outer")
-
-    def image(kind: str, side: str) -> Column:
-        return F.struct(F.lit(kind).alias(change_col),
-                        *[F.col(f"__{side}_{c}").alias(c) for c in cols])
-
-    same = None
-    for c in cols:
-        if c in keys:
-            continue
-        p = F.col(f"__o_{c}").eqNullSafe(F.col(f"__n_{c}"))
-        same = p if same is None else (same & p)
-    same = same if same is not None else F.lit(True)
-    events = (F.when(F.col("__o").isNull(), F.array(image("insert", "n")))
-               .when(F.col("__n").isNull(), F.array(image("delete", "o")))
-               .when(~same, F.array(image("update_preimage", "o"), image("update_postimage", "n"))))
-    return (j.select(events.alias("__ev"))
-             .filter(F.col("__ev").isNotNull())
-             .select(F.inline("__ev")).unionByName(unkeyed))

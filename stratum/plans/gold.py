@@ -72,8 +72,9 @@ VS_DM_COLUMNS = ["subject_id", "study_id", "arm_group", "age_group", "sex", "cou
 
 def _dm_side(dm: DataFrame, cols: Sequence[str], keyed: bool) -> DataFrame:
     # One row per (subject, study), so the join can never fan out; silver DM
-    # is keyed so already, for other inputs the pick is deterministic.
-    return dm.select(*cols) if keyed else latest_per_key(dm.select(*cols), SUBJECT_KEYS)
+    # is keyed so already, for other inputs the pick is deterministic.  Rows
+    # without a key match nothing.
+    return dm.select(*cols) if keyed else latest_per_key(dm.select(*cols), SUBJECT_KEYS, keep_null_keys=False)
 
 
 def lb_enriched(lb: DataFrame, dm: DataFrame, keyed: bool = False) -> DataFrame:

@@ -14,9 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.operators.calendar import gate, gate_dates, holiday_calendar, on_holidays, on_workdays
+from stratum.operators.changes import change_rows
 from stratum.operators.dedup import latest_per_key
 from stratum.operators.quality import dq_metrics, label_census
-from stratum.operators.upsert import BUCKET_COL, change_rows, upsert, upsert_table
+from stratum.operators.upsert import BUCKET_COL, upsert, upsert_table
 from stratum.functions.derive import date_parts
 from stratum.plans import gold as G
 from stratum.plans import silver as S

@@ -38,8 +38,9 @@ def with_audit(df: DataFrame, name: str = "silver_processed_at") -> DataFrame:
 
 
 def keyed(df: DataFrame, table: str, order: Sequence[str] = ()) -> DataFrame:
-    """One row per business key (latest by ``order``; ties by row values)."""
-    return latest_per_key(df, KEYS[table], order)
+    """One row per business key (latest by ``order``; ties by row values).
+    Only QC rows can come without one: the other cleaners require theirs."""
+    return latest_per_key(df, KEYS[table], order, keep_null_keys=table == "qc")
 
 
 # ---- V4 QC lab results -----------------------------------------------------

@@ -28,6 +28,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(hpath.getFileSystem(conf).exists(hpath))
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """Create the empty file ``path``: a mark that something is complete."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(hpath, True).close()
+
+
 def load_schema(spark: SparkSession, store: str) -> T.StructType | None:
     """Latest remembered schema in ``store`` (None before the first batch)."""
     if not path_exists(spark, store):

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from stratum.functions.rollup import mean, rsum
 from stratum.operators.dedup import latest_per_key
-from stratum.operators.upsert import change_rows, upsert, upsert_table
+from stratum.operators.changes import change_rows
+from stratum.operators.upsert import upsert, upsert_table
 
 
 def test_late_older_version_replaces_nothing(spark):

@@ -3,8 +3,10 @@
 from pyspark.sql import functions as F
 
 from small_tables import SF_SMALL
+from stratum.operators.changes import change_rows, merge_changes
 from stratum.operators.dedup import latest_per_key
 from stratum.plans import queries as Q
+from stratum.sources.tables import read_source
 
 
 def _plan(df, mode="formatted"):
@@ -50,3 +52,14 @@ def test_upsert_prunes_untouched_buckets(spark, tmpdir_path):
     # exactly one bucket folder was rewritten; the others keep their files
     changed = {f.split(f"{BUCKET_COL}=")[1].split("/")[0] for f in files_before ^ files_after}
     assert len(changed) == 1 and sum(before.values()) == 2000
+
+
+def test_snapshots_are_read_once(spark):
+    plan = _plan(Q.q_latest_order_per_customer(spark, SF_SMALL), "simple")
+    assert plan.count("FileScan") == 1
+    df = read_source(spark, SF_SMALL, "orders")
+    plan = _plan(change_rows(df, df.filter("o_orderkey > 9"), ["o_custkey"]), "simple")
+    assert plan.count("FileScan") == 2 and "Join" not in plan
+    # what a batch changes: only its own keys are looked up, nothing is joined in full
+    plan = _plan(merge_changes(df, df.filter("o_orderkey > 9"), ["o_custkey"], ["o_orderdate"]), "simple")
+    assert "FullOuter" not in plan and "LeftOuter" in plan

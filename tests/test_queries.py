@@ -7,6 +7,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from small_tables import SF_SMALL
+from stratum.plans.deltas import DELTA_QUERIES
 from stratum.plans.queries import QUERIES
 from stratum.streaming.queries import STREAM_QUERIES
 
@@ -15,7 +16,7 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 # the optional training-data queries are tested by themselves
-OWN = {*QUERIES, *STREAM_QUERIES}
+OWN = {*QUERIES, *STREAM_QUERIES, *DELTA_QUERIES}
 
 
 def _norm(v):

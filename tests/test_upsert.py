@@ -1,9 +1,13 @@
 """Upsert algebra, NULL keys, schema drift, bucketed table, change rows."""
 
+import os
+
+import pytest
 from pyspark.sql import functions as F
 
+from stratum.operators.changes import CHANGE_COL, DELIVERY_COL, ChangeLog, change_rows, multiset_changes
 from stratum.operators.dedup import latest_per_key
-from stratum.operators.upsert import change_rows, upsert, upsert_table
+from stratum.operators.upsert import upsert, upsert_table
 
 
 def _rows(df):
@@ -71,3 +75,53 @@ def test_upsert_table_keeps_added_column(spark, tmpdir_path):
     rows = {r.k: r.asDict() for r in out.collect()}
     assert len(rows) == 50 and "extra" in out.columns
     assert rows[1]["extra"] == 7 and rows[1]["v"] == "b" and rows[2]["v"] == "c"
+
+
+def test_change_log_of_upserts(spark, tmpdir_path):
+    path, log = f"{tmpdir_path}/t", ChangeLog(spark, f"{tmpdir_path}/c")
+
+    def load(rows, version, **more):
+        upsert_table(spark, path, spark.createDataFrame(rows, "k long, v string, at int"), ["k"], ["at"], buckets=4,
+                     changes=log.path, version=version, **more)
+
+    def kept(first=None, last=None):
+        return sorted((r[DELIVERY_COL], r[CHANGE_COL], r.k, r.v) for r in log.read(first, last).collect())
+
+    load([(k, "a", 0) for k in range(6)], 0)
+    assert kept() == [(0, "insert", k, "a") for k in range(6)]
+    batch = [(1, "b", 1), (2, "a", 0), (3, "old", -1), (9, "new", 1)]
+    load(batch, 1)
+    want = [(1, "insert", 9, "new"), (1, "update_postimage", 1, "b"), (1, "update_preimage", 1, "a")]
+    assert kept(1) == want
+    files = set(log.read(1, 1).inputFiles())
+    load(batch, 1)  # a replay
+    assert kept(1) == want and set(log.read(1, 1).inputFiles()) == files
+    # the writer dies after the change rows, before the table
+    load([(4, "c", 2)], 2)
+    table = sorted(tuple(r) for r in spark.read.parquet(path).select("k", "v").collect())
+    os.remove(f"{tmpdir_path}/c__log/2.merged")
+    load([(4, "c", 2)], 2)
+    assert kept(2, 2) == [(2, "update_postimage", 4, "c"), (2, "update_preimage", 4, "a")]
+    assert sorted(tuple(r) for r in spark.read.parquet(path).select("k", "v").collect()) == table
+    # a stamp alone is no change; a new column is
+    load([(4, "stamp", 2)], 3, ignore=["v"])
+    assert kept(3) == []
+    upsert_table(spark, path, spark.createDataFrame([(5, "a", 0, 7)], "k long, v string, at int, extra int"), ["k"], ["at"], buckets=4,
+                 changes=log.path, version=4)
+    assert [(r[CHANGE_COL], r.extra) for r in log.read(4).orderBy(CHANGE_COL).collect()] == [("update_postimage", 7), ("update_preimage", None)]
+    assert "__delivery" in str(log.read(1, 1)._jdf.queryExecution().executedPlan()).split("PartitionFilters")[1]
+
+
+def test_change_log_refuses_another_stream(spark, tmpdir_path):
+    log = ChangeLog(spark, f"{tmpdir_path}/c")
+    log.claim("a")
+    log.claim("a")
+    with pytest.raises(ValueError, match="numbered by stream a"):
+        log.claim("b")
+
+
+def test_multiset_changes(spark):
+    old = spark.createDataFrame([(1, "a")] * 3 + [(2, None)], "k int, v string")
+    new = spark.createDataFrame([(1, "a"), (2, None), (2, None), (3, "c")], "k int, v string")
+    got = sorted((r._change_type, r.k) for r in multiset_changes(old, new).collect())
+    assert got == [("delete", 1), ("delete", 1), ("insert", 2), ("insert", 3)]
