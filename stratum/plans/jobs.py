@@ -38,7 +38,7 @@ Transform = Callable[[DataFrame, Sequence[str]], DataFrame]
 SILVER: dict[str, tuple[str, Transform, str, list[str]]] = {
     "clinical_dm": ("clinical_dm", lambda b, c: S.dm_clean(b), "upsert", S.KEYS["dm"]),
     "clinical_lb": ("clinical_lb", lambda b, c: S.silver_lb(b), "overwrite", []),
-    "clinical_vs": ("clinical_vs", lambda b, c: S.silver_vs(b), "append", []),
+    "clinical_vs": ("clinical_vs", S.silver_vs, "append", []),
     "qc_lab_result": ("qc_lab_result", S.qc_rows, "upsert", S.KEYS["qc"]),
     "mfg_order": ("mfg_order", lambda b, c: S.order_split(b, c)[0], "upsert", S.KEYS["order"]),
     "mfg_lot": ("mfg_lot", lambda b, c: S.silver_lot(b), "overwrite", []),
@@ -48,6 +48,7 @@ SILVER: dict[str, tuple[str, Transform, str, list[str]]] = {
 }
 
 # Silver tables stamped with a processing time (as in the reference).
+STAMP = "silver_processed_at"
 STAMPED = {"clinical_lb", "clinical_vs", "qc_lab_result", "mfg_lot", "mfg_equipment_log",
            "mfg_deviation"}
 
@@ -73,12 +74,13 @@ def bronze_schema(spark: SparkSession, layout: Layout, feed: str) -> T.StructTyp
 
 
 def silver_job(spark: SparkSession, layout: Layout, table: str, buckets: int = 64,
-               bucket: Column | None = None, merge_table: str | None = None) -> None:
+               bucket: Column | None = None, merge_table: str | None = None, changes: bool = False) -> None:
     """Build one silver table from its bronze feed with the table's write mode.
 
     Of an upserted table, ``bucket`` is the bucketing (``range_bucket`` for
     ids assigned in order; else ``buckets`` hash buckets), and ``merge_table``
-    a catalog table to merge into by its format's own ``MERGE``.
+    a catalog table to merge into by its format's own ``MERGE``; ``changes``
+    keeps its change rows (``Layout.changes``), stamps left aside.
     """
     feed, transform, mode, keys = SILVER[table]
     dst = layout.silver(table)
@@ -88,17 +90,19 @@ def silver_job(spark: SparkSession, layout: Layout, table: str, buckets: int = 6
         return S.with_audit(df) if table in STAMPED else df
 
     ckpt = layout.checkpoint(f"silver_{table}")
+    if mode == "overwrite":
+        overwrite_table(build(read_bronze_table(spark, layout, feed)), dst)
+        return
+    # Only bronze rows not taken before are read; the ingest batch id orders
+    # versions of a key (latest wins).
+    schema = bronze_schema(spark, layout, feed)
+    carry = [BATCH_COL] if BATCH_COL in schema.fieldNames() else []
     if mode == "append":
-        append_available(spark, layout.bronze(feed), dst, ckpt, build, schema=bronze_schema(spark, layout, feed))
-    elif mode == "upsert":
-        # Only bronze files not merged before are read; the ingest batch id
-        # orders versions of a key (latest wins).
-        schema = bronze_schema(spark, layout, feed)
-        carry = [BATCH_COL] if BATCH_COL in schema.fieldNames() else []
-        upsert_available(spark, layout.bronze(feed), dst, ckpt, lambda b: build(b, carry), keys,
-                         order=carry, buckets=buckets, schema=schema, bucket=bucket, merge_table=merge_table)
+        append_available(spark, layout.bronze(feed), dst, ckpt, lambda b: build(b, carry), schema=schema)
     else:
-        overwrite_table(build(read_bronze_table(spark, layout, feed)), dst)
+        upsert_available(spark, layout.bronze(feed), dst, ckpt, lambda b: build(b, carry), keys, order=carry,
+                         buckets=buckets, schema=schema, bucket=bucket, merge_table=merge_table,
+                         changes=layout.changes(table) if changes else None, ignore=[*carry, STAMP])
 
 
 def read_silver(spark: SparkSession, layout: Layout, table: str) -> DataFrame:

@@ -313,7 +313,7 @@ VS_REQUIRED = ("study_id", "subject_id", "visit_date", "heart_rate", "systolic_b
                "temperature", "respiratory_rate")
 
 
-def silver_vs(bronze: DataFrame) -> DataFrame:
+def silver_vs(bronze: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     df = require(bronze, VS_REQUIRED).withColumns({
         "visit_date_month": F.date_format("visit_date", "dd MMMM"),
         "visit_Year": F.date_format("visit_date", "yyyy"),
@@ -325,4 +325,4 @@ def silver_vs(bronze: DataFrame) -> DataFrame:
         "rr_category": band("respiratory_rate", V.RESPIRATORY_BANDS, V.RESPIRATORY_ELSE,
                             V.VITALS_UNKNOWN),
     })
-    return df.select(*VS_COLUMNS)
+    return df.select(*VS_COLUMNS, *carry)

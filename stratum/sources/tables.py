@@ -12,7 +12,7 @@ import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,6 +35,12 @@ def touch(spark: SparkSession, path: str) -> None:
     hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(hpath, True).close()
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete the folder or file ``path``, if there is one."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
 def load_schema(spark: SparkSession, store: str) -> T.StructType | None:
     """Latest remembered schema in ``store`` (None before the first batch)."""
     if not path_exists(spark, store):
@@ -74,6 +80,10 @@ class Layout:
     def gold(self, table: str) -> str:
         return self.path(GOLD, table)
 
+    def changes(self, table: str) -> str:
+        """Change rows of a silver table."""
+        return f"{self.silver(table)}__changes"
+
     def checkpoint(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/_checkpoints/{name}"
 
@@ -113,12 +123,30 @@ def append_table(df: DataFrame, path: str, partition_by: Sequence[str] | None =
     writer.format(fmt).save(path)
 
 
+def replace_batches(df: DataFrame, path: str, ids: Sequence[int], batch_col: str = "__batch") -> None:
+    """Write the rows of the batches ``ids``, replacing what the table holds of
+    them.  Dynamic overwrite replaces the partitions that have rows now; one
+    that is left without any is removed.  The write itself tells which."""
+    seen = Observation()
+    (df.observe(seen, F.collect_set(batch_col).alias("ids")).write.mode("overwrite")
+       .option("partitionOverwriteMode", "dynamic").partitionBy(batch_col).parquet(path))
+    for i in set(ids) - set(seen.get["ids"]):
+        remove(df.sparkSession, f"{path.rstrip('/')}/{batch_col}={i}")
+
+
+def completed_batches(path: str) -> str:
+    """Where the table at ``path`` keeps a mark (a small Parquet file with
+    ``batch``) of every batch written whole, one more each time it is written."""
+    return f"{path.rstrip('/')}__complete"
+
+
 def write_batch(df: DataFrame, path: str, batch_id: int, batch_col: str = "__batch") -> None:
     """Write one ingest batch as partition ``<batch_col>=<batch_id>``.
 
-    Dynamic partition overwrite replaces only that partition, so writing the
-    same batch again (a retried or replayed micro-batch) leaves no duplicate.
+    Only that partition is replaced, so writing the same batch again (a
+    retried or replayed micro-batch) leaves no duplicate.  The batch is then
+    marked as complete; incremental readers wait for the mark.
     """
-    (df.withColumn(batch_col, F.lit(batch_id).cast("long"))
-       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(batch_col).parquet(path))
+    replace_batches(df.withColumn(batch_col, F.lit(batch_id).cast("long")), path, [batch_id], batch_col)
+    (df.sparkSession.createDataFrame([(batch_id,)], "batch long").coalesce(1)
+       .write.mode("append").parquet(completed_batches(path)))

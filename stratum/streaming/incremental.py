@@ -7,54 +7,75 @@ transformation is applied per micro-batch, and the Parquet file sink commits
 each batch exactly once through its own log (``_spark_metadata``), so a
 re-run with no new bronze files appends nothing.
 
-A bronze table partitioned by ingest batch may see a batch rewritten under new
-file names.  Its silver table is therefore partitioned alike, and a batch whose
-files are new is built anew from the whole bronze partition and replaces the
-silver one: a rewritten batch leaves no duplicate.
+A bronze table written by ingest batches (``write_batch``) marks each batch that
+is complete.  The stream then reads these marks instead of the data files: a
+batch is handled once, whole, however many files it has and however few a
+trigger may take, and its silver partition is replaced.  A batch that is written
+again is marked again, and its rows replace the ones from before.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from stratum.operators.changes import ChangeLog
 from stratum.operators.upsert import DEFAULT_BUCKETS, merge_into_table, upsert_table
+from stratum.sources.tables import completed_batches, path_exists, replace_batches
 from stratum.streaming.ingest import BATCH_COL
 
 MERGE_COL = "__merge"
 
 
+def _marks(spark: SparkSession, src: str, per_trigger: int) -> DataFrame | None:
+    """Stream of the batches of ``src`` as they are completed; None for a table without such marks."""
+    if not path_exists(spark, completed_batches(src)):
+        return None
+    return spark.readStream.schema("batch long").option("maxFilesPerTrigger", str(per_trigger)).parquet(completed_batches(src))
+
+
+def _whole(session: SparkSession, src: str, schema, marks: DataFrame) -> tuple[DataFrame, list[int]]:
+    """The completed batches of a trigger, read once, and their ids (one per mark at most)."""
+    ids = sorted(r[0] for r in marks.select("batch").distinct().collect())
+    return session.read.schema(schema).parquet(src).filter(F.col(BATCH_COL).isin(ids)), ids
+
+
 def append_incremental(spark: SparkSession, src: str, dst: str, checkpoint: str,
                        transform: Callable[[DataFrame], DataFrame],
                        max_files_per_trigger: int | None = 1000,
-                       available_now: bool = True, schema=None) -> StreamingQuery:
+                       available_now: bool = True, schema=None, max_batches_per_trigger: int = 32) -> StreamingQuery:
     """Stream new Parquet files of ``src`` through ``transform`` into ``dst``.
 
     ``schema`` (the bronze schema) is read from the table as it is now when
     not given (``mergeSchema``), so columns added by ingest evolution are
     picked up on the next start.  With a ``__batch`` column the silver table
-    has it too, as its partition.
+    has it too, as its partition; a ``transform`` that keeps it handles all
+    batches of a trigger in one plan.  ``max_files_per_trigger`` is for tables
+    without marks of completed batches.
     """
     schema = schema or spark.read.option("mergeSchema", "true").parquet(src).schema
-    reader = spark.readStream.schema(schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    marks = _marks(spark, src, max_batches_per_trigger)
 
     def replace(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        # at most as many ids as the trigger has files
-        ids = [r[0] for r in batch.select(BATCH_COL).distinct().collect()]
-        for i in ids:
-            whole = session.read.schema(schema).parquet(src).filter(F.col(BATCH_COL) == i)
-            (transform(whole).withColumn(BATCH_COL, F.lit(i).cast("long"))
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BATCH_COL).parquet(dst))
-
-    if BATCH_COL in schema.fieldNames():
-        writer = reader.parquet(src).select(BATCH_COL).writeStream.foreachBatch(replace)
+        whole, ids = _whole(batch.sparkSession, src, schema, batch)
+        if not ids:
+            return
+        rows = transform(whole)
+        if BATCH_COL not in rows.columns:
+            parts = [transform(whole.filter(F.col(BATCH_COL) == i)).withColumn(BATCH_COL, F.lit(i).cast("long")) for i in ids]
+            rows = reduce(DataFrame.unionByName, parts)
+        replace_batches(rows, dst, ids)
+
+    if marks is not None:
+        writer = marks.writeStream.foreachBatch(replace)
     else:
+        reader = spark.readStream.schema(schema)
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
         writer = transform(reader.parquet(src)).writeStream.format("parquet").outputMode("append").option("path", dst)
     writer = writer.option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
@@ -74,44 +95,54 @@ def upsert_incremental(spark: SparkSession, src: str, dst: str, checkpoint: str,
                        transform: Callable[[DataFrame], DataFrame], keys: Sequence[str],
                        order: Sequence[str] = (), buckets: int = DEFAULT_BUCKETS,
                        bucket: Column | None = None, max_files_per_trigger: int | None = 1000,
-                       available_now: bool = True, schema=None,
-                       merge_table: str | None = None) -> StreamingQuery:
-    """Upsert only the bronze files not seen before into a keyed silver table.
-
-    The bronze Parquet table is a streaming file source; each micro-batch is
-    cleaned by ``transform`` and merged with ``upsert_table`` (latest version
-    per key by ``order``).  A run costs the new data plus the target buckets
-    it touches, not the bronze history.  A micro-batch replayed after a
-    failure, or an ingest batch rewritten under new file names, merges the same
-    rows again, which leaves the table unchanged: rows with a NULL key carry
-    their ingest batch (else the ids of stream and micro-batch) and are replaced.
+                       available_now: bool = True, schema=None, merge_table: str | None = None,
+                       max_batches_per_trigger: int = 32, changes: str | None = None,
+                       ignore: Sequence[str] = ()) -> StreamingQuery:
+    """Upsert only the bronze rows not seen before into a keyed silver table.
+
+    The bronze Parquet table is a streaming source (its completed batches, or
+    its files); each micro-batch is cleaned by ``transform`` and merged with
+    ``upsert_table`` (latest version per key by ``order``).  A run costs the
+    new data plus the target buckets it touches, not the bronze history.  A
+    micro-batch replayed after a failure, or an ingest batch written again,
+    merges the same rows again, which leaves the table unchanged: rows with a
+    NULL key carry their ingest batch (else the ids of stream and micro-batch)
+    and are replaced.
     ``schema`` (the bronze schema) is read from the table when not given.
+    ``changes`` keeps the change rows of every micro-batch there, numbered as
+    the stream numbers them; ``ignore`` names columns that don't make a change.
     With ``merge_table``, a catalog table whose format supports ``MERGE``, the
     batches go there by the format's own merge instead of to ``dst``.
     """
     schema = schema or spark.read.option("mergeSchema", "true").parquet(src).schema
-    reader = spark.readStream.schema(schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    marks = _marks(spark, src, max_batches_per_trigger)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        if merge_table is not None:
-            merge_into_table(merge_table, transform(batch), keys, order)
-            return
         session, delivery = batch.sparkSession, BATCH_COL
+        if marks is not None:
+            batch, ids = _whole(session, src, schema, batch)
+            if not ids:
+                return
         rows = transform(batch)
-        if BATCH_COL in rows.columns:
-            # whole ingest batches (at most as many as the trigger has files)
-            ids = [r[0] for r in batch.select(BATCH_COL).distinct().collect()]
-            rows = transform(session.read.schema(schema).parquet(src).filter(F.col(BATCH_COL).isin(ids)))
-        else:
-            stream = session.read.json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
+        if merge_table is not None:
+            merge_into_table(merge_table, rows, keys, order)
+            return
+        stream = session.read.json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
+        if changes is not None:
+            ChangeLog(session, changes).claim(stream)
+        if marks is None or BATCH_COL not in rows.columns:
             rows, delivery = rows.withColumn(MERGE_COL, F.lit(f"{stream}/{batch_id}")), MERGE_COL
-        upsert_table(session, dst, rows, keys, order, buckets, bucket, delivery)
+        upsert_table(session, dst, rows, keys, order, buckets, bucket, delivery, changes,
+                     batch_id if changes is not None else None, ignore)
 
-    writer = (reader.parquet(src).writeStream
-              .option("checkpointLocation", checkpoint)
-              .foreachBatch(merge))
+    if marks is not None:
+        source = marks
+    else:
+        reader = spark.readStream.schema(schema)
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+        source = reader.parquet(src)
+    writer = source.writeStream.option("checkpointLocation", checkpoint).foreachBatch(merge)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratum.plans import silver as S
-from stratum.sources.tables import append_table
+from stratum.sources.tables import append_table, write_batch
 from stratum.streaming.incremental import append_available
 from stratum.streaming.ingest import _resolve, ingest_available, load_schema, read_bronze, rescued_rows
 
@@ -161,3 +161,31 @@ def test_upsert_incremental_merges_only_new_bronze(spark, tmpdir_path):
     run()                                                     # nothing new
     got = {r.k: (r.v, r["__batch"]) for r in spark.read.parquet(silver_dir).collect()}
     assert got == {1: ("a", 0), 2: ("B", 1), 3: ("c", 1)}
+
+
+def test_completed_batches_are_read_once(spark, tmpdir_path):
+    """A batch of more files than a trigger takes is built once, whole, when it is complete."""
+    src, dst = f"{tmpdir_path}/b", f"{tmpdir_path}/s"
+    calls = []
+
+    def build(df):
+        calls.append(sorted(r[0] for r in df.select("__batch").distinct().collect()))
+        return df.select("k", "__batch")
+
+    run = lambda: append_available(spark, src, dst, dst + "_c", build, max_files_per_trigger=2)
+    write_batch(spark.range(200).select(F.col("id").alias("k")).repartition(20), src, 0)
+    run()
+    assert calls == [[0]] and spark.read.parquet(dst).count() == 200
+    for b in (1, 2):
+        write_batch(spark.range(10).select(F.col("id").alias("k")).repartition(5), src, b)
+    # written, but not complete: not seen
+    (spark.range(3).select(F.col("id").alias("k"), F.lit(3).cast("long").alias("__batch")).write.mode("append").partitionBy("__batch").parquet(src))
+    run()
+    assert calls[1:] == [[1, 2]] and spark.read.parquet(dst).count() == 220
+    write_batch(spark.range(7).select(F.col("id").alias("k")), src, 1)
+    write_batch(spark.range(0).select(F.col("id").alias("k")), src, 2)  # written again, empty
+    run()
+    assert calls[2:] == [[1]] or calls[2:] == [[1], []]
+    assert {r[0]: r[1] for r in spark.read.parquet(dst).groupBy("__batch").count().collect()} == {0: 200, 1: 7}
+    run()
+    assert len(calls) == 3
