@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratum.operators.quality import any_null
-from stratum.sources.tables import load_schema, path_exists, save_schema, touch
+from stratum.sources.tables import load_schema, names_in, path_exists, save_schema, touch
 
 CHANGE_COL = "_change_type"
 DELIVERY_COL = "__delivery"
@@ -168,6 +168,11 @@ class ChangeLog:
             rows = rows.filter(d >= first)
         return rows if last is None else rows.filter(d <= last)
 
+    def last(self) -> int | None:
+        """The newest delivery that the table has."""
+        done = [int(n.split(".")[0]) for n in names_in(self.spark, f"{self.path.rstrip('/')}__log") if n.endswith(".merged")]
+        return max(done, default=None)
+
     def claim(self, owner: str) -> None:
         """Refuse a log that another stream numbers: its deliveries would be taken for replays."""
         beside = f"{self.path.rstrip('/')}__owner"

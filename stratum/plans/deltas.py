@@ -6,13 +6,19 @@ tables under the shared checkpoint folder, and returns what is read back.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.operators.changes import CHANGE_COL, DELIVERY_COL, ChangeLog
 from stratum.operators.upsert import upsert_table
+from stratum.plans import jobs as J
+from stratum.plans.gold_state import SOURCES, maintain
+from stratum.plans.oracle import ORACLE
 from stratum.session import apply_defaults, scratch_dir
-from stratum.sources.tables import read_source
+from stratum.sources.adapters import bronze
+from stratum.sources.tables import Layout, read_source, write_batch
 
 
 def q_change_rows_upsert(spark: SparkSession, sf: str) -> DataFrame:
@@ -33,6 +39,107 @@ def q_change_rows_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return log.read().select(CHANGE_COL, F.col(DELIVERY_COL).alias("version"), "o_custkey", "o_orderkey", "o_totalprice", "o_orderdate")
 
 
+# ---- marts kept up to date from change rows -------------------------------------
+# Each feed comes in two deliveries.  The first is wrong in places, the second
+# puts it right: keyed rows are updated, batches of un-keyed rows are rewritten.
+
+def _wrong(df: DataFrame, col: str, value) -> DataFrame:
+    return df.withColumn(col, F.lit(value).cast(df.schema[col].dataType))
+
+
+def _deliver_keyed(spark: SparkSession, sf: str, lay: Layout, feed: str, table: str, part, col: str, value, after=None) -> None:
+    """A part of the feed with wrong values, then the whole feed; ``after`` runs behind each delivery."""
+    rows = bronze(spark, sf, f"bronze_{feed}")
+    for n, b in enumerate([_wrong(rows.filter(part), col, value), rows]):
+        write_batch(b, lay.bronze(feed), n)
+        J.silver_job(spark, lay, table, buckets=8, changes=True)
+        if after:
+            after()
+
+
+def _deliver_batches(spark: SparkSession, sf: str, lay: Layout, feed: str, table: str, part, col: str, value, after=None) -> None:
+    """Two batches, the first with wrong values; then the first again as it should be, and the second once more as it was."""
+    rows = bronze(spark, sf, f"bronze_{feed}")
+    rest = rows.filter(~F.coalesce(part, F.lit(False)))
+    write_batch(_wrong(rows.filter(part), col, value), lay.bronze(feed), 0)
+    write_batch(rest, lay.bronze(feed), 1)
+    J.silver_job(spark, lay, table, changes=True)
+    if after:
+        after()
+    write_batch(rows.filter(part), lay.bronze(feed), 0)
+    write_batch(rest, lay.bronze(feed), 1)
+    J.silver_job(spark, lay, table, changes=True)
+    if after:
+        after()
+
+
+def _kept(mart: str, deliver, feed: str, table: str, part: str, col: str, value) -> Callable[[SparkSession, str], DataFrame]:
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        apply_defaults(spark)
+        lay = Layout(scratch_dir(spark, f"kept_{mart}"))
+        deliver(spark, sf, lay, feed, table, F.expr(part), col, value, after=lambda: maintain(spark, lay, mart))
+        return maintain(spark, lay, mart)
+
+    query.__doc__ = f"{mart} kept up to date over two deliveries of {feed}."
+    return query
+
+
+_QC = (_deliver_keyed, "qc_lab_result", "qc_lab_result", "batch_id % 3 = 0", "result_flag", "fail")
+_LB = (_deliver_batches, "clinical_lb", "clinical_lb", "subject_id % 2 = 0", "test_value", 55.5)
+_VS = (_deliver_batches, "clinical_vs", "clinical_vs", "subject_id % 2 = 0", "heart_rate", 190.0)
+_LOT = (_deliver_batches, "mfg_lot", "mfg_lot", "batch_id % 2 = 0", "plant_id", "PLANT_X")
+_ORDER = (_deliver_keyed, "mfg_order", "mfg_order", "order_id % 3 = 0", "status", "done")
+
+
+def _subjects(spark: SparkSession, sf: str, mart: str) -> DataFrame:
+    apply_defaults(spark)
+    lay = Layout(scratch_dir(spark, f"kept_{mart}"))
+    _LB[0](spark, sf, lay, *_LB[1:3], F.expr(_LB[3]), *_LB[4:])
+    _VS[0](spark, sf, lay, *_VS[1:3], F.expr(_VS[3]), *_VS[4:])
+    _deliver_keyed(spark, sf, lay, "clinical_dm", "clinical_dm", F.expr("subject_id % 3 = 0"), "country", "nowhere",
+                   after=lambda: maintain(spark, lay, mart))
+    return maintain(spark, lay, mart)
+
+
+def q_kept_gold_subject(spark: SparkSession, sf: str) -> DataFrame:
+    """The subject mart: only rows of subjects with a change are built and merged."""
+    return _subjects(spark, sf, "gold_subject")
+
+
+def q_kept_gold_demo_safety(spark: SparkSession, sf: str) -> DataFrame:
+    """The demographic safety mart, from the change rows of the subject mart."""
+    return _subjects(spark, sf, "gold_demo_safety")
+
+
+def q_kept_gold_capa(spark: SparkSession, sf: str) -> DataFrame:
+    """The CAPA mart: deviations updated, then their lots moved to other plants."""
+    apply_defaults(spark)
+    lay = Layout(scratch_dir(spark, "kept_gold_capa"))
+    lots = bronze(spark, sf, "bronze_mfg_lot")
+    write_batch(_wrong(lots, "plant_id", "PLANT_X"), lay.bronze("mfg_lot"), 0)
+    J.silver_job(spark, lay, "mfg_lot", changes=True)
+    _deliver_keyed(spark, sf, lay, "mfg_deviation", "mfg_deviation", F.expr("deviation_id % 2 = 0"), "severity", "CRITICAL",
+                   after=lambda: maintain(spark, lay, "gold_capa"))
+    write_batch(lots, lay.bronze("mfg_lot"), 0)
+    J.silver_job(spark, lay, "mfg_lot", changes=True)
+    return maintain(spark, lay, "gold_capa")
+
+
+def _refreshed(table: str, *how) -> Callable[[SparkSession, str], DataFrame]:
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        apply_defaults(spark)
+        lay = Layout(scratch_dir(spark, f"refresh_{table}"))
+        deliver, feed, name, part, col, value = how
+        deliver(spark, sf, lay, feed, name, F.expr(part), col, value)
+        return J.read_silver(spark, lay, table).drop("__batch", J.STAMP)
+
+    query.__doc__ = f"Silver {table}, without a key, refreshed by rewritten batches."
+    return query
+
+
+_EQUIPMENT = (_deliver_batches, "mfg_equipment_lot", "mfg_equipment_log", "equipment_id < 'EQ_2'", "operator_id", "OP_X")
+
+
 _STATES = "\n".join(f""", s{n} AS (SELECT * FROM o WHERE d <= {n} AND o_custkey IS NOT NULL
   QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1)""" for n in (0, 1, 2))
 _ROW = "o_custkey, o_orderkey, o_totalprice, o_orderdate"
@@ -49,9 +156,25 @@ UNION ALL SELECT 'update_preimage', {n}, {_ROW} FROM s{n - 1} WHERE {gone}
 
 DELTA_QUERIES = {
     "change_rows_upsert": q_change_rows_upsert,
+    "refresh_lb": _refreshed("clinical_lb", *_LB),
+    "refresh_lot": _refreshed("mfg_lot", *_LOT),
+    "refresh_equipment": _refreshed("mfg_equipment_log", *_EQUIPMENT),
+    "kept_qc_summary": _kept("qc_summary", *_QC),
+    "kept_qc_trend": _kept("qc_trend", *_QC),
+    "kept_qc_batch_quality": _kept("qc_batch_quality", *_QC),
+    "kept_qc_analyst": _kept("qc_analyst", *_QC),
+    "kept_lb_per_subject": _kept("lb_per_subject", *_LB),
+    "kept_vs_per_subject": _kept("vs_per_subject", *_VS),
+    "kept_gold_subject": q_kept_gold_subject,
+    "kept_gold_demo_safety": q_kept_gold_demo_safety,
+    "kept_gold_capa": q_kept_gold_capa,
+    "kept_lot_summary": _kept("lot_summary", *_LOT),
+    "kept_order_summary": _kept("order_summary", *_ORDER),
 }
 
 DELTA_ORACLE = {
+    **{f"refresh_{k}": ORACLE[f"silver_{k}"] for k in ("lb", "lot", "equipment")},
+    **{f"kept_{k}": ORACLE["gold_subject_safety" if k == "gold_subject" else k] for k in (*SOURCES, "gold_subject", "gold_demo_safety", "gold_capa")},
     "change_rows_upsert": f"""WITH o AS (SELECT CASE WHEN o_orderkey % 10 <> 0 THEN o_custkey END AS o_custkey, o_orderkey, o_totalprice,
   o_orderdate, o_orderkey % 3 AS d FROM orders)
 {_STATES}

@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from stratum.plans import gold as G
 from stratum.plans import silver as S
 from stratum.sources.tables import Layout, load_schema, overwrite_table, read_table
-from stratum.streaming.incremental import append_available, upsert_available
+from stratum.streaming.incremental import append_available, refresh_available, upsert_available
 from stratum.streaming.ingest import BATCH_COL, FILE_COL, RESCUED_COL, ingest_available
 
 # Bronze feed names (one ingest source folder each).
@@ -37,12 +37,12 @@ FEEDS = ["clinical_dm", "clinical_lb", "clinical_vs", "qc_lab_result", "mfg_orde
 Transform = Callable[[DataFrame, Sequence[str]], DataFrame]
 SILVER: dict[str, tuple[str, Transform, str, list[str]]] = {
     "clinical_dm": ("clinical_dm", lambda b, c: S.dm_clean(b), "upsert", S.KEYS["dm"]),
-    "clinical_lb": ("clinical_lb", lambda b, c: S.silver_lb(b), "overwrite", []),
+    "clinical_lb": ("clinical_lb", S.silver_lb, "overwrite", []),
     "clinical_vs": ("clinical_vs", S.silver_vs, "append", []),
     "qc_lab_result": ("qc_lab_result", S.qc_rows, "upsert", S.KEYS["qc"]),
     "mfg_order": ("mfg_order", lambda b, c: S.order_split(b, c)[0], "upsert", S.KEYS["order"]),
-    "mfg_lot": ("mfg_lot", lambda b, c: S.silver_lot(b), "overwrite", []),
-    "mfg_equipment_log": ("mfg_equipment_lot", lambda b, c: S.silver_equipment(b), "overwrite", []),
+    "mfg_lot": ("mfg_lot", lambda b, c: S.silver_lot(b, carry=c), "overwrite", []),
+    "mfg_equipment_log": ("mfg_equipment_lot", lambda b, c: S.silver_equipment(b, carry=c), "overwrite", []),
     "mfg_deviation": ("mfg_deviation", lambda b, c: S.deviation_clean(b, carry=c), "upsert",
                       S.KEYS["deviation"]),
 }
@@ -80,7 +80,9 @@ def silver_job(spark: SparkSession, layout: Layout, table: str, buckets: int = 6
     Of an upserted table, ``bucket`` is the bucketing (``range_bucket`` for
     ids assigned in order; else ``buckets`` hash buckets), and ``merge_table``
     a catalog table to merge into by its format's own ``MERGE``; ``changes``
-    keeps its change rows (``Layout.changes``), stamps left aside.
+    keeps its change rows (``Layout.changes``), stamps left aside.  A table
+    without a key is with ``changes`` not built anew but refreshed by ingest
+    batch: only batches that changed are written.
     """
     feed, transform, mode, keys = SILVER[table]
     dst = layout.silver(table)
@@ -90,14 +92,17 @@ def silver_job(spark: SparkSession, layout: Layout, table: str, buckets: int = 6
         return S.with_audit(df) if table in STAMPED else df
 
     ckpt = layout.checkpoint(f"silver_{table}")
-    if mode == "overwrite":
+    if mode == "overwrite" and not changes:
         overwrite_table(build(read_bronze_table(spark, layout, feed)), dst)
         return
     # Only bronze rows not taken before are read; the ingest batch id orders
     # versions of a key (latest wins).
     schema = bronze_schema(spark, layout, feed)
     carry = [BATCH_COL] if BATCH_COL in schema.fieldNames() else []
-    if mode == "append":
+    if mode != "upsert" and changes:
+        refresh_available(spark, layout.bronze(feed), dst, ckpt, lambda b: build(b, carry), layout.changes(table),
+                          schema=schema, ignore=[STAMP])
+    elif mode == "append":
         append_available(spark, layout.bronze(feed), dst, ckpt, lambda b: build(b, carry), schema=schema)
     else:
         upsert_available(spark, layout.bronze(feed), dst, ckpt, lambda b: build(b, carry), keys, order=carry,

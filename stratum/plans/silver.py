@@ -142,7 +142,8 @@ LOT_COLUMNS = ["batch_id", "lot_id", "drug_code", "plant_id", "equipment_id", "p
 
 
 def silver_lot(bronze: DataFrame,
-               required: Sequence[str] = ("batch_id", "lot_id", "drug_code", "plant_id")) -> DataFrame:
+               required: Sequence[str] = ("batch_id", "lot_id", "drug_code", "plant_id"),
+               carry: Sequence[str] = ()) -> DataFrame:
     df = require(bronze, required).withColumnRenamed("manufacture_date", "start_timestamp")
     qty, pct = loss("input_material_qty", "output_material_qty")
     df = df.withColumns({
@@ -160,7 +161,7 @@ def silver_lot(bronze: DataFrame,
         "yield_class": band("yield_percentage", V.YIELD_BANDS, V.YIELD_ELSE, V.YIELD_UNKNOWN),
         "batch_duration_minutes": minutes_between("start_timestamp", "end_timestamp"),
     })
-    return df.select(*LOT_COLUMNS)
+    return df.select(*LOT_COLUMNS, *carry)
 
 
 # ---- V6 equipment log -----------------------------------------------------
@@ -177,7 +178,7 @@ EQUIPMENT_REQUIRED = ("equipment_id", "plant_id", "event_type", "event_start", "
 EQUIPMENT_REQUIRED_OPEN = ("equipment_id", "plant_id", "event_type", "event_start")
 
 
-def silver_equipment(bronze: DataFrame, required: Sequence[str] = EQUIPMENT_REQUIRED) -> DataFrame:
+def silver_equipment(bronze: DataFrame, required: Sequence[str] = EQUIPMENT_REQUIRED, carry: Sequence[str] = ()) -> DataFrame:
     """Equipment events.  ``order_quarter`` is the quarter of the event end
     (the end-date parts overwrite the start-date one)."""
     df = require(bronze, required)
@@ -199,7 +200,7 @@ def silver_equipment(bronze: DataFrame, required: Sequence[str] = EQUIPMENT_REQU
         "event_duration_category": band("event_duration_minutes", V.DURATION_BANDS,
                                         V.DURATION_ELSE, V.DURATION_ONGOING),
     })
-    return df.select(*EQUIPMENT_COLUMNS)
+    return df.select(*EQUIPMENT_COLUMNS, *carry)
 
 
 # ---- V5 deviations ----------------------------------------------------------
@@ -292,10 +293,10 @@ def lb_checked(bronze: DataFrame) -> DataFrame:
                          mismatch_flag("abnormal_flag", "derived_abnormal_flag"))
 
 
-def silver_lb(bronze: DataFrame) -> DataFrame:
+def silver_lb(bronze: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Lab rows whose recorded flag agrees with the flag derived from the
     reference range."""
-    return accept(lb_checked(bronze), ["abnormal_mismatch_flag"]).select(*LB_COLUMNS)
+    return accept(lb_checked(bronze), ["abnormal_mismatch_flag"]).select(*LB_COLUMNS, *carry)
 
 
 def lb_mismatches(bronze: DataFrame) -> DataFrame:

@@ -41,6 +41,15 @@ def remove(spark: SparkSession, path: str) -> None:
     hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
+def names_in(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the files and folders in ``folder`` (none if it does not exist)."""
+    if not path_exists(spark, folder):
+        return []
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    found = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(hpath)
+    return [f.getPath().getName() for f in found]
+
+
 def load_schema(spark: SparkSession, store: str) -> T.StructType | None:
     """Latest remembered schema in ``store`` (None before the first batch)."""
     if not path_exists(spark, store):
@@ -84,6 +93,14 @@ class Layout:
         """Change rows of a silver table."""
         return f"{self.silver(table)}__changes"
 
+    def state(self, mart: str) -> str:
+        """Partial results that a mart is kept up to date from."""
+        return self.path("_state", mart)
+
+    def labels(self, column: str) -> str:
+        """Dictionary of the texts of a column."""
+        return self.path("_labels", column)
+
     def checkpoint(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/_checkpoints/{name}"
 

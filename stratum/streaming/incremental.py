@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stratum.operators.changes import ChangeLog
+from stratum.operators.refresh import refresh_partitions
 from stratum.operators.upsert import DEFAULT_BUCKETS, merge_into_table, upsert_table
 from stratum.sources.tables import completed_batches, path_exists, replace_batches
 from stratum.streaming.ingest import BATCH_COL
@@ -82,6 +83,42 @@ def append_incremental(spark: SparkSession, src: str, dst: str, checkpoint: str,
     return writer.start()
 
 
+def refresh_incremental(spark: SparkSession, src: str, dst: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame],
+                        changes: str, schema=None, max_batches_per_trigger: int = 32, ignore: Sequence[str] = (),
+                        available_now: bool = True) -> StreamingQuery:
+    """Keep a silver table without a key in step with the completed batches of ``src``.
+
+    ``dst`` is partitioned by ingest batch (``transform`` keeps ``__batch``).
+    A new or rewritten batch is compared, row by row and copy by copy, with
+    its silver partition; only partitions that changed are written, and their
+    change rows go to ``changes``, numbered as the stream numbers them.
+    """
+    schema = schema or spark.read.option("mergeSchema", "true").parquet(src).schema
+    marks = _marks(spark, src, max_batches_per_trigger)
+    if marks is None:
+        raise ValueError(f"{src} has no marks of completed batches: write it with write_batch")
+
+    def refresh(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        whole, ids = _whole(session, src, schema, batch)
+        if ids:
+            ChangeLog(session, changes).claim(session.read.json(f"{checkpoint.rstrip('/')}/metadata").first()["id"])
+            refresh_partitions(session, dst, transform(whole), ids, BATCH_COL, changes, batch_id, ignore)
+
+    writer = marks.writeStream.option("checkpointLocation", checkpoint).foreachBatch(refresh)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start()
+
+
+def refresh_available(spark: SparkSession, src: str, dst: str, checkpoint: str,
+                      transform: Callable[[DataFrame], DataFrame], changes: str, **kwargs) -> None:
+    """Run ``refresh_incremental`` until all completed batches are in step."""
+    q = refresh_incremental(spark, src, dst, checkpoint, transform, changes, **kwargs)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+
+
 def append_available(spark: SparkSession, src: str, dst: str, checkpoint: str,
                      transform: Callable[[DataFrame], DataFrame], **kwargs) -> None:
     """Run ``append_incremental`` until all present source files are done."""
