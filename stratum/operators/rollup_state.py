@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.functions.rollup import EXACT
-from stratum.operators.bitmaps import bitmaps, count_bitmaps, merge_bitmaps
+from stratum.operators.bitmaps import bitmaps, count_bitmaps
 from stratum.operators.changes import CHANGE_COL, DELETE, DELIVERY_COL, PREIMAGE
 from stratum.session import scratch_dir
 from stratum.sources.tables import load_schema, names_in, path_exists, remove, save_schema, touch
@@ -203,17 +203,20 @@ class RollupState:
         for n in r.numbers:
             again = again | (F.col(f"__odd_{n}") != 0) | (F.col(f"__n_{n}") > 0) & F.col(f"__sum_{n}").isNull()
         merged = merged.withColumn("__again", again).withColumn("__epoch", F.coalesce("__epoch", F.lit(delivery).cast("long")))
-        staged = scratch_dir(self.spark, "rollup")
-        merged.write.parquet(staged)
-        merged = self.spark.read.schema(merged.schema).parquet(staged)
+        merged = self._stage(merged)
         redo = merged.filter("__again")
         base_rows = same_group(base, redo, keys).withColumn(SIGN, F.col(weight).cast("long") if weight else F.lit(1).cast("long"))
+        if r.distinct:
+            base_rows = self._stage(base_rows)  # read once more for each bitmap
         # a group without rows left stays as an empty one
         nothing = redo.select(*keys, *[F.lit(None if c.startswith("__sum_") else 0).cast(merged.schema[c].dataType).alias(c) for c in r.additive],
                               *[F.lit(None).cast("double").alias(f"__plain_{n}") for n in r.numbers],
                               *[F.lit(None).cast(merged.schema[n].dataType).alias(n) for n in (*r.lows, *r.highs)])
         anew = r.merge(r.partial(base_rows).unionByName(nothing)).withColumn("__epoch", F.lit(delivery).cast("long"))
         done = merged.filter("not __again").drop("__again").unionByName(anew)
+        if r.distinct:
+            done = self._stage(done)
+        counts = []
         for name, col in r.distinct.items():
             own = same_group(rows.filter(F.col(SIGN) > 0), redo, keys, "left_anti")
             ids = bitmaps(own, keys, col).withColumn("__new", F.lit(1))
@@ -224,13 +227,21 @@ class RollupState:
             ids = ids.groupBy(*keys, "bucket").agg(F.bitmap_or_agg("bits").alias("bits"), F.max("__new").alias("__new")).filter("__new = 1").drop("__new")
             self._write(f"ids_{name}", ids.unionByName(bitmaps(base_rows, keys, col)), delivery)
             now = same_group(self._valid(self._read(f"ids_{name}", delivery), done), merged, keys)
-            counted = count_bitmaps(merge_bitmaps(now, keys), keys, name)
-            both = done.withColumn(name, F.lit(None).cast("long")).unionByName(counted, allowMissingColumns=True)
+            counts.append(count_bitmaps(now, keys, name))
+        if counts:
+            both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [done, *counts])
             rest = [c for c in done.columns if c not in keys]
-            done = both.groupBy(*keys).agg(*[F.first(c, ignorenulls=True).alias(c) for c in rest], F.coalesce(F.max(name), F.lit(0).cast("long")).alias(name))
+            done = both.groupBy(*keys).agg(*[F.first(c, ignorenulls=True).alias(c) for c in rest],
+                                           *[F.coalesce(F.max(n), F.lit(0).cast("long")).alias(n) for n in r.distinct])
         self._write("groups", done, delivery)
         touch(self.spark, f"{self.path}/applied/{delivery}")
 
+    def _stage(self, df: DataFrame) -> DataFrame:
+        """``df`` written to the shared scratch folder, as it is used several times."""
+        path = scratch_dir(self.spark, "rollup")
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     def _valid(self, ids: DataFrame, groups: DataFrame) -> DataFrame:
         """Newest bitmaps ``(keys, bucket, bits)`` of each group, those before it was last aggregated anew left out."""
         keys = list(self.rollup.keys)
