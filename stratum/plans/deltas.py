@@ -11,11 +11,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratum.operators.bitmaps import LabelIds, bitmaps, count_bitmaps, merge_bitmaps
 from stratum.operators.changes import CHANGE_COL, DELIVERY_COL, ChangeLog
 from stratum.operators.upsert import upsert_table
+from stratum.plans import gold as G
 from stratum.plans import jobs as J
+from stratum.plans import silver as S
 from stratum.plans.gold_state import SOURCES, maintain
-from stratum.plans.oracle import ORACLE
+from stratum.plans.oracle import ORACLE, SILVER_DEVIATION, SILVER_DM, SILVER_LB, SILVER_LOT, _cte, _with
 from stratum.session import apply_defaults, scratch_dir
 from stratum.sources.adapters import bronze
 from stratum.sources.tables import Layout, read_source, write_batch
@@ -140,6 +143,39 @@ def _refreshed(table: str, *how) -> Callable[[SparkSession, str], DataFrame]:
 _EQUIPMENT = (_deliver_batches, "mfg_equipment_lot", "mfg_equipment_log", "equipment_id < 'EQ_2'", "operator_id", "OP_X")
 
 
+_DISTINCT = {"distinct_tests": ["study_id", "subject_id"], "affected_batches": ["plant_id", "drug_code", "reported_month"],
+             "subject_count": ["study_id", "arm_group", "sex", "age_group", "country"]}
+
+
+def q_distinct_merged(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct counts from bitmaps stored by two deliveries of each feed, merged: tests of each subject, batches
+    with deviations, subjects of each demographic group."""
+    apply_defaults(spark)
+    base = scratch_dir(spark, "distinct_merged")
+    labs, dm = S.silver_lb(bronze(spark, sf, "bronze_clinical_lb")), S.silver_dm(bronze(spark, sf, "bronze_clinical_dm"))
+    lots = G.lot_keys(S.silver_lot(bronze(spark, sf, "bronze_mfg_lot")), ["batch_id", "plant_id", "drug_code"])
+    dev = S.silver_deviation(bronze(spark, sf, "bronze_mfg_deviation")).join(lots, "batch_id", "left").withColumn(
+        "reported_month", F.date_format("reported_date", "yyyy-MM"))
+    late = {"distinct_tests": F.month("test_date") > 6, "affected_batches": F.col("deviation_id") % 2 == 0, "subject_count": F.col("subject_id") % 5 < 2}
+    names, out = LabelIds(spark, f"{base}/test_names"), []
+    for measure, (rows, col) in {"distinct_tests": (labs, "test_id"), "affected_batches": (dev, "batch_id"), "subject_count": (dm, "subject_id")}.items():
+        keys, path = _DISTINCT[measure], f"{base}/{measure}"
+        for part in (rows.filter(late[measure]), rows.filter(~F.coalesce(late[measure], F.lit(False)))):
+            if measure == "distinct_tests":
+                names.extend(part.select("test_name"))
+                part = names.encode(part, "test_name", col)
+            bitmaps(part, keys, col).write.mode("append").parquet(path)
+        counts = count_bitmaps(merge_bitmaps(spark.read.parquet(path), keys), keys, "n")
+        out.append(counts.select(F.lit(measure).alias("measure"), F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("-")) for k in keys]).alias("grp"),
+                                 F.col("n").cast("long").alias("distinct_count")))
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+def _distinct_sql(measure: str, col: str, rows: str) -> str:
+    key = " || '|' || ".join(f"coalesce(CAST({k} AS VARCHAR), '-')" for k in _DISTINCT[measure])
+    return f"SELECT '{measure}' AS measure, {key} AS grp, count(DISTINCT {col}) AS distinct_count FROM {rows} GROUP BY ALL"
+
+
 _STATES = "\n".join(f""", s{n} AS (SELECT * FROM o WHERE d <= {n} AND o_custkey IS NOT NULL
   QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1)""" for n in (0, 1, 2))
 _ROW = "o_custkey, o_orderkey, o_totalprice, o_orderdate"
@@ -156,6 +192,7 @@ UNION ALL SELECT 'update_preimage', {n}, {_ROW} FROM s{n - 1} WHERE {gone}
 
 DELTA_QUERIES = {
     "change_rows_upsert": q_change_rows_upsert,
+    "distinct_merged": q_distinct_merged,
     "refresh_lb": _refreshed("clinical_lb", *_LB),
     "refresh_lot": _refreshed("mfg_lot", *_LOT),
     "refresh_equipment": _refreshed("mfg_equipment_log", *_EQUIPMENT),
@@ -173,6 +210,13 @@ DELTA_QUERIES = {
 }
 
 DELTA_ORACLE = {
+    "distinct_merged": _with(_cte("bronze_clinical_lb"), SILVER_LB, _cte("bronze_clinical_dm"), SILVER_DM, _cte("bronze_mfg_lot"),
+                             SILVER_LOT, _cte("bronze_mfg_deviation"), SILVER_DEVIATION,
+                             """lots AS (SELECT DISTINCT batch_id, plant_id, drug_code FROM silver_lot)""",
+                             """enr AS (SELECT d.*, l.plant_id, l.drug_code, strftime(d.reported_date, '%Y-%m') AS reported_month
+  FROM silver_deviation d LEFT JOIN lots l ON d.batch_id = l.batch_id)""")
+    + " UNION ALL ".join([_distinct_sql("distinct_tests", "test_name", "silver_lb"), _distinct_sql("affected_batches", "batch_id", "enr"),
+                          _distinct_sql("subject_count", "subject_id", "silver_dm")]),
     **{f"refresh_{k}": ORACLE[f"silver_{k}"] for k in ("lb", "lot", "equipment")},
     **{f"kept_{k}": ORACLE["gold_subject_safety" if k == "gold_subject" else k] for k in (*SOURCES, "gold_subject", "gold_demo_safety", "gold_capa")},
     "change_rows_upsert": f"""WITH o AS (SELECT CASE WHEN o_orderkey % 10 <> 0 THEN o_custkey END AS o_custkey, o_orderkey, o_totalprice,
