@@ -69,6 +69,12 @@ def dq_metrics(df: DataFrame, flags: Sequence[str], total: str = "total_rows",
                clean: str = "clean_rows", suffix: str = "_rows") -> DataFrame:
     """One-row data-quality summary: total rows, rows per flag, rows with no
     flag set.  One aggregate (one job) instead of an action per check."""
+    return df.agg(*dq_aggregates(flags, total, clean, suffix))
+
+
+def dq_aggregates(flags: Sequence[str], total: str = "total_rows", clean: str = "clean_rows", suffix: str = "_rows") -> list[Column]:
+    """The summary's aggregates; ``DataFrame.observe`` takes them from a write
+    on its way, without a scan of their own."""
     aggs = [F.count(F.lit(1)).alias(total)]
     aggs += [F.count_if(F.col(f)).alias(f"{f}{suffix}") for f in flags]
     none_set = None
@@ -76,7 +82,7 @@ def dq_metrics(df: DataFrame, flags: Sequence[str], total: str = "total_rows",
         p = ~F.coalesce(F.col(f), F.lit(False))
         none_set = p if none_set is None else (none_set & p)
     aggs.append(F.count_if(none_set if none_set is not None else F.lit(True)).alias(clean))
-    return df.agg(*aggs)
+    return aggs
 
 
 def label_census(df: DataFrame, cols: Sequence[str], column_name: str = "column_name",

@@ -18,9 +18,10 @@ from stratum.plans import gold as G
 from stratum.plans import jobs as J
 from stratum.plans import silver as S
 from stratum.plans.gold_state import SOURCES, maintain
-from stratum.plans.oracle import ORACLE, SILVER_DEVIATION, SILVER_DM, SILVER_LB, SILVER_LOT, _cte, _with
+from stratum.plans.oracle import ORACLE, QC, SILVER_DEVIATION, SILVER_DM, SILVER_LB, SILVER_LOT, _cte, _with
 from stratum.session import apply_defaults, scratch_dir
 from stratum.sources.adapters import bronze
+from stratum.sources.catalog import LayerCatalog
 from stratum.sources.tables import Layout, read_source, write_batch
 
 
@@ -143,6 +144,55 @@ def _refreshed(table: str, *how) -> Callable[[SparkSession, str], DataFrame]:
 _EQUIPMENT = (_deliver_batches, "mfg_equipment_lot", "mfg_equipment_log", "equipment_id < 'EQ_2'", "operator_id", "OP_X")
 
 
+def q_dq_metrics_written(spark: SparkSession, sf: str) -> DataFrame:
+    """Quality metrics of the QC feed, counted by the writes of its silver table."""
+    apply_defaults(spark)
+    lay = Layout(scratch_dir(spark, "dq_metrics"))
+    rows = bronze(spark, sf, "bronze_qc_lab_result")
+    for n in (0, 1):
+        write_batch(rows.filter(F.col("batch_id") % 2 == n), lay.bronze("qc_lab_result"), n)
+        J.silver_job(spark, lay, "qc_lab_result", buckets=8, metrics=True)
+    kept = spark.read.parquet(lay.metrics("qc_lab_result")).drop("__batch")
+    return kept.agg(*[F.sum(c).alias(c) for c in kept.columns])
+
+
+def q_bucketed_subject_safety(spark: SparkSession, sf: str) -> DataFrame:
+    """The subject mart over silver tables in buckets of the subject keys: the facts are aggregated and joined
+    where they lie."""
+    apply_defaults(spark)
+    cat = _catalog(spark, "bucketed")
+    for table, rows in (("clinical_dm", S.silver_dm(bronze(spark, sf, "bronze_clinical_dm"))),
+                        ("clinical_lb", S.silver_lb(bronze(spark, sf, "bronze_clinical_lb"))),
+                        ("clinical_vs", S.silver_vs(bronze(spark, sf, "bronze_clinical_vs")))):
+        cat.write_bucketed(rows, "silver", table, G.SUBJECT_KEYS, 8)
+    dm, lb, vs = (cat.table("silver", t) for t in ("clinical_dm", "clinical_lb", "clinical_vs"))
+    return G.gold_subject_safety(G.subject_safety(dm, G.lb_per_subject(lb), G.vs_per_subject(vs)))
+
+
+def _catalog(spark: SparkSession, name: str) -> LayerCatalog:
+    lay = Layout(scratch_dir(spark, name))
+    cat = LayerCatalog(spark, lay, f"{lay.root.rsplit('/', 1)[1].replace('-', '_')}_")
+    cat.create()
+    return cat
+
+
+def q_catalog_layers(spark: SparkSession, sf: str) -> DataFrame:
+    """Three layers read by name: QC tests as delivered, as cleaned and as summed up."""
+    apply_defaults(spark)
+    cat = _catalog(spark, "catalog")
+    lay = cat.layout
+    rows = bronze(spark, sf, "bronze_qc_lab_result")
+    for n in (0, 1):
+        write_batch(rows.filter(F.col("batch_id") % 2 == n), lay.bronze("qc_lab_result"), n)
+    J.silver_job(spark, lay, "qc_lab_result", buckets=8)
+    J.gold_job(spark, lay, "qc_summary")
+    b, s, g = (cat.register(layer, t) for layer, t in (("bronze", "qc_lab_result"), ("silver", "qc_lab_result"), ("gold", "qc_summary")))
+    return spark.sql(f"""SELECT g.test_name, g.total_tests, s.batches, b.delivered FROM {g} AS g
+JOIN (SELECT test_name, count(DISTINCT batch_id) AS batches FROM {s} GROUP BY test_name) AS s ON s.test_name = g.test_name
+LEFT JOIN (SELECT upper(test_name) AS test_name, count(*) AS delivered FROM {b} WHERE __batch IN (0, 1) GROUP BY 1) AS b
+ON b.test_name = g.test_name""")
+
+
 _DISTINCT = {"distinct_tests": ["study_id", "subject_id"], "affected_batches": ["plant_id", "drug_code", "reported_month"],
              "subject_count": ["study_id", "arm_group", "sex", "age_group", "country"]}
 
@@ -192,6 +242,9 @@ UNION ALL SELECT 'update_preimage', {n}, {_ROW} FROM s{n - 1} WHERE {gone}
 
 DELTA_QUERIES = {
     "change_rows_upsert": q_change_rows_upsert,
+    "dq_metrics_written": q_dq_metrics_written,
+    "bucketed_subject_safety": q_bucketed_subject_safety,
+    "catalog_layers": q_catalog_layers,
     "distinct_merged": q_distinct_merged,
     "refresh_lb": _refreshed("clinical_lb", *_LB),
     "refresh_lot": _refreshed("mfg_lot", *_LOT),
@@ -210,6 +263,11 @@ DELTA_QUERIES = {
 }
 
 DELTA_ORACLE = {
+    "dq_metrics_written": ORACLE["dq_metrics_qc"],
+    "bucketed_subject_safety": ORACLE["gold_subject_safety"],
+    "catalog_layers": QC + """SELECT s.test_name, s.total_tests, s.batches, b.delivered
+FROM (SELECT test_name, count(*) AS total_tests, count(DISTINCT batch_id) AS batches FROM silver_qc GROUP BY test_name) s
+LEFT JOIN (SELECT upper(test_name) AS test_name, count(*) AS delivered FROM bronze_qc_lab_result GROUP BY 1) b ON b.test_name = s.test_name""",
     "distinct_merged": _with(_cte("bronze_clinical_lb"), SILVER_LB, _cte("bronze_clinical_dm"), SILVER_DM, _cte("bronze_mfg_lot"),
                              SILVER_LOT, _cte("bronze_mfg_deviation"), SILVER_DEVIATION,
                              """lots AS (SELECT DISTINCT batch_id, plant_id, drug_code FROM silver_lot)""",

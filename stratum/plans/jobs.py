@@ -18,12 +18,14 @@ from __future__ import annotations
 import argparse
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratum.operators.quality import dq_aggregates
 from stratum.plans import gold as G
 from stratum.plans import silver as S
-from stratum.sources.tables import Layout, load_schema, overwrite_table, read_table
+from stratum.sources.tables import Layout, load_schema, overwrite_table, read_table, replace_batches
 from stratum.streaming.incremental import append_available, refresh_available, upsert_available
 from stratum.streaming.ingest import BATCH_COL, FILE_COL, RESCUED_COL, ingest_available
 
@@ -33,10 +35,11 @@ FEEDS = ["clinical_dm", "clinical_lb", "clinical_vs", "qc_lab_result", "mfg_orde
 
 # silver table -> (bronze feed, transform(bronze, carry), write mode, keys).
 # ``carry`` lists bronze columns to keep (the ingest batch id, by which the
-# latest version of a key wins an upsert).
-Transform = Callable[[DataFrame, Sequence[str]], DataFrame]
+# latest version of a key wins an upsert); cleaners of WATCHED tables also take
+# ``watch``, which sees the rows with their flags.
+Transform = Callable[..., DataFrame]
 SILVER: dict[str, tuple[str, Transform, str, list[str]]] = {
-    "clinical_dm": ("clinical_dm", lambda b, c: S.dm_clean(b), "upsert", S.KEYS["dm"]),
+    "clinical_dm": ("clinical_dm", lambda b, c, watch=None: S.dm_clean(b, watch), "upsert", S.KEYS["dm"]),
     "clinical_lb": ("clinical_lb", S.silver_lb, "overwrite", []),
     "clinical_vs": ("clinical_vs", S.silver_vs, "append", []),
     "qc_lab_result": ("qc_lab_result", S.qc_rows, "upsert", S.KEYS["qc"]),
@@ -48,6 +51,9 @@ SILVER: dict[str, tuple[str, Transform, str, list[str]]] = {
 }
 
 # Silver tables stamped with a processing time (as in the reference).
+# Flags counted while a table is written (``silver_job(metrics=True)``).
+WATCHED = {"qc_lab_result": S.QC_FLAGS, "clinical_dm": S.DM_FLAGS, "clinical_lb": S.LB_FLAGS}
+
 STAMP = "silver_processed_at"
 STAMPED = {"clinical_lb", "clinical_vs", "qc_lab_result", "mfg_lot", "mfg_equipment_log",
            "mfg_deviation"}
@@ -74,7 +80,8 @@ def bronze_schema(spark: SparkSession, layout: Layout, feed: str) -> T.StructTyp
 
 
 def silver_job(spark: SparkSession, layout: Layout, table: str, buckets: int = 64,
-               bucket: Column | None = None, merge_table: str | None = None, changes: bool = False) -> None:
+               bucket: Column | None = None, merge_table: str | None = None, changes: bool = False,
+               metrics: bool = False) -> None:
     """Build one silver table from its bronze feed with the table's write mode.
 
     Of an upserted table, ``bucket`` is the bucketing (``range_bucket`` for
@@ -82,18 +89,35 @@ def silver_job(spark: SparkSession, layout: Layout, table: str, buckets: int = 6
     a catalog table to merge into by its format's own ``MERGE``; ``changes``
     keeps its change rows (``Layout.changes``), stamps left aside.  A table
     without a key is with ``changes`` not built anew but refreshed by ingest
-    batch: only batches that changed are written.
+    batch: only batches that changed are written.  ``metrics`` keeps the
+    counts of quality flags (``Layout.metrics``), one row per micro-batch or
+    full refresh; the write itself counts them.
     """
     feed, transform, mode, keys = SILVER[table]
     dst = layout.silver(table)
 
+    if metrics and table not in WATCHED:
+        raise ValueError(f"{table} has no quality flags to count")
+    seen: list[Observation] = []
+
     def build(b: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
-        df = transform(b, carry)
+        if metrics:
+            seen[:] = [Observation()]
+            df = transform(b, carry, watch=lambda flagged: flagged.observe(seen[0], *dq_aggregates(WATCHED[table])))
+        else:
+            df = transform(b, carry)
         return S.with_audit(df) if table in STAMPED else df
 
+    def keep_metrics(session: SparkSession, batch_id: int) -> None:
+        if metrics:
+            counts = {k: v for k, v in seen[0].get.items()}
+            row = session.createDataFrame([tuple(counts.values())], ", ".join(f"{k} long" for k in counts))
+            replace_batches(row.coalesce(1).withColumn(BATCH_COL, F.lit(batch_id).cast("long")), layout.metrics(table), [batch_id])
+
     ckpt = layout.checkpoint(f"silver_{table}")
     if mode == "overwrite" and not changes:
         overwrite_table(build(read_bronze_table(spark, layout, feed)), dst)
+        keep_metrics(spark, 0)
         return
     # Only bronze rows not taken before are read; the ingest batch id orders
     # versions of a key (latest wins).
@@ -101,13 +125,13 @@ def silver_job(spark: SparkSession, layout: Layout, table: str, buckets: int = 6
     carry = [BATCH_COL] if BATCH_COL in schema.fieldNames() else []
     if mode != "upsert" and changes:
         refresh_available(spark, layout.bronze(feed), dst, ckpt, lambda b: build(b, carry), layout.changes(table),
-                          schema=schema, ignore=[STAMP])
+                          schema=schema, ignore=[STAMP], after=keep_metrics)
     elif mode == "append":
         append_available(spark, layout.bronze(feed), dst, ckpt, lambda b: build(b, carry), schema=schema)
     else:
         upsert_available(spark, layout.bronze(feed), dst, ckpt, lambda b: build(b, carry), keys, order=carry,
                          buckets=buckets, schema=schema, bucket=bucket, merge_table=merge_table,
-                         changes=layout.changes(table) if changes else None, ignore=[*carry, STAMP])
+                         changes=layout.changes(table) if changes else None, ignore=[*carry, STAMP], after=keep_metrics)
 
 
 def read_silver(spark: SparkSession, layout: Layout, table: str) -> DataFrame:

@@ -9,7 +9,7 @@ deviation, order) are deduplicated on their business key with
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +37,14 @@ def with_audit(df: DataFrame, name: str = "silver_processed_at") -> DataFrame:
     return df.withColumn(name, F.current_timestamp())
 
 
+#: Sees the rows with their quality flags as a cleaner passes them on.
+Watch = Callable[[DataFrame], DataFrame] | None
+
+
+def _watched(df: DataFrame, watch: Watch) -> DataFrame:
+    return watch(df) if watch else df
+
+
 def keyed(df: DataFrame, table: str, order: Sequence[str] = ()) -> DataFrame:
     """One row per business key (latest by ``order``; ties by row values).
     Only QC rows can come without one: the other cleaners require theirs."""
@@ -245,7 +253,10 @@ DM_REQUIRED = ("study_id", "subject_id", "site_id", "arm_group", "age", "sex", "
                "country", "enrollment_date")
 
 
-def dm_clean(bronze: DataFrame) -> DataFrame:
+DM_FLAGS = ["hard_null_flag", "invalid_arm_flag"]
+
+
+def dm_clean(bronze: DataFrame, watch: Watch = None) -> DataFrame:
     df = require(bronze.withColumnRenamed("race", "Origin"), DM_REQUIRED)
     df = df.withColumns({
         "sex": decode("sex", V.SEX_CODES, V.SEX_OTHER),
@@ -257,17 +268,16 @@ def dm_clean(bronze: DataFrame) -> DataFrame:
         "arm_group": normalize("arm_group"),
     }).drop("age")
     df = df.withColumn("invalid_arm_flag", invalid_flag(~F.col("arm_group").isin(V.VALID_ARMS)))
-    flags = ["hard_null_flag", "invalid_arm_flag"]
-    return accept(df, flags).drop(*flags)
+    return accept(_watched(df, watch), DM_FLAGS).drop(*DM_FLAGS)
 
 
 def silver_dm(bronze: DataFrame, order: Sequence[str] = ()) -> DataFrame:
     return keyed(dm_clean(bronze), "dm", order)
 
 
-def qc_rows(bronze: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+def qc_rows(bronze: DataFrame, carry: Sequence[str] = (), watch: Watch = None) -> DataFrame:
     """QC silver projection before deduplication."""
-    return qc_flagged(bronze).select(*QC_COLUMNS, *carry)
+    return _watched(qc_flagged(bronze), watch).select(*QC_COLUMNS, *carry)
 
 
 # ---- V2 clinical labs -------------------------------------------------------
@@ -278,6 +288,9 @@ LB_REQUIRED = ("study_id", "subject_id", "test_name", "test_value", "unit", "ref
                "test_date", "abnormal_flag")
 
 
+LB_FLAGS = ["abnormal_mismatch_flag"]
+
+
 def lb_checked(bronze: DataFrame) -> DataFrame:
     lo, hi = parse_range("reference_range")
     df = require(bronze, LB_REQUIRED).withColumns({
@@ -293,10 +306,10 @@ def lb_checked(bronze: DataFrame) -> DataFrame:
                          mismatch_flag("abnormal_flag", "derived_abnormal_flag"))
 
 
-def silver_lb(bronze: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+def silver_lb(bronze: DataFrame, carry: Sequence[str] = (), watch: Watch = None) -> DataFrame:
     """Lab rows whose recorded flag agrees with the flag derived from the
     reference range."""
-    return accept(lb_checked(bronze), ["abnormal_mismatch_flag"]).select(*LB_COLUMNS, *carry)
+    return accept(_watched(lb_checked(bronze), watch), LB_FLAGS).select(*LB_COLUMNS, *carry)
 
 
 def lb_mismatches(bronze: DataFrame) -> DataFrame:

@@ -93,6 +93,10 @@ class Layout:
         """Change rows of a silver table."""
         return f"{self.silver(table)}__changes"
 
+    def metrics(self, table: str) -> str:
+        """Counts of quality flags that a silver table's writes kept."""
+        return self.path("_metrics", table)
+
     def state(self, mart: str) -> str:
         """Partial results that a mart is kept up to date from."""
         return self.path("_state", mart)

@@ -30,6 +30,7 @@ from stratum.sources.tables import completed_batches, path_exists, replace_batch
 from stratum.streaming.ingest import BATCH_COL
 
 MERGE_COL = "__merge"
+After = Callable[[SparkSession, int], None] | None
 
 
 def _marks(spark: SparkSession, src: str, per_trigger: int) -> DataFrame | None:
@@ -85,7 +86,7 @@ def append_incremental(spark: SparkSession, src: str, dst: str, checkpoint: str,
 
 def refresh_incremental(spark: SparkSession, src: str, dst: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame],
                         changes: str, schema=None, max_batches_per_trigger: int = 32, ignore: Sequence[str] = (),
-                        available_now: bool = True) -> StreamingQuery:
+                        available_now: bool = True, after: After = None) -> StreamingQuery:
     """Keep a silver table without a key in step with the completed batches of ``src``.
 
     ``dst`` is partitioned by ingest batch (``transform`` keeps ``__batch``).
@@ -103,7 +104,11 @@ def refresh_incremental(spark: SparkSession, src: str, dst: str, checkpoint: str
         whole, ids = _whole(session, src, schema, batch)
         if ids:
             ChangeLog(session, changes).claim(session.read.json(f"{checkpoint.rstrip('/')}/metadata").first()["id"])
+            if ChangeLog(session, changes).merged(batch_id):
+                return
             refresh_partitions(session, dst, transform(whole), ids, BATCH_COL, changes, batch_id, ignore)
+            if after is not None:
+                after(session, batch_id)
 
     writer = marks.writeStream.option("checkpointLocation", checkpoint).foreachBatch(refresh)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
@@ -134,7 +139,7 @@ def upsert_incremental(spark: SparkSession, src: str, dst: str, checkpoint: str,
                        bucket: Column | None = None, max_files_per_trigger: int | None = 1000,
                        available_now: bool = True, schema=None, merge_table: str | None = None,
                        max_batches_per_trigger: int = 32, changes: str | None = None,
-                       ignore: Sequence[str] = ()) -> StreamingQuery:
+                       ignore: Sequence[str] = (), after: After = None) -> StreamingQuery:
     """Upsert only the bronze rows not seen before into a keyed silver table.
 
     The bronze Parquet table is a streaming source (its completed batches, or
@@ -148,6 +153,7 @@ def upsert_incremental(spark: SparkSession, src: str, dst: str, checkpoint: str,
     ``schema`` (the bronze schema) is read from the table when not given.
     ``changes`` keeps the change rows of every micro-batch there, numbered as
     the stream numbers them; ``ignore`` names columns that don't make a change.
+    ``after`` is called when a micro-batch has been merged.
     With ``merge_table``, a catalog table whose format supports ``MERGE``, the
     batches go there by the format's own merge instead of to ``dst``.
     """
@@ -167,10 +173,14 @@ def upsert_incremental(spark: SparkSession, src: str, dst: str, checkpoint: str,
         stream = session.read.json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
         if changes is not None:
             ChangeLog(session, changes).claim(stream)
+            if ChangeLog(session, changes).merged(batch_id):
+                return
         if marks is None or BATCH_COL not in rows.columns:
             rows, delivery = rows.withColumn(MERGE_COL, F.lit(f"{stream}/{batch_id}")), MERGE_COL
         upsert_table(session, dst, rows, keys, order, buckets, bucket, delivery, changes,
                      batch_id if changes is not None else None, ignore)
+        if after is not None:
+            after(session, batch_id)
 
     if marks is not None:
         source = marks
