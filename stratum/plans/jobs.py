@@ -27,7 +27,7 @@ from stratum.plans import gold as G
 from stratum.plans import silver as S
 from stratum.sources.tables import Layout, load_schema, overwrite_table, read_table, replace_batches
 from stratum.streaming.incremental import append_available, refresh_available, upsert_available
-from stratum.streaming.ingest import BATCH_COL, FILE_COL, RESCUED_COL, ingest_available
+from stratum.streaming.ingest import BATCH_COL, FILE_COL, RESCUED_COL, ingest_available, read_bronze
 
 # Bronze feed names (one ingest source folder each).
 FEEDS = ["clinical_dm", "clinical_lb", "clinical_vs", "qc_lab_result", "mfg_order", "mfg_lot",
@@ -66,7 +66,8 @@ def bronze_job(spark: SparkSession, layout: Layout, feed: str, src_dir: str, **k
 
 
 def read_bronze_table(spark: SparkSession, layout: Layout, feed: str) -> DataFrame:
-    return read_table(spark, layout.bronze(feed), merge_schema=True)
+    """A bronze table; one that ingest wrote is read across its schema versions."""
+    return read_bronze(spark, layout.bronze(feed), layout.schema_store(feed))
 
 
 def bronze_schema(spark: SparkSession, layout: Layout, feed: str) -> T.StructType:
@@ -123,15 +124,16 @@ def silver_job(spark: SparkSession, layout: Layout, table: str, buckets: int = 6
     # versions of a key (latest wins).
     schema = bronze_schema(spark, layout, feed)
     carry = [BATCH_COL] if BATCH_COL in schema.fieldNames() else []
+    bronze_rows = lambda session: read_bronze_table(session, layout, feed)
     if mode != "upsert" and changes:
         refresh_available(spark, layout.bronze(feed), dst, ckpt, lambda b: build(b, carry), layout.changes(table),
-                          schema=schema, ignore=[STAMP], after=keep_metrics)
+                          schema=schema, ignore=[STAMP], after=keep_metrics, read=bronze_rows)
     elif mode == "append":
-        append_available(spark, layout.bronze(feed), dst, ckpt, lambda b: build(b, carry), schema=schema)
+        append_available(spark, layout.bronze(feed), dst, ckpt, lambda b: build(b, carry), schema=schema, read=bronze_rows)
     else:
         upsert_available(spark, layout.bronze(feed), dst, ckpt, lambda b: build(b, carry), keys, order=carry,
                          buckets=buckets, schema=schema, bucket=bucket, merge_table=merge_table,
-                         changes=layout.changes(table) if changes else None, ignore=[*carry, STAMP], after=keep_metrics)
+                         changes=layout.changes(table) if changes else None, ignore=[*carry, STAMP], after=keep_metrics, read=bronze_rows)
 
 
 def read_silver(spark: SparkSession, layout: Layout, table: str) -> DataFrame:

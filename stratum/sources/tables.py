@@ -60,6 +60,14 @@ def load_schema(spark: SparkSession, store: str) -> T.StructType | None:
     return T.StructType.fromJson(json.loads(rows[0]["value"])) if rows else None
 
 
+def load_versions(spark: SparkSession, store: str) -> list[tuple[int, T.StructType]]:
+    """All remembered schemas in ``store`` with their versions, oldest first."""
+    if not path_exists(spark, store):
+        return []
+    rows = spark.read.text(store).select(F.col("v").cast("long").alias("v"), "value").orderBy("v").collect()
+    return [(r["v"], T.StructType.fromJson(json.loads(r["value"]))) for r in rows]
+
+
 def save_schema(spark: SparkSession, store: str, schema: T.StructType, version: int) -> None:
     """Write a new schema version (``store/v=<version>``); older versions stay."""
     (spark.createDataFrame([(schema.json(),)], "value string")

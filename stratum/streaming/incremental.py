@@ -31,6 +31,8 @@ from stratum.streaming.ingest import BATCH_COL
 
 MERGE_COL = "__merge"
 After = Callable[[SparkSession, int], None] | None
+#: How to read the bronze table, if not as plain Parquet (a table whose types were widened).
+Read = Callable[[SparkSession], DataFrame] | None
 
 
 def _marks(spark: SparkSession, src: str, per_trigger: int) -> DataFrame | None:
@@ -40,16 +42,18 @@ def _marks(spark: SparkSession, src: str, per_trigger: int) -> DataFrame | None:
     return spark.readStream.schema("batch long").option("maxFilesPerTrigger", str(per_trigger)).parquet(completed_batches(src))
 
 
-def _whole(session: SparkSession, src: str, schema, marks: DataFrame) -> tuple[DataFrame, list[int]]:
+def _whole(session: SparkSession, src: str, schema, marks: DataFrame, read: Read = None) -> tuple[DataFrame, list[int]]:
     """The completed batches of a trigger, read once, and their ids (one per mark at most)."""
     ids = sorted(r[0] for r in marks.select("batch").distinct().collect())
-    return session.read.schema(schema).parquet(src).filter(F.col(BATCH_COL).isin(ids)), ids
+    rows = read(session) if read is not None else session.read.schema(schema).parquet(src)
+    return rows.filter(F.col(BATCH_COL).isin(ids)), ids
 
 
 def append_incremental(spark: SparkSession, src: str, dst: str, checkpoint: str,
                        transform: Callable[[DataFrame], DataFrame],
                        max_files_per_trigger: int | None = 1000,
-                       available_now: bool = True, schema=None, max_batches_per_trigger: int = 32) -> StreamingQuery:
+                       available_now: bool = True, schema=None, max_batches_per_trigger: int = 32,
+                       read: Read = None) -> StreamingQuery:
     """Stream new Parquet files of ``src`` through ``transform`` into ``dst``.
 
     ``schema`` (the bronze schema) is read from the table as it is now when
@@ -63,7 +67,7 @@ def append_incremental(spark: SparkSession, src: str, dst: str, checkpoint: str,
     marks = _marks(spark, src, max_batches_per_trigger)
 
     def replace(batch: DataFrame, batch_id: int) -> None:
-        whole, ids = _whole(batch.sparkSession, src, schema, batch)
+        whole, ids = _whole(batch.sparkSession, src, schema, batch, read)
         if not ids:
             return
         rows = transform(whole)
@@ -86,7 +90,7 @@ def append_incremental(spark: SparkSession, src: str, dst: str, checkpoint: str,
 
 def refresh_incremental(spark: SparkSession, src: str, dst: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame],
                         changes: str, schema=None, max_batches_per_trigger: int = 32, ignore: Sequence[str] = (),
-                        available_now: bool = True, after: After = None) -> StreamingQuery:
+                        available_now: bool = True, after: After = None, read: Read = None) -> StreamingQuery:
     """Keep a silver table without a key in step with the completed batches of ``src``.
 
     ``dst`` is partitioned by ingest batch (``transform`` keeps ``__batch``).
@@ -101,7 +105,7 @@ def refresh_incremental(spark: SparkSession, src: str, dst: str, checkpoint: str
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        whole, ids = _whole(session, src, schema, batch)
+        whole, ids = _whole(session, src, schema, batch, read)
         if ids:
             ChangeLog(session, changes).claim(session.read.json(f"{checkpoint.rstrip('/')}/metadata").first()["id"])
             if ChangeLog(session, changes).merged(batch_id):
@@ -139,7 +143,7 @@ def upsert_incremental(spark: SparkSession, src: str, dst: str, checkpoint: str,
                        bucket: Column | None = None, max_files_per_trigger: int | None = 1000,
                        available_now: bool = True, schema=None, merge_table: str | None = None,
                        max_batches_per_trigger: int = 32, changes: str | None = None,
-                       ignore: Sequence[str] = (), after: After = None) -> StreamingQuery:
+                       ignore: Sequence[str] = (), after: After = None, read: Read = None) -> StreamingQuery:
     """Upsert only the bronze rows not seen before into a keyed silver table.
 
     The bronze Parquet table is a streaming source (its completed batches, or
@@ -163,7 +167,7 @@ def upsert_incremental(spark: SparkSession, src: str, dst: str, checkpoint: str,
     def merge(batch: DataFrame, batch_id: int) -> None:
         session, delivery = batch.sparkSession, BATCH_COL
         if marks is not None:
-            batch, ids = _whole(session, src, schema, batch)
+            batch, ids = _whole(session, src, schema, batch, read)
             if not ids:
                 return
         rows = transform(batch)

@@ -14,8 +14,9 @@ Contract (per source folder):
   as NULL and is kept, as text, under its column's name in the ``__rescued``
   JSON column instead of failing the batch (a line with too few or too many
   fields is kept whole, as ``_line``).
-* Files whose columns are all known are read once, as text, and cast to the
-  remembered types; only files with new columns pay for a type-inference pass.
+* With ``widen``, a column whose new values don't fit it gets a wider type
+  instead (int, bigint or double, decimal, text): earlier batches are read as
+  that type, and values rescued before the widening are put back at read.
 * A checkpoint numbers its batches from 0, so a new one on a table that has
   batches already is refused: it would overwrite them.
 * A replayed micro-batch (after a crash between write and commit) rewrites
@@ -23,11 +24,13 @@ Contract (per source folder):
 
 How it runs: the stream itself only discovers paths (``binaryFile`` with
 only ``path`` selected, so file contents are not read).  Each micro-batch
-reads the headers inside tasks (one short read per file), groups the files
-by header, and issues one distributed CSV read per distinct header, so a
-column that moved or appeared is never read positionally into the wrong
-place.  Only the batch's path list reaches the driver; bound it with
-``max_files_per_trigger``.
+reads the headers inside tasks (one short read per file), and then all its
+files in one CSV read, as text fields by position; each line finds the
+positions of the table's columns by its file's header, so a column that moved
+or appeared is never read into the wrong place.  The number of jobs does not
+grow with the number of headers: one write, and one aggregation of the types
+of new columns if there are any.  Only the batch's path list reaches the
+driver; bound it with ``max_files_per_trigger``.
 """
 
 from __future__ import annotations
@@ -43,7 +46,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from stratum.sources.tables import load_schema, path_exists, save_schema, write_batch
+from stratum.sources.tables import load_schema, load_versions, path_exists, save_schema, write_batch
 
 FILE_COL = "__file"
 BATCH_COL = "__batch"
@@ -85,11 +88,12 @@ def _changed(src: Column, cast: Column, incoming: T.DataType, known: T.DataType)
     return F.lit(False)
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+def conform(df: DataFrame, schema: T.StructType, lenient: Column | None = None) -> DataFrame:
     """Project ``df`` onto ``schema``: missing columns become NULL, values of
     a known column are ``try_cast`` to its type, and values that the cast
     would drop or change become NULL and are kept as text in ``__rescued``
-    (JSON object, NULL when none)."""
+    (JSON object, NULL when none).  Where ``lenient``, text such as 5.0 is a
+    whole number."""
     present = {c.lower(): c for c in df.columns}
     cols, bad = [], []
     for f in schema.fields:
@@ -102,6 +106,9 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
             cols.append(F.col(src).alias(f.name))
             continue
         cast = F.col(src).try_cast(f.dataType)
+        if lenient is not None and isinstance(f.dataType, (T.IntegerType, T.LongType)):
+            number = F.col(src).try_cast("double")
+            cast = F.coalesce(cast, F.when(lenient & (number == F.floor(number)), number.try_cast(f.dataType)))
         lossy = F.col(src).isNotNull() & F.coalesce(cast.isNull() | _changed(F.col(src), cast, incoming, f.dataType),
                                                     F.lit(True))
         cols.append(F.when(~lossy, cast).alias(f.name))
@@ -186,60 +193,139 @@ def header_names(header: str) -> list[str]:
     return next(csv.reader([header])) if header else []
 
 
-def read_csv_group(spark: SparkSession, paths: list[str], infer: bool = True,
-                   known: T.StructType | None = None, names: list[str] | None = None) -> DataFrame:
-    """One CSV read for files that share a header; lineage from ``_metadata``.
+def column_names(header: str) -> list[str]:
+    """Names of a file's columns; one without a name, or named like one before it, gets its position's."""
+    names: list[str] = []
+    for i, name in enumerate(header_names(header)):
+        taken = {n.lower() for n in names}
+        name = name or f"_c{i}"
+        names.append(f"{name}{i}" if name.lower() in taken else name)
+    return names
+
+
+#: Closes a line to count its fields; not a text that a field holds.
+END = "\x01end\x01"
 
-    When every column of the header is already in the remembered schema the
-    files are read once, as text in header order (no inference pass over the
-    data; ``conform`` casts the values); a line with too few or too many
-    fields lands, whole, in the corrupt-record column and from there in
-    ``__rescued``.  Otherwise types are inferred.
-    """
-    reader = spark.read.option("header", "true")
-    if known is not None and names and _all_known(known, names):
-        fields = [T.StructField(n, T.StringType(), True) for n in names]
-        schema = T.StructType(fields + [T.StructField(CORRUPT_COL, T.StringType(), True)])
-        df = (reader.schema(schema).option("mode", "PERMISSIVE")
-              .option("columnNameOfCorruptRecord", CORRUPT_COL).csv(paths))
-    else:
-        df = reader.option("inferSchema", str(infer).lower()).csv(paths)
-    return df.withColumn(FILE_COL, F.col("_metadata.file_name"))
 
+def read_csv_files(spark: SparkSession, names: dict[str, list[str]]) -> DataFrame:
+    """All lines of CSV files (path -> its column names) in one read.
 
-def _all_known(known: T.StructType, names: list[str]) -> bool:
-    have = {f.name.lower() for f in known.fields}
-    return len(set(n.lower() for n in names)) == len(names) and all(n.lower() in have for n in names)
+    Returns ``__fields`` (the line's fields as text, by position), ``__uri``
+    of its file, ``__corrupt``: the line where it can't be split
+    as the widest file's are, and ``__count``: its number of fields.
+    """
+    width = max(map(len, names.values()))
+    cols = [f"c{i}" for i in range(width)]
+    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in (*cols, CORRUPT_COL)])
+    lines = (spark.read.option("header", "true").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COL)
+             .option("columnPruning", "false").schema(schema).csv(sorted(names)))
+    # A line of another width than the widest file's comes with its text: the
+    # place of a closing field in it tells how many fields it has.
+    ended = F.from_csv(F.concat(CORRUPT_COL, F.lit(f",{END}")), F.lit(", ".join(f"t{i} string" for i in range(width + 1))))
+    lines = lines.select(F.array(*cols).alias("__fields"), CORRUPT_COL, F.col("_metadata.file_path").alias("__uri"), ended.alias("__ended"))
+    place = F.array_position(F.array(*[F.col("__ended")[f"t{i}"] for i in range(width + 1)]), F.lit(END)) - 1
+    return lines.select("__fields", CORRUPT_COL, "__uri",
+                        F.when(F.col(CORRUPT_COL).isNull(), F.lit(width)).otherwise(place).alias("__count"))
+
+
+def _layouts(spark: SparkSession, names: dict[str, list[str]], columns: list[str], fresh: set[str]) -> DataFrame:
+    """For every file its name and where its lines have the table's ``columns``: ``(__uri, __file, __width, __at, __lenient)``."""
+    jvm = spark.sparkContext._jvm
+    layouts = list(dict.fromkeys(map(tuple, names.values())))
+    heads = []
+    for k, own in enumerate(layouts):
+        at = {n.lower(): i for i, n in enumerate(own)}
+        heads.append((k, len(own), [at.get(c.lower(), -1) for c in columns], any(n.lower() in fresh for n in own)))
+    number = {own: k for k, own in enumerate(layouts)}
+    files = [(jvm.org.apache.hadoop.fs.Path(p).toUri().toString(), p.rsplit("/", 1)[-1], number[tuple(own)]) for p, own in names.items()]
+    return spark.createDataFrame(files, f"__uri string, {FILE_COL} string, __head int").join(
+        spark.createDataFrame(heads, "__head int, __width int, __at array<int>, __lenient boolean"), "__head").drop("__head")
+
+
+# Types that a text column can be read as, by what all its values are.
+WHOLE, PLAIN = r"^[+-]?[0-9]{1,19}$", r"^[+-]?[0-9]{1,28}(\.[0-9]{0,10})?$"
+DAY, MOMENT = r"^\d{4}-\d{2}-\d{2}$", r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}.*)?$"
+PLAIN_TYPE = T.DecimalType(38, 10)
+
+
+def column_types(pairs: DataFrame) -> DataFrame:
+    """``(col, value)`` texts -> for each column, of which kinds all its values are."""
+    v = F.col("value")
+
+    def all_are(fits: Column) -> Column:
+        return F.coalesce(F.every(fits), F.lit(False))
+
+    return pairs.filter(v.isNotNull()).groupBy("col").agg(
+        all_are(v.rlike(WHOLE) & v.try_cast("int").isNotNull()).alias("int"), all_are(v.rlike(WHOLE) & v.try_cast("long").isNotNull()).alias("long"),
+        all_are(v.rlike(PLAIN)).alias("plain"), all_are(v.try_cast("double").isNotNull() & ~v.rlike(r"\s")).alias("double"),
+        all_are(v.rlike(DAY) & v.try_cast("date").isNotNull()).alias("date"),
+        all_are(v.rlike(MOMENT) & v.try_cast("timestamp").isNotNull()).alias("timestamp"), all_are(F.lower(v).isin("true", "false")).alias("boolean"))
+
+
+def inferred(kinds) -> T.DataType:
+    """The narrowest type of a column's values (a row of ``column_types``)."""
+    for kind, dtype in (("int", T.IntegerType()), ("long", T.LongType()), ("double", T.DoubleType()), ("date", T.DateType()),
+                        ("timestamp", T.TimestampType()), ("boolean", T.BooleanType())):
+        if kinds[kind]:
+            return dtype
+    return T.StringType()
+
+
+def widened(known: T.DataType, kinds) -> T.DataType:
+    """The narrowest type that holds, unchanged, all values of type ``known`` and those of ``kinds``."""
+    new = inferred(kinds)
+    if isinstance(known, T.StringType) or new == known:
+        return known
+    if isinstance(known, (T.IntegerType, T.LongType)) and isinstance(new, (T.IntegerType, T.LongType)):
+        return T.LongType()
+    if isinstance(known, T.IntegerType) and isinstance(new, T.DoubleType) or isinstance(known, T.DoubleType) and isinstance(new, T.IntegerType):
+        return T.DoubleType()
+    if isinstance(known, (T.IntegerType, T.LongType)) and kinds["plain"] or known == PLAIN_TYPE and kinds["plain"]:
+        return PLAIN_TYPE
+    if isinstance(known, T.TimestampType) and isinstance(new, T.DateType) or isinstance(known, T.DateType) and isinstance(new, T.TimestampType):
+        return T.TimestampType()
+    return T.StringType()
 
 
 def ingest_batch(spark: SparkSession, batch: DataFrame, batch_id: int, table: str,
-                 schema_store: str, infer: bool = True) -> None:
+                 schema_store: str, infer: bool = True, widen: bool = False) -> None:
     """Process one micro-batch of discovered paths (``foreachBatch`` body)."""
-    groups: dict[str, list[str]] = {}
-    for r in headers_of(batch).collect():
-        groups.setdefault(r["header"], []).append(r["path"])
-    if not groups:
+    names = {r["path"]: column_names(r["header"]) for r in headers_of(batch).collect()}
+    names = {p: n for p, n in names.items() if n}
+    if not names:
         return
     known = load_schema(spark, schema_store)
-    parts = [read_csv_group(spark, sorted(ps), infer, known, header_names(h))
-             for h, ps in sorted(groups.items())]
-    schema = known
-    for p in parts:
-        schema = evolve_schema(schema, T.StructType([f for f in p.schema.fields
-                                                     if f.name not in (FILE_COL, CORRUPT_COL)]))
+    have = {f.name.lower() for f in known.fields} if known is not None else set()
+    fresh: dict[str, str] = {}
+    for own in sorted(names.values()):
+        for n in own:
+            if n.lower() not in have:
+                fresh.setdefault(n.lower(), n)
+    fields = [*(known.fields if known is not None else []), *[T.StructField(n, T.StringType(), True) for n in fresh.values()]]
+    columns = [f.name for f in fields]
+    lines = read_csv_files(spark, names).join(_layouts(spark, names, columns, set(fresh)), "__uri")
+    asked = [i for i, f in enumerate(fields) if infer and f.name.lower() in fresh or widen and not isinstance(f.dataType, T.StringType)]
+    if asked:
+        pairs = F.transform(F.array(*[F.lit(i) for i in asked]), lambda i: F.struct(i.alias("col"), F.get("__fields", F.get("__at", i)).alias("value")))
+        whole = lines.filter(F.col("__count") == F.col("__width"))
+        for kinds in column_types(whole.select(F.inline(F.filter(pairs, lambda p: p["value"].isNotNull())))).collect():
+            i = kinds["col"]
+            dtype = inferred(kinds) if fields[i].name.lower() in fresh else widened(fields[i].dataType, kinds)
+            fields[i] = T.StructField(fields[i].name, dtype, True)
+    schema = T.StructType(fields)
     if known is None or schema != known:
         save_schema(spark, schema_store, schema, batch_id)
-    out = None
-    for p in parts:
-        c = conform(p, schema)
-        out = c if out is None else out.unionByName(c)
-    write_batch(out, table, batch_id, BATCH_COL)
+    texts = [F.get("__fields", F.get("__at", F.lit(i))).alias(c) for i, c in enumerate(columns)]
+    line = F.to_csv(F.struct(*[F.get("__fields", F.lit(i)).alias(f"c{i}") for i in range(max(map(len, names.values())))]))
+    odd = F.when(F.col("__count") != F.col("__width"), F.coalesce(F.col(CORRUPT_COL), line))
+    rows = conform(lines.select(*texts, FILE_COL, odd.alias(CORRUPT_COL), "__lenient"), schema, F.col("__lenient"))
+    write_batch(rows, table, batch_id, BATCH_COL)
 
 
 def ingest_csv_stream(spark: SparkSession, src_dir: str, table: str, checkpoint: str,
                       schema_store: str | None = None, glob: str = "*.csv",
                       max_files_per_trigger: int | None = 1000, infer: bool = True,
-                      available_now: bool = True) -> StreamingQuery:
+                      available_now: bool = True, widen: bool = False) -> StreamingQuery:
     """Start the incremental ingest of ``src_dir`` into the Parquet ``table``.
 
     ``schema_store`` defaults to ``<checkpoint>_schema`` (beside, not inside,
@@ -257,7 +343,7 @@ def ingest_csv_stream(spark: SparkSession, src_dir: str, table: str, checkpoint:
     paths = reader.load(src_dir).select("path")
     writer = (paths.writeStream
               .option("checkpointLocation", checkpoint)
-              .foreachBatch(lambda b, i: ingest_batch(b.sparkSession, b, i, table, store, infer)))
+              .foreachBatch(lambda b, i: ingest_batch(b.sparkSession, b, i, table, store, infer, widen)))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
 
@@ -271,9 +357,69 @@ def ingest_available(spark: SparkSession, src_dir: str, table: str, checkpoint:
         raise q.exception()
 
 
-def read_bronze(spark: SparkSession, table: str) -> DataFrame:
-    """Read the bronze table across schema versions (``mergeSchema``)."""
-    return spark.read.option("mergeSchema", "true").parquet(table)
+def read_bronze(spark: SparkSession, table: str, schema_store: str | None = None) -> DataFrame:
+    """Read the bronze table across schema versions.
+
+    With its ``schema_store``, batches written before a column was widened
+    are read by the schema they were written with and cast to the newest one,
+    and values that were rescued because the column was too narrow are put
+    back.  Without it the files' schemas are merged, which fails where types differ.
+    """
+    versions = load_versions(spark, schema_store) if schema_store else []
+    if not versions:
+        return spark.read.option("mergeSchema", "true").parquet(table)
+    newest = versions[-1][1]
+    # Versions that only add columns read alike; a new reader starts where a type changes.
+    spans: list[list] = []
+    for v, schema in versions:
+        types = {f.name: f.dataType for f in schema.fields}
+        if spans and all(types.get(f.name) == f.dataType for f in spans[-1][1].fields):
+            spans[-1][1] = schema
+        else:
+            spans.append([v, schema])
+    parts = []
+    for k, (first, schema) in enumerate(spans):
+        meta = [T.StructField(FILE_COL, T.StringType()), T.StructField(RESCUED_COL, T.StringType()), T.StructField(BATCH_COL, T.LongType())]
+        rows = spark.read.schema(T.StructType([*schema.fields, *meta])).parquet(table)
+        if k > 0:
+            rows = rows.filter(F.col(BATCH_COL) >= first)
+        if k + 1 < len(spans):
+            rows = rows.filter(F.col(BATCH_COL) < spans[k + 1][0])
+        parts.append(_promote(rows, schema, newest))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _promote(rows: DataFrame, old: T.StructType, new: T.StructType) -> DataFrame:
+    """Rows of an earlier schema version as the newest has them."""
+    was = {f.name: f.dataType for f in old.fields}
+    wider = [f.name for f in new.fields if f.name in was and was[f.name] != f.dataType]
+    kept = F.from_json(RESCUED_COL, F.lit("map<string,string>"))
+    cols = []
+    for f in new.fields:
+        if f.name not in was:
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+        elif f.name in wider:
+            back = kept[F.lit(f.name)]
+            cols.append(F.coalesce(F.col(f.name).cast(f.dataType), back.try_cast(f.dataType)).alias(f.name))
+        else:
+            cols.append(F.col(f.name))
+    if not wider:
+        return rows.select(*cols, FILE_COL, RESCUED_COL, BATCH_COL)
+    types = {f.name: f.dataType for f in new.fields}
+    fits = F.struct(*[kept[F.lit(c)].try_cast(types[c]).isNotNull().alias(c) for c in wider])
+    left = F.map_filter(kept, lambda k, v: ~_any([(k == c) & fits[c] for c in wider]))
+    rescued = F.when(kept.isNotNull() & (F.size(left) > 0), F.to_json(left))
+    return rows.select(*cols, FILE_COL, F.when(F.col(RESCUED_COL).isNotNull(), rescued).alias(RESCUED_COL), BATCH_COL)
+
+
+def _any(conditions: list[Column]) -> Column:
+    out = F.lit(False)
+    for c in conditions:
+        out = out | F.coalesce(c, F.lit(False))
+    return out
 
 
 def rescued_rows(bronze: DataFrame) -> DataFrame:

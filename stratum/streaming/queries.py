@@ -101,6 +101,52 @@ def q_ingest_type_change(spark: SparkSession, sf: str) -> DataFrame:
                                             rescued.alias("rescued_amount"), "note")
 
 
+def q_ingest_type_widening(spark: SparkSession, sf: str) -> DataFrame:
+    """The same amounts: the second drop is ingested as it was, so that cents are rescued; the third widens the
+    column.  Read across the versions, every amount is in its column and nothing is rescued."""
+    apply_defaults(spark)
+    base = scratch_dir(spark, "ingest_type_widening")
+    src, table, ckpt = f"{base}/src", f"{base}/bronze", f"{base}/_checkpoint"
+    orders = read_source(spark, sf, "orders")
+    amount = F.when(F.col("o_orderkey") % 3 == 0, F.floor("o_totalprice").cast("string")).otherwise(
+        F.col("o_totalprice").cast("decimal(15,2)").cast("string"))
+    for part in (0, 1, 2):
+        _write_csv(orders.filter(F.col("o_orderkey") % 3 == part).select("o_orderkey", amount.alias("amount")), src)
+        ingest_available(spark, src, table, ckpt, widen=part == 2)
+    rows = read_bronze(spark, table, ckpt + "_schema")
+    return rows.select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "amount", RESCUED_COL)
+
+
+HEADERS = 500
+
+
+def q_ingest_many_headers(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders in 500 CSV files, no two with the same header (columns turned round, one of its own), in one batch."""
+    apply_defaults(spark)
+    base = scratch_dir(spark, "ingest_headers")
+    src, table, ckpt = f"{base}/src", f"{base}/bronze", f"{base}/_checkpoint"
+    k = (F.col("o_orderkey") % HEADERS).cast("int")
+    orders = read_source(spark, sf, "orders").withColumn("k", k)
+    cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
+    own = F.concat(F.lit("t"), F.col("k").cast("string"))
+
+    def turned(fields):
+        fields = F.array(*fields)
+        return F.array_join(F.concat(F.slice(fields, k % 6 + 1, 6), F.slice(fields, F.lit(1), k % 6)), ",", "")
+
+    k = F.col("k")
+    heads = orders.select("k").distinct().select("k", F.lit(0).alias("line"), turned([*map(F.lit, cols), own]).alias("value"))
+    lines = orders.select("k", F.lit(1).alias("line"), turned([*[F.col(c).cast("string") for c in cols], own]).alias("value"))
+    # a file per k, its header first
+    rows = heads.unionByName(lines).repartition("k").sortWithinPartitions("k", "line")
+    rows.select("k", "value").write.partitionBy("k").text(f"{src}")
+    ingest_available(spark, src, table, ckpt, glob="*.txt")
+    bronze_rows = read_bronze(spark, table, ckpt + "_schema")
+    tags = [c for c in bronze_rows.columns if c.startswith("t")]
+    return bronze_rows.select(*[F.col(c).cast(t).alias(c) for c, t in zip(cols, ("bigint", "bigint", "string", "double", "string"), strict=True)],
+                              F.coalesce(*tags).alias("tag"))
+
+
 def q_vs_replay(spark: SparkSession, sf: str) -> DataFrame:
     """A bronze batch is written again under new file names after silver has
     read it: silver has each row once."""
@@ -122,6 +168,8 @@ STREAM_QUERIES = {
     "ingest_roundtrip": q_ingest_roundtrip,
     "ingest_evolution": q_ingest_evolution,
     "ingest_type_change": q_ingest_type_change,
+    "ingest_type_widening": q_ingest_type_widening,
+    "ingest_many_headers": q_ingest_many_headers,
     "vs_incremental": q_vs_incremental,
     "vs_replay": q_vs_replay,
 }
@@ -139,6 +187,10 @@ STREAM_ORACLE = {
        CASE WHEN o_orderkey % 3 = 0 OR p = floor(p) AND o_orderkey % 3 = 2 THEN NULL ELSE p END AS rescued_amount,
        CASE WHEN o_orderkey % 3 = 2 THEN 'late' END AS note
 FROM (SELECT o_orderkey, o_totalprice AS p FROM orders)""",
+    "ingest_type_widening": """SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN floor(o_totalprice) ELSE o_totalprice END AS amount,
+       NULL AS __rescued FROM orders""",
+    "ingest_many_headers": f"""SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority,
+       't' || CAST(o_orderkey % {HEADERS} AS VARCHAR) AS tag FROM orders""",
     "vs_incremental": VS + "SELECT * FROM silver_vs",
     "vs_replay": VS + "SELECT * FROM silver_vs",
 }

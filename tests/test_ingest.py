@@ -1,5 +1,6 @@
 """Streaming ingest: new files only, evolution, lineage, rescue, replay."""
 
+import json
 import os
 
 import pytest
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from stratum.plans import silver as S
 from stratum.sources.tables import append_table, write_batch
 from stratum.streaming.incremental import append_available
-from stratum.streaming.ingest import _resolve, ingest_available, load_schema, read_bronze, rescued_rows
+from stratum.streaming.ingest import _resolve, column_types, ingest_available, load_schema, read_bronze, rescued_rows, widened
 
 
 def _write(path, text):
@@ -189,3 +190,67 @@ def test_completed_batches_are_read_once(spark, tmpdir_path):
     assert {r[0]: r[1] for r in spark.read.parquet(dst).groupBy("__batch").count().collect()} == {0: 200, 1: 7}
     run()
     assert len(calls) == 3
+
+
+def test_lines_of_unlike_files_in_one_batch(spark, tmpdir_path):
+    """Widths, order, quotes and broken lines of several headers, read in one pass."""
+    src, table = f"{tmpdir_path}/a dir%", f"{tmpdir_path}/bronze"
+    os.makedirs(src)
+    _write(f"{src}/one é.csv", 'id,v\n1,x\n"2","a,b"\n3\n4,y,z\n\n5,"open\n')
+    _write(f"{src}/two#.csv", "v,W,id,id,\nx,7,6,60,e\ny,,7,,\nz,8,8,80,e,more\nq,9,9\n")
+    _write(f"{src}/head only.csv", "id,other\n")
+    _write(f"{src}/empty.csv", "")
+    ingest_available(spark, src, table, f"{tmpdir_path}/c")
+    rows = {r.id: r.asDict() for r in read_bronze(spark, table, f"{tmpdir_path}/c_schema").collect()}
+    assert set(rows) == set(range(1, 10))
+    assert rows[2]["v"] == "a,b" and rows[2]["__rescued"] is None and rows[2]["__file"] == "one é.csv"
+    assert rows[6] | {"__rescued": None} == rows[6] and (rows[6]["v"], rows[6]["W"], rows[6]["id3"], rows[6]["_c4"]) == ("x", 7, 60, "e")
+    assert rows[7]["W"] is None and rows[7]["__rescued"] is None and rows[7]["other"] is None
+    for bad, line in ((3, "3"), (4, "4,y,z"), (5, '5,"open'), (8, "z,8,8,80,e,more"), (9, "q,9,9")):
+        assert json.loads(rows[bad]["__rescued"]) == {"_line": line}
+
+
+def test_jobs_do_not_grow_with_headers(spark, tmpdir_path):
+    from stratum.streaming.ingest import ingest_batch
+
+    def jobs(n):
+        src, table = f"{tmpdir_path}/s{n}", f"{tmpdir_path}/t{n}"
+        os.makedirs(src)
+        for k in range(n):
+            _write(f"{src}/{k}.csv", f"id,own{k}\n{k},{k}\n")
+        paths = spark.createDataFrame([(f"file:{src}/{k}.csv",) for k in range(n)], "path string")
+        spark.sparkContext.setJobGroup(f"headers{n}", "")
+        ingest_batch(spark, paths, 0, table, table + "_schema")
+        assert read_bronze(spark, table).count() == n
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"headers{n}"))
+
+    assert jobs(40) <= jobs(2) + 1
+
+
+@pytest.mark.parametrize("known, values, want", [
+    ("int", ["1"], "int"), ("int", ["3000000000"], "bigint"), ("int", ["1.5", "2"], "double"), ("bigint", ["1.25"], "decimal(38,10)"),
+    ("bigint", ["1e3"], "string"), ("int", ["x"], "string"), ("double", ["7"], "double"), ("double", ["9007199254740993"], "string"),
+    ("decimal(38,10)", ["5", "0.5"], "decimal(38,10)"), ("date", ["2024-01-01 10:00:00", "2024-01-02"], "timestamp"),
+    ("timestamp", ["2024-01-02"], "timestamp"), ("boolean", ["1"], "string"), ("string", ["1"], "string"), ("date", ["soon"], "string")])
+def test_widening(spark, known, values, want):
+    pairs = spark.createDataFrame([(0, v) for v in values], "col int, value string")
+    dtype = lambda name: spark.sql(f"SELECT CAST(NULL AS {name}) AS x").schema[0].dataType
+    assert widened(dtype(known), column_types(pairs).first()) == dtype(want)
+
+
+def test_widened_column_keeps_every_value(spark, tmpdir_path):
+    src, table, ckpt = f"{tmpdir_path}/s", f"{tmpdir_path}/t", f"{tmpdir_path}/c"
+    os.makedirs(src)
+    drops = [("id,n,d\n1,1,2024-01-01\n", False), ("id,n,d\n2,2.5,x\n3,huge,2024-01-02\n", False), ("id,n,d\n4,3000000000,2024-01-03\n", True),
+             ("id,n,e\n5,1.25,1\n", True), ("id,n\n6,text\n", True)]
+    seen = []
+    for k, (text, widen) in enumerate(drops):
+        _write(f"{src}/{k}.csv", text)
+        ingest_available(spark, src, table, ckpt, widen=widen)
+        rows = read_bronze(spark, table, ckpt + "_schema")
+        seen.append((rows.schema["n"].dataType.simpleString(), {r.id: (r.n if r.n is None else str(r.n), r["__rescued"]) for r in rows.collect()}))
+    assert [t for t, _ in seen] == ["int", "int", "bigint", "decimal(38,10)", "string"]
+    assert seen[1][1][2] == (None, '{"n":"2.5","d":"x"}')
+    assert seen[3][1][2] == ("2.5000000000", '{"d":"x"}') and seen[3][1][3] == (None, '{"n":"huge"}')
+    assert {k: v[0] for k, v in seen[4][1].items()} == {1: "1", 2: "2.5", 3: "huge", 4: "3000000000", 5: "1.2500000000", 6: "text"}
+    assert seen[4][1][3][1] is None and seen[4][1][2][1] == '{"d":"x"}'
