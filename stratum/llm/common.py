@@ -29,6 +29,14 @@ def text_of(col: str = "text"):
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """``name``, lengthened until no column (whatever its case) has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def within_share(hashed, share: float):
     """Whether a 64-bit hash falls into a share from 0 to 1, which may be as small as one row of very many."""
     return F.shiftrightunsigned(hashed, 1) <= F.lit(min(int(share * 2.0 ** 63), (1 << 63) - 1))

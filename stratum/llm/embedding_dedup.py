@@ -11,8 +11,12 @@ reaches the threshold, so no pair below it is linked; recall is measured by the
 Equal vectors are taken together before hashing.  The vectors stored in a bucket and
 those that look into it are cut into blocks of about ``BLOCK``, and a task compares
 one block with one other at a time, so that no bucket has to fit anywhere and a
-crowded one is spread over many tasks.  Links found in several tables are made
-distinct.
+crowded one is spread over many tasks.  No pair leaves a task: a block comparison
+returns, for each of its vectors, how many links it settled and the smallest id that
+it reaches there, so a group of M near copies gives rows in proportion to M for each
+block it meets, not M * M.  A pair that meets several times is counted where it meets
+first: every vector carries its buckets in all tables, by which a task knows of the
+other meetings.
 
 Results: a vector that is null, empty, zero, or has null or non-finite components
 links with nothing and is its own component.  Vectors of unlike length are never
@@ -96,11 +100,12 @@ def _hashed(wide: bool):
                     part = group.iloc[lo:lo + 2048]
                     x = np.frombuffer(b"".join(part.v), _kind(wide)).reshape(len(part), -1).astype(float)
                     x = unit(x)
+                    all_buckets = np.stack([buckets(x, t) for t in range(TABLES)], 1)
+                    codes = [row.tobytes() for row in all_buckets.astype("<i8")]
                     for t in range(TABLES):
-                        b = buckets(x, t)
-                        for k in range(b.shape[1]):
-                            yield pd.DataFrame({"id": part.id.array, "v": part.v.array, "dim": dim, "tab": t,
-                                                "bucket": b[:, k], "stored": k == 0})
+                        for k in range(all_buckets.shape[2]):
+                            yield pd.DataFrame({"id": part.id.array, "v": part.v.array, "n": part.n.array, "codes": codes, "dim": dim,
+                                                "tab": t, "bucket": all_buckets[:, t, k], "stored": k == 0})
 
     return rows
 
@@ -114,15 +119,29 @@ def unit(x: np.ndarray) -> np.ndarray:
 def _compare(wide: bool, cosine: float):
     key = ["dim", "tab", "bucket", "s", "l"]
 
-    def links_of(group: pd.DataFrame) -> pd.DataFrame | None:
+    def links_of(group: pd.DataFrame) -> pd.DataFrame:
         x = unit(np.frombuffer(b"".join(group.v), _kind(wide)).reshape(len(group), -1).astype(float))
+        codes = np.frombuffer(b"".join(group.codes), "<i8").reshape(len(group), TABLES, -1)
+        ids, sizes, table = group.id.to_numpy(), group.n.to_numpy(), int(group.tab.iloc[0])
         left, right = np.flatnonzero(group.holds.to_numpy()), np.flatnonzero(group.looks.to_numpy())
-        ids = group.id.to_numpy()
         i, j = np.nonzero(x[left] @ x[right].T >= cosine)
-        a, b = ids[left[i]], ids[right[j]]
-        both = group.stored.to_numpy()[right[j]]  # two stored vectors meet twice
-        keep = (a != b) & (~both | (a < b))
-        return pd.DataFrame({"a": np.minimum(a, b)[keep], "b": np.maximum(a, b)[keep]})
+        a, b = left[i], right[j]
+        a, b = a[ids[a] != ids[b]], b[ids[a] != ids[b]]
+        finds = lambda holder, looker, t: (codes[holder, t, :1] == codes[looker, t]).any(1)
+        # of the meetings of a pair the one in the first table counts, and there the one in the smaller id's bucket
+        met = (ids[a] > ids[b]) & finds(b, a, table)
+        for t in range(table):
+            met |= finds(a, b, t) | finds(b, a, t)
+        others = np.zeros(len(group), np.int64)
+        np.add.at(others, a[~met], sizes[b[~met]])
+        np.add.at(others, b[~met], sizes[a[~met]])
+        low, was = ids.copy(), None
+        while was is None or (low != was).any():
+            was = low.copy()
+            np.minimum.at(low, a, was[b])
+            np.minimum.at(low, b, was[a])
+        out = (others > 0) | (low != ids)
+        return pd.DataFrame({"id": ids[out], "others": others[out], "low": low[out]})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """The rows come sorted by key; the last group of a batch may go on in the next."""
@@ -157,11 +176,15 @@ def vectors(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     return good.select("id", packed("v").alias("v")).distinct()
 
 
-def links(distinct: DataFrame, cosine: float = COSINE, wide: bool = False) -> DataFrame:
-    """Pairs ``(a, b)``, a < b, of the vectors ``(id, v)`` found with at least ``cosine``."""
+def meetings(distinct: DataFrame, cosine: float = COSINE, wide: bool = False) -> DataFrame:
+    """What the vectors ``(id, v, n)`` find in the blocks they are compared in: ``(id, others, low)``.
+
+    ``others`` adds the ``n`` of vectors linked with at least ``cosine``, each counted in one block only; ``low``
+    is the smallest id that the block's links lead to.
+    """
     key = ["dim", "tab", "bucket"]
-    rows = distinct.select("id", "v").mapInPandas(
-        _hashed(wide), "id long, v binary, dim int, tab int, bucket long, stored boolean")
+    rows = distinct.select("id", "v", "n").mapInPandas(
+        _hashed(wide), "id long, v binary, n long, codes binary, dim int, tab int, bucket long, stored boolean")
     # buckets of more than one block; the others are compared whole
     blocks = lambda n: F.greatest(F.lit(1), F.ceil(n / BLOCK)).cast("int")
     crowded = rows.groupBy(*key).agg(blocks(F.count("*")).alias("ls"), blocks(F.sum(F.col("stored").cast("int"))).alias("ss"))
@@ -176,9 +199,9 @@ def links(distinct: DataFrame, cosine: float = COSINE, wide: bool = False) -> Da
         F.when(F.col("stored"), F.transform(F.filter(line("ls"), lambda x: x != own("ls")), lambda x: F.struct(
             own("ss").alias("s"), x.alias("l"), F.lit(True).alias("holds"), F.lit(False).alias("looks"))))
         .otherwise(F.array().cast("array<struct<s int, l int, holds boolean, looks boolean>>")))
-    spread = rows.select("id", "v", "stored", *key, F.inline(places))
+    spread = rows.select("id", "v", "n", "codes", *key, F.inline(places))
     spread = spread.repartition(*key, "s", "l").sortWithinPartitions(*key, "s", "l")
-    return spread.mapInPandas(_compare(wide, cosine), "a long, b long").distinct()
+    return spread.mapInPandas(_compare(wide, cosine), "id long, others long, low long")
 
 
 def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", cosine: float = COSINE) -> DataFrame:
@@ -188,12 +211,9 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
     classes = good.groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("n"))
     members = good.join(classes.select("v", F.col("id").alias("rep"), "n"), "v").select("id", "rep", "n")
     members = materialize(members, "members")
-    reps = classes.select("id", "v")
-    pairs = materialize(links(reps, cosine, wide), "links")
-    sizes = members.filter("id = rep").select("rep", "n")
-    ends = pairs.unionByName(pairs.select(F.col("a").alias("b"), F.col("b").alias("a")))
-    around = ends.join(sizes, ends.b == sizes.rep).groupBy("a").agg(F.sum("n").alias("others"))
-    found = connected_components(pairs)
+    met = materialize(meetings(classes, cosine, wide), "meetings")
+    around = met.groupBy(F.col("id").alias("a")).agg(F.sum("others").alias("others"))
+    found = connected_components(met.select(F.col("id").alias("a"), F.col("low").alias("b")))
     per = members.join(around, members.rep == around.a, "left").join(found, members.rep == found.node, "left").select(
         "id", (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("c"))
     # an id with several vectors is one node: its links add up, its component is the smallest

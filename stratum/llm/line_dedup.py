@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm.common import materialize, text_of
+from stratum.llm.common import materialize, text_of, unused
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -362,11 +362,11 @@ def drop_lines(docs: DataFrame, lost: DataFrame, min_chars: int = MIN_CHARS, id_
             out.append((b"\n".join(stay).decode(), len(own), len(own) - len(stay)))
         return pd.DataFrame(out, columns=["text", "n_lines", "n_dropped"])
 
-    sets = lost.groupBy(F.col("doc_id").alias("__lost_id")).agg(F.collect_list("key").alias("__lost_keys"))
-    rows = docs.join(sets, F.col(id_col).cast("long") == F.col("__lost_id"), "left")
-    rows = rows.withColumn("__kept", rewrite(text_of(text), F.col("__lost_keys"))).drop("__lost_id", "__lost_keys")
-    rest = [c for c in docs.columns if c not in (text, "n_lines", "n_dropped")]
-    return rows.select(*rest, F.col("__kept.text").alias(text), "__kept.n_lines", "__kept.n_dropped")
+    own, keys, kept = (unused(c, docs.columns) for c in ("__lost_id", "__lost_keys", "__kept"))
+    sets = lost.groupBy(F.col("doc_id").alias(own)).agg(F.collect_list("key").alias(keys))
+    rows = docs.join(sets, F.col(id_col).cast("long") == F.col(own), "left").withColumn(kept, rewrite(text_of(text), F.col(keys)))
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in (text, "n_lines", "n_dropped")]
+    return rows.select(*rest, F.col(kept)["text"].alias(text), *[F.col(kept)[c].alias(c) for c in ("n_lines", "n_dropped")])
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:

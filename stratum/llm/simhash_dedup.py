@@ -10,8 +10,9 @@ every run of k consecutive segments differs in at most ``k * t / SEGMENTS`` bits
 With 4 segments and t = 3 the budgets are 0, 1, 2 and 3 bits: the first segment
 must be equal and the second may differ in one bit.  Both go into the join key
 (the probing side also tries the second segment with each one bit flipped), the
-longer chains are checked before the full distance.  So a key covers 32 bits,
-and candidates stay few at any size, with no cap.
+longer chains are checked before the full distance.  So a key covers 32 bits: of
+N unlike fingerprints about 68 N^2 / 2^32 pairs meet by chance.  That is fewer than
+N up to 6 * 10^7 fingerprints and 16 a fingerprint at 10^9; there is no cap on them.
 
 Copies cost nothing: the search runs over distinct fingerprints, and each
 document joins its fingerprint's component afterwards.
@@ -32,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratum.llm.common import connected_components, materialize, text_of
+from stratum.llm.common import connected_components, materialize, text_of, unused
 
 SHINGLE = 3
 MAX_BITS = 3
@@ -119,8 +120,9 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
     id are kept.
     """
     found = materialize(components(docs, id_col, text), "simhash-components").filter(F.col(id_col).isNotNull())
-    gone = found.filter(F.col("component") != F.col(id_col)).select(F.col(id_col).alias("__gone")).distinct()
-    kept = docs.join(gone, docs[id_col] == gone["__gone"], "left_anti")
+    name = unused("__gone", docs.columns)
+    gone = found.filter(F.col("component") != F.col(id_col)).select(F.col(id_col).alias(name)).distinct()
+    kept = docs.join(gone, docs[id_col] == gone[name], "left_anti")
     if found.groupBy(id_col).count().filter("count > 1").limit(1).count():
         kept = kept.filter(F.col(id_col).isNull()).unionByName(
             kept.filter(F.col(id_col).isNotNull()).dropDuplicates([id_col]))

@@ -20,7 +20,9 @@ Only one token total per partition goes to the driver.
 
 Encoding works word by word: white space separates words for this tokenizer, so
 each distinct word is encoded once per worker and remembered, up to about
-``CACHE_WORDS``; texts with control characters are encoded whole.
+``CACHE_WORDS``; texts with control characters are encoded whole.  Texts stay in
+Arrow until their words are numbered; Python sees each distinct word of a slice of
+texts once, not its occurrences.
 
 Results: null and empty texts have the end id alone.  Null ids come first.  Rows
 with one id follow each other in the order of their texts' hashes.  An empty table
@@ -30,13 +32,16 @@ gives an empty store and no rows.  Only id and text are read.
 from __future__ import annotations
 
 import hashlib
-import re
+import os
 import unicodedata
 import zlib
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -45,6 +50,9 @@ from tokenizers import Tokenizer
 
 from stratum.llm.common import text_of, within_share
 
+# Spark runs a task per core already; threads of the library would only contend.
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+
 DICTIONARY_BYTES = 112_640
 SAMPLE_DOCS = 2_000
 SAMPLE_BYTES = 1 << 16
@@ -53,52 +61,104 @@ BLOCK_BYTES = 1 << 21
 LEVEL = 3
 CACHE_WORDS = 1_200_000
 _WORD_ENCODERS: dict[tuple[str, int], "WordEncoder"] = {}
-_ODD = re.compile("[\x00-\x08\x0e-\x1f]")
+_ODD = "[\\x00-\\x08\\x0e-\\x1f]"
+SLICE_ROWS = 2_048
+SLICE_BYTES = 8 << 20
 
 
 class WordEncoder:
-    """Encodes texts with a tokenizers file that splits at white space."""
+    """Encodes texts with a tokenizers file that splits at white space.
+
+    Ids of the words met so far lie in one array; a batch's words are numbered
+    by Arrow (white space is the same for Arrow and Python), looked up once
+    each, and their ids gathered for all occurrences at a time.
+    """
 
     def __init__(self, file: str, width: int):
         self.tokenizer = Tokenizer.from_file(file)
-        self.width, self.known = f"<u{width}", {}
-
-    def _wire(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.width).tobytes()
-
-    def _learn(self, words: set[str]) -> None:
+        self.dtype = np.dtype(f"<u{width}")
+        self._forget()
+
+    def _forget(self) -> None:
+        """Word 0 is the empty one."""
+        self.known, self.used, self.count = {"": 0}, 0, 1
+        self.ids, self.starts, self.sizes = np.zeros(1 << 16, self.dtype), np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
+
+    def _enter(self, ids: np.ndarray, sizes: np.ndarray) -> int:
+        """Store the ids of new words, one after the other; returns the number of the first."""
+        first = self.count
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        while first + len(sizes) > len(self.starts):
+            self.starts, self.sizes = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.sizes))
+        self.ids[self.used:self.used + len(ids)] = ids
+        self.starts[first:first + len(sizes)] = self.used + np.cumsum(sizes) - sizes
+        self.sizes[first:first + len(sizes)] = sizes
+        self.used += len(ids)
+        self.count = first + len(sizes)
+        return first
+
+    def _gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the numbered words, and how many each has."""
+        sizes = self.sizes[numbers]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.ids[np.repeat(self.starts[numbers] - (ends - sizes), sizes) + np.arange(total)], sizes
+
+    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        lists = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        return np.fromiter(chain.from_iterable(lists), self.dtype, int(sizes.sum())), sizes
+
+    def _learn(self, words: list[str]) -> None:
         """Encode unknown words; letters and closing marks are tokens apart, so a word's core is shared.
 
         Not where normalising makes a combining mark of a letter, as the marks after it join that.
         """
-        known, parts = self.known, {}
+        known, parts = self.known, []
         for w in words:
             core = w.rstrip(",.;:!?")
-            if core.isascii() and core.isalpha() or unicodedata.normalize("NFC", core).lower().isalpha():
-                parts[w] = core.lower() if core.isascii() else core, w[len(core):]
+            if core.isascii():
+                parts.append((core.lower(), w[len(core):]) if core.isalpha() else (w, ""))
             else:
-                parts[w] = w, ""
-        new = [p for p in {p for pair in parts.values() for p in pair if p} if p not in known]
+                parts.append((core, w[len(core):]) if unicodedata.normalize("NFC", core).lower().isalpha() else (w, ""))
+        new = list({p for pair in parts for p in pair}.difference(known))
         for k in range(0, len(new), 10_000):
-            part = new[k:k + 10_000]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                known[w] = self._wire(e.ids)
-        for w, (core, tail) in parts.items():
-            if w not in known:
-                known[w] = known[core] + known[tail] if tail else known[core]
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        """Serialised ids of each text, without special tokens."""
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        whole = [bool(_ODD.search(t)) for t in texts]
-        split = [[] if w else t.split() for t, w in zip(texts, whole, strict=True)]
-        known = self.known
-        self._learn({w for words in split for w in words if w not in known})
-        out = [b"".join([known[w] for w in words]) for words in split]
-        odd = [k for k, w in enumerate(whole) if w]
-        for k, e in zip(odd, self.tokenizer.encode_batch_fast([texts[k] for k in odd], add_special_tokens=False), strict=True):
-            out[k] = self._wire(e.ids)
+            some = new[k:k + 10_000]
+            known.update(zip(some, range(first := self._enter(*self._encode(some)), first + len(some)), strict=True))
+        joined = []
+        for w, (core, tail) in zip(words, parts, strict=True):
+            if tail:
+                joined.append((w, known[core], known[tail]))
+            elif core != w:
+                known[w] = known[core]
+        if joined:
+            names, *pairs = zip(*joined, strict=True)
+            ids, sizes = self._gather(np.array(pairs).T.ravel())
+            first = self._enter(ids, sizes.reshape(-1, 2).sum(axis=1))
+            known.update(zip(names, range(first, first + len(names)), strict=True))
+
+    def __call__(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each text, without special tokens."""
+        if self.count > CACHE_WORDS:
+            self._forget()
+        odd = pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False)
+        split = pc.utf8_split_whitespace(pc.if_else(pa.array(odd), "", texts) if odd.any() else texts)
+        words = split.flatten().dictionary_encode()
+        names = words.dictionary.to_pylist()
+        numbers = np.fromiter(map(self.known.get, names, repeat(-1)), np.int64, len(names))
+        new = np.flatnonzero(numbers < 0).tolist()
+        if new:
+            self._learn(unknown := [names[k] for k in new])
+            numbers[new] = np.fromiter(map(self.known.__getitem__, unknown), np.int64, len(unknown))
+        ids, sizes = self._gather(numbers[words.indices.to_numpy()])
+        cuts = np.concatenate([[0], np.cumsum(sizes)])[split.offsets.to_numpy() - split.offsets[0].as_py()]
+        out = [ids[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+        whole = np.flatnonzero(odd)
+        if len(whole):
+            ids, sizes = self._encode(texts.take(pa.array(whole)).to_pylist())
+            for k, x in zip(whole.tolist(), np.split(ids, np.cumsum(sizes)[:-1]), strict=True):
+                out[k] = x
         return out
 
 
@@ -109,9 +169,22 @@ def word_encoder(file: str, width: int) -> WordEncoder:
 
 
 def _serial(file: str, end_id: int, width: int):
-    """Function from texts to serialised ids with the end id."""
+    """Function from texts (Arrow) to serialised ids with the end id."""
     end = np.array([end_id], f"<u{width}").tobytes()
-    return lambda texts: [x + end for x in word_encoder(file, width)(texts)]
+    return lambda texts: [x.tobytes() + end for x in word_encoder(file, width)(texts)]
+
+
+def _slices_of(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Rows from and to, of about ``SLICE_BYTES`` of text and at most ``SLICE_ROWS`` each."""
+    sizes = pc.binary_length(texts).to_numpy()
+    lo = held = 0
+    for k, n in enumerate(sizes.tolist()):
+        if k > lo and (held + n > SLICE_BYTES or k - lo >= SLICE_ROWS):
+            yield lo, k
+            lo, held = k, 0
+        held += n
+    if len(sizes):
+        yield lo, len(sizes)
 
 
 def train_dictionary(samples: list[bytes]) -> bytes:
@@ -125,7 +198,7 @@ def train_dictionary(samples: list[bytes]) -> bytes:
 def _slices(file: str, end_id: int, width: int):
     @F.pandas_udf("binary")
     def sample(texts: pd.Series) -> pd.Series:
-        rows = _serial(file, end_id, width)(list(texts))
+        rows = _serial(file, end_id, width)(pa.array(texts, pa.string()))
         starts = [width * (zlib.crc32(x) % ((len(x) - SAMPLE_BYTES) // width)) if len(x) > SAMPLE_BYTES + width else 0 for x in rows]
         return pd.Series([x[a:a + SAMPLE_BYTES] for x, a in zip(rows, starts, strict=True)], dtype=object)
 
@@ -145,25 +218,27 @@ def write(docs: DataFrame, path: str, file: str, end_id: int, id_col: str = "doc
     spark.createDataFrame([(digest, bytearray(dictionary), width)], "hash string, bytes binary, width int").coalesce(1).write.parquet(
         f"{path}/dictionary")
 
-    def block(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number, before, held, size = TaskContext.get().partitionId(), 0, 0, [], 0
         serial = _serial(file, end_id, width)
         press = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary))
+        schema = pa.schema([("hash", pa.string()), ("part", pa.int32()), ("number", pa.int32()), ("before", pa.int64()),
+                            ("first_id", pa.int64()), ("last_id", pa.int64()), ("ids", pa.list_(pa.int64())),
+                            ("counts", pa.list_(pa.int64())), ("offsets", pa.binary()), ("payload", pa.binary())])
 
         def emit():
             nonlocal number, before
             ids, counts, frames = zip(*held, strict=True)
             offsets = np.cumsum([0, *map(len, frames)]).astype("<u8")
-            row = (digest, part, number, before, ids[0], ids[-1], list(ids), list(map(int, counts)), offsets.tobytes(),
-                   b"".join(frames))
-            number, before = number + 1, before + int(sum(counts))
-            return pd.DataFrame([row], columns=[f.split()[0] for f in _BLOCK.split(", ")])
+            row = (digest, part, number, before, ids[0], ids[-1], list(ids), list(counts), offsets.tobytes(), b"".join(frames))
+            number, before = number + 1, before + sum(counts)
+            return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, schema, strict=True)], schema=schema)
 
         for batch in batches:
-            for lo in range(0, len(batch), 512):
-                rows = batch.iloc[lo:lo + 512]
-                for i, x in zip(rows.id.astype("Int64"), serial(list(rows.text)), strict=True):
-                    held.append((None if i is pd.NA else int(i), len(x) // width, press.compress(x)))
+            ids, texts = batch.column(0), batch.column(1)
+            for lo, hi in _slices_of(texts):
+                for i, x in zip(ids[lo:hi].to_pylist(), serial(texts[lo:hi]), strict=True):
+                    held.append((i, len(x) // width, press.compress(x)))
                     size += len(held[-1][2])
                     if len(held) >= BLOCK_DOCS or size >= BLOCK_BYTES:
                         yield emit()
@@ -172,7 +247,7 @@ def write(docs: DataFrame, path: str, file: str, end_id: int, id_col: str = "doc
             yield emit()
 
     ordered = docs.withColumn("th", F.xxhash64("text")).repartitionByRange("id", "th").sortWithinPartitions("id", "th")
-    ordered.mapInPandas(block, _BLOCK).write.parquet(f"{path}/blocks")
+    ordered.select("id", "text").mapInArrow(block, _BLOCK).write.parquet(f"{path}/blocks")
 
 
 _BLOCK = ("hash string, part int, number int, before long, first_id long, last_id long, ids array<long>, "

@@ -16,14 +16,17 @@ E[exp(lambda s)] = 1 over their tokens.  The passages whose p-value is at most
 them; a logistic fit of its logarithm on the training texts gives the score.
 
 The model is fitted on a sample of at most about ``TRAIN_ROWS`` labelled rows and
-holds at most ``MAX_TERMS`` tokens, so it can be sent to every task; all texts are
-scored whole.
+``TRAIN_CHARS`` characters.  That bounds it too: a token needs a dozen toxic
+occurrences to be significant.  So it can be sent to every task; all texts are scored
+whole.  Occurrences are counted by Spark; the driver gets the counts of distinct
+scores, sums, and one number per training text.
 
 Results: null and empty texts and texts without a toxic token have no passage
 and the lowest score.  Rows are scored one by one, repeated rows and null ids
 included; ids or labels that are null, and labelled ids without a text, teach
 nothing; if no toxic or no clean row is left to learn from, every score is the
-share of toxic rows (0 without any).  Only the named columns are read.
+share of toxic rows (0 without any).  An empty table of documents, or of labels,
+gives an empty result, or these scores.  Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -38,11 +41,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratum.llm.common import materialize, text_of
+from stratum.llm.common import materialize, text_of, unused, within_share
 from stratum.llm.labelled import bounded, held_out
 
 TRAIN_ROWS = 20_000
-MAX_TERMS = 50_000
+TRAIN_CHARS = 200_000_000
 PRIOR = 0.1
 MIN_Z = 3.5
 GAP = 0.1
@@ -128,8 +131,7 @@ def token_scores(train: DataFrame) -> dict[str, float]:
     t, c, strength = F.col("t") + prior, F.col("c") + prior, PRIOR * (n[0] + n[1])
     delta = F.log(t / (n[1] + strength - t)) - F.log(c / (n[0] + strength - c))
     rated = counts.select("w", delta.alias("d"), (delta / F.sqrt(1 / t + 1 / c)).alias("z"))
-    best = rated.filter(F.col("z") >= MIN_Z).orderBy(F.desc("z"), "w").limit(MAX_TERMS).collect()
-    return {r["w"]: r["d"] for r in best}
+    return {r["w"]: r["d"] for r in rated.filter(F.col("z") >= MIN_Z).select("w", "d").collect()}
 
 
 def _fit_scale(rates: list[tuple[float, float]]) -> float:
@@ -160,40 +162,47 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Mod
     ids = labels.filter("doc_id is not null and label in (0, 1)").groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
     train = materialize(docs.select("doc_id", text_of().alias("text")).join(
         F.broadcast(bounded(ids, train_rows)), "doc_id").select("text", "label").distinct(), "toxic-train")
+    chars = train.agg(F.sum(F.char_length("text"))).first()[0] or 0
+    if chars > TRAIN_CHARS:
+        train = train.filter(within_share(F.xxhash64("text", F.lit(23)), TRAIN_CHARS / chars))
     scores = token_scores(train)
+    n = {r["label"]: r["n"] for r in train.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    if not scores or len(n) < 2:
+        p = min(max(n.get(1, 0) / max(sum(n.values()), 1), 1e-6), 1 - 1e-6)
+        return Model({}, offset=math.log(p / (1 - p)))
 
-    @F.pandas_udf("struct<n long, best double, bests array<double>, hits array<double>>")
+    @F.pandas_udf("struct<n long, segments array<double>, hits array<double>>")
     def stats(texts: pd.Series) -> pd.DataFrame:
         rows = []
         for t in texts:
-            n, found = token_segments(t, scores)
-            hits = [scores[w] for w in TOKEN.findall(t.lower()) if w in scores]
-            rows.append((n, max((s for *_, s in found), default=0.0), [s for *_, s in found], hits))
-        return pd.DataFrame(rows, columns=["n", "best", "bests", "hits"])
-
-    seen = train.select("label", stats("text").alias("s")).select("label", "s.*").toPandas()
-    share = float(seen.label.mean()) if len(seen) else 0.0
-    if not scores or seen.label.nunique() < 2:
-        p = min(max(share, 1e-6), 1 - 1e-6)
-        return Model({}, offset=math.log(p / (1 - p)))
-    clean = seen[seen.label == 0]
-    total = float(clean.n.sum()) or 1.0
-    hits = np.concatenate([np.asarray(h, float) for h in clean.hits]) if len(clean) else np.array([])
-    if not len(hits):  # a token that no clean text has is as rare as half an occurrence
-        hits, weight = np.array([np.mean(list(scores.values()))]), 0.5
-    else:
-        weight = 1.0
-    values, counts = np.unique(np.round(hits, 3), return_counts=True)
-    rates = [(float(s), weight * c / total) for s, c in zip(values, counts, strict=True)]
+            tokens = TOKEN.findall(t.lower())
+            hits = [(i, scores[w]) for i, w in enumerate(tokens) if w in scores]
+            rows.append((len(tokens), [s for *_, s in segments(hits)], [s for _, s in hits]))
+        return pd.DataFrame(rows, columns=["n", "segments", "hits"])
+
+    seen = materialize(train.select("label", stats("text").alias("s")).select("label", "s.*"), "toxic-stats")
+    clean = seen.filter("label = 0")
+    total = float(clean.agg(F.sum("n")).first()[0] or 1)
+    hits = clean.select(F.explode("hits").alias("s")).groupBy(F.round("s", 3).alias("s")).agg(F.count("*").alias("n")).orderBy("s").collect()
+    rates = [(r["s"], r["n"] / total) for r in hits]
+    if not rates:  # a token that no clean text has is as rare as half an occurrence
+        rates = [(sum(scores.values()) / len(scores), 0.5 / total)]
     rates.append((-GAP, 1 - sum(p for _, p in rates)))
     model = Model(scores, _fit_scale(rates))
-    x = model.scale * clean.best.to_numpy(float) - np.log(np.maximum(clean.n.to_numpy(float), 1))
-    model.width = max(float(np.std(x)) * math.sqrt(6) / math.pi, 1e-3)
-    model.place = float(np.mean(x)) - 0.5772156649015329 * model.width
+    best = F.coalesce(F.array_max("segments"), F.lit(0.0))
+    x = model.scale * best - F.log(F.greatest(F.col("n"), F.lit(1)).cast("double"))
+    law = clean.agg(F.avg(x).alias("mean"), F.stddev_pop(x).alias("sd")).first()
+    model.width = max(law["sd"] * math.sqrt(6) / math.pi, 1e-3)
+    model.place = law["mean"] - 0.5772156649015329 * model.width
     limit = -math.log(PASSAGE_P)
-    evidence = np.array([sum(v for b in bests if (v := model.surprise(b, n)) >= limit)
-                         for n, bests in zip(seen.n, seen.bests, strict=True)])
-    model.slope, model.offset = _fit_logistic(np.log1p(evidence), seen.label.to_numpy(float))
+
+    @F.pandas_udf("double")
+    def evidence(ns: pd.Series, found: pd.Series) -> pd.Series:
+        return pd.Series([sum(v for b in own if (v := model.surprise(b, n)) >= limit) for n, own in zip(ns, found, strict=True)], dtype=float)
+
+    judged = seen.select("label", evidence("n", "segments").alias("e")).toPandas()  # two numbers a training text
+    judged = judged.sort_values(["e", "label"])
+    model.slope, model.offset = _fit_logistic(np.log1p(judged.e.to_numpy(float)), judged.label.to_numpy(float))
     return model
 
 
@@ -227,5 +236,5 @@ def digests(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose score is below one half."""
-    model = fit(docs, train_labels(labels))
-    return score(docs, model, out="__toxicity").filter("__toxicity.score < 0.5").select([F.col(f"`{c}`") for c in docs.columns])
+    model, out = fit(docs, train_labels(labels)), unused("__toxicity", docs.columns)
+    return score(docs, model, out=out).filter(F.col(out)["score"] < 0.5).select([F.col(f"`{c}`") for c in docs.columns])

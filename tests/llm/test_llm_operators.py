@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 import xxhash
@@ -216,6 +217,32 @@ def test_embedding_links(spark):
     assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_every_link_counts_once(spark, monkeypatch):
+    """A near-copy group over many blocks, copies, and chains: counts and components as by brute force, rows in proportion."""
+    rng = np.random.default_rng(6)
+    centre = rng.normal(size=16)
+    near = centre + 0.05 * rng.normal(size=(300, 16))
+    chain = [np.cos(k * 0.3) * np.eye(16)[0] + np.sin(k * 0.3) * np.eye(16)[1] for k in range(6)]
+    x = np.concatenate([near, near[:20], chain, 3.0 * rng.normal(size=(40, 16))])
+    df = spark.createDataFrame([(i * 7 % 1009, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    monkeypatch.setattr(embedding_dedup, "BLOCK", 40)
+    got = {r["vec_id"]: r for r in embedding_dedup.near_duplicates(df).collect()}
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    linked = (u @ u.T) >= 0.9
+    have = np.array([got[i * 7 % 1009]["n_links"] for i in range(len(x))])
+    want = linked.sum(1) - 1
+    assert (have <= want).all() and have.sum() >= 0.999 * want.sum()
+    ids = np.arange(len(x)) * 7 % 1009
+    low = ids.copy()
+    for _ in range(len(x)):
+        low = np.where(linked, low[None, :], 1 << 40).min(1)
+    assert all(got[i]["component_id"] >= m for i, m in zip(ids.tolist(), low.tolist(), strict=True))
+    assert len({got[i]["component_id"] for i in ids[:320].tolist()}) == 1
+    good = embedding_dedup.vectors(df, "vec_id", "embedding").groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("n"))
+    rows = embedding_dedup.meetings(good, wide=True).count()
+    assert rows < 300 * embedding_dedup.TABLES * (embedding_dedup.PROBES + 1) * (300 // 40 + 2)
+
+
 def test_crowded_buckets_are_compared_whole(spark, monkeypatch):
     v = np.ones((60, 8)) + np.arange(60)[:, None] * 1e-4 * np.eye(8)[0]
     df = spark.createDataFrame([(i, a.tolist()) for i, a in enumerate(v)], "vec_id long, embedding array<double>")
@@ -265,6 +292,33 @@ def test_segments_are_the_maximal_ones():
     assert toxicity.segments([], 0.1) == []
 
 
+def test_segments_equal_brute_force():
+    def best(scores, lo, hi):
+        """All maximal segments: the best one, then those left and right of it."""
+        sums = [(sum(scores[a:b]), a, b) for a in range(lo, hi) for b in range(a + 1, hi + 1)]
+        if not sums or (top := max(sums))[0] <= 0:
+            return []
+        return best(scores, lo, top[1]) + [(top[1], top[2] - 1, round(top[0], 9))] + best(scores, top[2], hi)
+
+    rng = random.Random(21)
+    for _ in range(300):
+        hits = {i: rng.uniform(0.05, 2) for i in range(18) if rng.random() < 0.4}
+        gap = rng.choice([0.1, 0.37, 0.9])
+        scores = [hits.get(i, -gap) for i in range(18)]
+        assert [(a, b, round(s, 9)) for a, b, s in toxicity.segments(sorted(hits.items()), gap)] == best(scores, 0, 18)
+
+
+def test_toxicity_of_empty_tables(spark, odd_docs):
+    labels = spark.createDataFrame([(1, 1), (2, 0), (None, 1), (3, None), (77, 1)], "doc_id long, toxic int")
+    assert toxicity.digests(odd_docs.limit(0), labels).count() == 0
+    assert toxicity.keep_clean(odd_docs.limit(0), labels.limit(0)).count() == 0
+    out = toxicity.digests(odd_docs, labels.limit(0)).collect()
+    assert len(out) == odd_docs.count() and max(r["score"] for r in out) < 0.01
+    odd = odd_docs.selectExpr("*", "7 as __toxicity", "8 as `__TOXICITY_`")
+    assert toxicity.keep_clean(odd, labels.limit(0)).select("__toxicity").distinct().first()[0] == 7
+    assert simhash_dedup.deduplicate(odd.selectExpr("*", "9 as __gone")).select("__gone").distinct().first()[0] == 9
+
+
 def test_toxicity(spark, odd_docs):
     rng = random.Random(5)
     words = [f"w{i}" for i in range(300)]
@@ -313,20 +367,40 @@ def test_samples_of_very_many_rows(spark):
     assert ids.limit(1000).filter(within_share(F.xxhash64("doc_id"), 1.0)).count() == 1000
 
 
+def test_word_encoder_equals_the_library(monkeypatch):
+    file = tokenizer_file("word_bpe_49k.json")
+    t = Tokenizer.from_file(file)
+    rng = random.Random(8)
+    parts = ["The", "the", "naïve", "it's", "12", "3.5", " ", "  ", "\n", "\u3000", "\x85", "\x0b", "\x1f", "\x00", "<|endoftext|>", "e", "\u0301", "!", "...", "中文",
+             "\U0001d11e", "stop-it", ".", ",", "İ", "\u200b", "\ufeff"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for _ in range(3000)] + ["", "x" * 50_000, "w " * 30_000]
+    for words in (token_store.CACHE_WORDS, 50):
+        monkeypatch.setattr(token_store, "CACHE_WORDS", words)
+        own = token_store.WordEncoder(file, 2)
+        arrow = pa.array(["skipped", *texts])[1:]  # a slice: offsets don't start at 0
+        got = [x for lo in range(0, len(texts), 500) for x in own(arrow[lo:lo + 500])]
+        for text, ids in zip(texts, got, strict=True):
+            assert ids.tolist() == t.encode(text, add_special_tokens=False).ids, text
+    monkeypatch.setattr(token_store, "SLICE_BYTES", 100)
+    spans = list(token_store._slices_of(arrow))
+    assert [a for a, _ in spans[1:]] == [b for _, b in spans[:-1]] and spans[0][0] == 0 and spans[-1][1] == len(texts)
+    assert list(token_store._slices_of(arrow[:0])) == []
+
+
 def test_words_that_normalising_changes():
     file = tokenizer_file("word_bpe_49k.json")
     t, own = Tokenizer.from_file(file), token_store.WordEncoder(file, 2)
     cores = ["İ", "EĞİTİMİ", "İstanbul", "\u0915\u0958", "\u095f", "पढ\u093c", "\u05d0\ufb2a", "\ufb4b", "ﬁ", "ǅ", "é", "e\u0301", "ẞ", "中文", "İ1"]
     texts = [c + m for c in cores for m in ("", ".", ",", "!?", ";:")]
     texts.append(" ".join(texts))
-    for text, ids in zip(texts, own(texts), strict=True):
-        assert np.frombuffer(ids, "<u2").tolist() == t.encode(text, add_special_tokens=False).ids, text
+    for text, ids in zip(texts, own(pa.array(texts)), strict=True):
+        assert ids.tolist() == t.encode(text, add_special_tokens=False).ids, text
     # every letter, before a closing mark
     letters = [chr(c) + "." for c in range(0x110000) if chr(c).isalpha()]
     for k in range(0, len(letters), 20_000):
         part = letters[k:k + 20_000]
-        wrong = [w for w, ids, e in zip(part, own(part), t.encode_batch_fast(part, add_special_tokens=False), strict=True)
-                 if np.frombuffer(ids, "<u2").tolist() != e.ids]
+        wrong = [w for w, ids, e in zip(part, own(pa.array(part)), t.encode_batch_fast(part, add_special_tokens=False), strict=True)
+                 if ids.tolist() != e.ids]
         assert wrong == []
 
 
