@@ -62,6 +62,8 @@ LEVEL = 3
 CACHE_WORDS = 1_200_000
 _WORD_ENCODERS: dict[tuple[str, int], "WordEncoder"] = {}
 _ODD = "[\\x00-\\x08\\x0e-\\x1f]"
+#: Words of letters encoded as one text.
+JOINED = 50
 SLICE_ROWS = 2_048
 SLICE_BYTES = 8 << 20
 
@@ -77,6 +79,9 @@ class WordEncoder:
     def __init__(self, file: str, width: int):
         self.tokenizer = Tokenizer.from_file(file)
         self.dtype = np.dtype(f"<u{width}")
+        self.closes = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.closes[i] = token.endswith("</w>")
         self._forget()
 
     def _forget(self) -> None:
@@ -110,28 +115,35 @@ class WordEncoder:
         sizes = np.fromiter(map(len, lists), np.int64, len(lists))
         return np.fromiter(chain.from_iterable(lists), self.dtype, int(sizes.sum())), sizes
 
+    def _encode_letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words of letters alone, many to a text: each ends with the one token that closes a word."""
+        spans = [words[k:k + JOINED] for k in range(0, len(words), JOINED)]
+        ids, sizes = self._encode([" ".join(x) for x in spans])
+        closing = np.flatnonzero(self.closes[ids])
+        per_text = np.diff(np.searchsorted(closing, np.concatenate([[0], np.cumsum(sizes)])))
+        if self.closes[ids[np.cumsum(sizes) - 1]].all() and per_text.tolist() == list(map(len, spans)):
+            return ids, np.diff(closing, prepend=-1)
+        return self._encode(words)
+
     def _learn(self, words: list[str]) -> None:
         """Encode unknown words; letters and closing marks are tokens apart, so a word's core is shared.
 
         Not where normalising makes a combining mark of a letter, as the marks after it join that.
         """
-        known, parts = self.known, []
-        for w in words:
-            core = w.rstrip(",.;:!?")
-            if core.isascii():
-                parts.append((core.lower(), w[len(core):]) if core.isalpha() else (w, ""))
-            else:
-                parts.append((core, w[len(core):]) if unicodedata.normalize("NFC", core).lower().isalpha() else (w, ""))
-        new = list({p for pair in parts for p in pair}.difference(known))
-        for k in range(0, len(new), 10_000):
-            some = new[k:k + 10_000]
-            known.update(zip(some, range(first := self._enter(*self._encode(some)), first + len(some)), strict=True))
-        joined = []
-        for w, (core, tail) in zip(words, parts, strict=True):
-            if tail:
-                joined.append((w, known[core], known[tail]))
-            elif core != w:
-                known[w] = known[core]
+        known, nfc = self.known, unicodedata.normalize
+        cores = [w.rstrip(",.;:!?") for w in words]
+        letters = [c.isalpha() if c.isascii() else nfc("NFC", c).lower().isalpha() for c in cores]
+        tails = [w[len(c):] if x else "" for w, c, x in zip(words, cores, letters, strict=True)]
+        cores = [(c.lower() if c.isascii() else c) if x else w for w, c, x in zip(words, cores, letters, strict=True)]
+        fresh = {c for c, x in zip(cores, letters, strict=True) if x}.difference(known)
+        other = {c for c, x in zip(cores, letters, strict=True) if not x}.union(tails).difference(known, fresh)
+        for new, encode in ((list(fresh), self._encode_letters), (list(other), self._encode)):
+            for k in range(0, len(new), 10_000):
+                some = new[k:k + 10_000]
+                first = self._enter(*encode(some))
+                known.update(zip(some, range(first, first + len(some)), strict=True))
+        known.update((w, known[c]) for w, c, t in zip(words, cores, tails, strict=True) if not t)
+        joined = [(w, known[c], known[t]) for w, c, t in zip(words, cores, tails, strict=True) if t]
         if joined:
             names, *pairs = zip(*joined, strict=True)
             ids, sizes = self._gather(np.array(pairs).T.ravel())
