@@ -23,6 +23,7 @@ links with nothing and is its own component.  Vectors of unlike length are never
 linked.  A repeated row (same id and vector) is one vector; an id with several vectors
 has the sum of their links and the smallest of their components.  Rows with null
 ids stay without links (their component is null).  An empty table gives an empty table.
+Only the id and vector columns are read, so other columns can't clash.
 """
 
 from __future__ import annotations

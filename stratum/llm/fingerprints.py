@@ -18,6 +18,7 @@ fingerprint is stored once, so copies don't multiply candidates.
 Results: null is read as the empty text.  A repeated row (same id and text) is
 one document.  Null ids come last in the order of the documents.  In a table of
 one document, its next document is itself.  An empty table gives an empty table.
+Only the id and text columns are read, so other columns can't clash.
 """
 
 from __future__ import annotations

@@ -9,7 +9,8 @@ The mix is realised in blocks.  Each document belongs to one of ``BLOCKS`` block
 of its source by a hash; each epoch of a source is a permutation of its blocks,
 and of the documents in a block, by hashes of the epoch.  A source takes whole
 epochs, then whole blocks of the next, then documents of one last block, until its
-share of the budget is met (it may miss by less than one document).  Which
+share of the budget is met (it may miss by less than one document and the rows that
+repeat it, which are taken together).  Which
 documents that takes follows from three numbers per source, so the documents
 themselves are never shuffled: one aggregation sums the blocks, one window orders
 the ``BLOCKS`` sums of each source, one more the documents of its last block.

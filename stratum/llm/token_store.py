@@ -20,7 +20,7 @@ Only one token total per partition goes to the driver.
 
 Encoding works word by word: white space separates words for this tokenizer, so
 each distinct word is encoded once per worker and remembered, up to about
-``CACHE_WORDS``; texts with control characters are encoded whole.  Texts stay in
+``CACHE_WORDS`` (of more, those of the latest texts); texts with control characters are encoded whole.  Texts stay in
 Arrow until their words are numbered; Python sees each distinct word of a slice of
 texts once, not its occurrences.
 
@@ -35,7 +35,7 @@ import hashlib
 import os
 import unicodedata
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import chain, repeat
 
 import numpy as np
@@ -82,12 +82,18 @@ class WordEncoder:
         self.closes = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.closes[i] = token.endswith("</w>")
+        self.latest: list[str] = []
         self._forget()
 
-    def _forget(self) -> None:
-        """Word 0 is the empty one."""
+    def _forget(self, but: Sequence[str] = ()) -> None:
+        """Start anew with the words ``but``; word 0 is the empty one."""
+        kept = self._gather(np.fromiter(map(self.known.__getitem__, but), np.int64, len(but))) if len(but) else None
         self.known, self.used, self.count = {"": 0}, 0, 1
         self.ids, self.starts, self.sizes = np.zeros(1 << 16, self.dtype), np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
+        if kept is not None:
+            first = self._enter(*kept)
+            self.known.update(zip(but, range(first, first + len(but)), strict=True))
+            self.known[""] = 0
 
     def _enter(self, ids: np.ndarray, sizes: np.ndarray) -> int:
         """Store the ids of new words, one after the other; returns the number of the first."""
@@ -153,11 +159,11 @@ class WordEncoder:
     def __call__(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of each text, without special tokens."""
         if self.count > CACHE_WORDS:
-            self._forget()
+            self._forget(self.latest if len(self.latest) < CACHE_WORDS // 2 else ())
         odd = pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False)
         split = pc.utf8_split_whitespace(pc.if_else(pa.array(odd), "", texts) if odd.any() else texts)
         words = split.flatten().dictionary_encode()
-        names = words.dictionary.to_pylist()
+        self.latest = names = words.dictionary.to_pylist()
         numbers = np.fromiter(map(self.known.get, names, repeat(-1)), np.int64, len(names))
         new = np.flatnonzero(numbers < 0).tolist()
         if new:

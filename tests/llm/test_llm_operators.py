@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+import bwt_intervals
 import sentencepiece
 import xxhash
 from pyspark.sql import functions as F
@@ -199,6 +200,33 @@ def test_repeat_dedup(spark, odd_docs):
     assert repeat_dedup.digests(odd_docs.limit(0)).count() == 0
 
 
+def test_repeats_equal_interval_expansion(spark, monkeypatch):
+    """Against the breadth-first interval expansion on a Burrows-Wheeler transform, and with slabs of a few hundred bytes."""
+    rng = random.Random(14)
+    short = [bytes(rng.choice(b"ab") for _ in range(rng.randint(0, 60))) for _ in range(30)]
+    for least in (1, 3, 8):
+        seen = {}
+        for t in short:
+            for k in range(len(t) - least + 1):
+                seen[t[k:k + least]] = seen.get(t[k:k + least], 0) + 1
+        for t, got in zip(short, bwt_intervals.repeated_starts(short, least), strict=True):
+            assert got.tolist() == [k for k in range(len(t) - least + 1) if seen[t[k:k + least]] > 1]
+    passages = ["".join(rng.choice("abcdefgh ") for _ in range(n)) for n in (399, 400, 450, 900, 1500)]
+    texts = ["".join(rng.choice([*passages, "xy" * 300, "own " + str(rng.random())]) for _ in range(rng.randint(0, 6))) for _ in range(40)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = {}
+    for i, (t, starts) in enumerate(zip(texts, bwt_intervals.repeated_starts([t.encode() for t in texts], 400), strict=True)):
+        gone = np.zeros(len(t) + 1, int)
+        for k in starts.tolist():
+            gone[k:k + 400] = 1
+        want[i] = (len(t), int(gone.sum()), int((np.diff(gone, prepend=0) == 1).sum()))
+    assert sum(n > 0 for _, n, _ in want.values()) > 20
+    for slab in (repeat_dedup.SLAB, 700):
+        monkeypatch.setattr(repeat_dedup, "SLAB", slab)
+        got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"]) for r in repeat_dedup.digests(df).collect()}
+        assert got == want
+
+
 def test_embedding_links(spark):
     rng = np.random.default_rng(4)
     base = rng.normal(size=(60, 32))
@@ -374,7 +402,7 @@ def test_word_encoder_equals_the_library(monkeypatch):
     parts = ["The", "the", "naïve", "it's", "12", "3.5", " ", "  ", "\n", "\u3000", "\x85", "\x0b", "\x1f", "\x00", "<|endoftext|>", "e", "\u0301", "!", "...", "中文",
              "\U0001d11e", "stop-it", ".", ",", "İ", "\u200b", "\ufeff"]
     texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for _ in range(3000)] + ["", "x" * 50_000, "w " * 30_000]
-    for words in (token_store.CACHE_WORDS, 50):
+    for words in (token_store.CACHE_WORDS, 2000, 50):
         monkeypatch.setattr(token_store, "CACHE_WORDS", words)
         own = token_store.WordEncoder(file, 2)
         arrow = pa.array(["skipped", *texts])[1:]  # a slice: offsets don't start at 0
