@@ -96,6 +96,15 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{root}/stratum/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete everything ``scratch_dir`` handed out: what operators wrote to cut
+    their lineage.  For the end of an application, when no DataFrame is read any
+    more that came from them; nothing else deletes these folders."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(f"{checkpoint_root(spark).rstrip('/')}/stratum")
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme so plain Python can write small files."""
     if path.startswith("file:"):
