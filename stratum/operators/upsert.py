@@ -22,6 +22,7 @@ them by a full rebuild from bronze.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -33,12 +34,14 @@ from stratum.operators.changes import CHANGE_COL, DELIVERY_COL, INSERT, ChangeLo
 from stratum.operators.dedup import latest_per_key
 from stratum.operators.quality import any_null
 from stratum.session import checkpoint_root
-from stratum.sources.tables import load_schema, path_exists, save_schema
+from stratum.sources.tables import folder_bytes, load_schema, path_exists, save_schema
 
 BUCKET_COL = "__b"
 DEFAULT_BUCKETS = 64
 #: Bucket ids of a batch come to the driver as a partition filter; a batch that touches more is refused.
 MAX_TOUCHED = 100_000
+#: Bytes of a bucket from which a merge warns.
+LARGE_BUCKET = 8 << 30
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
@@ -170,6 +173,9 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequen
             return target
         if len(hit) > MAX_TOUCHED:
             raise ValueError(f"the batch touches {len(hit)} buckets of {path}, more than {MAX_TOUCHED}: use wider buckets")
+        if path_exists(spark, first := f"{path.rstrip('/')}/{BUCKET_COL}={hit[0]}") and folder_bytes(spark, first) > LARGE_BUCKET:
+            warnings.warn(f"a bucket of {path} has over {LARGE_BUCKET} bytes, which each batch that touches it rewrites: "
+                          "rebuild the table with more buckets", stacklevel=2)
         target_hit, replaced = target.filter(F.col(BUCKET_COL).isin(hit)), None
         if delivery is not None and delivery in target.columns:
             come = src.select(delivery).distinct()

@@ -156,6 +156,18 @@ def q_dq_metrics_written(spark: SparkSession, sf: str) -> DataFrame:
     return kept.agg(*[F.sum(c).alias(c) for c in kept.columns])
 
 
+def q_stamped_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Silver lots with their processing time, which lies in the run that wrote them."""
+    apply_defaults(spark)
+    lay = Layout(scratch_dir(spark, "stamped"))
+    begun = spark.sql("SELECT current_timestamp() AS t").first()["t"]
+    write_batch(bronze(spark, sf, "bronze_mfg_lot"), lay.bronze("mfg_lot"), 0)
+    J.silver_job(spark, lay, "mfg_lot")
+    stamp = F.col(J.STAMP)
+    return J.read_silver(spark, lay, "mfg_lot").select(
+        "batch_id", "lot_id", "process_step", ((stamp >= F.lit(begun)) & (stamp <= F.current_timestamp())).alias("in_run"))
+
+
 def q_bucketed_subject_safety(spark: SparkSession, sf: str) -> DataFrame:
     """The subject mart over silver tables in buckets of the subject keys: the facts are aggregated and joined
     where they lie."""
@@ -243,6 +255,7 @@ UNION ALL SELECT 'update_preimage', {n}, {_ROW} FROM s{n - 1} WHERE {gone}
 DELTA_QUERIES = {
     "change_rows_upsert": q_change_rows_upsert,
     "dq_metrics_written": q_dq_metrics_written,
+    "stamped_rows": q_stamped_rows,
     "bucketed_subject_safety": q_bucketed_subject_safety,
     "catalog_layers": q_catalog_layers,
     "distinct_merged": q_distinct_merged,
@@ -264,6 +277,7 @@ DELTA_QUERIES = {
 
 DELTA_ORACLE = {
     "dq_metrics_written": ORACLE["dq_metrics_qc"],
+    "stamped_rows": ORACLE["silver_lot"].replace("SELECT * FROM silver_lot", "SELECT batch_id, lot_id, process_step, true AS in_run FROM silver_lot"),
     "bucketed_subject_safety": ORACLE["gold_subject_safety"],
     "catalog_layers": QC + """SELECT s.test_name, s.total_tests, s.batches, b.delivered
 FROM (SELECT test_name, count(*) AS total_tests, count(DISTINCT batch_id) AS batches FROM silver_qc GROUP BY test_name) s

@@ -42,12 +42,19 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 def names_in(spark: SparkSession, folder: str) -> list[str]:
-    """Names of the files and folders in ``folder`` (none if it does not exist)."""
+    """Names of the files and folders in ``folder`` (none if it does not exist), hidden ones left out."""
     if not path_exists(spark, folder):
         return []
     hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     found = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(hpath)
-    return [f.getPath().getName() for f in found]
+    names = [f.getPath().getName() for f in found]
+    return [n for n in names if not n.startswith(".")]
+
+
+def folder_bytes(spark: SparkSession, folder: str) -> int:
+    """Bytes of all files in ``folder``."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(hpath).getLength()
 
 
 def load_schema(spark: SparkSession, store: str) -> T.StructType | None:

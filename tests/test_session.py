@@ -3,8 +3,8 @@
 import subprocess
 import sys
 
-from stratum.session import checkpoint_root, scratch_dir
-from stratum.sources.tables import Layout
+from stratum.session import checkpoint_root, clear_scratch, scratch_dir
+from stratum.sources.tables import Layout, path_exists
 
 
 def test_scratch_under_session_checkpoint_dir(spark):
@@ -25,3 +25,13 @@ def test_jobs_cli_help():
     out = subprocess.run([sys.executable, "-m", "stratum.plans.jobs", "--help"], capture_output=True,
                          text=True, timeout=120)
     assert out.returncode == 0 and "--stage" in out.stdout
+
+
+def test_scratch_can_be_cleared(spark):
+    path = scratch_dir(spark, "gone")
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3
+    other = scratch_dir(spark, "x").rsplit("/stratum/", 1)[0] + "/kept"
+    spark.range(2).write.mode("overwrite").parquet(other)
+    clear_scratch(spark)
+    assert not path_exists(spark, path) and spark.read.parquet(other).count() == 2

@@ -55,6 +55,19 @@ def test_upsert_table_buckets(spark, tmpdir_path):
     assert again.count() == 101
 
 
+def test_coarse_buckets_are_named(spark, tmpdir_path, monkeypatch):
+    from stratum.operators import upsert as module
+
+    path = f"{tmpdir_path}/t"
+    upsert_table(spark, path, spark.range(100).select(F.col("id").alias("k")), ["k"], buckets=2)
+    monkeypatch.setattr(module, "LARGE_BUCKET", 100)
+    with pytest.warns(UserWarning, match="more buckets"):
+        upsert_table(spark, path, spark.range(3).select(F.col("id").alias("k")), ["k"], buckets=2)
+    monkeypatch.setattr(module, "MAX_TOUCHED", 1)
+    with pytest.raises(ValueError, match="touches 2 buckets"):
+        upsert_table(spark, path, spark.range(90).select(F.col("id").alias("k")), ["k"], buckets=2)
+
+
 def test_change_rows(spark):
     old = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, v string")
     new = spark.createDataFrame([(1, "a"), (2, "B"), (4, "d")], "k int, v string")
