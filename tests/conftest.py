@@ -11,7 +11,7 @@ def spark():
     from stratum.session import get_session
 
     ckpt = tempfile.mkdtemp(prefix="stratum-test-ckpt-")
-    s = get_session("local[4]", app="stratum-tests", shuffle_partitions=8,
+    s = get_session("local[4]", app="stratum-tests", shuffle_partitions=4,
                     extra={"spark.checkpoint.dir": ckpt})
     yield s
     s.stop()

@@ -1,6 +1,7 @@
 """Upsert algebra, NULL keys, schema drift, bucketed table, change rows."""
 
 import os
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -56,8 +57,7 @@ def test_upsert_table_buckets(spark, tmpdir_path):
 
 
 def test_coarse_buckets_are_named(spark, tmpdir_path, monkeypatch):
-    from stratum.operators import upsert as module
-
+    module = sys.modules[upsert_table.__module__]
     path = f"{tmpdir_path}/t"
     upsert_table(spark, path, spark.range(100).select(F.col("id").alias("k")), ["k"], buckets=2)
     monkeypatch.setattr(module, "LARGE_BUCKET", 100)
