@@ -1,7 +1,8 @@
 """Exact distinct counts that merge: bitmaps of integer ids per group.
 
-``bitmaps`` keeps the ids of a group as bitmaps of 32,768 bits, one per range
-of ids that occurs.  Two of them merge by ``bitmap_or_agg``, whatever ids they
+``bitmaps`` keeps the ids of a group as words of 64 bits, one per range of 64
+ids that occurs, so a group of a few ids takes a few bytes and a word is merged
+in place by hash aggregates.  Words merge by ``bit_or``, whatever ids they
 share, so the distinct counts of deliveries add up to the distinct count of
 all rows, which stored counts do not.  Text gets its ids from ``LabelIds``,
 a stored dictionary that only grows.
@@ -22,20 +23,18 @@ from stratum.sources.tables import path_exists
 def bitmaps(df: DataFrame, keys: Sequence[str], id_col: str) -> DataFrame:
     """``(keys..., bucket, bits)``: the distinct non-NULL ids of each group."""
     rows = df.filter(F.col(id_col).isNotNull()).select(*keys, F.col(id_col).cast("long").alias("__id"))
-    # The distinct ids first: that is a hash aggregate, and leaves the bitmap
-    # aggregate, which sorts, one row per group and id.
-    rows = rows.distinct().withColumn("bucket", F.bitmap_bucket_number("__id"))
-    return rows.groupBy(*keys, "bucket").agg(F.bitmap_construct_agg(F.bitmap_bit_position("__id")).alias("bits"))
+    bit = F.expr("shiftleft(1L, cast(__id & 63L AS int))")
+    return rows.groupBy(*keys, F.shiftright("__id", 6).alias("bucket")).agg(F.bit_or(bit).alias("bits"))
 
 
 def merge_bitmaps(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One bitmap per group and bucket, of several partial ones."""
-    return parts.groupBy(*keys, "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+    return parts.groupBy(*keys, "bucket").agg(F.bit_or("bits").alias("bits"))
 
 
 def count_bitmaps(merged: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     """Distinct ids of each group; ``merged`` has one bitmap per group and bucket."""
-    return merged.groupBy(*keys).agg(F.sum(F.bitmap_count("bits")).alias(name))
+    return merged.groupBy(*keys).agg(F.sum(F.bit_count("bits")).alias(name))
 
 
 def dense_numbers(df: DataFrame, order: Sequence[str], name: str, start: int = 0) -> DataFrame:

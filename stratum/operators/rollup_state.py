@@ -224,7 +224,7 @@ class RollupState:
             if before is not None:
                 valid = self._valid(before, old).withColumn("__new", F.lit(0))
                 ids = ids.unionByName(valid)
-            ids = ids.groupBy(*keys, "bucket").agg(F.bitmap_or_agg("bits").alias("bits"), F.max("__new").alias("__new")).filter("__new = 1").drop("__new")
+            ids = ids.groupBy(*keys, "bucket").agg(F.bit_or("bits").alias("bits"), F.max("__new").alias("__new")).filter("__new = 1").drop("__new")
             self._write(f"ids_{name}", ids.unionByName(bitmaps(base_rows, keys, col)), delivery)
             now = same_group(self._valid(self._read(f"ids_{name}", delivery), done), merged, keys)
             counts.append(count_bitmaps(now, keys, name))

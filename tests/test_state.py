@@ -107,3 +107,10 @@ def test_only_changed_partitions_are_written(spark, tmpdir_path):
     assert refresh_partitions(spark, path, frame([]), [0], "p", changes, 2, ["stamp"]) == [0]
     assert [r["v"] for r in spark.read.parquet(path).collect()] == ["c"]
     assert refresh_partitions(spark, path, frame(first), [0, 1], "p", changes, 2, ["stamp"]) == []  # a replay
+
+
+def test_distinct_ids_take_words_not_blocks(spark):
+    df = spark.range(2000).selectExpr("id % 500 AS k", "id % 5 AS i")
+    parts = bitmaps(df, ["k"], "i")
+    assert dict(parts.dtypes)["bits"] == "bigint" and parts.count() == 500
+    assert "SortAggregate" not in str(parts._jdf.queryExecution().executedPlan())
