@@ -109,6 +109,23 @@ def test_only_changed_partitions_are_written(spark, tmpdir_path):
     assert refresh_partitions(spark, path, frame(first), [0, 1], "p", changes, 2, ["stamp"]) == []  # a replay
 
 
+def test_rows_are_told_apart_by_hash(spark, tmpdir_path):
+    """All rows of a batch changed, few did, and copies came or went: change rows are as those of a whole comparison,
+    and what did not change, or is new, is not shuffled whole."""
+    frame = lambda rows: spark.createDataFrame(rows, "v string, n double, stamp int, p long")
+    old = [(f"r{i}", float(i), 0, 0) for i in range(40)] + [("twin", None, 0, 0)] * 3 + [("gone", 1.0, 0, 1)] + [("all", float(i), 0, 2) for i in range(9)]
+    few = [(f"r{i}", float(i), 5, 0) for i in range(38)] + [("twin", None, 5, 0)] * 2 + [("new", 0.5, 5, 0)] * 2
+    new = few + [("other", float(i), 5, 2) for i in range(9)] + [("first", 0.0, 5, 3)] * 2
+    path, changes = f"{tmpdir_path}/t", f"{tmpdir_path}/c"
+    refresh_partitions(spark, path, frame(old), [0, 1, 2], "p", changes, 0, ["stamp"])
+    assert sorted(refresh_partitions(spark, path, frame(new), [0, 1, 2, 3], "p", changes, 1, ["stamp"])) == [0, 1, 2, 3]
+    kept = lambda df: sorted(repr((r[CHANGE_COL], r["v"], r["n"], r["p"])) for r in df.collect())
+    assert kept(ChangeLog(spark, changes).read(1)) == kept(multiset_changes(frame(old), frame(new), CHANGE_COL, ["stamp"]))
+    assert sorted(map(repr, spark.read.parquet(path).select("v", "n", "stamp", "p").collect())) == sorted(map(repr, frame(new).collect()))
+    plan = str(multiset_changes(frame(old), frame(new))._jdf.queryExecution().executedPlan())
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.index("Aggregate") < plan.index("Exchange")
+
+
 def test_distinct_ids_take_words_not_blocks(spark):
     df = spark.range(2000).selectExpr("id % 500 AS k", "id % 5 AS i")
     parts = bitmaps(df, ["k"], "i")
