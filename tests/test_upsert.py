@@ -6,7 +6,7 @@ import sys
 import pytest
 from pyspark.sql import functions as F
 
-from stratum.operators.changes import CHANGE_COL, DELIVERY_COL, ChangeLog, change_rows, multiset_changes
+from stratum.operators.changes import CHANGE_COL, DELIVERY_COL, ChangeLog, change_rows, merge_changes, multiset_changes
 from stratum.operators.dedup import latest_per_key
 from stratum.operators.upsert import upsert, upsert_table
 
@@ -138,3 +138,23 @@ def test_multiset_changes(spark):
     new = spark.createDataFrame([(1, "a"), (2, None), (2, None), (3, "c")], "k int, v string")
     got = sorted((r._change_type, r.k) for r in multiset_changes(old, new).collect())
     assert got == [("delete", 1), ("delete", 1), ("insert", 2), ("insert", 3)]
+
+
+def test_upsert_shuffles_its_rows_once(spark, tmpdir_path, monkeypatch):
+    """With parts of few rows too, change rows and table are those of the whole comparison; there is no second exchange."""
+    module = sys.modules[upsert_table.__module__]
+    monkeypatch.setattr(module, "PART_ROWS", 5)
+    path, log = f"{tmpdir_path}/t", ChangeLog(spark, f"{tmpdir_path}/c")
+    old = spark.range(60).selectExpr("IF(id % 10 = 0, NULL, id) AS k", "id % 3 AS at", "'a' AS v", "0 AS d")
+    new = spark.range(30, 90).selectExpr("IF(id % 10 = 0, NULL, id) AS k", "id % 4 AS at", "IF(id % 2 = 0, 'a', 'b') AS v", "1 AS d")
+    upsert_table(spark, path, old, ["k"], ["at"], buckets=2, delivery="d", changes=log.path, version=0, ignore=["d"])
+    out = upsert_table(spark, path, new.unionByName(new.filter("k is not null")), ["k"], ["at"], buckets=2, delivery="d",
+                       changes=log.path, version=1, ignore=["d"])
+    want = upsert(old, new, ["k"], ["at"])
+    assert _rows(out.drop("__b").filter("k is not null")) == _rows(want.filter("k is not null"))
+    assert out.filter("k is null").count() == want.filter("k is null").count() == 12
+    changed = merge_changes(old.filter("k is not null"), new, ["k"], ["at"], ignore=["d"])
+    kept = lambda df: sorted(repr((r[CHANGE_COL], r.k, r.at, r.v)) for r in df.collect())
+    assert kept(log.read(1)) == kept(changed)
+    plan = module._latest(old.withColumn("__b", module.bucket_of(["k"], 2)), ["k"], ["at"], {1: 60})._jdf.queryExecution().executedPlan()
+    assert str(plan).count("Exchange hashpartitioning") == 1 and "hashpartitioning(__b" in str(plan)
