@@ -158,3 +158,28 @@ def test_upsert_shuffles_its_rows_once(spark, tmpdir_path, monkeypatch):
     assert kept(log.read(1)) == kept(changed)
     plan = module._latest(old.withColumn("__b", module.bucket_of(["k"], 2)), ["k"], ["at"], {1: 60})._jdf.queryExecution().executedPlan()
     assert str(plan).count("Exchange hashpartitioning") == 1 and "hashpartitioning(__b" in str(plan)
+
+
+@pytest.mark.parametrize("logged", [False, True])
+def test_many_rows_go_through_staged_buckets(spark, tmpdir_path, monkeypatch, logged):
+    """Many rows are not shuffled but staged in buckets; table and change rows are those of the shuffled merge."""
+    module = sys.modules[upsert_table.__module__]
+    old = spark.range(600).selectExpr("IF(id % 10 = 0, NULL, id) AS k", "id % 3 AS at", "'a' AS v", "0 AS d")
+    new = spark.range(300, 900).selectExpr("IF(id % 10 = 0, NULL, id) AS k", "id % 4 AS at", "IF(id % 2 = 0, 'a', 'b') AS v", "1 AS d", "id AS more")
+    tables, changes = {}, {}
+    for at, limit in (("shuffled", 10_000), ("staged", 1)):
+        monkeypatch.setattr(module, "STAGED_ROWS", limit)
+        monkeypatch.setattr(module, "STAGED_BUCKET_ROWS", 100)
+        path, log = f"{tmpdir_path}/{at}", ChangeLog(spark, f"{tmpdir_path}/{at}_changes")
+        kept = lambda n: {"changes": log.path, "version": n, "ignore": ["d"]} if logged else {}  # noqa: B023, E731
+        upsert_table(spark, path, old.unionByName(old.filter("k is not null")), ["k"], ["at"], buckets=4, delivery="d", **kept(0))
+        tables[at] = sorted(map(repr, upsert_table(spark, path, new.unionByName(new.filter("k % 7 = 0")), ["k"], ["at"], buckets=4,
+                                                   delivery="d", **kept(1)).collect()))
+        changes[at] = sorted(map(repr, log.read().collect())) if logged else []
+    assert tables["staged"] == tables["shuffled"] and changes["staged"] == changes["shuffled"]
+    before = [r.tableName for r in spark.sql("SHOW TABLES").collect()]
+    sizes = {b: 150 for b in range(4)}
+    plan = str(module._latest(old.withColumn("__b", module.bucket_of(["k"], 4)), ["k"], ["at"], sizes)._jdf.queryExecution().executedPlan())
+    assert "Exchange" not in plan and "Bucketed: true" in plan
+    assert [r.tableName for r in spark.sql("SHOW TABLES").collect()] == before
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "16"
