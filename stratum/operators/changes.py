@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratum.operators.quality import any_null
-from stratum.sources.tables import load_schema, names_in, path_exists, save_schema, touch
+from stratum.sources.tables import load_schema, names_in, path_exists, remove, save_schema, touch
 
 CHANGE_COL = "_change_type"
 DELIVERY_COL = "__delivery"
@@ -171,7 +171,8 @@ class ChangeLog:
     A delivery's rows are written before the table is, and marked as written,
     then as merged once the table has them.  A writer that died in between
     finds its change rows and only writes the table again; one that finishes
-    twice changes nothing.
+    twice changes nothing.  Rows of a merge that don't change are held beside
+    them, in partition ``-1 - n``, until the table has them.
     """
 
     spark: SparkSession
@@ -186,23 +187,37 @@ class ChangeLog:
     def merged(self, delivery: int) -> bool:
         return path_exists(self.spark, self._mark(delivery, "merged"))
 
+    def _unchanged(self, delivery: int) -> str:
+        return f"{self.path.rstrip('/')}/{DELIVERY_COL}={-1 - delivery}"
+
     def write(self, rows: DataFrame, delivery: int) -> None:
+        """The change rows of a delivery; those without a change type are held for ``after`` alone."""
         _widen(self.spark, self.path, rows.schema)
-        (rows.withColumn(DELIVERY_COL, F.lit(delivery).cast("long")).write.mode("overwrite")
+        remove(self.spark, self._unchanged(delivery))
+        at = F.when(F.col(CHANGE_COL).isNull(), F.lit(-1 - delivery)).otherwise(F.lit(delivery)).cast("long")
+        (rows.withColumn(DELIVERY_COL, at).write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic").partitionBy(DELIVERY_COL).parquet(self.path))
         touch(self.spark, self._mark(delivery, "written"))
 
     def finish(self, delivery: int) -> None:
+        remove(self.spark, self._unchanged(delivery))
         touch(self.spark, self._mark(delivery, "merged"))
 
+    def _rows(self) -> DataFrame:
+        return self.spark.read.schema(load_schema(self.spark, f"{self.path}__schema")).parquet(self.path)
+
     def read(self, first: int | None = None, last: int | None = None) -> DataFrame:
         """Change rows of the deliveries ``first`` to ``last``; other partitions are not read."""
-        rows = self.spark.read.schema(load_schema(self.spark, f"{self.path}__schema")).parquet(self.path)
         d = F.col(DELIVERY_COL)
-        if first is not None:
-            rows = rows.filter(d >= first)
+        rows = self._rows().filter(d >= (0 if first is None else first))
         return rows if last is None else rows.filter(d <= last)
 
+    def after(self, delivery: int) -> DataFrame:
+        """What a delivery that was written, but not merged, leaves in the table: rows that come, that
+        changed, as they are now, and that did not."""
+        kind = F.col(CHANGE_COL)
+        return self._rows().filter(F.col(DELIVERY_COL).isin(delivery, -1 - delivery)).filter(kind.isNull() | kind.isin(INSERT, POSTIMAGE))
+
     def last(self) -> int | None:
         """The newest delivery that the table has."""
         done = [int(n.split(".")[0]) for n in names_in(self.spark, f"{self.path.rstrip('/')}__log") if n.endswith(".merged")]

@@ -44,9 +44,14 @@ MAX_TOUCHED = 100_000
 LARGE_BUCKET = 8 << 30
 #: Rows of a bucket that are merged in one place.
 PART_ROWS = 500_000
-#: Rows from which they go to their places through a staged table in Spark's own buckets, not a shuffle:
-#: staged columns, compressed, take a fraction of shuffled rows.
-STAGED_ROWS = 2_000_000
+#: Rows from which each part gets a shuffle partition of its own, so that these are of one size.
+MANY_ROWS = 2_000_000
+#: Such partitions at most: up to here (``spark.shuffle.sort.bypassMergeThreshold``) a task writes the rows it
+#: shuffles as they come; with more it would hold them all, or spill.
+MAX_PLACES = 200
+#: Rows from which they go to their places through a staged table in Spark's own buckets, not a shuffle: staged
+#: columns, compressed, take a fraction of shuffled rows, but about twice the CPU.
+STAGED_ROWS = 500_000_000
 #: Rows of a staged bucket, which one task merges; they differ, by the parts that meet there.
 STAGED_BUCKET_ROWS = 1_000_000
 #: Parts that share a staged bucket, on average.
@@ -140,14 +145,22 @@ def _all_columns(target: DataFrame, src: DataFrame) -> list[str]:
 
 def _spread(df: DataFrame, keys: Sequence[str], sizes: dict) -> DataFrame:
     """Rows of a bucket in one place, or in parts (``__part``) by key if it has many; rows without a key in any."""
-    parts, rows, places = 1 + max(sizes.values(), default=0) // PART_ROWS, sum(sizes.values()), 0
+    parts, rows, spark = 1 + max(sizes.values(), default=0) // PART_ROWS, sum(sizes.values()), df.sparkSession
+    places = max(spark.sparkContext.defaultParallelism, 1 + rows // PART_ROWS)
+    own = F.when(any_null(keys), F.monotonically_increasing_id())
+    by_key = F.xxhash64(F.lit("part"), *[F.col(k) for k in keys], own)
     if rows >= STAGED_ROWS:
-        places = min(STAGED_WRITERS, max(df.sparkSession.sparkContext.defaultParallelism, 1 + rows // STAGED_BUCKET_ROWS))
+        places = min(STAGED_WRITERS, max(spark.sparkContext.defaultParallelism, 1 + rows // STAGED_BUCKET_ROWS))
         parts = max(parts, -(-places * STAGED_PARTS // len(sizes)))
-    own = F.when(any_null(keys), F.monotonically_increasing_id())
-    part = F.pmod(F.xxhash64(F.lit("part"), *[F.col(k) for k in keys], own), F.lit(parts)).cast("int")
-    df = df.withColumn("__part", part)
-    return _staged_buckets(df, [BUCKET_COL, "__part"], places) if places else df.repartition(BUCKET_COL, "__part")
+    elif rows >= MANY_ROWS and isinstance(df.schema[BUCKET_COL].dataType, T.IntegralType):
+        # parts numbered through the buckets; a number is its rows' partition
+        parts = max(1, min(places, MAX_PLACES) // len(sizes))
+        places = min(parts * len(sizes), MAX_PLACES)
+        part = F.pmod(F.coalesce(F.col(BUCKET_COL), F.lit(0)).cast("long") * parts + F.pmod(by_key, F.lit(parts)), F.lit(places))
+        return df.withColumn("__part", part.cast("int")).repartitionById(places, F.col("__part"))
+    df = df.withColumn("__part", F.pmod(by_key, F.lit(parts)).cast("int"))
+    by = [BUCKET_COL, "__part"]
+    return _staged_buckets(df, by, places) if rows >= STAGED_ROWS else df.repartition(*by)
 
 
 def _staged_buckets(df: DataFrame, by: Sequence[str], buckets: int) -> DataFrame:
@@ -168,27 +181,27 @@ def _staged_buckets(df: DataFrame, by: Sequence[str], buckets: int) -> DataFrame
     return staged
 
 
+def _by(keys: Sequence[str]) -> list[str]:
+    """The keys of rows where ``_spread`` put them; bucket and part, which few rows differ in, are sorted by last."""
+    return [*keys, *[c for c in (BUCKET_COL, "__part") if c not in keys]]
+
+
 def _latest(df: DataFrame, keys: Sequence[str], order: Sequence[str], sizes: dict) -> DataFrame:
     """``latest_per_key`` of rows with their bucket, left where a write by bucket wants them."""
-    at = ["__part", *([] if BUCKET_COL in keys else [BUCKET_COL])]
     spread = _spread(df, keys, sizes)
-    return latest_per_key(spread, [*at, *keys], order).drop("__part")
+    return latest_per_key(spread, _by(keys), order).drop("__part")
 
 
 def _merge_logged(log: ChangeLog, version: int, target: DataFrame, src: DataFrame, keys: Sequence[str], order: Sequence[str],
-                  replaced: DataFrame | None, ignore: Sequence[str], sizes: dict) -> DataFrame:
-    """The merged rows, after the change rows were written; both come from one pass, which is staged."""
-    spark, keyed, unkeyed = log.spark, ~any_null(keys), any_null(keys)
+                  replaced: DataFrame | None, ignore: Sequence[str], sizes: dict, bucket: Column) -> DataFrame:
+    """The merged rows, after the change rows were written; both come from one pass, whose other rows the log holds meanwhile."""
+    keyed, unkeyed = ~any_null(keys), any_null(keys)
     both = _spread(_both(target.filter(keyed), src.filter(keyed)), keys, sizes)
-    events = merge_events(both, [BUCKET_COL, "__part", *keys], order, "__new", ignore=ignore).drop("__part")
-    staged = scratch_dir(spark, "merge")
-    events.write.parquet(staged)
-    events = spark.read.schema(events.schema).parquet(staged)
+    events = merge_events(both, _by(keys), order, "__new", ignore=ignore).drop("__part", "__kept", BUCKET_COL)
     gone = target.limit(0) if replaced is None else replaced
     loose = multiset_changes(gone.drop(BUCKET_COL), src.filter(unkeyed).drop(BUCKET_COL), CHANGE_COL, ignore)
-    by_key = events.filter(F.col(CHANGE_COL).isNotNull()).drop("__kept", BUCKET_COL)
-    log.write(by_key.unionByName(loose, allowMissingColumns=True), version)
-    kept = events.filter("__kept").drop("__kept", CHANGE_COL)
+    log.write(events.unionByName(loose, allowMissingColumns=True), version)
+    kept = log.after(version).filter(keyed).drop(CHANGE_COL, DELIVERY_COL).withColumn(BUCKET_COL, bucket)
     return (kept.unionByName(target.filter(unkeyed), allowMissingColumns=True)
                 .unionByName(src.filter(unkeyed), allowMissingColumns=True).select(*_all_columns(target, src)))
 
@@ -264,7 +277,7 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequen
             unkeyed = target_hit.filter(any_null(keys)).join(come, delivery, "left_anti").select(*target_hit.columns)
             target_hit = target_hit.filter(~any_null(keys)).unionByName(unkeyed)
         if log is not None and not log.written(version):
-            merged = _merge_logged(log, version, target_hit, src, keys, order, replaced, ignore, sizes)
+            merged = _merge_logged(log, version, target_hit, src, keys, order, replaced, ignore, sizes, bucket_col)
         else:
             merged = _latest(_both(target_hit, src), keys, [*order, "__new"], sizes).select(*_all_columns(target_hit, src))
     schema = _remember_schema(merged, path)

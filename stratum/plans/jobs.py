@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 from stratum.operators.quality import dq_aggregates
 from stratum.plans import gold as G
 from stratum.plans import silver as S
+from stratum.session import finer_splits
 from stratum.sources.tables import Layout, load_schema, overwrite_table, read_table, replace_batches
 from stratum.streaming.incremental import append_available, refresh_available, upsert_available
 from stratum.streaming.ingest import BATCH_COL, FILE_COL, RESCUED_COL, ingest_available, read_bronze
@@ -94,6 +95,7 @@ def silver_job(spark: SparkSession, layout: Layout, table: str, buckets: int = 6
     counts of quality flags (``Layout.metrics``), one row per micro-batch or
     full refresh; the write itself counts them.
     """
+    finer_splits(spark)
     feed, transform, mode, keys = SILVER[table]
     dst = layout.silver(table)
 

@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratum.session import finer_splits
+
 BRONZE, SILVER, GOLD = "bronze", "silver", "gold"
 
 
@@ -183,6 +185,7 @@ def write_batch(df: DataFrame, path: str, batch_id: int, batch_col: str = "__bat
     retried or replayed micro-batch) leaves no duplicate.  The batch is then
     marked as complete; incremental readers wait for the mark.
     """
+    finer_splits(df.sparkSession)
     replace_batches(df.withColumn(batch_col, F.lit(batch_id).cast("long")), path, [batch_id], batch_col)
     (df.sparkSession.createDataFrame([(batch_id,)], "batch long").coalesce(1)
        .write.mode("append").parquet(completed_batches(path)))

@@ -183,3 +183,46 @@ def test_many_rows_go_through_staged_buckets(spark, tmpdir_path, monkeypatch, lo
     assert "Exchange" not in plan and "Bucketed: true" in plan
     assert [r.tableName for r in spark.sql("SHOW TABLES").collect()] == before
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "16"
+
+
+def test_change_rows_and_table_come_from_one_pass(spark, tmpdir_path, monkeypatch):
+    """Merged rows are written once: changes to the log, the others beside them until the table is written, to partitions
+    of one size.  A writer that dies in between leaves nothing that a reader sees."""
+    module = sys.modules[upsert_table.__module__]
+    monkeypatch.setattr(module, "MANY_ROWS", 1)
+    path, log = f"{tmpdir_path}/t", ChangeLog(spark, f"{tmpdir_path}/c")
+    frame = lambda rows: spark.createDataFrame(rows, "k long, v string, at int, d int")
+    load = lambda rows, n: upsert_table(spark, path, frame(rows), ["k"], ["at"], buckets=3, delivery="d",
+                                        changes=log.path, version=n, ignore=["at", "d"])
+    load([(k, "a", 0, 0) for k in range(20)] + [(None, "n", 0, 0)] * 2, 0)
+    staged, finish = [], ChangeLog.finish
+
+    def last(self, delivery):
+        staged.append(self.after(delivery).select(CHANGE_COL).collect())
+        finish(self, delivery)
+
+    monkeypatch.setattr(ChangeLog, "finish", last)
+    out = load([(k, "b" if k < 12 else "a", 1, 1) for k in range(10, 30)] + [(None, "m", 1, 1)], 1)
+    assert len([r for r in staged[0] if r[0] is None]) == 8 + 10  # unchanged, by one side or both
+    assert sorted((r.k, r.v, r.at) for r in out.collect() if r.k is not None) == \
+        [(k, "a", 0) for k in range(10)] + [(k, "b" if k < 12 else "a", 1) for k in range(10, 30)]
+    assert sorted(r.v for r in out.collect() if r.k is None) == ["m", "n", "n"]
+    assert sorted((r[CHANGE_COL], r.k) for r in log.read(1).filter("k is not null").collect()) == \
+        [("insert", k) for k in range(20, 30)] + [(f"update_{s}image", k) for s in ("post", "pre") for k in (10, 11)]
+    assert sorted(n for n in os.listdir(log.path) if n.startswith(DELIVERY_COL)) == [f"{DELIVERY_COL}=0", f"{DELIVERY_COL}=1"]
+    # the table was not written: its change rows are found, what they left is not seen and goes
+    monkeypatch.setattr(ChangeLog, "finish", lambda self, delivery: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        load([(0, "c", 2, 2), (1, "a", 2, 2)], 2)
+    assert f"{DELIVERY_COL}=-3" in os.listdir(log.path) and log.read().filter(F.col(DELIVERY_COL) < 0).count() == 0
+    monkeypatch.setattr(ChangeLog, "finish", finish)
+    assert {r.k: r.v for r in load([(0, "c", 2, 2), (1, "a", 2, 2)], 2).collect()}[0] == "c"
+    assert sorted((r[CHANGE_COL], r.v) for r in log.read(2).collect()) == [("update_postimage", "c"), ("update_preimage", "a")]
+    assert f"{DELIVERY_COL}=-3" not in os.listdir(log.path)
+    sizes = {b: 700 for b in range(3)}
+    spread = module._spread(out.withColumn("__b", module.bucket_of(["k"], 3)), ["k"], sizes)
+    assert "REPARTITION_BY_NUM" in str(spread._jdf.queryExecution().executedPlan())
+    monkeypatch.setattr(module, "PART_ROWS", 50)
+    wide = module._spread(spark.range(2100).select(F.col("id").alias("k")).withColumn("__b", module.bucket_of(["k"], 3)), ["k"], sizes)
+    counts = [r["count"] for r in wide.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(counts) == 42 and max(counts) < 100
