@@ -2,14 +2,20 @@
 
 import os
 import random
+from datetime import date
 
 from pyspark.sql import functions as F
 
 from stratum.functions.rollup import mean, rsum
 from stratum.operators.bitmaps import LabelIds, bitmaps, count_bitmaps, dense_numbers, merge_bitmaps
 from stratum.operators.changes import CHANGE_COL, ChangeLog, multiset_changes
-from stratum.operators.refresh import refresh_partitions
-from stratum.operators.rollup_state import Rollup, RollupState, signed
+from stratum.operators.refresh import _hashes, refresh_partitions
+from stratum.operators.rollup_state import SIGN, Rollup, RollupState, signed
+from stratum.operators.upsert import upsert_table
+from stratum.plans.gold import gold_capa
+from stratum.plans.gold_state import _weight_changes, maintain
+from stratum.plans.silver import silver_deviation
+from stratum.sources.tables import Layout
 
 SCHEMA = "g string, h int, x double, id long"
 
@@ -131,3 +137,68 @@ def test_distinct_ids_take_words_not_blocks(spark):
     parts = bitmaps(df, ["k"], "i")
     assert dict(parts.dtypes)["bits"] == "bigint" and parts.count() == 500
     assert "SortAggregate" not in str(parts._jdf.queryExecution().executedPlan())
+
+
+def test_partitions_that_changed_whole_are_written_from_their_change_rows(spark, tmpdir_path):
+    """Rows are not built once more for a partition that is new or of which no row stayed."""
+    path, changes = f"{tmpdir_path}/t", f"{tmpdir_path}/c"
+    frame = lambda rows: spark.createDataFrame(rows, "v string, n double, p long").withColumn("stamp", F.current_timestamp())
+    stamps = lambda df, p: {r["v"]: r["stamp"] for r in df.filter(F.col("p") == p).collect()}
+    inserts = lambda n: ChangeLog(spark, changes).read(n, n).filter(F.col(CHANGE_COL) == "insert")
+    assert sorted(refresh_partitions(spark, path, frame([("a", 1.0, 0), ("b", None, 0), ("c", 1.0, 1)]), [0, 1], "p", changes, 0, ["stamp"])) == [0, 1]
+    assert all(stamps(inserts(0), p) == stamps(spark.read.parquet(path), p) for p in (0, 1))
+    new = [("a", 1.0, 0), ("b", 2.0, 0), ("C", None, 1), ("d", 1.0, 1), ("e", 1.0, 2)]
+    assert sorted(refresh_partitions(spark, path, frame(new), [0, 1, 2], "p", changes, 1, ["stamp"])) == [0, 1, 2]
+    table = spark.read.parquet(path)
+    assert sorted((r["v"], r["n"] or 0, r["p"]) for r in table.collect()) == sorted((v, n or 0, p) for v, n, p in new)
+    assert all(stamps(inserts(1), p) == stamps(table, p) for p in (1, 2))
+    assert sorted(r["v"] for r in inserts(1).collect()) == ["C", "b", "d", "e"]
+
+
+def test_nulls_in_other_places_are_other_rows(spark):
+    rows = spark.createDataFrame([("a", None, "b"), (None, "a", "b"), ("a", "b", None), (None, None, None)], "x string, y string, z string")
+    assert rows.select(*[h.alias(f"h{i}") for i, h in enumerate(_hashes(rows.columns))]).distinct().count() == 4
+
+
+def test_capa_follows_lots_and_deviations(spark, tmpdir_path):
+    """Deviations and lots that change together, batches that gain or lose their last lots: the kept mart is the rebuilt
+    one, and only what changed is added to it."""
+    lay, rng = Layout(tmpdir_path), random.Random(5)
+    dev, lot = {}, []
+    kept = lambda df: sorted(repr(tuple(r)) for r in df.select(sorted(df.columns)).collect())
+
+    def deviation(k):
+        return (k, rng.randrange(8), rng.choice(["E1", "E2", " E3"]), rng.choice(["PROCESS", "EQUIPMENT"]), rng.choice(["CRITICAL", "MAJOR"]), "d", "r", "c", "by",
+                date(2024, rng.choice([1, 2]), 3), date(2024, 3, rng.randrange(1, 28)), rng.choice(["OPEN", "CLOSED"]))
+
+    dev_schema = ("deviation_id long, batch_id long, equipment_id string, deviation_type string, severity string, description string, root_cause string, "
+                  "corrective_action string, reported_by string, reported_date date, closure_date date, status string")
+    lot_schema = "batch_id long, plant_id string, drug_code string, manufacture_month string, yield_class string, __batch long"
+
+    def deliver(n, devs, lots):
+        if devs:
+            dev.update({d[0]: d for d in devs})
+            upsert_table(spark, lay.silver("mfg_deviation"), silver_deviation(spark.createDataFrame(devs, dev_schema)), ["deviation_id"],
+                         buckets=2, changes=lay.changes("mfg_deviation"), version=n)
+        if lots is not None:
+            lot[:] = lots
+            refresh_partitions(spark, lay.silver("mfg_lot"), spark.createDataFrame([(*r, 0) for r in lots], lot_schema), [0], "__batch",
+                               lay.changes("mfg_lot"), n)
+        got = maintain(spark, lay, "gold_capa")
+        want = gold_capa(silver_deviation(spark.createDataFrame(list(dev.values()), dev_schema)),
+                         spark.createDataFrame([(*r, 0) for r in lot], lot_schema))
+        assert kept(got) == kept(want)
+
+    def some_lots(batches):
+        return [(b, rng.choice(["P1", "P2"]), rng.choice(["D1", "D2"]), rng.choice(["m1", "m2"]), rng.choice(["High", "Low"])) for b in batches for _ in range(3)]
+
+    deliver(0, [deviation(k) for k in range(12)], some_lots([0, 1, 2, 3, 9]))
+    deliver(1, [deviation(k) for k in range(6, 16)], None)
+    deliver(2, [], some_lots([1, 2, 4, 9]))
+    deliver(3, [deviation(k) for k in range(3, 20, 2)], some_lots([0, 4, 5, 6]))
+    # one batch gets a lot row more: its deviations alone come again
+    lots, more = spark.createDataFrame([(*r, 0) for r in [*lot, (5, "P9", "D1", "m1", "Low"), (7, "P1", "D1", "m1", "Low")]], lot_schema), \
+        spark.createDataFrame([(5, "P9", "D1", "m1", "Low", 1), (7, "P1", "D1", "m1", "Low", 1)], lot_schema.replace("__batch", SIGN))
+    moved = _weight_changes(lots, more, spark.createDataFrame([(5,), (7,)], "batch_id long"))
+    assert sorted(map(repr, moved.collect())) == sorted(["Row(batch_id=5, plant_id='P9', drug_code='D1', __w=1)", "Row(batch_id=7, plant_id='P1', drug_code='D1', __w=1)",
+                                                         "Row(batch_id=7, plant_id=None, drug_code=None, __w=-1)"])
