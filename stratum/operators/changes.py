@@ -14,7 +14,7 @@ multisets: what only one side has is an insert or a delete.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -137,18 +137,24 @@ def merge_changes(target: DataFrame, source: DataFrame, keys: Sequence[str], ord
 
 
 def merge_events(both: DataFrame, keys: Sequence[str], order: Sequence[str], new: str, change_col: str = CHANGE_COL,
-                 kept: str = "__kept", ignore: Sequence[str] = ()) -> DataFrame:
+                 kept: str = "__kept", ignore: Sequence[str] = (), spread: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """What ``merge_changes`` finds and what ``upsert`` keeps, of target and source rows together in one aggregation.
 
     ``new`` marks source rows; no key is NULL.  A row comes out once for its
     change (``change_col``, NULL: none) and for the table (``kept``).
+    ``spread`` lays out the rows, packed beside their keys, before they are
+    grouped; columns that it adds are grouped by, too.
     """
     keys = list(keys)
     cols = [c for c in both.columns if c not in keys and c != new]
     order = [c for c in order if c in cols]
     compared = [c for c in cols if c not in ignore]
     row = F.struct(*[F.col(c) for c in [*order, *[c for c in cols if c not in order]]] or [F.lit(True).alias("__k")])
-    met = both.groupBy(*keys).agg(F.max(F.when(~F.col(new), row)).alias("__o"), F.max(F.when(F.col(new), row)).alias("__n"))
+    packed = both.select(*keys, new, row.alias("__row"))
+    if spread is not None:
+        packed = spread(packed)
+    by, row = [c for c in packed.columns if c not in (new, "__row")], F.col("__row")
+    met = packed.groupBy(*by).agg(F.max(F.when(~F.col(new), row)).alias("__o"), F.max(F.when(F.col(new), row)).alias("__n"))
 
     def image(kind: str | None, keep: bool, side: str) -> Column:
         return F.struct(F.lit(kind).cast("string").alias(change_col), F.lit(keep).alias(kept), *[F.col(side)[c].alias(c) for c in cols])

@@ -16,7 +16,7 @@ is wanted) the exchange is on the keys alone, and a join on them needs no other.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,15 +25,22 @@ from stratum.operators.quality import any_null
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = (),
-                   keep_null_keys: bool = True) -> DataFrame:
+                   keep_null_keys: bool = True, spread: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """``spread`` lays out the rows, packed beside their keys, before they are grouped;
+    columns that it adds are grouped by, too."""
     keys = list(keys)
     order = [c for c in order if c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in order]
     fields = [F.col(c) for c in order + rest] or [F.lit(True).alias("__k")]
-    packed = F.max(F.struct(*fields)).alias("__latest")
+    by, row = keys, F.struct(*fields)
+    columns = df.columns
+    if spread is not None:
+        df, row = spread(df.select(*keys, row.alias("__row"))), F.col("__row")
+        by = [c for c in df.columns if c != "__row"]
+    packed = F.max(row).alias("__latest")
     if keep_null_keys:
         own = F.when(any_null(keys), F.monotonically_increasing_id())
-        latest = df.groupBy(*keys, own.alias("__own")).agg(packed)
+        latest = df.groupBy(*by, own.alias("__own")).agg(packed)
     else:
-        latest = df.filter(~any_null(keys)).groupBy(*keys).agg(packed)
-    return latest.select(*keys, "__latest.*").select(*df.columns)
+        latest = df.filter(~any_null(keys)).groupBy(*by).agg(packed)
+    return latest.select(*keys, "__latest.*").select(*columns)

@@ -181,23 +181,23 @@ def _staged_buckets(df: DataFrame, by: Sequence[str], buckets: int) -> DataFrame
     return staged
 
 
-def _by(keys: Sequence[str]) -> list[str]:
-    """The keys of rows where ``_spread`` put them; bucket and part, which few rows differ in, are sorted by last."""
-    return [*keys, *[c for c in (BUCKET_COL, "__part") if c not in keys]]
+def _at(keys: Sequence[str]) -> list[str]:
+    """Keys and bucket, which few rows differ in: sorted by last."""
+    return [*keys, *([] if BUCKET_COL in keys else [BUCKET_COL])]
 
 
 def _latest(df: DataFrame, keys: Sequence[str], order: Sequence[str], sizes: dict) -> DataFrame:
     """``latest_per_key`` of rows with their bucket, left where a write by bucket wants them."""
-    spread = _spread(df, keys, sizes)
-    return latest_per_key(spread, _by(keys), order).drop("__part")
+    return latest_per_key(df, _at(keys), order, spread=lambda rows: _spread(rows, keys, sizes))
 
 
 def _merge_logged(log: ChangeLog, version: int, target: DataFrame, src: DataFrame, keys: Sequence[str], order: Sequence[str],
                   replaced: DataFrame | None, ignore: Sequence[str], sizes: dict, bucket: Column) -> DataFrame:
     """The merged rows, after the change rows were written; both come from one pass, whose other rows the log holds meanwhile."""
     keyed, unkeyed = ~any_null(keys), any_null(keys)
-    both = _spread(_both(target.filter(keyed), src.filter(keyed)), keys, sizes)
-    events = merge_events(both, _by(keys), order, "__new", ignore=ignore).drop("__part", "__kept", BUCKET_COL)
+    both = _both(target.filter(keyed), src.filter(keyed))
+    events = merge_events(both, _at(keys), order, "__new", ignore=ignore, spread=lambda rows: _spread(rows, keys, sizes))
+    events = events.drop("__kept", BUCKET_COL)
     gone = target.limit(0) if replaced is None else replaced
     loose = multiset_changes(gone.drop(BUCKET_COL), src.filter(unkeyed).drop(BUCKET_COL), CHANGE_COL, ignore)
     log.write(events.unionByName(loose, allowMissingColumns=True), version)
